@@ -1,0 +1,7 @@
+"""Streaming.
+
+The four jobs this library re-expresses read finite input and end; none of
+them has watermarks, event-time windows or state that outlives a batch. So no
+streaming operator is built here. Every operator takes and returns a plain
+DataFrame and also works on a streaming DataFrame where Spark allows the same
+plan (projections, filters, joins against static tables)."""
