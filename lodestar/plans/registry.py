@@ -7,6 +7,7 @@ import importlib
 
 PLAN_MODULES = (
     "lodestar.plans.search_plans",
+    "lodestar.plans.index_plans",
 )
 
 
