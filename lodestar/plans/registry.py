@@ -8,6 +8,7 @@ import importlib
 PLAN_MODULES = (
     "lodestar.plans.search_plans",
     "lodestar.plans.index_plans",
+    "lodestar.plans.diff_plans",
 )
 
 
