@@ -101,10 +101,7 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
     cols = [c for c in df.columns if c != "row_id"]
     target = target or cols[-1]
     features = list(features or [c for c in cols if c != target])
-    rows = (df.where(F.col(f"`{target}`").isNotNull())
-            .select(F.lit(ROOT).alias("node_id"), feature_map(df, features).alias("feats"),
-                    F.col(f"`{target}`").cast("string").alias("target"),
-                    F.array().cast("array<string>").alias("used")))
+    rows = training_rows(df, target, features)
     root = df.sparkSession.createDataFrame([(ROOT, None, None)], "node_id string, parent_id string, value string")
     frontier = root       # node_id, parent_id, value of the nodes at this depth
     node_parts, child_parts = [], []
@@ -173,3 +170,11 @@ def describe(model: TreeModel) -> DataFrame:
             .groupBy("node_id")
             .agg(F.array_sort(F.collect_list(F.struct("value", "child_label"))).alias("children")))
     return model.nodes.join(kids, "node_id", "left")
+
+
+def training_rows(df: DataFrame, target: str, features) -> DataFrame:
+    """The root working set (all rows at the root node, nothing used yet)."""
+    return (df.where(F.col(f"`{target}`").isNotNull())
+            .select(F.lit(ROOT).alias("node_id"), feature_map(df, features).alias("feats"),
+                    F.col(f"`{target}`").cast("string").alias("target"),
+                    F.array().cast("array<string>").alias("used")))

@@ -9,6 +9,7 @@ PLAN_MODULES = (
     "lodestar.plans.search_plans",
     "lodestar.plans.index_plans",
     "lodestar.plans.diff_plans",
+    "lodestar.plans.tree_plans",
 )
 
 
