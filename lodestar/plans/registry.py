@@ -10,6 +10,7 @@ PLAN_MODULES = (
     "lodestar.plans.index_plans",
     "lodestar.plans.diff_plans",
     "lodestar.plans.tree_plans",
+    "lodestar.plans.linkage_plans",
 )
 
 

@@ -11,13 +11,14 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "lodestar") -> SparkSession:
+                  app_name: str = "lodestar", driver_memory: str = "16g") -> SparkSession:
     """A session tuned for these jobs: AQE on (coalesce + skew join), UI off,
     UTC session time zone. ``master`` is only applied when given (tests and
     bench); on a cluster the launcher decides."""
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master)
+        # local mode: the driver JVM is the only executor, give it the heap
+        builder = builder.master(master).config("spark.driver.memory", driver_memory)
     cores = os.cpu_count() or 8
     builder = (
         builder.config("spark.ui.enabled", "false")
