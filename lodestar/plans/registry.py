@@ -11,6 +11,7 @@ PLAN_MODULES = (
     "lodestar.plans.diff_plans",
     "lodestar.plans.tree_plans",
     "lodestar.plans.linkage_plans",
+    "lodestar.plans.links_plans",
 )
 
 
