@@ -24,7 +24,7 @@ def drop_zero_records(df: DataFrame, columns) -> DataFrame:
     """F16: keep rows where none of ``columns`` is 0."""
     cond = F.lit(True)
     for c in columns:
-        cond = cond & (F.col(f"`{c}`") != 0)
+        cond = cond & (F.col(f"`{c}`").cast("double") != 0)
     return df.where(cond)
 
 
