@@ -60,13 +60,29 @@ def normalize_word(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), TRAILING_RE, "")
 
 
-def index_words(text: Column, stop_words=STOP_WORDS) -> Column:
+def strip_word_ends(text: Column) -> Column:
+    """T7 over a whole text in one pass: remove one ! . or : at the end of
+    every word (a punctuation character followed by whitespace or the end)."""
+    cls = WS_SPLIT_JAVA[:-1]
+    return F.regexp_replace(text, f"[{re_escape_class(TRAILING_PUNCT)}](?={cls}|$)", "")
+
+
+def re_escape_class(chars: str) -> str:
+    return "".join("\\" + c for c in chars)
+
+
+def index_words(text: Column, stop_words=STOP_WORDS, distinct: bool = False) -> Column:
     """T7 + F14 over a whole text: array of normalised words with empty
-    words and stop words removed. The stop list is a literal array, so the
-    test stays inside generated code."""
+    words and stop words removed.
+
+    The text is lower-cased and end-stripped once, then split (no per-word
+    regex). ``distinct=True`` returns each word once (hash-based
+    ``array_except`` against the stop list), which is all postings need."""
     stop = F.array(*[F.lit(w) for w in stop_words])
-    words = F.transform(split_ws(text), normalize_word)
-    return F.filter(words, lambda w: (F.length(w) > 0) & ~F.array_contains(stop, w))
+    words = split_ws(strip_word_ends(F.lower(text)))
+    if distinct:
+        return F.array_except(words, stop)
+    return F.filter(words, lambda w: ~F.array_contains(stop, w))
 
 
 def title_key(title: Column, width: int = 10) -> Column:

@@ -46,7 +46,8 @@ def text_postings(df: DataFrame, key_cols, text_cols, stop_words=STOP_WORDS) ->
     Words of all text columns are concatenated per row before one explode;
     ``distinct`` is the union over blocks and pages (a word found twice for
     one key is one posting)."""
-    words = F.concat(*[index_words(F.coalesce(F.col(c), F.lit("")), stop_words) for c in text_cols])
+    words = F.array_distinct(F.concat(*[index_words(F.coalesce(F.col(c), F.lit("")), stop_words, distinct=True)
+                                        for c in text_cols]))
     return (df.select(*key_cols, F.explode(words).alias("word"))
             .distinct())
 
@@ -55,9 +56,15 @@ def matching_postings(df: DataFrame, key: str, text_col: str, terms) -> DataFram
     """Postings restricted to given terms: the words are filtered inside the
     array before the explode, so the non-matching words of a long text never
     become rows."""
-    wanted = F.array(*[F.lit(t) for t in sorted(set(terms))])
-    words = F.filter(index_words(F.col(text_col)), lambda w: F.array_contains(wanted, w))
-    return df.select(key, F.explode(words).alias("word")).distinct()
+    terms = sorted(set(terms))
+    wanted = F.array(*[F.lit(t) for t in terms])
+    # exact pre-filter: a text without a term as a substring cannot hold it as a word
+    lowered = F.lower(F.col(text_col))
+    any_sub = F.lit(False)
+    for t in terms:
+        any_sub = any_sub | (F.instr(lowered, t) > 0)
+    words = F.array_intersect(index_words(F.col(text_col), distinct=True), wanted)
+    return (df.where(any_sub).select(key, F.explode(words).alias("word")).distinct())
 
 
 def grouped_index(postings: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,8 @@ Scale notes
   record pairs; record pairs are produced only for the explicit pair output.
 * Jaro-Winkler is evaluated once per distinct value pair of each field, then
   joined back, so its cost follows the value domain, not the pair count.
+  The scored value pairs are broadcast only after a row count proves them
+  small; beyond that the join stays a shuffle join.
 * The classifier has at most 3^k rows (k fields): its broadcast is bounded
   by construction. Its windows are un-partitioned over those few rows only.
 * Blocks are an equi join, so AQE's skew-join split applies to a hot block.
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import LEVELS, similarity_level, with_jaro_winkler
+from lodestar.session import broadcast_if_small
 
 DEFAULT_FIELDS = ("name", "city", "address")
 LABEL_MATCH, LABEL_POSSIBLE, LABEL_UNMATCH = "match", "possible match", "unmatch"
@@ -35,16 +38,25 @@ def level_cols(fields) -> list[str]:
 
 # --- T9 / T10 ------------------------------------------------------------------
 
-def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
+def score_levels(value_pairs: DataFrame, field: str, left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
+    """T9 + T10 for one field over a table of distinct value pairs."""
+    l, r = f"{left_prefix}{field}", f"{right_prefix}{field}"
+    scored = with_jaro_winkler(value_pairs.select(l, r).distinct(), l, r, f"jw_{field}")
+    return scored.select(l, r, similarity_level(F.col(f"jw_{field}")).alias(f"s_{field}"))
+
+
+def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_prefix: str = "r_",
+                      value_pairs: dict | None = None) -> DataFrame:
     """Add ``s_<field>`` levels to a pair table that has ``l_<field>`` and
     ``r_<field>`` columns; Jaro-Winkler runs on the distinct value pairs of
-    each field only."""
+    each field only. ``value_pairs`` may supply, per field, a (smaller)
+    table holding those value pairs, so ``pairs`` is not recomputed to find
+    them."""
     out = pairs
     for f in fields:
-        l, r = f"{left_prefix}{f}", f"{right_prefix}{f}"
-        scored = with_jaro_winkler(pairs.select(l, r).distinct(), l, r, f"jw_{f}")
-        scored = scored.select(l, r, similarity_level(F.col(f"jw_{f}")).alias(f"s_{f}"))
-        out = out.join(scored, [l, r])
+        src = (value_pairs or {}).get(f, pairs)
+        levels = broadcast_if_small(score_levels(src, f, left_prefix, right_prefix))
+        out = out.join(levels, [f"{left_prefix}{f}", f"{right_prefix}{f}"])
     return out
 
 
@@ -78,6 +90,14 @@ def tuple_counts(tuples: DataFrame, fields) -> DataFrame:
     return tuples.groupBy(*level_cols(fields)).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _with_probabilities(merged: DataFrame) -> DataFrame:
+    everything = Window.partitionBy()       # the merged table has at most 3^k rows
+    return (merged.withColumn("n_m", F.sum("m_cnt").over(everything))
+            .withColumn("n_u", F.sum("u_cnt").over(everything))
+            .withColumn("m", F.try_divide(F.col("m_cnt").cast("double"), F.col("n_m")))
+            .withColumn("u", F.try_divide(F.col("u_cnt").cast("double"), F.col("n_u"))))
+
+
 def merge_distributions(match_tuples: DataFrame, unmatch_tuples: DataFrame, fields) -> DataFrame:
     """Full outer merge of both distributions on the tuple; a tuple seen
     on one side only gets 0 on the other. Carries the class totals so the
@@ -85,13 +105,25 @@ def merge_distributions(match_tuples: DataFrame, unmatch_tuples: DataFrame, fiel
     s = level_cols(fields)
     m = tuple_counts(match_tuples, fields).withColumnRenamed("cnt", "m_cnt")
     u = tuple_counts(unmatch_tuples, fields).withColumnRenamed("cnt", "u_cnt")
-    n_m = match_tuples.select(F.count(F.lit(1))).scalar()
-    n_u = unmatch_tuples.select(F.count(F.lit(1))).scalar()
-    return (m.join(u, s, "full_outer")
-            .select(*s, F.coalesce("m_cnt", F.lit(0)).alias("m_cnt"), F.coalesce("u_cnt", F.lit(0)).alias("u_cnt"))
-            .withColumn("n_m", n_m).withColumn("n_u", n_u)
-            .withColumn("m", F.col("m_cnt") / F.col("n_m"))
-            .withColumn("u", F.col("u_cnt") / F.col("n_u")))
+    merged = (m.join(u, s, "full_outer")
+              .select(*s, F.coalesce("m_cnt", F.lit(0)).alias("m_cnt"), F.coalesce("u_cnt", F.lit(0)).alias("u_cnt")))
+    return _with_probabilities(merged)
+
+
+def training_distribution(left: DataFrame, right: DataFrame, known: DataFrame, unmatched: DataFrame,
+                          fields=DEFAULT_FIELDS, key: str = "index", left_key: str = "zindex",
+                          right_key: str = "findex") -> DataFrame:
+    """J8 + G8 + J9 in one pass: both labelled pair files are tagged with
+    their class, scored together and counted per tuple (equal to
+    ``merge_distributions`` of the two tuple sets)."""
+    tagged = (known.select(left_key, right_key, F.lit(True).alias("is_match"))
+              .unionByName(unmatched.select(left_key, right_key, F.lit(False).alias("is_match"))))
+    l = _side(left, "l_", key, fields).withColumnRenamed(f"l_{key}", left_key)
+    r = _side(right, "r_", key, fields).withColumnRenamed(f"r_{key}", right_key)
+    scored = score_value_pairs(tagged.join(l, left_key).join(r, right_key), fields)
+    merged = (scored.groupBy(*level_cols(fields))
+              .agg(F.count_if(F.col("is_match")).alias("m_cnt"), F.count_if(~F.col("is_match")).alias("u_cnt")))
+    return _with_probabilities(merged)
 
 
 # --- W1 ----------------------------------------------------------------------------------
@@ -144,9 +176,7 @@ def classifier(probs: DataFrame, fields, mu: float, lambda_: float) -> DataFrame
 def train_classifier(left: DataFrame, right: DataFrame, known: DataFrame, unmatched: DataFrame,
                      mu: float, lambda_: float, fields=DEFAULT_FIELDS, key: str = "index") -> DataFrame:
     """I6 first half: labelled pairs -> tuple distributions -> classifier."""
-    m = labelled_tuples(left, right, known, fields, key)
-    u = labelled_tuples(left, right, unmatched, fields, key)
-    return classifier(merge_distributions(m, u, fields), fields, mu, lambda_)
+    return classifier(training_distribution(left, right, known, unmatched, fields, key), fields, mu, lambda_)
 
 
 # --- J7 / J10: candidates -------------------------------------------------------------------------
@@ -157,14 +187,24 @@ def _profiles(df: DataFrame, prefix: str, block: Column, fields) -> DataFrame:
             .agg(F.count(F.lit(1)).alias(f"{prefix}n")))
 
 
+def _block_profile_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
+                         fields):
+    lp = _profiles(left, "l_", block_left, fields)
+    rp = _profiles(right, "r_", block_right, fields)
+    pairs = lp.join(rp, "block").withColumn("weight", F.col("l_n") * F.col("r_n"))
+    # distinct value pairs per field, from per-block distinct values (small)
+    value_pairs = {f: (lp.select("block", f"l_{f}").distinct()
+                       .join(rp.select("block", f"r_{f}").distinct(), "block"))
+                   for f in fields}
+    return pairs, value_pairs
+
+
 def profile_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
                   fields=DEFAULT_FIELDS) -> DataFrame:
     """J7 on profiles: pairs of distinct (block, fields) profiles within a
     block, weighted by ``l_n * r_n`` record pairs, with similarity levels."""
-    lp = _profiles(left, "l_", block_left, fields)
-    rp = _profiles(right, "r_", block_right, fields)
-    pairs = lp.join(rp, "block").withColumn("weight", F.col("l_n") * F.col("r_n"))
-    return score_value_pairs(pairs, fields)
+    pairs, value_pairs = _block_profile_pairs(left, right, block_left, block_right, fields)
+    return score_value_pairs(pairs, fields, value_pairs=value_pairs)
 
 
 def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
@@ -174,14 +214,14 @@ def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_ri
     ``self_pairs_key``: when left and right are the same table, the pairs
     of a record with itself are not counted (a profile paired with itself in
     its block loses its ``n`` identical self-pairs)."""
-    pairs = profile_pairs(left, right, block_left, block_right, fields)
+    pairs, value_pairs = _block_profile_pairs(left, right, block_left, block_right, fields)
     if self_pairs_key is not None:
         same = F.lit(True)
         for f in fields:
             same = same & F.col(f"l_{f}").eqNullSafe(F.col(f"r_{f}"))
         pairs = pairs.withColumn("weight", F.col("weight") - F.when(same, F.col("l_n")).otherwise(F.lit(0)))
     s = level_cols(fields)
-    labelled = pairs.join(F.broadcast(classifier_df), s)
+    labelled = score_value_pairs(pairs, fields, value_pairs=value_pairs).join(F.broadcast(classifier_df), s)
     return labelled.groupBy("label").agg(F.sum("weight").alias("n_pairs"))
 
 

@@ -42,9 +42,7 @@ def _training(spark, sf_dir):
 def _probs(spark, sf_dir):
     recs = _records(spark, sf_dir)
     known, unmatched = _training(spark, sf_dir)
-    m = LK.labelled_tuples(recs, recs, known, FIELDS)
-    u = LK.labelled_tuples(recs, recs, unmatched, FIELDS)
-    return LK.merge_distributions(m, u, FIELDS)
+    return LK.training_distribution(recs, recs, known, unmatched, FIELDS)
 
 
 def _classifier(spark, sf_dir):

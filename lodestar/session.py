@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -59,3 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     a recomputation from the first level."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Largest row count a side may have to be broadcast after a size check.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when a measured row count proves it small;
+    otherwise return it unchanged so the planner keeps a shuffle join.
+
+    The side is cached before counting so the count and the join use one
+    computation (a lost cache block is recomputed from lineage)."""
+    cached = df.cache()
+    return F.broadcast(cached) if cached.count() <= max_rows else cached
