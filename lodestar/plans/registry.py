@@ -12,6 +12,7 @@ PLAN_MODULES = (
     "lodestar.plans.tree_plans",
     "lodestar.plans.linkage_plans",
     "lodestar.plans.links_plans",
+    "lodestar.plans.warmup_plans",
 )
 
 
