@@ -20,15 +20,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         # local mode: the driver JVM is the only executor, give it the heap
         builder = builder.master(master).config("spark.driver.memory", driver_memory)
-    cores = os.cpu_count() or 8
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
     )
+    # Shuffle width: local runs use the core count; on a cluster the
+    # deployment's setting stays (sized for the data), and AQE coalesces
+    # small partitions at run time.
+    if shuffle_partitions or master:
+        builder = builder.config("spark.sql.shuffle.partitions",
+                                 str(shuffle_partitions or os.cpu_count() or 8))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -63,7 +67,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 # Largest row count a side may have to be broadcast after a size check.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 500_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -73,13 +73,21 @@ def fetchable_pages(pages: DataFrame) -> DataFrame:
 def read_code_map(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object {code: id, ...} as rows (code string, id int).
 
-    Read as text and parsed by ``from_json`` into a map, then exploded, so a
-    large map is split over tasks instead of being loaded on the driver."""
+    Read as text and parsed by ``from_json`` into a map, then exploded: the
+    map never passes through the driver. One file is one task; for very
+    large maps use JSON lines (``read_code_map_lines``)."""
     text = spark.read.option("wholetext", "true").text(path)
     parsed = text.select(F.from_json("value", T.MapType(S, I)).alias("m"))
     return parsed.select(F.explode("m").alias("code", "id"))
 
 
+def read_code_map_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same map as JSON lines ``{"code": ..., "id": ...}``: splittable,
+    so a very large map is parsed by many tasks (a single JSON object file
+    is necessarily parsed by one task per file)."""
+    return spark.read.schema(_schema(("code", S), ("id", I))).json(path)
+
+
 def code_map_from_dict(spark: SparkSession, mapping: dict) -> DataFrame:
     rows = [(str(k), int(v)) for k, v in mapping.items()]
     return spark.createDataFrame(rows, "code string, id int")

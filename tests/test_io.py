@@ -67,3 +67,12 @@ def test_sinks(spark):
     days = spark.createDataFrame([("MWF",), ("TR",), ("MWF",)], "day string")
     sinks.write_distinct_list(days, "day", os.path.join(d, "days"))
     assert _lines(os.path.join(d, "days")) == ["MWF", "TR"]
+
+
+def test_code_map_lines(spark):
+    from lodestar.sources.tables import read_code_map_lines
+    d = _scratch()
+    path = os.path.join(d, "map.jsonl")
+    with open(path, "w") as fh:
+        fh.write('{"code": "A", "id": 1}\n{"code": "B", "id": 2}\n')
+    assert sorted(tuple(r) for r in read_code_map_lines(spark, path).collect()) == [("A", 1), ("B", 2)]
