@@ -20,24 +20,44 @@ def header_problems(actual: DataFrame, expected_columns) -> list[str]:
 
 def table_diff(actual: DataFrame, expected: DataFrame, multiset: bool = True) -> DataFrame:
     """Rows only in ``actual`` (side 'extra') and only in ``expected``
-    (side 'missing'). ``multiset`` keeps duplicate counts (EXCEPT ALL);
-    otherwise set semantics (EXCEPT)."""
+    (side 'missing'), one output row per distinct row with ``n`` = how many
+    more copies that side has (``multiset``), or ``n`` = 1 with set
+    semantics.
+
+    Both sides are tagged, unioned and counted per distinct row; the counts
+    are partial-aggregated map-side, and copies are never re-expanded, so a
+    row repeated a billion times costs one output row, not a billion rows
+    emitted by one task. Nulls compare equal (as in EXCEPT)."""
     cols = expected.columns
-    a, e = actual.select(*cols), expected.select(*cols)
-    extra = a.exceptAll(e) if multiset else a.subtract(e)
-    missing = e.exceptAll(a) if multiset else e.subtract(a)
-    return (extra.withColumn("side", F.lit("extra"))
-            .unionByName(missing.withColumn("side", F.lit("missing"))))
+    tagged = (actual.select(*cols, F.lit(1).alias("_a"), F.lit(0).alias("_e"))
+              .unionByName(expected.select(*cols, F.lit(0).alias("_a"), F.lit(1).alias("_e"))))
+    counted = tagged.groupBy(*cols).agg(F.sum("_a").alias("_na"), F.sum("_e").alias("_ne"))
+    if multiset:
+        diff = counted.where(F.col("_na") != F.col("_ne"))
+        n = F.abs(F.col("_na") - F.col("_ne"))
+    else:
+        diff = counted.where((F.col("_na") == 0) != (F.col("_ne") == 0))
+        n = F.lit(1).cast("long")
+    side = F.when(F.col("_na") > F.col("_ne"), F.lit("extra")).otherwise(F.lit("missing"))
+    return diff.select(*cols, side.alias("side"), n.alias("n"))
 
 
 def reconcile(actual: DataFrame, expected: DataFrame, keys, value: str) -> DataFrame:
     """Full outer join on the keys; status 'missing' (expected only),
-    'unexpected' (actual only), 'changed' (value differs) or 'same'."""
-    a = actual.select(*keys, F.col(value).alias("actual_value"))
-    e = expected.select(*keys, F.col(value).alias("expected_value"))
-    j = a.withColumn("_a", F.lit(True)).join(e.withColumn("_e", F.lit(True)), list(keys), "full_outer")
-    status = (F.when(F.col("_a").isNull(), F.lit("missing"))
-              .when(F.col("_e").isNull(), F.lit("unexpected"))
+    'unexpected' (actual only), 'changed' (value differs), 'same', or
+    'duplicate key' when a side has several rows for one key.
+
+    Each side is first reduced to one row per key (with its row count), so
+    the outer join is one-to-one and a repeated key cannot multiply rows."""
+    def one_per_key(df, name):
+        return (df.groupBy(*keys)
+                .agg(F.count(F.lit(1)).alias(f"_{name}_n"), F.min(value).alias(f"{name}_value")))
+    a = one_per_key(actual, "actual")
+    e = one_per_key(expected, "expected")
+    j = a.join(e, list(keys), "full_outer")
+    status = (F.when((F.col("_actual_n") > 1) | (F.col("_expected_n") > 1), F.lit("duplicate key"))
+              .when(F.col("_actual_n").isNull(), F.lit("missing"))
+              .when(F.col("_expected_n").isNull(), F.lit("unexpected"))
               .when(~F.col("actual_value").eqNullSafe(F.col("expected_value")), F.lit("changed"))
               .otherwise(F.lit("same")))
-    return j.withColumn("status", status).drop("_a", "_e")
+    return j.withColumn("status", status).drop("_actual_n", "_expected_n")

@@ -22,7 +22,7 @@ def _pair(spark, sf_dir):
 
 
 def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows only on one side, both directions."""
+    """Rows only on one side, both directions, with multiplicities."""
     actual, expected = _pair(spark, sf_dir)
     return D.table_diff(actual, expected)
 
@@ -47,9 +47,12 @@ a AS (
 
 ORACLE = {
     "table_diff": _PAIR + """
-(SELECT *, 'extra' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e))
-UNION ALL
-(SELECT *, 'missing' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM a))""",
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN na > ne THEN 'extra' ELSE 'missing' END AS side, abs(na - ne) AS n
+FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, sum(ta) AS na, sum(te) AS ne
+      FROM (SELECT *, 1 AS ta, 0 AS te FROM a UNION ALL SELECT *, 0 AS ta, 1 AS te FROM e)
+      GROUP BY ALL)
+WHERE na <> ne""",
     "reconcile": _PAIR + """
 SELECT * FROM (
   SELECT coalesce(a.o_orderkey, e.o_orderkey) AS o_orderkey, a.o_totalprice AS actual_value,
