@@ -8,8 +8,10 @@ edge table, drops links that may not be followed or were already visited
 no page (a failed fetch). Discovery order is an array key: the parent's key
 plus the link position, which is exactly the order a FIFO queue would visit
 them in. The page budget takes the first keys of the last level (a top-k on
-that level only, the one place a limit is the feature). Each level is
-checkpointed to the shared checkpoint folder.
+that level only, the one place a limit is the feature). Every level is
+checkpointed to the shared checkpoint folder: a persisted-only level would
+keep the whole plan of all earlier levels, which makes planning grow with
+depth, and a lost executor would recompute from the start.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.url import ok_to_follow, remove_fragment, resolve_link
-from lodestar.session import cut_lineage
+from lodestar.session import cut_lineage, materialize
 
 HREF_RE = r"(?i)<a\s[^>]*?href\s*=\s*\"([^\"]*)\""
+CHECKPOINT_EVERY = 1
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -60,9 +63,9 @@ def crawl(pages: DataFrame, edges: DataFrame, seed_url: Column | str, domain: st
         (seed_url if isinstance(seed_url, Column) else F.lit(seed_url)).alias("url"),
         F.lit(0).alias("depth"), F.array(F.lit(0)).alias("key"))
     seed = seed.where(ok_to_follow(F.col("url"), domain)).join(known, "url", "left_semi")
-    levels = [cut_lineage(seed)]          # one checkpointed table per depth
-    frontier = levels[0]
-    n_visited = frontier.count()
+    first, n_visited = materialize(seed)
+    levels = [first]                      # one materialised table per depth
+    frontier = first
     depth = 0
     e = cut_lineage(edges.select(F.col("src").alias("url"), "pos", "dst"))
     while n_visited > 0 and (max_pages is None or n_visited < max_pages) \
@@ -77,13 +80,13 @@ def crawl(pages: DataFrame, edges: DataFrame, seed_url: Column | str, domain: st
                 .join(visited_urls, "url", "left_anti")
                 .groupBy("url").agg(F.min("depth").alias("depth"), F.min("key").alias("key"))
                 .join(known, "url", "left_semi"))
-        cand = cut_lineage(cand)
-        n_new = cand.count()
+        # computed once: counted from the cache, then checkpointed
+        cand, n_new = materialize(cand, reliable=(depth + 1) % CHECKPOINT_EVERY == 0)
         if n_new == 0:
             break
         if max_pages is not None and n_visited + n_new > max_pages:
-            cand = cut_lineage(cand.orderBy("key").limit(max_pages - n_visited))
-            n_new = max_pages - n_visited
+            # the page budget: the first keys of the last level only (top-k)
+            cand, n_new = materialize(cand.orderBy("key").limit(max_pages - n_visited))
         levels.append(cand)
         n_visited += n_new
         frontier = cand

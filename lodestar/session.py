@@ -61,9 +61,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used by the iterative jobs (crawl levels, tree levels) so the plan does
     not grow with the number of iterations and a lost executor does not force
-    a recomputation from the first level."""
+    a recomputation from the first level. The plan is persisted first, so the
+    checkpoint writes what the counting pass computed instead of computing
+    it a second time; the cache is released once the files are written."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
+def materialize(df: DataFrame, reliable: bool = True) -> tuple[DataFrame, int]:
+    """Compute ``df`` once and return it with its row count.
+
+    ``reliable=True`` also checkpoints it into the shared checkpoint folder
+    (lineage cut, survives executor loss); otherwise it stays persisted
+    (memory and disk) and a lost block is recomputed from its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    n = cached.count()
+    if not reliable:
+        return cached, n
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out, n
 
 
 # Largest row count a side may have to be broadcast after a size check.
