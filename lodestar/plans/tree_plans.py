@@ -38,7 +38,10 @@ def tree_split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     information and gain ratio."""
     rows = TR.training_rows(_training(spark, sf_dir), TARGET, FEATURES)
     stats = TR.split_statistics(rows, TR.node_summary(rows))
-    return stats.select("attr", "n_values", "weighted_gini", "split_info", "parent_gini", "gain_ratio")
+    # sums of doubles depend on summation order in their last bits: report 12 decimals
+    return stats.select("attr", "n_values", *[F.round(c, TR.GAIN_DECIMALS).alias(c)
+                                              for c in ("weighted_gini", "split_info", "parent_gini")],
+                        "gain_ratio")
 
 
 def tree_best_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +116,8 @@ stats AS (SELECT *, round(CASE WHEN split_info <> 0 THEN (parent_gini - weighted
 
 ORACLE = {
     "tree_counts": _TRAIN + "SELECT attr, value, target, c FROM cnt",
-    "tree_split_stats": _TRAIN + "SELECT attr, n_values, weighted_gini, split_info, parent_gini, gain_ratio FROM stats",
+    "tree_split_stats": _TRAIN + """SELECT attr, n_values, round(weighted_gini, 12) AS weighted_gini,
+  round(split_info, 12) AS split_info, round(parent_gini, 12) AS parent_gini, gain_ratio FROM stats""",
     "tree_best_split": _TRAIN + """SELECT attr AS split_attr, gain_ratio, n_values FROM stats
 ORDER BY gain_ratio DESC, attr ASC LIMIT 1""",
     "prep_bins": """
