@@ -48,7 +48,7 @@ a AS (
 ORACLE = {
     "table_diff": _PAIR + """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-       CASE WHEN na > ne THEN 'extra' ELSE 'missing' END AS side, abs(na - ne) AS n
+       CASE WHEN na > ne THEN 'extra' ELSE 'missing' END AS side, CAST(abs(na - ne) AS BIGINT) AS n
 FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, sum(ta) AS na, sum(te) AS ne
       FROM (SELECT *, 1 AS ta, 0 AS te FROM a UNION ALL SELECT *, 0 AS ta, 1 AS te FROM e)
       GROUP BY ALL)

@@ -174,7 +174,7 @@ SELECT k.zindex, k.findex,
     + """
 FROM unm k JOIN part a ON a.p_partkey = k.zindex JOIN part b ON b.p_partkey = k.findex""",
     "tuple_probs": _BASE + "SELECT s_name, s_brand, s_type, m_cnt, u_cnt, n_m, n_u FROM probs",
-    "ratio_rank": _BASE + "SELECT s_name, s_brand, s_type, m_cnt, u_cnt, rank FROM ranked",
+    "ratio_rank": _BASE + "SELECT s_name, s_brand, s_type, m_cnt, u_cnt, CAST(rank AS INTEGER) AS rank FROM ranked",
     "link_classifier": _BASE + "SELECT s_name, s_brand, s_type, label FROM clf",
     "link_label_counts": _BASE + _PAIRS + "SELECT label, count(*) AS n_pairs FROM labelled GROUP BY label",
     "link_pairs": _BASE + _PAIRS + "SELECT zindex, findex, label FROM labelled",

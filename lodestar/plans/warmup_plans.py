@@ -49,7 +49,8 @@ WHERE m.day = :day AND m.time_start = :t
     "walk_time_sql": ("""SELECT a.building_code,
   time_between(a.lon, a.lat, (SELECT lon FROM gps WHERE building_code = :b),
                (SELECT lat FROM gps WHERE building_code = :b)) AS walking_time
-FROM gps AS a""", {"b": "B11"}),
+FROM gps AS a
+WHERE EXISTS (SELECT 1 FROM gps WHERE building_code = :b)""", {"b": "B5"}),
 }
 
 
@@ -80,5 +81,5 @@ WHERE m.day = 'MWF' AND m.time_start = 930
   AND c.course_id IN (SELECT course_id FROM catalog_index WHERE word IN ('small', 'ring')
                       GROUP BY course_id HAVING count(DISTINCT word) = 2)""",
     "walk_time_sql": _DERIVED + f"""SELECT a.building_code, {_WALK} AS walking_time
-FROM gps a CROSS JOIN (SELECT lon, lat FROM gps WHERE building_code = 'B11') b""",
+FROM gps a CROSS JOIN (SELECT lon, lat FROM gps WHERE building_code = 'B5') b""",
 }
