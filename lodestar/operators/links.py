@@ -95,3 +95,15 @@ def crawl(pages: DataFrame, edges: DataFrame, seed_url: Column | str, domain: st
     for lv in levels[1:]:
         visited = visited.unionByName(lv)
     return visited
+
+
+def crawl_index(pages: DataFrame, edges: DataFrame, seed_url, domain: str, code_map: DataFrame,
+                max_pages: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Crawl from the seed, index the course blocks of the visited pages,
+    map codes to ids. Returns (index (id, word), unmapped codes); the index
+    goes to ``sinks.write_index`` as ``id|word`` rows."""
+    from lodestar.operators.index import map_codes, page_blocks, text_postings, unmapped_codes
+    visited = crawl(pages.select("url"), edges, seed_url, domain, max_pages=max_pages)
+    fetched = pages.join(visited.select("url"), "url", "left_semi")
+    postings = text_postings(page_blocks(fetched), ["code"], ["title_text", "desc_text"])
+    return map_codes(postings, code_map), unmapped_codes(postings, code_map)

@@ -67,7 +67,17 @@ def crawl_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visited.join(p, "url").select("page_id", "url", "depth")
 
 
+def crawl_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crawl, index the visited pages' blocks, map codes to ids."""
+    from lodestar.plans.index_plans import _code_map
+    _, edges, seed = _graph(spark, sf_dir)
+    pages = fetchable_pages(load(spark, sf_dir, "pages"))
+    index, _ = LN.crawl_index(pages, edges, seed, DOMAIN, _code_map(spark, sf_dir))
+    return index
+
+
 QUERIES = {
+    "crawl_index": crawl_index,
     "links_extract": links_extract,
     "links_resolved": links_resolved,
     "links_follow": links_follow,
@@ -134,7 +144,15 @@ bfs(url, depth) AS (
   WHERE b.depth < (SELECT n FROM n))
 """
 
+def _crawl_index_sql():
+    from lodestar.plans.index_plans import _BLOCKS
+    return ("WITH RECURSIVE " + _GRAPH + "," + _BLOCKS + """
+SELECT DISTINCT m.id, w.word FROM (SELECT DISTINCT url FROM bfs) v JOIN p ON p.url = v.url
+JOIN page_words w ON w.page_id = p.page_id JOIN code_map m ON m.code = w.code""")
+
+
 ORACLE = {
+    "crawl_index": _crawl_index_sql(),
     "links_extract": "WITH " + _EXTRACT + "SELECT page_id, pos, href FROM links",
     "links_resolved": "WITH " + _EXTRACT + "," + _RESOLVE + "SELECT page_id, pos, link FROM resolved WHERE link IS NOT NULL",
     "links_follow": "WITH " + _EXTRACT + "," + _RESOLVE + f""", both_links AS (
