@@ -148,3 +148,65 @@ def inherited_postings(rows: DataFrame, part: str, order: str, group_col: str,
     members = rows.where(F.col(group_col).isNotNull() & (F.col(order) != F.col(group_col)))
     from_header = members.select(part, order, group_col).join(headers, [part, group_col]).select(part, order, "word")
     return postings.select(part, order, "word").unionByName(from_header).distinct()
+
+
+# --- T5 / W5 / T8 on catalogue pages: course blocks and sequences ------------------------
+
+# A page is read as a sequence of tokens: whole course-block divs, any other
+# tag, or a run of non-space text. Whitespace between tokens is ignored, so a
+# subsequence block belongs to the main block before it when only whitespace
+# and other subsequence blocks lie in between.
+BLOCK_RE = r'<div\s+class="courseblock\s+(main|subsequence)"[^>]*>(.*?)</div>'
+TOKEN_RE = "(?is)" + BLOCK_RE + r"|<[^>]*>|[^<\s]+"
+
+
+def _p_text(block: Column, css: str) -> Column:
+    return html_text(F.regexp_extract(block, f'(?is)<p\\s+class="{css}"[^>]*>(.*?)</p>', 1))
+
+
+def course_blocks(pages: DataFrame, key_width: int = 10) -> DataFrame:
+    """T5 + W5 for catalogue pages: every ``courseblock main`` and
+    ``courseblock subsequence`` div of a page, in page order, with the
+    position of the main block heading its sequence (null for a main block
+    or an orphan subsequence). Title = ``courseblocktitle`` paragraph text,
+    description = ``courseblockdesc`` text; code = first ``key_width``
+    characters of the trimmed title (T6).
+
+    Grouping is done inside each page's row (a page is one row), so no
+    window or shuffle is needed and a page's size bounds the work."""
+    tokens = F.regexp_extract_all(F.col("html"), F.lit(TOKEN_RE), 0)
+    kind_of = lambda t: F.regexp_extract(t, "(?is)^" + BLOCK_RE, 1)   # 'main' / 'subsequence' / ''
+    kinds = F.transform(tokens, kind_of)
+    # fold: state = (current header position or 0, array of header positions)
+    empty = F.array().cast("array<int>")
+
+    def step(acc, k):
+        i = F.size(acc["heads"]) + 1
+        head = (F.when(k == "main", i)
+                .when((k == "subsequence") & (acc["cur"] > 0), acc["cur"])
+                .otherwise(F.lit(0)))
+        return F.struct(head.alias("cur"), F.concat(acc["heads"], F.array(head)).alias("heads"))
+
+    heads = F.aggregate(kinds, F.struct(F.lit(0).alias("cur"), empty.alias("heads")), step)["heads"]
+    rows = pages.select("page_id", F.posexplode(F.arrays_zip(tokens.alias("t"), kinds.alias("k"),
+                                                              heads.alias("h"))).alias("pos0", "z"))
+    rows = rows.where(F.col("z.k") != "").select(
+        "page_id", (F.col("pos0") + 1).alias("pos"), F.col("z.k").alias("kind"),
+        F.when((F.col("z.k") == "subsequence") & (F.col("z.h") > 0), F.col("z.h")).alias("header_pos"),
+        F.col("z.t").alias("block"))
+    title = _p_text(F.col("block"), "courseblocktitle")
+    return rows.select("page_id", "pos", "kind", "header_pos",
+                       title_key(title, key_width).alias("code"),
+                       title_rest(title, key_width).alias("title_text"),
+                       _p_text(F.col("block"), "courseblockdesc").alias("desc_text"))
+
+
+def course_postings(blocks: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
+    """T7 + T8 + G6 on course blocks: every block keeps its own title and
+    description words; a subsequence block also gets its header's words.
+    Output distinct (page_id, code, word)."""
+    own = text_postings(blocks, ["page_id", "pos", "code"], ["title_text", "desc_text"], stop_words)
+    headers = own.select("page_id", F.col("pos").alias("header_pos"), "word")
+    members = blocks.where(F.col("header_pos").isNotNull()).select("page_id", "pos", "code", "header_pos")
+    inherited = members.join(headers, ["page_id", "header_pos"]).select("page_id", "pos", "code", "word")
+    return own.unionByName(inherited).select("page_id", "code", "word").distinct()

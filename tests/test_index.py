@@ -58,3 +58,33 @@ def test_inherited_postings(spark):
     post = spark.createDataFrame([(1, 1, "h"), (1, 2, "own"), (1, 3, "h2")], "c int, t int, word string")
     got = sorted(tuple(r) for r in X.inherited_postings(rows, "c", "t", "g", post).collect())
     assert got == [(1, 1, "h"), (1, 2, "h"), (1, 2, "own"), (1, 3, "h2")]
+
+
+CATALOGUE = (
+    '<html><body><div class="courseblock main"><p class="courseblocktitle"><strong>CMSC 12100.  '
+    'Computer Science I.  100 Units.</strong></p><p class="courseblockdesc">First course: loops and recursion!</p></div>\n'
+    '<div class="courseblock main"><p class="courseblocktitle">CMSC 15100-15200. Intro Sequence.</p>'
+    '<p class="courseblockdesc">Header words here.</p></div>\n  '
+    '<div class="courseblock subsequence"><p class="courseblocktitle">CMSC 15100. Intro One.</p>'
+    '<p class="courseblockdesc">Own text.</p></div>'
+    '<div class="courseblock subsequence"><p class="courseblocktitle">CMSC 15200. Intro Two.</p>'
+    '<p class="courseblockdesc">Second.</p></div>'
+    '<p>break</p><div class="courseblock subsequence"><p class="courseblocktitle">CMSC 99999. Orphan.</p></div>'
+    '</body></html>')
+
+
+def test_course_blocks_and_sequences(spark):
+    pages = spark.createDataFrame([(1, CATALOGUE)], "page_id long, html string")
+    blocks = X.course_blocks(pages)
+    got = [(r.kind, r.header_pos is not None, r.code) for r in blocks.orderBy("pos").collect()]
+    assert got == [("main", False, "CMSC 12100"), ("main", False, "CMSC 15100"),
+                   ("subsequence", True, "CMSC 15100"), ("subsequence", True, "CMSC 15200"),
+                   ("subsequence", False, "CMSC 99999")]
+    words = {}
+    for r in X.course_postings(blocks).collect():
+        words.setdefault(r.code, set()).add(r.word)
+    header = {"-15200", "intro", "header", "words", "here"}          # 'sequence' is ignored
+    assert words["CMSC 12100"] == {"computer", "science", "100", "first", "loops", "recursion"}
+    assert words["CMSC 15100"] == header | {"one", "own", "text"}    # header block and first member share a code
+    assert words["CMSC 15200"] == header | {"intro", "two", "second"}
+    assert words["CMSC 99999"] == {"orphan"}                         # not adjacent to a header
