@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import cut_lineage
+from lodestar.session import BROADCAST_MAX_ROWS, cut_lineage, materialize
 
 ROOT = "root"
 SEP = "/"
@@ -41,6 +41,8 @@ class TreeModel:
     target: str
     features: list
     levels: int
+    n_nodes: int = 0       # measured sizes, used to bound broadcasts
+    n_children: int = 0
 
 
 def feature_map(df: DataFrame, features) -> F.Column:
@@ -105,6 +107,7 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
     root = df.sparkSession.createDataFrame([(ROOT, None, None)], "node_id string, parent_id string, value string")
     frontier = root       # node_id, parent_id, value of the nodes at this depth
     node_parts, child_parts = [], []
+    n_nodes = n_children = 0
     level = 0
     limit = max_levels if max_levels is not None else len(features)
     while True:
@@ -117,20 +120,26 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
                                F.when((F.col("n_classes") > 1) & (F.col("n_values") > 1)
                                       & (F.col("gain_ratio") != 0) & F.lit(level < limit),
                                       F.col("split_attr"))))
-        decided = cut_lineage(decided.join(frontier, "node_id")
-                              .select("node_id", "parent_id", "value", F.lit(level).alias("depth"),
-                                      "label", "n", "split_attr", "gain_ratio"))
+        decided, n_level = materialize(decided.join(frontier, "node_id")
+                                       .select("node_id", "parent_id", "value", F.lit(level).alias("depth"),
+                                               "label", "n", "split_attr", "gain_ratio"))
         node_parts.append(decided)
+        n_nodes += n_level
         splits = decided.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
         if splits.isEmpty():
             break
+        # every row shares few node ids (one at the root): broadcast the split
+        # table when its measured size allows, so no node id becomes a hot
+        # shuffle key; beyond the bound AQE's skew-join split applies
+        if n_level <= BROADCAST_MAX_ROWS:
+            splits = F.broadcast(splits)
         moved = (rows.join(splits, "node_id")
                  .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
                  .where(F.col("value").isNotNull())
                  .withColumn("child_id", F.concat_ws(SEP, F.col("node_id"),
                                                      F.concat(F.col("split_attr"), F.lit("="), F.col("value")))))
-        children = moved.select("node_id", "value", "child_id").distinct()
-        children = cut_lineage(children)
+        children, n_kids = materialize(moved.select("node_id", "value", "child_id").distinct())
+        n_children += n_kids
         child_parts.append(children)
         frontier = children.select(F.col("child_id").alias("node_id"), F.col("node_id").alias("parent_id"), "value")
         rows = moved.select(F.col("child_id").alias("node_id"), "feats", "target",
@@ -143,7 +152,8 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
     children = spark.createDataFrame([], "node_id string, value string, child_id string")
     for c in child_parts:
         children = children.unionByName(c)
-    return TreeModel(nodes=nodes, children=children, target=target, features=features, levels=level)
+    return TreeModel(nodes=nodes, children=children, target=target, features=features, levels=level,
+                     n_nodes=n_nodes, n_children=n_children)
 
 
 def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:
@@ -153,10 +163,15 @@ def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:
     feats = [c for c in df.columns if c != key]
     cur = df.select(key, feature_map(df, feats).alias("feats"), F.lit(ROOT).alias("node_id"))
     splits = model.nodes.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
+    children = model.children
+    if model.n_nodes <= BROADCAST_MAX_ROWS:      # the model is small: no hot node-id shuffle
+        splits = F.broadcast(splits)
+    if model.n_children <= BROADCAST_MAX_ROWS:
+        children = F.broadcast(children)
     for _ in range(model.levels):
         cur = (cur.join(splits, "node_id", "left")
                .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
-               .join(model.children, ["node_id", "value"], "left")
+               .join(children, ["node_id", "value"], "left")
                .select(key, "feats", F.coalesce(F.col("child_id"), F.col("node_id")).alias("node_id")))
     return (cur.join(model.nodes.select("node_id", "label"), "node_id")
             .select(key, F.col("label").alias("prediction")))
