@@ -4,9 +4,8 @@ mapping (J11), sequence grouping (W5) with inherited words (T8), and the
 index checks (G14, X5).
 
 The index is kept as flat postings ``(key, word)``: one row per distinct
-pair. A grouped ``word -> array<key>`` view is offered, but a very common
-word would collect an unbounded array into one task, so every registered
-query stays on the flat form (or on per-word counts).
+pair. The grouped ``word -> array<key>`` view splits a very common word
+over several bounded rows instead of collecting it into one task.
 """
 
 from __future__ import annotations
@@ -67,10 +66,16 @@ def matching_postings(df: DataFrame, key: str, text_col: str, terms) -> DataFram
     return (df.where(any_sub).select(key, F.explode(words).alias("word")).distinct())
 
 
-def grouped_index(postings: DataFrame, key: str) -> DataFrame:
-    """word -> sorted array of keys (the dict form). Unbounded per word: use
-    only where a word's key list is known to be small."""
-    return postings.groupBy("word").agg(F.array_sort(F.collect_set(key)).alias("keys"))
+def grouped_index(postings: DataFrame, key: str, max_keys_per_row: int = 100_000) -> DataFrame:
+    """The dict form word -> sorted keys, with bounded rows: a word with more
+    than ``max_keys_per_row`` keys is split over several rows (``part``), by a
+    hash of the key, so no group holding a very common word is collected
+    into one task. Rows of one word together hold exactly its key set."""
+    freq = postings.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_keys_per_row)))
+    return (postings.join(freq, "word")
+            .withColumn("part", F.pmod(F.xxhash64(F.col(key)), parts))
+            .groupBy("word", "part").agg(F.array_sort(F.collect_set(key)).alias("keys")))
 
 
 def word_frequency(postings: DataFrame, key: str) -> DataFrame:

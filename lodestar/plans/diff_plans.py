@@ -1,5 +1,5 @@
-"""Table comparison queries: orders against a copy of itself perturbed by
-Spark (some rows dropped, some prices changed, some rows added)."""
+"""Table comparison queries: orders against a copy of itself edited by
+content-based rules (some rows dropped, some prices changed, some added)."""
 
 from __future__ import annotations
 
@@ -11,14 +11,20 @@ from lodestar.sources.tables import load
 
 
 def _pair(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    k = F.col("o_orderkey")
-    changed = (o.where(k % 11 != 0)
+    """Expected = all orders. Actual = the same orders with content-based
+    edits: pending low-priority orders dropped, urgent orders re-priced by
+    +1.00, and high-priority finished orders added again under new keys."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                             "o_orderpriority")
+    status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
+    changed = (o.where(~((status == "P") & (prio == "5-LOW")))
                .withColumn("o_totalprice",
-                           F.when(k % 13 == 0, F.round(F.col("o_totalprice") + 1.0, 2))
+                           F.when(prio == "1-URGENT", F.round(F.col("o_totalprice") + 1.0, 2))
                            .otherwise(F.col("o_totalprice"))))
-    added = o.where(k % 17 == 0).withColumn("o_orderkey", k + 10_000_000)
-    return changed.unionByName(added), o
+    added = (o.where((status == "F") & (prio == "2-HIGH"))
+             .withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000))
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    return changed.unionByName(added).select(*cols), o.select(*cols)
 
 
 def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,10 +45,11 @@ _PAIR = """
 WITH e AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
 a AS (
   SELECT o_orderkey, o_custkey, o_orderstatus,
-         CASE WHEN o_orderkey % 13 = 0 THEN round(o_totalprice + 1.0, 2) ELSE o_totalprice END AS o_totalprice
-  FROM e WHERE o_orderkey % 11 <> 0
+         CASE WHEN o_orderpriority = '1-URGENT' THEN round(o_totalprice + 1.0, 2) ELSE o_totalprice END AS o_totalprice
+  FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
   UNION ALL
-  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice FROM e WHERE o_orderkey % 17 = 0)
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice FROM orders
+  WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')
 """
 
 ORACLE = {

@@ -88,3 +88,13 @@ def test_course_blocks_and_sequences(spark):
     assert words["CMSC 15100"] == header | {"one", "own", "text"}    # header block and first member share a code
     assert words["CMSC 15200"] == header | {"intro", "two", "second"}
     assert words["CMSC 99999"] == {"orphan"}                         # not adjacent to a header
+
+
+def test_grouped_index_bounded_rows(spark):
+    postings = spark.createDataFrame([(k, "common") for k in range(50)] + [(1, "rare"), (2, "rare")],
+                                     "doc int, word string")
+    rows = X.grouped_index(postings, "doc", max_keys_per_row=10).collect()
+    common = [r for r in rows if r.word == "common"]
+    assert all(len(r["keys"]) <= 25 for r in common) and len(common) >= 2
+    assert sorted(k for r in common for k in r["keys"]) == list(range(50))
+    assert [r["keys"] for r in rows if r.word == "rare"] == [[1, 2]]
