@@ -16,8 +16,9 @@ smallest attribute name. A node's label is its most frequent target value;
 ties go to the smallest value. Scoring descends by the row's value and stops
 at the current node when the value was not seen in training.
 
-Null feature values do not take part in a split's statistics and such rows
-stop at the node that splits on that attribute; null targets are dropped.
+Null feature values do not take part in a split's statistics (the
+attribute's statistics use the rows where it is set) and such rows stop at
+the node that splits on that attribute; null targets are dropped.
 """
 
 from __future__ import annotations
@@ -66,25 +67,37 @@ def node_summary(rows: DataFrame) -> DataFrame:
                     gini(F.col("sq").cast("double"), F.col("n").cast("double")).alias("gini")))
 
 
-def split_statistics(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def split_statistics(rows: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """For every open node and every attribute not yet used on its
     path: number of values, weighted child Gini, split information and gain
-    ratio (0 when split information is 0), rounded to 12 decimals."""
+    ratio (0 when split information is 0), rounded to 12 decimals.
+
+    Everything comes from one table of (node, attr, value, target) counts:
+    the node total is a window sum over that node-attribute's value rows
+    (few rows: one per value), the parent Gini an aggregate over its target
+    totals joined back on (node, attr). Rows whose value is null for an
+    attribute do not count for that attribute. ``nodes`` is accepted for
+    call compatibility and not needed."""
     long = rows.select("node_id", "target",
                        F.explode(F.map_filter("feats", lambda k, v: ~F.array_contains(F.col("used"), k)
                                               & v.isNotNull())).alias("attr", "value"))
     cnt = long.groupBy("node_id", "attr", "value", "target").agg(F.count(F.lit(1)).alias("c"))
+    parent = (cnt.groupBy("node_id", "attr", "target").agg(F.sum("c").alias("ct"))
+              .groupBy("node_id", "attr")
+              .agg(gini(F.sum(F.col("ct") * F.col("ct")).cast("double"),
+                        F.sum("ct").cast("double")).alias("g0")))
+    per_node_attr = Window.partitionBy("node_id", "attr")
     per_val = (cnt.groupBy("node_id", "attr", "value")
                .agg(F.sum("c").alias("nv"), F.sum(F.col("c") * F.col("c")).alias("sq"))
-               .join(nodes.select("node_id", F.col("n").cast("double").alias("n"), F.col("gini").alias("g0")),
-                     "node_id"))
+               .withColumn("n", F.sum("nv").over(per_node_attr).cast("double")))
     p = F.col("nv") / F.col("n")
-    per_val = per_val.select("node_id", "attr", "value", "nv", "g0",
+    per_val = per_val.select("node_id", "attr", "value", "nv",
                              (p * gini(F.col("sq").cast("double"), F.col("nv").cast("double"))).alias("wg"),
                              (-p * F.log2(p)).alias("si"))
     per_attr = (per_val.groupBy("node_id", "attr")
                 .agg(F.count(F.lit(1)).alias("n_values"), F.sum("wg").alias("weighted_gini"),
-                     F.sum("si").alias("split_info"), F.first("g0").alias("parent_gini")))
+                     F.sum("si").alias("split_info"))
+                .join(parent.withColumnRenamed("g0", "parent_gini"), ["node_id", "attr"]))
     ratio = F.when(F.col("split_info") != 0,
                    (F.col("parent_gini") - F.col("weighted_gini")) / F.col("split_info")).otherwise(F.lit(0.0))
     return per_attr.withColumn("gain_ratio", F.round(ratio, GAIN_DECIMALS))
