@@ -181,10 +181,17 @@ def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:
         splits = F.broadcast(splits)
     if model.n_children <= BROADCAST_MAX_ROWS:
         children = F.broadcast(children)
-    for _ in range(model.levels):
-        cur = (cur.join(splits, "node_id", "left")
-               .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
-               .join(children, ["node_id", "value"], "left")
+    for level in range(model.levels):
+        if level == 0:
+            # every row is at the root: its split attribute is one scalar
+            # (a global aggregate), so the node id is not a join key here
+            root_attr = (model.nodes.where(F.col("node_id") == ROOT)
+                         .select(F.first("split_attr", ignorenulls=True)).scalar())
+            cur = cur.withColumn("value", F.try_element_at(F.col("feats"), root_attr))
+        else:
+            cur = (cur.join(splits, "node_id", "left")
+                   .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr"))))
+        cur = (cur.join(children, ["node_id", "value"], "left")
                .select(key, "feats", F.coalesce(F.col("child_id"), F.col("node_id")).alias("node_id")))
     return (cur.join(model.nodes.select("node_id", "label"), "node_id")
             .select(key, F.col("label").alias("prediction")))
