@@ -24,11 +24,3 @@ def sf_small():
     if not os.path.isdir(path):
         pytest.skip("driver test data not present")
     return path
-
-
-def ref_file(*parts):
-    """A data file shipped with the reference (read only); skip when absent."""
-    path = os.path.join(REFDATA, *parts)
-    if not os.path.exists(path):
-        pytest.skip(f"reference data file not present: {path}")
-    return path

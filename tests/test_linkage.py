@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import linkage as LK
 from lodestar.sources.tables import read_pairs_csv, read_records_csv
-from conftest import ref_file
+from goldens import restaurant_files
 
 FIELDS = ("a", "b", "c")
 
@@ -59,11 +59,11 @@ def test_classifier_matches_brute_force(spark):
 
 
 def test_restaurants_blocked_on_city(spark):
-    d = ("03-record-linkage", "data")
-    z = read_records_csv(spark, ref_file(*d, "zagat.csv"))
-    f = read_records_csv(spark, ref_file(*d, "fodors.csv"))
-    known = read_pairs_csv(spark, ref_file(*d, "known_links.csv"))
-    unmatched = read_pairs_csv(spark, ref_file(*d, "unmatch_pairs.csv"))
+    left, right, known_path, unmatched_path = restaurant_files()
+    z = read_records_csv(spark, left)
+    f = read_records_csv(spark, right)
+    known = read_pairs_csv(spark, known_path)
+    unmatched = read_pairs_csv(spark, unmatched_path)
     clf = LK.train_classifier(z, f, known, unmatched, 0.005, 0.005).cache()
     counts = {r.label: r.n_pairs for r in LK.label_counts(z, f, F.col("city"), F.col("city"), clf).collect()}
     assert counts == {"match": 75, "possible match": 6, "unmatch": 9379}

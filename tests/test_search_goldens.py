@@ -6,7 +6,6 @@ test's request must give exactly that test's rows. Tests 2-16 use the
 8-column rows; tests 17-19 the 10-column rows, with building coordinates
 placed so that the walking minutes from RY are the ones in the goldens."""
 
-import json
 import math
 
 import pytest
@@ -14,13 +13,12 @@ import pytest
 from lodestar.functions.geo import EARTH_RADIUS_KM, WALK_SPEED_M_PER_S
 from lodestar.operators import diff as D
 from lodestar.operators import search as S
-from conftest import ref_file
+from goldens import search_goldens
 
 
 @pytest.fixture(scope="module")
 def goldens():
-    path = ref_file("02-backend-search-engine", "ui", "find_courses_tests.json")
-    return {t["test_num"]: t for t in json.load(open(path))}
+    return search_goldens()
 
 
 def build_tables(spark, rows, minutes=None):

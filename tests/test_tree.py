@@ -1,7 +1,6 @@
 """Decision tree: the five golden prediction lists and the feature
 preparation golden (raw -> binned rows equal training + testing)."""
 
-import json
 from collections import Counter
 
 import pytest
@@ -9,25 +8,29 @@ import pytest
 from lodestar.operators import prep as P
 from lodestar.operators import tree as TR
 from lodestar.sources.tables import read_string_table
-from conftest import ref_file
+from goldens import diabetes_files, tree_config, tree_configs
 
-DATA = ("04-decision-trees",)
+CONFIGS = sorted(c[0] for c in tree_configs()) or ["missing"]
 
 
-@pytest.mark.parametrize("config", ["ex", "tennis", "pima", "all_no", "unseen"])
+@pytest.mark.parametrize("config", CONFIGS)
 def test_golden_predictions(spark, config):
-    cfg = json.load(open(ref_file(*DATA, "data", f"{config}.json")))
-    train = read_string_table(spark, ref_file(*DATA, cfg["training_filename"]))
-    test = read_string_table(spark, ref_file(*DATA, cfg["testing_filename"]))
+    _, train_path, test_path, expected = tree_config(config)
+    train = read_string_table(spark, train_path)
+    test = read_string_table(spark, test_path)
     model = TR.fit(train)
     got = [r.prediction for r in TR.predict(model, test).orderBy("row_id").collect()]
-    assert got == cfg["results"]
+    assert got == expected
     assert all(isinstance(x, str) for x in got)
 
 
+def test_all_golden_configurations_found():
+    assert len(tree_configs()) == 5
+
+
 def test_split_rules_on_tennis(spark):
-    train = read_string_table(spark, ref_file(*DATA, "data", "tennis.csv"))
-    model = TR.fit(train)
+    _, train_path, _, _ = tree_config("tennis")
+    model = TR.fit(read_string_table(spark, train_path))
     root = model.nodes.where("depth = 0").first()
     # Gini gain ratio at the root: Humidity 0.0918 beats Outlook 0.0738
     assert root.split_attr == "Humidity" and root.label == "Yes" and abs(root.gain_ratio - 0.091836734694) < 1e-9
@@ -39,14 +42,16 @@ def test_split_rules_on_tennis(spark):
     assert sorted(c.value for c in listing.children) == ["High", "Normal"]
 
 
-@pytest.mark.parametrize("split", ["0", "expected"])
-def test_pima_preparation_golden(spark, split):
-    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(
-        ref_file(*DATA, "data", "pima-indians-diabetes.csv"))
+def test_diabetes_preparation_golden(spark):
+    """Raw rows, cleaned and binned, equal the shipped training + testing rows
+    as a multiset; both shipped splits hold the same rows, so all binned
+    tables together hold each prepared row twice."""
+    raw_path, binned_paths = diabetes_files()
+    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(raw_path)
     prepared = P.pima_prepare(raw)
-    train = spark.read.option("header", "true").csv(ref_file(*DATA, "data", f"pima-training-{split}.csv"))
-    test = spark.read.option("header", "true").csv(ref_file(*DATA, "data", f"pima-testing-{split}.csv"))
+    binned = [spark.read.option("header", "true").csv(p) for p in binned_paths]
+    assert all(prepared.columns == b.columns for b in binned)
     got = Counter(tuple(r) for r in prepared.collect())
-    expected = Counter(tuple(r) for r in train.unionByName(test).collect())
-    assert prepared.columns == train.columns
-    assert got == expected
+    expected = Counter(tuple(r) for b in binned for r in b.collect())
+    assert len(binned) == 4
+    assert expected == Counter({k: 2 * v for k, v in got.items()})
