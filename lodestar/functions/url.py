@@ -36,9 +36,30 @@ def url_part(url: Column, part: str) -> Column:
     return F.lower(v) if part == "scheme" else v
 
 
+# Schemes whose urls carry a network location (Python's
+# urllib list), used when a url is re-composed after fragment removal.
+USES_NETLOC = ("", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file", "mms", "https",
+               "shttp", "snews", "prospero", "rtsp", "rtsps", "rtspu", "rsync", "svn", "svn+ssh", "sftp",
+               "nfs", "git", "git+ssh", "ws", "wss", "itms-services")
+
+
 def remove_fragment(url: Column) -> Column:
-    """T2."""
-    return F.regexp_replace(url, "#.*$", "")
+    """T2 with ``urldefrag`` semantics: a url without '#' is unchanged; a url
+    with one is re-composed from its parts without the fragment, which
+    lower-cases the scheme, drops an empty query and an empty ';' parameter,
+    and keeps '//' only with an authority, an explicit '//' path, or a
+    network scheme with an empty or rooted path."""
+    s, a = url_part(url, "scheme"), url_part(url, "authority")
+    q = url_part(url, "query")
+    p = F.regexp_replace(url_part(url, "path"), "^(.*/)?([^/;]*);$", "$1$2")
+    rooted = (p == "") | p.startswith("/")
+    body = (F.when(a != "", F.concat(F.lit("//"), a, F.when(rooted, p).otherwise(F.concat(F.lit("/"), p))))
+            .when(p.startswith("//"), F.concat(F.lit("//"), p))
+            .when((s != "") & s.isin(*USES_NETLOC) & rooted, F.concat(F.lit("//"), p))
+            .otherwise(p))
+    out = F.concat(F.when(s != "", F.concat(s, F.lit(":"))).otherwise(F.lit("")), body,
+                   F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")))
+    return F.when(url.contains("#"), out).otherwise(url)
 
 
 def is_absolute(url: Column) -> Column:
@@ -54,11 +75,15 @@ def _resolve_path(base_path: Column, ref_path: Column) -> Column:
                       F.slice(base_parts, 1, F.greatest(F.size(base_parts) - 1, F.lit(0)))
                       ).otherwise(base_parts)
     ref_parts = F.split(ref_path, "/", -1)
-    segs = F.when(ref_path.startswith("/"), ref_parts).otherwise(F.concat(base_dir, ref_parts))
-    n = F.size(segs)
-    middle = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
-    segs = F.when(n <= 2, segs).otherwise(
-        F.concat(F.slice(segs, 1, 1), middle, F.slice(segs, -1, 1)))
+    rooted = ref_path.startswith("/")
+    merged = F.concat(base_dir, ref_parts)
+    n = F.size(merged)
+    # a relative reference merged with the base loses empty middle segments;
+    # a root-relative path keeps them (as urljoin does)
+    middle = F.filter(F.slice(merged, 2, F.greatest(n - 2, F.lit(0))), lambda s: s != "")
+    merged = F.when(n <= 2, merged).otherwise(
+        F.concat(F.slice(merged, 1, 1), middle, F.slice(merged, -1, 1)))
+    segs = F.when(rooted, ref_parts).otherwise(merged)
     empty = F.array().cast("array<string>")
 
     def step(acc, s):
@@ -92,7 +117,8 @@ def url_join(base: Column, ref: Column) -> Column:
     return (
         F.when(ref == "", base)
         .when((r_scheme != "") & (r_scheme != b_scheme), ref)
-        .when(ref_no_scheme.startswith("//"), F.concat(b_scheme, F.lit(":"), ref_no_scheme))
+        .when(ref_no_scheme.startswith("//") & (url_part(ref_no_scheme, "authority") != ""),
+              F.concat(b_scheme, F.lit(":"), ref_no_scheme))
         .when(r_path == "",
               F.concat(prefix, b_path,
                        F.when(r_has_query, q(r_query, F.lit(True)))
