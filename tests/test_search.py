@@ -71,3 +71,14 @@ def test_request_rules_table(spark):
     got = {r.id: r.problems for r in S.request_rule_violations(req).collect()}
     assert got[2] == []
     assert "time_end is not a valid hhmm time" in got[1] and "enrollment lower bound exceeds upper" in got[1]
+
+
+def test_display_names_count_and_query_split(spark, tables):
+    out = S.find_courses(tables, {"dept": "MATH"})
+    labelled = S.with_display_names(out)
+    assert labelled.columns == ["Department", "Course Number", "Course Title"]
+    assert S.result_count(out) == 1
+    assert S.split_query("  quantum\tplato  ") == ["quantum", "plato"]
+    df = spark.createDataFrame([("  quantum\u00a0plato  ",)], "q string")
+    from pyspark.sql import functions as F
+    assert df.select(S.split_query_col(F.col("q")).alias("t")).first().t == ["quantum", "plato"]
