@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import LEVELS, similarity_level, with_jaro_winkler
-from lodestar.session import broadcast_if_small
+from lodestar.session import BROADCAST_MAX_ROWS
 
 DEFAULT_FIELDS = ("name", "city", "address")
 LABEL_MATCH, LABEL_POSSIBLE, LABEL_UNMATCH = "match", "possible match", "unmatch"
@@ -38,25 +38,32 @@ def level_cols(fields) -> list[str]:
 
 # --- T9 / T10 ------------------------------------------------------------------
 
-def score_levels(value_pairs: DataFrame, field: str, left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
-    """T9 + T10 for one field over a table of distinct value pairs."""
-    l, r = f"{left_prefix}{field}", f"{right_prefix}{field}"
-    scored = with_jaro_winkler(value_pairs.select(l, r).distinct(), l, r, f"jw_{field}")
-    return scored.select(l, r, similarity_level(F.col(f"jw_{field}")).alias(f"s_{field}"))
-
-
 def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_prefix: str = "r_",
                       value_pairs: dict | None = None) -> DataFrame:
     """Add ``s_<field>`` levels to a pair table that has ``l_<field>`` and
     ``r_<field>`` columns; Jaro-Winkler runs on the distinct value pairs of
     each field only. ``value_pairs`` may supply, per field, a (smaller)
     table holding those value pairs, so ``pairs`` is not recomputed to find
-    them."""
-    out = pairs
+    them.
+
+    The value pairs of all fields are scored as one tagged table: one pass,
+    and one measured row count decides whether the level tables are
+    broadcast (beyond the bound the joins stay shuffle joins)."""
+    tagged = None
     for f in fields:
         src = (value_pairs or {}).get(f, pairs)
-        levels = broadcast_if_small(score_levels(src, f, left_prefix, right_prefix))
-        out = out.join(levels, [f"{left_prefix}{f}", f"{right_prefix}{f}"])
+        part = src.select(F.lit(f).alias("_field"), F.col(f"{left_prefix}{f}").cast("string").alias("_l"),
+                          F.col(f"{right_prefix}{f}").cast("string").alias("_r"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    scored = with_jaro_winkler(tagged.distinct(), "_l", "_r", "_jw")
+    scored = scored.select("_field", "_l", "_r", similarity_level(F.col("_jw")).alias("_s")).persist()
+    small = scored.count() <= BROADCAST_MAX_ROWS
+    out = pairs
+    for f in fields:
+        l, r = f"{left_prefix}{f}", f"{right_prefix}{f}"
+        levels = scored.where(F.col("_field") == f).select(F.col("_l").alias(l), F.col("_r").alias(r),
+                                                           F.col("_s").alias(f"s_{f}"))
+        out = out.join(F.broadcast(levels) if small else levels, [l, r])
     return out
 
 

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master).config("spark.driver.memory", driver_memory)
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -89,13 +90,3 @@ def materialize(df: DataFrame, reliable: bool = True) -> tuple[DataFrame, int]:
 
 # Largest row count a side may have to be broadcast after a size check.
 BROADCAST_MAX_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a measured row count proves it small;
-    otherwise return it unchanged so the planner keeps a shuffle join.
-
-    The side is cached before counting so the count and the join use one
-    computation (a lost cache block is recomputed from lineage)."""
-    cached = df.cache()
-    return F.broadcast(cached) if cached.count() <= max_rows else cached
