@@ -58,12 +58,13 @@ def gini(counts_col_sq_sum, n) -> F.Column:
 def node_summary(rows: DataFrame) -> DataFrame:
     """G9, G10, G11, G13 per node: size, number of classes, majority label
     (lexicographic tie), Gini impurity."""
-    tc = rows.groupBy("node_id", "target").agg(F.count(F.lit(1)).alias("c"))
-    return (tc.groupBy("node_id")
+    keys = ["node_id"] + [c for c in ("parent_id", "value") if c in rows.columns]
+    tc = rows.groupBy(*keys, "target").agg(F.count(F.lit(1)).alias("c"))
+    return (tc.groupBy(*keys)
             .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_classes"),
                  F.sum(F.col("c") * F.col("c")).alias("sq"),
                  F.min(F.struct((-F.col("c")).alias("neg"), F.col("target").alias("t"))).alias("best"))
-            .select("node_id", "n", "n_classes", F.col("best.t").alias("label"),
+            .select(*keys, "n", "n_classes", F.col("best.t").alias("label"),
                     gini(F.col("sq").cast("double"), F.col("n").cast("double")).alias("gini")))
 
 
@@ -116,57 +117,52 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
     cols = [c for c in df.columns if c != "row_id"]
     target = target or cols[-1]
     features = list(features or [c for c in cols if c != target])
-    rows = training_rows(df, target, features)
-    root = df.sparkSession.createDataFrame([(ROOT, None, None)], "node_id string, parent_id string, value string")
-    frontier = root       # node_id, parent_id, value of the nodes at this depth
-    node_parts, child_parts = [], []
-    n_nodes = n_children = 0
+    rows = (training_rows(df, target, features)
+            .withColumn("parent_id", F.lit(None).cast("string"))
+            .withColumn("value", F.lit(None).cast("string")))
+    node_parts = []
+    n_nodes = 0
     level = 0
     limit = max_levels if max_levels is not None else len(features)
     while True:
-        rows = cut_lineage(rows)
-        summary = node_summary(rows)
-        stats = split_statistics(rows, summary)
-        best = best_splits(stats)
+        rows, _ = materialize(rows)
+        summary = node_summary(rows)           # one row per node, with its parent and branch value
+        best = best_splits(split_statistics(rows))
         decided = (summary.join(best, "node_id", "left")
                    .withColumn("split_attr",
                                F.when((F.col("n_classes") > 1) & (F.col("n_values") > 1)
                                       & (F.col("gain_ratio") != 0) & F.lit(level < limit),
-                                      F.col("split_attr"))))
-        decided, n_level = materialize(decided.join(frontier, "node_id")
-                                       .select("node_id", "parent_id", "value", F.lit(level).alias("depth"),
-                                               "label", "n", "split_attr", "gain_ratio"))
+                                      F.col("split_attr")))
+                   .select("node_id", "parent_id", "value", F.lit(level).alias("depth"),
+                           "label", "n", "split_attr", "gain_ratio"))
+        decided, n_level, counts = materialize(decided, stats=[F.count("split_attr").alias("n_splits")])
         node_parts.append(decided)
         n_nodes += n_level
-        splits = decided.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
-        if splits.isEmpty():
+        if counts["n_splits"] == 0:
             break
+        splits = decided.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
         # every row shares few node ids (one at the root): broadcast the split
         # table when its measured size allows, so no node id becomes a hot
         # shuffle key; beyond the bound AQE's skew-join split applies
-        if n_level <= BROADCAST_MAX_ROWS:
+        if counts["n_splits"] <= BROADCAST_MAX_ROWS:
             splits = F.broadcast(splits)
-        moved = (rows.join(splits, "node_id")
-                 .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
-                 .where(F.col("value").isNotNull())
-                 .withColumn("child_id", F.concat_ws(SEP, F.col("node_id"),
-                                                     F.concat(F.col("split_attr"), F.lit("="), F.col("value")))))
-        children, n_kids = materialize(moved.select("node_id", "value", "child_id").distinct())
-        n_children += n_kids
-        child_parts.append(children)
-        frontier = children.select(F.col("child_id").alias("node_id"), F.col("node_id").alias("parent_id"), "value")
-        rows = moved.select(F.col("child_id").alias("node_id"), "feats", "target",
-                            F.array_union("used", F.array("split_attr")).alias("used"))
+        value = F.try_element_at(F.col("feats"), F.col("split_attr"))
+        rows = (rows.drop("parent_id", "value").join(splits, "node_id")
+                .withColumn("value", value)
+                .where(F.col("value").isNotNull())
+                .select(F.concat_ws(SEP, F.col("node_id"), F.concat(F.col("split_attr"), F.lit("="), F.col("value")))
+                        .alias("node_id"), "feats", "target",
+                        F.array_union("used", F.array("split_attr")).alias("used"),
+                        F.col("node_id").alias("parent_id"), "value"))
         level += 1
     nodes = node_parts[0]
     for p in node_parts[1:]:
         nodes = nodes.unionByName(p)
-    spark = df.sparkSession
-    children = spark.createDataFrame([], "node_id string, value string, child_id string")
-    for c in child_parts:
-        children = children.unionByName(c)
+    # a child is every non-root node: (parent, branch value) -> child id
+    children = nodes.where(F.col("parent_id").isNotNull()).select(
+        F.col("parent_id").alias("node_id"), "value", F.col("node_id").alias("child_id"))
     return TreeModel(nodes=nodes, children=children, target=target, features=features, levels=level,
-                     n_nodes=n_nodes, n_children=n_children)
+                     n_nodes=n_nodes, n_children=n_nodes - 1)
 
 
 def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:

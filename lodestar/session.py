@@ -72,20 +72,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def materialize(df: DataFrame, reliable: bool = True) -> tuple[DataFrame, int]:
-    """Compute ``df`` once and return it with its row count.
+def materialize(df: DataFrame, reliable: bool = True, stats=()):
+    """Compute ``df`` once and return it with its row count (and, when
+    ``stats`` aggregate Columns are given, a Row of those aggregates taken in
+    the same pass: ``(df, n, row)``).
 
     ``reliable=True`` also checkpoints it into the shared checkpoint folder
     (lineage cut, survives executor loss); otherwise it stays persisted
     (memory and disk) and a lost block is recomputed from its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     cached = df.persist()
-    n = cached.count()
-    if not reliable:
-        return cached, n
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out, n
+    row = cached.agg(F.count(F.lit(1)).alias("_n"), *stats).first()
+    n = row["_n"]
+    out = cached
+    if reliable:
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+    return (out, n, row) if stats else (out, n)
 
 
 # Largest row count a side may have to be broadcast after a size check.
