@@ -58,6 +58,8 @@ def crawl(pages: DataFrame, edges: DataFrame, seed_url: Column | str, domain: st
     None). Output: url, depth, key (array<int> FIFO order)."""
     spark = pages.sparkSession
     # the page urls and the edge table are read once per crawl, not per level
+    # (the page set's fetchability test reads the html column: re-scanning it
+    # at every level costs far more than one checkpoint of the urls)
     known = cut_lineage(pages.select("url").distinct())
     seed = spark.range(1).select(
         (seed_url if isinstance(seed_url, Column) else F.lit(seed_url)).alias("url"),
