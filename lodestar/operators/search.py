@@ -196,7 +196,8 @@ def find_courses(tables: CourseTables, criteria: dict, require_indexed: bool = T
     courses = tables.courses.select("course_id", "dept", "course_num", "title")
     if "dept" in criteria:
         courses = courses.where(F.col("dept") == F.lit(criteria["dept"]))
-    if require_indexed:
+    if require_indexed and "terms" not in criteria:
+        # (with terms, the all-terms semi join below already implies presence in the index)
         courses = courses.join(tables.catalog_index.select("course_id"), "course_id", "left_semi")
     if "terms" in criteria:
         courses = courses.join(all_terms_ids(tables.catalog_index, criteria["terms"]),
