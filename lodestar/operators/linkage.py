@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import LEVELS, similarity_level, with_jaro_winkler
-from lodestar.session import BROADCAST_MAX_ROWS
+from lodestar.session import BROADCAST_MAX_ROWS, materialize
 
 DEFAULT_FIELDS = ("name", "city", "address")
 LABEL_MATCH, LABEL_POSSIBLE, LABEL_UNMATCH = "match", "possible match", "unmatch"
@@ -228,7 +228,8 @@ def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_ri
             same = same & F.col(f"l_{f}").eqNullSafe(F.col(f"r_{f}"))
         pairs = pairs.withColumn("weight", F.col("weight") - F.when(same, F.col("l_n")).otherwise(F.lit(0)))
     s = level_cols(fields)
-    labelled = score_value_pairs(pairs, fields, value_pairs=value_pairs).join(F.broadcast(classifier_df), s)
+    clf, _ = materialize(classifier_df.select(*s, "label"), reliable=False)   # <= 3^k rows
+    labelled = score_value_pairs(pairs, fields, value_pairs=value_pairs).join(F.broadcast(clf), s)
     return labelled.groupBy("label").agg(F.sum("weight").alias("n_pairs"))
 
 
@@ -240,7 +241,8 @@ def label_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_rig
     the records of both sides."""
     pairs = profile_pairs(left, right, block_left, block_right, fields)
     s = level_cols(fields)
-    labelled = pairs.join(F.broadcast(classifier_df), s).select(
+    clf, _ = materialize(classifier_df.select(*s, "label"), reliable=False)   # <= 3^k rows
+    labelled = pairs.join(F.broadcast(clf), s).select(
         "block", *[f"l_{f}" for f in fields], *[f"r_{f}" for f in fields], "label")
     lrec = left.select(block_left.alias("block"), F.col(key).alias(left_key),
                        *[F.col(f).alias(f"l_{f}") for f in fields])
