@@ -169,11 +169,12 @@ def empty_result(spark: SparkSession) -> DataFrame:
 
 
 def anchor_point(gps: DataFrame, building_code: str) -> tuple[Column, Column]:
-    """J4 without a cross join: the anchor building's coordinates as two
-    scalar subqueries (one row by construction: a global aggregate)."""
+    """J4 without a cross join: the anchor building's coordinates from one
+    scalar subquery (one row by construction: a global aggregate)."""
     one = gps.where(F.col("building_code") == F.lit(building_code))
-    return (one.select(F.first("lon", ignorenulls=True)).scalar(),
-            one.select(F.first("lat", ignorenulls=True)).scalar())
+    point = one.select(F.struct(F.first("lon", ignorenulls=True).alias("lon"),
+                                F.first("lat", ignorenulls=True).alias("lat"))).scalar()
+    return point.getField("lon"), point.getField("lat")
 
 
 def find_courses(tables: CourseTables, criteria: dict, require_indexed: bool = True) -> DataFrame:
