@@ -56,6 +56,8 @@ def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_p
                           F.col(f"{right_prefix}{f}").cast("string").alias("_r"))
         tagged = part if tagged is None else tagged.unionByName(part)
     scored = with_jaro_winkler(tagged.distinct(), "_l", "_r", "_jw")
+    # persisted for the life of the session (one row per distinct value pair;
+    # release with spark.catalog.clearCache() after the job if needed)
     scored = scored.select("_field", "_l", "_r", similarity_level(F.col("_jw")).alias("_s")).persist()
     small = scored.count() <= BROADCAST_MAX_ROWS
     out = pairs
