@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import host_rules, mixing
+from . import byte_bpe, host_rules, huffman_ids, mixing
 
 QUERIES = {
+    "op2_huffman_ids": huffman_ids.op2_huffman_ids,
+    "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_systematic_mix": mixing.op7_systematic_mix,
     "op9_host_rules": host_rules.op9_host_rules,
 }
