@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, host_rules, huffman_ids, mixing
+from . import byte_bpe, host_rules, huffman_ids, main_text, mixing, topk_products
 
 QUERIES = {
     "op2_huffman_ids": huffman_ids.op2_huffman_ids,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_systematic_mix": mixing.op7_systematic_mix,
+    "op8_top_products": topk_products.op8_top_products,
     "op9_host_rules": host_rules.op9_host_rules,
+    "op10_line_blocks": main_text.op10_line_blocks,
 }
 
 ORACLE = {
     "op7_systematic_mix": mixing.OP7_SQL,
+    "op8_top_products": topk_products.OP8_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
 }
