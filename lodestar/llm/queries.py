@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, host_rules, huffman_ids, main_text, mixing, topk_products
+from . import byte_bpe, host_rules, huffman_ids, main_text, mixing, topk_products, toxicity
 
 QUERIES = {
+    "op1_classifier_chain": toxicity.op1_classifier_chain,
     "op2_huffman_ids": huffman_ids.op2_huffman_ids,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_systematic_mix": mixing.op7_systematic_mix,
