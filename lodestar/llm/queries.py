@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, host_rules, huffman_ids, main_text, mixing, ppm, topk_products, toxicity
+from . import byte_bpe, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, topk_products, toxicity
 
 QUERIES = {
     "op1_classifier_chain": toxicity.op1_classifier_chain,
     "op2_huffman_ids": huffman_ids.op2_huffman_ids,
     "op4_ppm_scores": ppm.op4_ppm_scores,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_systematic_mix": mixing.op7_systematic_mix,
     "op8_top_products": topk_products.op8_top_products,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op5_line_dedup": line_dedup.OP5_SQL,
     "op7_systematic_mix": mixing.OP7_SQL,
     "op8_top_products": topk_products.OP8_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
