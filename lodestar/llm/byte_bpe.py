@@ -179,6 +179,13 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str
     return _with(docs, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, work)
 
 
+def encode_documents(spark, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    """Pipeline stage: the documents with their ids."""
+    import public_tokenizers as P
+
+    return encode(docs, P.path(vocabulary), P.PATTERN)
+
+
 def op6_byte_bpe(spark, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     import public_tokenizers as P
 

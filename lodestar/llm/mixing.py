@@ -100,6 +100,11 @@ def repeated(mixed: DataFrame) -> DataFrame:
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("_copy"))
 
 
+def take_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the documents as often as the mix takes them."""
+    return repeated(mix_sources(docs)).select(*docs.columns)
+
+
 def op7_systematic_mix(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, topk_products, toxicity
+from . import byte_bpe, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, signature_tree, topk_products, toxicity
 
 QUERIES = {
     "op1_classifier_chain": toxicity.op1_classifier_chain,
     "op2_huffman_ids": huffman_ids.op2_huffman_ids,
+    "op3_signature_join": signature_tree.op3_signature_join,
     "op4_ppm_scores": ppm.op4_ppm_scores,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,

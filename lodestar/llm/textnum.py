@@ -132,8 +132,8 @@ def shingle_sets(hashes: np.ndarray, row: np.ndarray, n_rows: int, width: int) -
         if n >= width:
             out.append(np.unique(acc[a:a + n - width + 1]))
         elif n:
-            part = (hashes[a:a + n] * odd[:n]).sum(dtype=np.uint64) + U(n) * U(0xA0761D6478BD642F)
-            out.append(mix(np.array([part], np.uint64)))
+            part = (hashes[a:a + n] * odd[:n]).sum(dtype=np.uint64, keepdims=True)
+            out.append(mix(part + U(int(n) * 0xA0761D6478BD642F % 2**64)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
