@@ -93,10 +93,8 @@ class Codec:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _learn(self, tokens: Iterable[str]) -> None:
-        """Encode pre-tokens that are not remembered; the memory is bounded."""
+        """Encode pre-tokens and remember them."""
         tokens = list(tokens)
-        if len(self.known) + len(tokens) > CACHE_ENTRIES:
-            self.known.clear()
         raw = [t.encode() for t in tokens]
         rest = [(t, r) for t, r in zip(tokens, raw, strict=True) if r not in self.entry]
         self.known.update((t, self.entry[r]) for t, r in zip(tokens, raw, strict=True) if r in self.entry)
@@ -107,10 +105,10 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         tokens = self.find(text)
         if new := set(tokens).difference(self.known):
-            before = len(self.known)
+            if len(self.known) + len(new) > CACHE_ENTRIES:  # what is remembered is bounded: start again from this text
+                self.known.clear()
+                new = set(tokens)
             self._learn(new)
-            if len(self.known) < before + len(new):  # the memory was emptied: this text's other tokens again
-                self._learn(set(tokens).difference(self.known))
         return list(chain.from_iterable(map(self.known.__getitem__, tokens)))
 
     def decode(self, ids: Iterable[int]) -> bytes:

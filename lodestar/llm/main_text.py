@@ -188,7 +188,8 @@ def main_text(html: str) -> str:
         while dive < n and sums[dive]:
             dive += 1
         if max(sums[i:dive]) >= threshold:
-            kept += [t for (t, _, m), w in zip(lines[i:dive], weight[i:dive], strict=True) if t and (w or not marked)]
+            heavy = [k for k in range(i, dive) if weight[k]]
+            kept += [lines[k][0] for k in range(heavy[0], heavy[-1] + 1) if weight[k] or not marked and lines[k][0]]
         i = dive
     return "\n\n".join(kept)
 
