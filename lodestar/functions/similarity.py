@@ -21,15 +21,12 @@ LEVEL_CUTS = (0.8, 1.0)
 LEVELS = ("low", "medium", "high")
 
 
-def _char(s: Column, i: Column) -> Column:
-    return F.substring(s, i, 1)
-
-
 def _match_positions(a: Column, b: Column) -> Column:
-    """Per position of ``a``: the 1-based index of its matched character in
-    ``b`` (0 = none). Each character of ``a`` takes the first unused equal
-    character of ``b`` inside the window ``max(0, max(la, lb) div 2 - 1)``."""
-    la, lb = F.length(a), F.length(b)
+    """Per position of ``a`` (arrays of characters): the 1-based index of its
+    matched character in ``b`` (0 = none). Each character of ``a`` takes the
+    first unused equal character of ``b`` inside the window
+    ``max(0, max(la, lb) div 2 - 1)``."""
+    la, lb = F.size(a), F.size(b)
     w = F.greatest(F.lit(0), F.floor(F.greatest(la, lb) / 2).cast("int") - 1).cast("int")
     empty = F.array().cast("array<int>")
 
@@ -37,77 +34,61 @@ def _match_positions(a: Column, b: Column) -> Column:
         lo = F.greatest(F.lit(1), i - w)
         hi = F.least(i + w, lb)
         cands = F.filter(F.sequence(lo, F.greatest(lo, hi)),
-                         lambda j: (j <= hi) & (_char(b, j) == _char(a, i)) & ~F.array_contains(taken, j))
-        return F.concat(taken, F.array(F.coalesce(F.try_element_at(cands, F.lit(1)), F.lit(0))))
+                         lambda j: (j <= hi) & (F.get(b, j - 1) == F.get(a, i - 1)) & ~F.array_contains(taken, j))
+        return F.concat(taken, F.array(F.coalesce(F.get(cands, 0), F.lit(0))))
 
     return F.aggregate(F.sequence(F.lit(1), F.greatest(la, F.lit(1))), empty, match_step)
 
 
 def _jaro_from(a: Column, b: Column, m: Column, mismatches: Column) -> Column:
-    la, lb = F.length(a), F.length(b)
+    la, lb = F.size(a), F.size(b)
     t = F.floor(mismatches / 2).cast("double")
     return (m / la + m / lb + (m - t) / m) / 3.0
 
 
 def _prefix_len(a: Column, b: Column) -> Column:
-    la, lb = F.length(a), F.length(b)
-    cap = F.least(F.lit(PREFIX_CAP), la, lb)
+    cap = F.least(F.lit(PREFIX_CAP), F.size(a), F.size(b))
     return F.aggregate(F.sequence(F.lit(1), F.greatest(cap, F.lit(1))), F.lit(0),
-                       lambda acc, k: F.when((acc == k - 1) & (k <= cap) & (_char(a, k) == _char(b, k)), k)
+                       lambda acc, k: F.when((acc == k - 1) & (k <= cap) & (F.get(a, k - 1) == F.get(b, k - 1)), k)
                        .otherwise(acc))
 
 
 def with_jaro_winkler(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """Add ``out`` = Jaro-Winkler(a, b) by characters, computed in stages
-    (match positions, matched counts, Jaro, boost) so every intermediate is
-    evaluated once per row.
+    (characters, match positions, matched counts, Jaro, boost) so every
+    intermediate is evaluated once per row; equal, empty and null values skip
+    the matching.
 
     Transpositions are the mismatches between the matched characters of
     ``a`` (in ``a`` order) and of ``b`` (in ``b`` order), halved and
     floored. 0 when a side is empty, 1 for equal strings, null for a null."""
     A, B = F.col(a), F.col(b)
     tmp = f"__jw_{out}"
-    st = (df.withColumn(f"{tmp}_idx", _match_positions(A, B))
-          .withColumn(f"{tmp}_bpos", F.array_sort(F.filter(F.col(f"{tmp}_idx"), lambda j: j > 0)))
-          .withColumn(f"{tmp}_apos", F.filter(F.transform(F.col(f"{tmp}_idx"),
-                                                          lambda j, k: F.when(j > 0, k + 1).otherwise(0)),
+    ca, cb, idx = F.col(f"{tmp}_ca"), F.col(f"{tmp}_cb"), F.col(f"{tmp}_idx")
+    open_ = (A != B) & (F.length(A) > 0) & (F.length(B) > 0)
+    st = (df.withColumns({f"{tmp}_ca": F.split(F.when(open_, A), ""), f"{tmp}_cb": F.split(F.when(open_, B), "")})
+          .withColumn(f"{tmp}_idx", F.when(ca.isNotNull(), _match_positions(ca, cb)))
+          .withColumn(f"{tmp}_bpos", F.array_sort(F.filter(idx, lambda j: j > 0)))
+          .withColumn(f"{tmp}_apos", F.filter(F.transform(idx, lambda j, k: F.when(j > 0, k + 1).otherwise(0)),
                                               lambda k: k > 0)))
     st = (st.withColumn(f"{tmp}_m", F.size(f"{tmp}_bpos").cast("double"))
           .withColumn(f"{tmp}_mis", F.size(F.filter(
-              F.zip_with(f"{tmp}_apos", f"{tmp}_bpos", lambda x, y: _char(A, x) != _char(B, y)), lambda d: d))))
-    ok = (F.col(f"{tmp}_m") > 0) & (F.length(A) > 0) & (F.length(B) > 0)
-    st = st.withColumn(f"{tmp}_jaro", F.when(ok, _jaro_from(A, B, F.col(f"{tmp}_m"), F.col(f"{tmp}_mis"))))
+              F.zip_with(f"{tmp}_apos", f"{tmp}_bpos", lambda x, y: F.get(ca, x - 1) != F.get(cb, y - 1)), lambda d: d))))
+    st = st.withColumn(f"{tmp}_jaro", F.when(F.col(f"{tmp}_m") > 0,
+                                             _jaro_from(ca, cb, F.col(f"{tmp}_m"), F.col(f"{tmp}_mis"))))
     jaro = F.col(f"{tmp}_jaro")
     boosted = F.when(jaro > BOOST_THRESHOLD,
-                     jaro + F.lit(PREFIX_WEIGHT) * _prefix_len(A, B) * (1.0 - jaro)).otherwise(jaro)
+                     jaro + F.lit(PREFIX_WEIGHT) * _prefix_len(ca, cb) * (1.0 - jaro)).otherwise(jaro)
     value = (F.when(A.isNull() | B.isNull(), F.lit(None).cast("double"))
              .when((F.length(A) == 0) | (F.length(B) == 0), F.lit(0.0))
              .when(A == B, F.lit(1.0))
-             .when(F.col(f"{tmp}_m") == 0, F.lit(0.0))
-             .otherwise(boosted))
+             .otherwise(F.coalesce(boosted, F.lit(0.0))))
     return st.withColumn(out, value).drop(*[c for c in st.columns if c.startswith(tmp)])
 
 
-def jaro_winkler(a: Column, b: Column) -> Column:
-    """Jaro-Winkler as a single Column (same rules as ``with_jaro_winkler``).
-    Convenient inside expressions; for large inputs prefer the staged form,
-    whose intermediates are not re-evaluated."""
-    idx = _match_positions(a, b)
-    b_pos = F.array_sort(F.filter(idx, lambda j: j > 0))
-    a_pos = F.filter(F.transform(idx, lambda j, k: F.when(j > 0, k + 1).otherwise(0)), lambda k: k > 0)
-    m = F.size(b_pos).cast("double")
-    mis = F.size(F.filter(F.zip_with(a_pos, b_pos, lambda x, y: _char(a, x) != _char(b, y)), lambda d: d))
-    jaro = _jaro_from(a, b, m, mis)
-    boosted = F.when(jaro > BOOST_THRESHOLD, jaro + F.lit(PREFIX_WEIGHT) * _prefix_len(a, b) * (1.0 - jaro)).otherwise(jaro)
-    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
-            .when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0))
-            .when(a == b, F.lit(1.0))
-            .when(m == 0, F.lit(0.0))
-            .otherwise(boosted))
-
-
 def similarity_level(score: Column) -> Column:
-    """< 0.8 low, < 1.0 medium, else high."""
-    return (F.when(score < LEVEL_CUTS[0], F.lit(LEVELS[0]))
+    """< 0.8 low, < 1.0 medium, else high. A missing score (a null on
+    either side) is low: an absent value speaks for no match."""
+    return (F.when(score.isNull() | (score < LEVEL_CUTS[0]), F.lit(LEVELS[0]))
             .when(score < LEVEL_CUTS[1], F.lit(LEVELS[1]))
             .otherwise(F.lit(LEVELS[2])))

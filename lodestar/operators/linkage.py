@@ -10,12 +10,14 @@ Scale notes
   carry the weight ``n_left * n_right``. Counting labels never materialises
   record pairs; record pairs are produced only for the explicit pair output.
 * Jaro-Winkler is evaluated once per distinct value pair of each field, then
-  joined back, so its cost follows the value domain, not the pair count.
-  The scored value pairs are broadcast only after a row count proves them
-  small; beyond that the join stays a shuffle join.
+  joined back (null-safe), so its cost follows the value domain, not the pair
+  count. Join strategies are left to the optimizer's run-time sizes.
+* Everything but the 3^k-row classifier is one lazy plan.
 * The classifier has at most 3^k rows (k fields): its broadcast is bounded
   by construction. Its windows are un-partitioned over those few rows only.
-* Blocks are an equi join, so AQE's skew-join split applies to a hot block.
+* Blocks are an equi join, so AQE's skew-join split applies to a hot block; a
+  null block key has no candidates.
+* Null field values stay: they pair up with anything at level low.
 * All-pairs comparison without blocking (a cross product) is not offered.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import LEVELS, similarity_level, with_jaro_winkler
-from lodestar.session import BROADCAST_MAX_ROWS, materialize
+from lodestar.session import cut_lineage
 
 DEFAULT_FIELDS = ("name", "city", "address")
 LABEL_MATCH, LABEL_POSSIBLE, LABEL_UNMATCH = "match", "possible match", "unmatch"
@@ -46,26 +48,15 @@ def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_p
     table holding those value pairs, so ``pairs`` is not recomputed to find
     them.
 
-    The value pairs of all fields are scored as one tagged table: one pass,
-    and one measured row count decides whether the level tables are
-    broadcast (beyond the bound the joins stay shuffle joins)."""
-    tagged = None
-    for f in fields:
-        src = (value_pairs or {}).get(f, pairs)
-        part = src.select(F.lit(f).alias("_field"), F.col(f"{left_prefix}{f}").cast("string").alias("_l"),
-                          F.col(f"{right_prefix}{f}").cast("string").alias("_r"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    scored = with_jaro_winkler(tagged.distinct(), "_l", "_r", "_jw")
-    # persisted for the life of the session (one row per distinct value pair;
-    # release with spark.catalog.clearCache() after the job if needed)
-    scored = scored.select("_field", "_l", "_r", similarity_level(F.col("_jw")).alias("_s")).persist()
-    small = scored.count() <= BROADCAST_MAX_ROWS
+    Value pairs are joined back null-safe, so no pair is lost."""
     out = pairs
     for f in fields:
         l, r = f"{left_prefix}{f}", f"{right_prefix}{f}"
-        levels = scored.where(F.col("_field") == f).select(F.col("_l").alias(l), F.col("_r").alias(r),
-                                                           F.col("_s").alias(f"s_{f}"))
-        out = out.join(F.broadcast(levels) if small else levels, [l, r])
+        src = (value_pairs or {}).get(f, pairs)
+        values = src.select(F.col(l).cast("string").alias("_l"), F.col(r).cast("string").alias("_r")).distinct()
+        levels = with_jaro_winkler(values, "_l", "_r", "_jw").select("_l", "_r", similarity_level(F.col("_jw")).alias(f"s_{f}"))
+        out = out.join(levels, F.col(l).cast("string").eqNullSafe(F.col("_l"))
+                       & F.col(r).cast("string").eqNullSafe(F.col("_r"))).drop("_l", "_r")
     return out
 
 
@@ -82,23 +73,8 @@ def _side(df: DataFrame, prefix: str, key: str, fields) -> DataFrame:
     return df.select(F.col(key).alias(f"{prefix}{key}"), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
 
 
-def labelled_tuples(left: DataFrame, right: DataFrame, pairs: DataFrame, fields=DEFAULT_FIELDS,
-                    key: str = "index", left_key: str = "zindex", right_key: str = "findex") -> DataFrame:
-    """J8 + T9 + T10: the similarity tuple of each labelled pair (duplicate
-    pairs stay duplicated: each one counts)."""
-    l = _side(left, "l_", key, fields).withColumnRenamed(f"l_{key}", left_key)
-    r = _side(right, "r_", key, fields).withColumnRenamed(f"r_{key}", right_key)
-    joined = pairs.select(left_key, right_key).join(l, left_key).join(r, right_key)
-    return score_value_pairs(joined, fields)
-
-
 # --- G8 / J9 ------------------------------------------------------------------------------
 
-def tuple_counts(tuples: DataFrame, fields) -> DataFrame:
-    """Count per similarity tuple (relative frequency = count / total)."""
-    return tuples.groupBy(*level_cols(fields)).agg(F.count(F.lit(1)).alias("cnt"))
-
-
 def _with_probabilities(merged: DataFrame) -> DataFrame:
     everything = Window.partitionBy()       # the merged table has at most 3^k rows
     return (merged.withColumn("n_m", F.sum("m_cnt").over(everything))
@@ -107,24 +83,13 @@ def _with_probabilities(merged: DataFrame) -> DataFrame:
             .withColumn("u", F.try_divide(F.col("u_cnt").cast("double"), F.col("n_u"))))
 
 
-def merge_distributions(match_tuples: DataFrame, unmatch_tuples: DataFrame, fields) -> DataFrame:
-    """Full outer merge of both distributions on the tuple; a tuple seen
-    on one side only gets 0 on the other. Carries the class totals so the
-    probabilities m = m_cnt / n_m and u = u_cnt / n_u stay exact ratios."""
-    s = level_cols(fields)
-    m = tuple_counts(match_tuples, fields).withColumnRenamed("cnt", "m_cnt")
-    u = tuple_counts(unmatch_tuples, fields).withColumnRenamed("cnt", "u_cnt")
-    merged = (m.join(u, s, "full_outer")
-              .select(*s, F.coalesce("m_cnt", F.lit(0)).alias("m_cnt"), F.coalesce("u_cnt", F.lit(0)).alias("u_cnt")))
-    return _with_probabilities(merged)
-
-
 def training_distribution(left: DataFrame, right: DataFrame, known: DataFrame, unmatched: DataFrame,
                           fields=DEFAULT_FIELDS, key: str = "index", left_key: str = "zindex",
                           right_key: str = "findex") -> DataFrame:
     """J8 + G8 + J9 in one pass: both labelled pair files are tagged with
-    their class, scored together and counted per tuple (equal to
-    ``merge_distributions`` of the two tuple sets)."""
+    their class, scored together and counted per tuple; a tuple seen in one
+    class only has the count 0 in the other. Duplicate pairs each count. The
+    class totals come along, so m = m_cnt / n_m and u = u_cnt / n_u stay exact."""
     tagged = (known.select(left_key, right_key, F.lit(True).alias("is_match"))
               .unionByName(unmatched.select(left_key, right_key, F.lit(False).alias("is_match"))))
     l = _side(left, "l_", key, fields).withColumnRenamed(f"l_{key}", left_key)
@@ -230,7 +195,7 @@ def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_ri
             same = same & F.col(f"l_{f}").eqNullSafe(F.col(f"r_{f}"))
         pairs = pairs.withColumn("weight", F.col("weight") - F.when(same, F.col("l_n")).otherwise(F.lit(0)))
     s = level_cols(fields)
-    clf, _ = materialize(classifier_df.select(*s, "label"), reliable=False)   # <= 3^k rows
+    clf = cut_lineage(classifier_df.select(*s, "label"))   # at most 3^k rows
     labelled = score_value_pairs(pairs, fields, value_pairs=value_pairs).join(F.broadcast(clf), s)
     return labelled.groupBy("label").agg(F.sum("weight").alias("n_pairs"))
 
@@ -243,14 +208,21 @@ def label_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_rig
     the records of both sides."""
     pairs = profile_pairs(left, right, block_left, block_right, fields)
     s = level_cols(fields)
-    clf, _ = materialize(classifier_df.select(*s, "label"), reliable=False)   # <= 3^k rows
+    clf = cut_lineage(classifier_df.select(*s, "label"))   # at most 3^k rows
     labelled = pairs.join(F.broadcast(clf), s).select(
         "block", *[f"l_{f}" for f in fields], *[f"r_{f}" for f in fields], "label")
     lrec = left.select(block_left.alias("block"), F.col(key).alias(left_key),
                        *[F.col(f).alias(f"l_{f}") for f in fields])
     rrec = right.select(block_right.alias("block"), F.col(key).alias(right_key),
                         *[F.col(f).alias(f"r_{f}") for f in fields])
-    lkeys = ["block"] + [f"l_{f}" for f in fields]
-    rkeys = ["block"] + [f"r_{f}" for f in fields]
-    return (labelled.join(lrec, lkeys).join(rrec, rkeys)
+    return (_on_fields(_on_fields(labelled, lrec, "l_", fields), rrec, "r_", fields)
             .select(left_key, right_key, "label"))
+
+
+def _on_fields(pairs: DataFrame, records: DataFrame, prefix: str, fields) -> DataFrame:
+    """``pairs`` with the records of one side: equal block, null-safe fields."""
+    own = records.withColumnsRenamed({c: f"_{c}" for c in ["block", *[f"{prefix}{f}" for f in fields]]})
+    same = pairs["block"] == own["_block"]
+    for f in fields:
+        same = same & pairs[f"{prefix}{f}"].eqNullSafe(own[f"_{prefix}{f}"])
+    return pairs.join(own, same).drop("_block", *[f"_{prefix}{f}" for f in fields])

@@ -7,11 +7,9 @@ edge table, drops links that may not be followed or were already visited
 (anti join), keeps the first discovery of each url and drops urls that have
 no page (a failed fetch). Discovery order is an array key: the parent's key
 plus the link position, which is exactly the order a FIFO queue would visit
-them in. The page budget takes the first keys of the last level (a top-k on
-that level only, the one place a limit is the feature). Every level is
-checkpointed to the shared checkpoint folder: a persisted-only level would
-keep the whole plan of all earlier levels, which makes planning grow with
-depth, and a lost executor would recompute from the start.
+them in. The page budget takes the first keys of the last level (the one place
+a limit is the feature; ranked by ranges, so its size does not matter). Every
+level is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -20,10 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.url import ok_to_follow, remove_fragment, resolve_link
-from lodestar.session import cut_lineage, materialize
+from lodestar.session import cut_lineage, first_by, materialize
 
 HREF_RE = r"(?i)<a\s[^>]*?href\s*=\s*\"([^\"]*)\""
-CHECKPOINT_EVERY = 1
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
@@ -82,13 +79,12 @@ def crawl(pages: DataFrame, edges: DataFrame, seed_url: Column | str, domain: st
                 .join(visited_urls, "url", "left_anti")
                 .groupBy("url").agg(F.min("depth").alias("depth"), F.min("key").alias("key"))
                 .join(known, "url", "left_semi"))
-        # computed once: counted from the cache, then checkpointed
-        cand, n_new = materialize(cand, reliable=(depth + 1) % CHECKPOINT_EVERY == 0)
+        cand, n_new = materialize(cand)
         if n_new == 0:
             break
         if max_pages is not None and n_visited + n_new > max_pages:
             # the page budget: the first keys of the last level only (top-k)
-            cand, n_new = materialize(cand.orderBy("key").limit(max_pages - n_visited))
+            cand, n_new = materialize(first_by(cand, "key", max_pages - n_visited))
         levels.append(cand)
         n_visited += n_new
         frontier = cand

@@ -37,10 +37,10 @@ TIER3_COLS = TIER2_COLS + ("building_code", "walking_time")
 
 # Display labels of the result columns (F8).
 DISPLAY_NAMES = {
-    "dept": "Department", "course_num": "Course Number", "title": "Course Title",
+    "dept": "Department", "course_num": "Course", "title": "Title",
     "section_num": "Section", "day": "Day", "time_start": "Time (start)",
     "time_end": "Time (end)", "enrollment": "Enrollment",
-    "building_code": "Building", "walking_time": "Walking time",
+    "building_code": "Building", "walking_time": "Walking Time",
 }
 
 
@@ -111,6 +111,7 @@ def request_rule_violations(requests: DataFrame) -> DataFrame:
     rules = [
         F.when(ts.isNotNull() & ~hhmm_ok(ts), F.lit("time_start is not a valid hhmm time")),
         F.when(te.isNotNull() & ~hhmm_ok(te), F.lit("time_end is not a valid hhmm time")),
+        F.when(ts.isNull() != te.isNull(), F.lit("a time range needs both bounds")),
         F.when(ts.isNotNull() & te.isNotNull() & (te < ts), F.lit("time_start exceeds time_end")),
         F.when(lo.isNull() != hi.isNull(), F.lit("enrollment needs both bounds")),
         F.when((lo.isNotNull() & ~lo.between(1, 1000)) | (hi.isNotNull() & ~hi.between(1, 1000)),
@@ -170,10 +171,10 @@ def empty_result(spark: SparkSession) -> DataFrame:
 
 def anchor_point(gps: DataFrame, building_code: str) -> tuple[Column, Column]:
     """J4 without a cross join: the anchor building's coordinates from one
-    scalar subquery (one row by construction: a global aggregate)."""
-    one = gps.where(F.col("building_code") == F.lit(building_code))
-    point = one.select(F.struct(F.first("lon", ignorenulls=True).alias("lon"),
-                                F.first("lat", ignorenulls=True).alias("lat"))).scalar()
+    scalar subquery (one row by construction: a global aggregate). Of several
+    rows of the building the one with the smallest (lon, lat) counts, whole."""
+    one = gps.where((F.col("building_code") == F.lit(building_code)) & F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    point = one.select(F.min(F.struct("lon", "lat"))).scalar()
     return point.getField("lon"), point.getField("lat")
 
 
@@ -226,16 +227,17 @@ def find_courses(tables: CourseTables, criteria: dict, require_indexed: bool = T
     if mp_preds:
         patterns = patterns.where(reduce(lambda x, y: x & y, mp_preds))
 
-    rows = (sections.join(patterns, "meeting_pattern_id")
-            .join(courses, "course_id"))
+    # the selective sides first (courses, then buildings in reach), the
+    # section-pattern join of the two large tables last
+    rows = sections.join(courses, "course_id")
     if tier == 2:
-        return rows.select(*TIER2_COLS).distinct()
+        return rows.join(patterns, "meeting_pattern_id").select(*TIER2_COLS).distinct()
 
     lon0, lat0 = anchor_point(tables.gps, criteria["building_code"])
-    gps = tables.gps.select("building_code", "lon", "lat")
-    rows = (rows.join(gps, "building_code")
+    near = (tables.gps.select("building_code", "lon", "lat")
             .withColumn("walking_time", walking_minutes(F.col("lon"), F.col("lat"), lon0, lat0))
-            .where(F.col("walking_time") <= F.lit(criteria["walking_time"])))
+            .where(F.col("walking_time") <= F.lit(criteria["walking_time"])).drop("lon", "lat"))
+    rows = rows.join(near, "building_code").join(patterns, "meeting_pattern_id")
     return rows.select(*TIER3_COLS).distinct()
 
 

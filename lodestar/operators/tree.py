@@ -1,12 +1,15 @@
 """Categorical decision tree (job E): Gini impurity, gain ratio, level-wise
 induction and scoring (G9-G13, W4, I3-I5, I7, J14).
 
-Training is level-wise: each depth is one pass that computes the split
-statistics of *all* open nodes at once from ``(node, attr, value, target)``
-counts. These counts are pre-aggregated map-side, so a node holding a third
-of the rows costs a shuffle of counts, not of rows. Rows carry their node
-id; rows of closed nodes leave the working set. Each level is checkpointed
-to the shared checkpoint folder, so lineage does not grow with depth.
+Training first reduces the table to its distinct (features, target) rows with
+a count, in one partially aggregated pass: the base table is read once, and the
+tree grows on rows whose number follows the value domain. Each depth is one
+pass over them that computes the split statistics of *all* open nodes at once
+from weighted (node, attr, value, target) counts. Rows of closed nodes leave
+the working set; each level is written to the shared folder, so lineage does
+not grow with depth. Scoring descends once per distinct feature row and joins
+the labels back on the features, so no node id is ever a key of the table's
+rows. Node ids have a fixed width (md5 of parent id, attribute and value).
 
 Rules (per path): an attribute is used at most once on each root-to-leaf
 path; a node becomes a leaf when its target is pure, when no remaining
@@ -23,15 +26,16 @@ the node that splits on that attribute; null targets are dropped.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import BROADCAST_MAX_ROWS, cut_lineage, materialize
+from lodestar.session import cut_lineage, materialize
 
-ROOT = "root"
-SEP = "/"
+ROOT = hashlib.md5(b"root").hexdigest()
+SEP = "\x1f"
 GAIN_DECIMALS = 12
 
 
@@ -42,8 +46,6 @@ class TreeModel:
     target: str
     features: list
     levels: int
-    n_nodes: int = 0       # measured sizes, used to bound broadcasts
-    n_children: int = 0
 
 
 def feature_map(df: DataFrame, features) -> F.Column:
@@ -59,7 +61,7 @@ def node_summary(rows: DataFrame) -> DataFrame:
     """G9, G10, G11, G13 per node: size, number of classes, majority label
     (lexicographic tie), Gini impurity."""
     keys = ["node_id"] + [c for c in ("parent_id", "value") if c in rows.columns]
-    tc = rows.groupBy(*keys, "target").agg(F.count(F.lit(1)).alias("c"))
+    tc = rows.groupBy(*keys, "target").agg(F.sum("c").alias("c"))
     return (tc.groupBy(*keys)
             .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_classes"),
                  F.sum(F.col("c") * F.col("c")).alias("sq"),
@@ -68,7 +70,7 @@ def node_summary(rows: DataFrame) -> DataFrame:
                     gini(F.col("sq").cast("double"), F.col("n").cast("double")).alias("gini")))
 
 
-def split_statistics(rows: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def split_statistics(rows: DataFrame) -> DataFrame:
     """For every open node and every attribute not yet used on its
     path: number of values, weighted child Gini, split information and gain
     ratio (0 when split information is 0), rounded to 12 decimals.
@@ -77,12 +79,11 @@ def split_statistics(rows: DataFrame, nodes: DataFrame | None = None) -> DataFra
     the node total is a window sum over that node-attribute's value rows
     (few rows: one per value), the parent Gini an aggregate over its target
     totals joined back on (node, attr). Rows whose value is null for an
-    attribute do not count for that attribute. ``nodes`` is accepted for
-    call compatibility and not needed."""
-    long = rows.select("node_id", "target",
+    attribute do not count for that attribute."""
+    long = rows.select("node_id", "target", "c",
                        F.explode(F.map_filter("feats", lambda k, v: ~F.array_contains(F.col("used"), k)
                                               & v.isNotNull())).alias("attr", "value"))
-    cnt = long.groupBy("node_id", "attr", "value", "target").agg(F.count(F.lit(1)).alias("c"))
+    cnt = long.groupBy("node_id", "attr", "value", "target").agg(F.sum("c").alias("c"))
     parent = (cnt.groupBy("node_id", "attr", "target").agg(F.sum("c").alias("ct"))
               .groupBy("node_id", "attr")
               .agg(gini(F.sum(F.col("ct") * F.col("ct")).cast("double"),
@@ -117,15 +118,13 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
     cols = [c for c in df.columns if c != "row_id"]
     target = target or cols[-1]
     features = list(features or [c for c in cols if c != target])
-    rows = (training_rows(df, target, features)
-            .withColumn("parent_id", F.lit(None).cast("string"))
-            .withColumn("value", F.lit(None).cast("string")))
-    node_parts = []
-    n_nodes = 0
+    rows = cut_lineage(training_rows(df, target, features)
+                       .withColumn("parent_id", F.lit(None).cast("string"))
+                       .withColumn("value", F.lit(None).cast("string")))
+    nodes = None
     level = 0
     limit = max_levels if max_levels is not None else len(features)
     while True:
-        rows, _ = materialize(rows)
         summary = node_summary(rows)           # one row per node, with its parent and branch value
         best = best_splits(split_statistics(rows))
         decided = (summary.join(best, "node_id", "left")
@@ -135,77 +134,67 @@ def fit(df: DataFrame, target: str | None = None, features=None, max_levels: int
                                       F.col("split_attr")))
                    .select("node_id", "parent_id", "value", F.lit(level).alias("depth"),
                            "label", "n", "split_attr", "gain_ratio"))
-        decided, n_level, counts = materialize(decided, stats=[F.count("split_attr").alias("n_splits")])
-        node_parts.append(decided)
-        n_nodes += n_level
+        decided, _, counts = materialize(decided, stats=[F.count("split_attr").alias("n_splits")])
+        nodes = decided if nodes is None else nodes.unionByName(decided)
         if counts["n_splits"] == 0:
             break
         splits = decided.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
-        # every row shares few node ids (one at the root): broadcast the split
-        # table when its measured size allows, so no node id becomes a hot
-        # shuffle key; beyond the bound AQE's skew-join split applies
-        if counts["n_splits"] <= BROADCAST_MAX_ROWS:
-            splits = F.broadcast(splits)
-        value = F.try_element_at(F.col("feats"), F.col("split_attr"))
         rows = (rows.drop("parent_id", "value").join(splits, "node_id")
-                .withColumn("value", value)
+                .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
                 .where(F.col("value").isNotNull())
-                .select(F.concat_ws(SEP, F.col("node_id"), F.concat(F.col("split_attr"), F.lit("="), F.col("value")))
-                        .alias("node_id"), "feats", "target",
-                        F.array_union("used", F.array("split_attr")).alias("used"),
+                .select(child_id(F.col("node_id"), F.col("split_attr"), F.col("value")).alias("node_id"),
+                        "feats", "target", "c", F.array_union("used", F.array("split_attr")).alias("used"),
                         F.col("node_id").alias("parent_id"), "value"))
+        rows = cut_lineage(rows)
         level += 1
-    nodes = node_parts[0]
-    for p in node_parts[1:]:
-        nodes = nodes.unionByName(p)
     # a child is every non-root node: (parent, branch value) -> child id
     children = nodes.where(F.col("parent_id").isNotNull()).select(
         F.col("parent_id").alias("node_id"), "value", F.col("node_id").alias("child_id"))
-    return TreeModel(nodes=nodes, children=children, target=target, features=features, levels=level,
-                     n_nodes=n_nodes, n_children=n_nodes - 1)
+    return TreeModel(nodes=nodes, children=children, target=target, features=features, levels=level)
+
+
+def child_id(node, attr, value) -> F.Column:
+    """Fixed-width id of the child of ``node`` for ``attr`` = ``value``."""
+    return F.md5(F.concat(node, F.lit(SEP), attr, F.lit("="), value))
 
 
 def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:
-    """J14 + I5: descend one level per step by joining the current node and
-    the row's value to the children table; an unseen value keeps the node.
+    """J14 + I5: each distinct feature row descends one level per step by
+    joining its node and value to the children table; an unseen value keeps
+    the node. The labels are joined back on the feature values (null-safe).
     Output: key, prediction."""
-    feats = [c for c in df.columns if c != key]
-    cur = df.select(key, feature_map(df, feats).alias("feats"), F.lit(ROOT).alias("node_id"))
+    feats = [c for c in model.features if c in df.columns]
+    cur = df.select(*feats).distinct()
+    cur = cur.select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(feats)],
+                     feature_map(cur, feats).alias("feats"), F.lit(ROOT).alias("node_id"))
+    own = [f"_f{i}" for i in range(len(feats))]
     splits = model.nodes.where(F.col("split_attr").isNotNull()).select("node_id", "split_attr")
-    children = model.children
-    if model.n_nodes <= BROADCAST_MAX_ROWS:      # the model is small: no hot node-id shuffle
-        splits = F.broadcast(splits)
-    if model.n_children <= BROADCAST_MAX_ROWS:
-        children = F.broadcast(children)
-    for level in range(model.levels):
-        if level == 0:
-            # every row is at the root: its split attribute is one scalar
-            # (a global aggregate), so the node id is not a join key here
-            root_attr = (model.nodes.where(F.col("node_id") == ROOT)
-                         .select(F.first("split_attr", ignorenulls=True)).scalar())
-            cur = cur.withColumn("value", F.try_element_at(F.col("feats"), root_attr))
-        else:
-            cur = (cur.join(splits, "node_id", "left")
-                   .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr"))))
-        cur = (cur.join(children, ["node_id", "value"], "left")
-               .select(key, "feats", F.coalesce(F.col("child_id"), F.col("node_id")).alias("node_id")))
-    return (cur.join(model.nodes.select("node_id", "label"), "node_id")
-            .select(key, F.col("label").alias("prediction")))
+    for _ in range(model.levels):
+        cur = (cur.join(splits, "node_id", "left")
+               .withColumn("value", F.try_element_at(F.col("feats"), F.col("split_attr")))
+               .join(model.children, ["node_id", "value"], "left")
+               .select(*own, "feats", F.coalesce(F.col("child_id"), F.col("node_id")).alias("node_id")))
+    labelled = cur.join(model.nodes.select("node_id", "label"), "node_id").select(*own, F.col("label").alias("prediction"))
+    same = F.lit(True)
+    for o, c in zip(own, feats):
+        same = same & F.col(c).eqNullSafe(F.col(o))
+    return df.select(key, *feats).join(labelled, same).select(key, "prediction")
 
 
 def describe(model: TreeModel) -> DataFrame:
-    """The model as a table, one row per node with its children's values
-    and labels."""
-    kids = (model.children.join(model.nodes.select(F.col("node_id").alias("child_id"),
-                                                   F.col("label").alias("child_label")), "child_id")
-            .groupBy("node_id")
-            .agg(F.array_sort(F.collect_list(F.struct("value", "child_label"))).alias("children")))
+    """The model as a table, one row per node with the values and labels
+    of its children (one entry per value of the split attribute)."""
+    kids = (model.nodes.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("node_id"))
+            .agg(F.array_sort(F.collect_list(F.struct("value", F.col("label").alias("child_label")))).alias("children")))
     return model.nodes.join(kids, "node_id", "left")
 
 
 def training_rows(df: DataFrame, target: str, features) -> DataFrame:
-    """The root working set (all rows at the root node, nothing used yet)."""
-    return (df.where(F.col(f"`{target}`").isNotNull())
-            .select(F.lit(ROOT).alias("node_id"), feature_map(df, features).alias("feats"),
-                    F.col(f"`{target}`").cast("string").alias("target"),
-                    F.array().cast("array<string>").alias("used")))
+    """The root working set: distinct (features, target) rows with their count
+    ``c``, all at the root node, nothing used yet."""
+    distinct = (df.where(F.col(f"`{target}`").isNotNull())
+                .groupBy(*[F.col(f"`{f}`").cast("string").alias(f) for f in features],
+                         F.col(f"`{target}`").cast("string").alias("_target"))
+                .agg(F.count(F.lit(1)).alias("c")))
+    return distinct.select(F.lit(ROOT).alias("node_id"), feature_map(distinct, features).alias("feats"),
+                           F.col("_target").alias("target"), "c", F.array().cast("array<string>").alias("used"))

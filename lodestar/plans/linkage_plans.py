@@ -1,5 +1,5 @@
 """Record-linkage queries (job D) over ``part`` linked with itself on
-(p_name, p_brand, p_type), blocked on p_brand.
+(p_name, p_brand, p_type), blocked on (p_brand, p_type).
 
 Training pairs are derived by equi joins on computed keys, so they grow
 linearly with the table:
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.functions.similarity import similarity_level
 from lodestar.operators import linkage as LK
 from lodestar.sources.tables import load
 
@@ -20,6 +21,11 @@ FIELDS = ("name", "brand", "type")
 MU, LAMBDA = 0.01, 0.05
 
 
+def _block():
+    """Brand and type: a few records each, so pairs grow with the table."""
+    return F.concat(F.col("brand"), F.lit("|"), F.col("type"))
+
+
 def _records(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("index"), F.col("p_name").alias("name"),
@@ -56,7 +62,6 @@ def pair_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = recs.select(F.col("index").alias("zindex"), *[F.col(f).alias(f"l_{f}") for f in FIELDS])
     r = recs.select(F.col("index").alias("findex"), *[F.col(f).alias(f"r_{f}") for f in FIELDS])
     pairs = LK.pair_scores(unmatched.join(l, "zindex").join(r, "findex"), FIELDS)
-    from lodestar.functions.similarity import similarity_level
     return pairs.select("zindex", "findex",
                         *[F.round(f"jw_{f}", 6).alias(f"jw_{f}") for f in FIELDS],
                         *[similarity_level(F.col(f"jw_{f}")).alias(f"s_{f}") for f in FIELDS])
@@ -81,17 +86,17 @@ def link_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 aggregated: record pairs per label among all pairs of
-    different parts of the same brand (profile pairs weighted by counts)."""
+    different parts of the same brand and type (profile pairs weighted by counts)."""
     recs = _records(spark, sf_dir)
-    return LK.label_counts(recs, recs, F.col("brand"), F.col("brand"), _classifier(spark, sf_dir),
+    return LK.label_counts(recs, recs, _block(), _block(), _classifier(spark, sf_dir),
                            FIELDS, self_pairs_key="index")
 
 
 def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 + S8 rows: (zindex, findex, label) for every pair of
-    different parts of the same brand."""
+    different parts of the same brand and type."""
     recs = _records(spark, sf_dir)
-    out = LK.label_pairs(recs, recs, F.col("brand"), F.col("brand"), _classifier(spark, sf_dir), FIELDS)
+    out = LK.label_pairs(recs, recs, _block(), _block(), _classifier(spark, sf_dir), FIELDS)
     return out.where(F.col("zindex") != F.col("findex"))
 
 
@@ -107,7 +112,7 @@ QUERIES = {
 # ---------------------------------------------------------------------------
 # DuckDB oracles (jaro_winkler_similarity equals the expression on ASCII text)
 
-_LVL = "CASE WHEN {x} < 0.8 THEN 'low' WHEN {x} < 1.0 THEN 'medium' ELSE 'high' END"
+_LVL = "CASE WHEN {x} IS NULL OR {x} < 0.8 THEN 'low' WHEN {x} < 1.0 THEN 'medium' ELSE 'high' END"
 
 
 def _lvl(a, b):
@@ -155,7 +160,7 @@ _PAIRS = f"""
   SELECT a.p_partkey AS zindex, b.p_partkey AS findex,
          {_lvl('a.p_name', 'b.p_name')} AS s_name, {_lvl('a.p_brand', 'b.p_brand')} AS s_brand,
          {_lvl('a.p_type', 'b.p_type')} AS s_type
-  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey),
+  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey),
 labelled AS (SELECT c.zindex, c.findex, l.label FROM cand c JOIN clf l
   ON c.s_name = l.s_name AND c.s_brand = l.s_brand AND c.s_type = l.s_type)
 """

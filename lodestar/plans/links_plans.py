@@ -144,6 +144,25 @@ bfs(url, depth) AS (
   WHERE b.depth < (SELECT n FROM n))
 """
 
+def _budget_sql() -> str:
+    """The crawl unrolled level by level; a page's place in the queue is the
+    list of link positions on its first path."""
+    levels = 12
+    edges = " UNION ALL ".join(
+        f"SELECT a.url AS src, {pos} AS pos, b.url AS dst FROM p a CROSS JOIN n JOIN p b ON b.page_id = ({a} * a.page_id + {b}) % n.n"
+        for pos, (a, b) in enumerate(EDGE_RULES))
+    views = [_GRAPH.split("edges AS")[0].rstrip().rstrip(","), f"edges AS ({edges})",
+             f"okp AS (SELECT url FROM p WHERE {_ok_sql('url')})",
+             f"l0 AS (SELECT url, [0] AS place FROM p WHERE {_ok_sql('url')} ORDER BY page_id LIMIT 1)"]
+    for d in range(levels):
+        seen = " UNION ALL ".join(f"SELECT url FROM l{k}" for k in range(d + 1))
+        views.append(f"l{d + 1} AS (SELECT e.dst AS url, min(list_append(l.place, e.pos)) AS place FROM l{d} l JOIN edges e ON e.src = l.url "
+                     f"JOIN okp o ON o.url = e.dst WHERE e.dst NOT IN ({seen}) GROUP BY e.dst)")
+    found = " UNION ALL ".join(f"SELECT url, {d} AS depth, place FROM l{d}" for d in range(levels + 1))
+    return ("WITH " + ",\n".join(v.lstrip() for v in views) + f", found AS ({found}), first AS (SELECT url, depth FROM found "
+            f"ORDER BY depth, place LIMIT {BUDGET}) SELECT p.page_id, f.url, f.depth FROM first f JOIN p ON p.url = f.url")
+
+
 def _crawl_index_sql():
     from lodestar.plans.index_plans import _BLOCKS
     return ("WITH RECURSIVE " + _GRAPH + "," + _BLOCKS + """
@@ -153,6 +172,7 @@ JOIN page_words w ON w.page_id = p.page_id JOIN code_map m ON m.code = w.code"""
 
 ORACLE = {
     "crawl_index": _crawl_index_sql(),
+    "crawl_budget": _budget_sql(),
     "links_extract": "WITH " + _EXTRACT + "SELECT page_id, pos, href FROM links",
     "links_resolved": "WITH " + _EXTRACT + "," + _RESOLVE + "SELECT page_id, pos, link FROM resolved WHERE link IS NOT NULL",
     "links_follow": "WITH " + _EXTRACT + "," + _RESOLVE + f""", both_links AS (

@@ -122,7 +122,7 @@ def request_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     req = o.select(
         k.alias("request_id"),
-        ((k * 7) % 2500).cast("int").alias("time_start"),
+        F.when(k % 9 == 0, F.lit(None)).otherwise(((k * 7) % 2500).cast("int")).alias("time_start"),
         ((k * 13) % 2500).cast("int").alias("time_end"),
         F.when(k % 5 == 0, F.lit(None)).otherwise((k % 1100).cast("int")).alias("enroll_lo"),
         F.when(k % 7 == 0, F.lit(None)).otherwise(((k * 3) % 1100).cast("int")).alias("enroll_hi"),
@@ -231,7 +231,7 @@ SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderk
     "request_rules": """
 WITH r AS (
   SELECT o_orderkey AS request_id,
-         CAST((o_orderkey * 7) % 2500 AS INTEGER) AS ts,
+         CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST((o_orderkey * 7) % 2500 AS INTEGER) END AS ts,
          CAST((o_orderkey * 13) % 2500 AS INTEGER) AS te,
          CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 1100 AS INTEGER) END AS lo,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST((o_orderkey * 3) % 1100 AS INTEGER) END AS hi,
@@ -242,6 +242,7 @@ p AS (
   SELECT request_id, list_filter([
     CASE WHEN ts IS NOT NULL AND NOT (ts >= 0 AND ts < 2400 AND ts % 100 < 60) THEN 'time_start is not a valid hhmm time' END,
     CASE WHEN te IS NOT NULL AND NOT (te >= 0 AND te < 2400 AND te % 100 < 60) THEN 'time_end is not a valid hhmm time' END,
+    CASE WHEN (ts IS NULL AND te IS NOT NULL) OR (ts IS NOT NULL AND te IS NULL) THEN 'a time range needs both bounds' END,
     CASE WHEN ts IS NOT NULL AND te IS NOT NULL AND te < ts THEN 'time_start exceeds time_end' END,
     CASE WHEN (lo IS NULL) <> (hi IS NULL) THEN 'enrollment needs both bounds' END,
     CASE WHEN (lo IS NOT NULL AND NOT (lo BETWEEN 1 AND 1000)) OR (hi IS NOT NULL AND NOT (hi BETWEEN 1 AND 1000)) THEN 'enrollment bounds must be in 1..1000' END,

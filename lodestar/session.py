@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_written: list[tuple[SparkSession, str]] = []
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -36,60 +39,68 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                                  str(shuffle_partitions or os.cpu_count() or 8))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when the setting is absent (local tests) a fresh scratch folder is
-    created; a cluster deployment always provides the shared location."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local master may run without the setting (tests, bench); it gets a
+    scratch folder of its own. A cluster session without it is refused."""
+    configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used by the iterative jobs (crawl levels, tree levels) so the plan does
-    not grow with the number of iterations and a lost executor does not force
-    a recomputation from the first level. The plan is persisted first, so the
-    checkpoint writes what the counting pass computed instead of computing
-    it a second time; the cache is released once the files are written."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
-def materialize(df: DataFrame, reliable: bool = True, stats=()):
-    """Compute ``df`` once and return it with its row count (and, when
-    ``stats`` aggregate Columns are given, a Row of those aggregates taken in
-    the same pass: ``(df, n, row)``).
-
-    ``reliable=True`` also checkpoints it into the shared checkpoint folder
-    (lineage cut, survives executor loss); otherwise it stays persisted
-    (memory and disk) and a lost block is recomputed from its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    row = cached.agg(F.count(F.lit(1)).alias("_n"), *stats).first()
-    n = row["_n"]
-    out = cached
-    if reliable:
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-    return (out, n, row) if stats else (out, n)
-
-
-# Largest row count a side may have to be broadcast after a size check.
-BROADCAST_MAX_ROWS = 500_000
+    return configured.rstrip("/")
+
+
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Used by the iterative jobs (crawl levels, tree levels, shared
+    intermediate tables): the plan does not grow with the number of
+    iterations, each level is computed once, a lost executor costs only the
+    tasks it was running, and nothing stays cached. The tables are dropped
+    when the Python driver ends; a lazy result may read them until then."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, stats=()):
+    """``cut_lineage`` with the row count (and, when ``stats`` aggregate
+    Columns are given, a Row of those aggregates): ``(df, n[, row])``."""
+    out = cut_lineage(df)
+    row = out.agg(F.count(F.lit(1)).alias("_n"), *stats).first()
+    return (out, row["_n"], row) if stats else (out, row["_n"])
+
+
+def first_by(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The ``n`` smallest rows by ``order``, for any ``n``: rows are dealt
+    into ranges, whole ranges are kept up to the one that holds the n-th row,
+    and only that one is ranked. The driver reads one count per range."""
+    dealt = cut_lineage(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()))
+    kept, left = [], n
+    for r in sorted(dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("c")).collect(), key=lambda r: r["_range"]):
+        if r["c"] > left:
+            last = dealt.where(F.col("_range") == r["_range"])
+            last = last.withColumn("_i", F.row_number().over(Window.partitionBy("_range").orderBy(order)))
+            return (dealt.where(F.col("_range").isin(kept)) if kept else dealt.where(F.lit(False))).unionByName(
+                last.where(F.col("_i") <= left).drop("_i")).drop("_range")
+        kept.append(r["_range"])
+        left -= r["c"]
+    return dealt.drop("_range")
+
+
+@atexit.register
+def _drop_written() -> None:
+    for spark, path in _written:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has ended: its files are left to the cluster's own cleaning
+            return
