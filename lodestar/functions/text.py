@@ -4,6 +4,9 @@ from a title (T6), and html-to-text helpers for block extraction (T5)."""
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,7 +95,7 @@ def title_key(title: Column, width: int = 10) -> Column:
 
 def title_rest(title: Column, width: int = 10) -> Column:
     """What follows the key in the trimmed title."""
-    return F.substring(trim_ws(title), width + 1, 1 << 30)
+    return F.substr(trim_ws(title), F.lit(width + 1))
 
 
 def trim_ws(text: Column) -> Column:
@@ -101,25 +104,69 @@ def trim_ws(text: Column) -> Column:
     return F.regexp_replace(text, f"^{cls}+|{cls}+$", "")
 
 
-# Named entities decoded when html is turned into text.
-HTML_ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+ENTITY_RE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _named() -> Column:
+    """The html standard's named character references, as one literal map
+    (names end in ';' in the standard's own table)."""
+    table = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric character references of a text, each decoded once;
+    unknown ones stay, nbsp becomes a space. Texts without any are untouched."""
+    # split at the references: pieces[i] stands before refs[i]
+    refs = F.regexp_extract_all(text, F.lit(ENTITY_RE), 0)
+    pieces = F.split(text, ENTITY_RE, -1)
+
+    def char(ref):
+        body = F.substr(ref, F.lit(2), F.length(ref) - 2)
+        point = F.when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.substr(body, F.lit(3)), 16, 10)) \
+            .otherwise(F.conv(F.substr(body, F.lit(2)), 10, 10)).cast("int")
+        ok = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        numeric = F.when(ok, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+        return F.coalesce(F.when(body.startswith("#"), numeric).otherwise(F.try_element_at(_named(), body)), ref)
+
+    joined = F.array_join(F.zip_with(pieces, F.concat(F.transform(refs, char), F.array(F.lit(""))), lambda p, c: F.concat(p, c)), "")
+    joined = F.replace(joined, F.lit("\u00a0"), F.lit(" "))
+    return F.when(text.contains("&") & (F.size(refs) > 0), joined).otherwise(text)
 
 
 def html_text(fragment: Column) -> Column:
     """Visible text of an html fragment: script/style bodies and comments
-    removed, tags replaced by a space, common entities decoded (&amp; last)."""
-    out = F.regexp_replace(fragment, "(?is)<(script|style)[^>]*>.*?</\\1>", " ")
+    removed, tags replaced by a space, character references decoded."""
+    out = F.regexp_replace(fragment, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
     out = F.regexp_replace(out, "(?s)<!--.*?-->", " ")
-    out = F.regexp_replace(out, "<[^>]*>", " ")
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    return decode_entities(F.regexp_replace(out, "<[^>]*>", " "))
+
+
+def tag_tokens(html: Column, tag: str) -> Column:
+    """The html cut at the open and close tags of one element name: tags and
+    what lies between them, in order (array)."""
+    mark = "\u0001"
+    return F.split(F.regexp_replace(html, rf"(?is)(</?{tag}(?=[\s/>])[^>]*>)", f"{mark}$1{mark}"), mark, -1)
+
+
+def html_elements(html: Column, tag: str) -> Column:
+    """Inner html of every outermost <tag> element, in order (array). Elements
+    of the same name may be nested; one that is never closed ends with the
+    text."""
+    tokens = tag_tokens(html, tag)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
+
+    def step(s, t):
+        opens, closes = t.rlike(rf"(?is)^<{tag}(?=[\s/>])"), t.rlike(rf"(?is)^</{tag}(?=[\s/>])")
+        depth = F.when(opens, s["depth"] + 1).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
+        ends = closes & (s["depth"] == 1)
+        cur = F.when(s["depth"] == 0, F.lit("")).when(ends, F.lit("")).otherwise(F.concat(s["cur"], t))
+        out = F.when(ends, F.concat(s["out"], F.array(s["cur"]))).otherwise(s["out"])
+        return F.struct(depth.alias("depth"), cur.alias("cur"), out.alias("out"))
+
+    return F.aggregate(tokens, start, step, lambda s: F.when(s["depth"] > 0, F.concat(s["out"], F.array(s["cur"]))).otherwise(s["out"]))
 
 
 def html_element(html: Column, tag: str) -> Column:
     """Inner html of the first <tag>...</tag> element ('' when absent)."""
-    return F.regexp_extract(html, f"(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>", 1)
+    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)

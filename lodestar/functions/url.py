@@ -7,7 +7,7 @@ scheme and a host), unlike ``try_parse_url`` which returns nulls for it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 URL_RE = r"^(([A-Za-z][A-Za-z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
@@ -30,10 +30,33 @@ HOST_SUFFIXES = (".edu", ".org", ".com", ".net")
 FOLLOW_EXTENSIONS = ("", ".html")
 
 
-def url_part(url: Column, part: str) -> Column:
-    """scheme (lower-cased), authority, path, query or fragment; '' if absent."""
-    v = F.regexp_extract(url, URL_RE, _GROUP[part])
-    return F.lower(v) if part == "scheme" else v
+class Url:
+    """A url's text and parts: columns made by ``with_parts``, or expressions
+    over a plain text column."""
+
+    def __init__(self, url: Column, prefix: str | None = None):
+        self.text, self._prefix = url, prefix
+
+    def __getitem__(self, part: str) -> Column:
+        if self._prefix is not None:
+            return F.col(f"{self._prefix}{part}")
+        v = F.regexp_extract(self.text, URL_RE, _GROUP[part])
+        return F.lower(v) if part == "scheme" else v
+
+
+def with_parts(df: DataFrame, url: str, prefix: str) -> DataFrame:
+    """``df`` with the parts of column ``url`` as columns of their own (absent
+    parts are ''), so that each is parsed once however often it is used. (A
+    struct would be taken apart by the optimizer and parsed again per use.)"""
+    return df.withColumns({f"{prefix}{part}": Url(F.col(url))[part] for part in _GROUP})
+
+
+def part_names(*prefixes: str) -> list[str]:
+    return [f"{p}{part}" for p in prefixes for part in _GROUP]
+
+
+def _url(x) -> Url:
+    return x if isinstance(x, Url) else Url(x)
 
 
 # Schemes whose urls carry a network location (Python's
@@ -43,15 +66,15 @@ USES_NETLOC = ("", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "f
                "nfs", "git", "git+ssh", "ws", "wss", "itms-services")
 
 
-def remove_fragment(url: Column) -> Column:
+def remove_fragment(url: Column | Url) -> Column:
     """T2 with ``urldefrag`` semantics: a url without '#' is unchanged; a url
     with one is re-composed from its parts without the fragment, which
     lower-cases the scheme, drops an empty query and an empty ';' parameter,
     and keeps '//' only with an authority, an explicit '//' path, or a
     network scheme with an empty or rooted path."""
-    s, a = url_part(url, "scheme"), url_part(url, "authority")
-    q = url_part(url, "query")
-    p = F.regexp_replace(url_part(url, "path"), "^(.*/)?([^/;]*);$", "$1$2")
+    u = _url(url)
+    url, s, a, q = u.text, u["scheme"], u["authority"], u["query"]
+    p = F.regexp_replace(u["path"], "^(.*/)?([^/;]*);$", "$1$2")
     rooted = (p == "") | p.startswith("/")
     body = (F.when(a != "", F.concat(F.lit("//"), a, F.when(rooted, p).otherwise(F.concat(F.lit("/"), p))))
             .when(p.startswith("//"), F.concat(F.lit("//"), p))
@@ -62,9 +85,10 @@ def remove_fragment(url: Column) -> Column:
     return F.when(url.contains("#"), out).otherwise(url)
 
 
-def is_absolute(url: Column) -> Column:
+def is_absolute(url: Column | Url) -> Column:
     """Non-empty and has an authority."""
-    return F.coalesce((F.length(url) > 0) & (F.length(url_part(url, "authority")) > 0), F.lit(False))
+    u = _url(url)
+    return F.coalesce((F.length(u.text) > 0) & (F.length(u["authority"]) > 0), F.lit(False))
 
 
 def _resolve_path(base_path: Column, ref_path: Column) -> Column:
@@ -99,46 +123,46 @@ def _resolve_path(base_path: Column, ref_path: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
-def url_join(base: Column, ref: Column) -> Column:
+def url_join(base: Column | Url, ref: Column | Url) -> Column:
     """RFC 3986 reference resolution (Python ``urljoin`` semantics) for a
     reference without a fragment."""
-    b_scheme, b_auth = url_part(base, "scheme"), url_part(base, "authority")
-    b_path, b_query = url_part(base, "path"), url_part(base, "query")
-    r_scheme, r_path, r_query = url_part(ref, "scheme"), url_part(ref, "path"), url_part(ref, "query")
-    r_has_query = ref.contains("?")
-    prefix = F.concat(b_scheme, F.lit("://"), b_auth)
+    b, r = _url(base), _url(ref)
+    prefix = F.concat(b["scheme"], F.lit("://"), b["authority"])
+    r_has_query = r.text.contains("?")
 
     def q(v, present):
         return F.when(present, F.concat(F.lit("?"), v)).otherwise(F.lit(""))
 
     # a reference with the base's own scheme is read without it
-    ref_no_scheme = F.when(r_scheme == b_scheme,
-                           F.regexp_replace(ref, "^[A-Za-z][A-Za-z0-9+.\\-]*:", "")).otherwise(ref)
+    ref_no_scheme = F.when(r["scheme"] == b["scheme"],
+                           F.substr(r.text, F.length(r["scheme"]) + 2)).otherwise(r.text)
+    ref_no_scheme = F.when(r["scheme"] != "", ref_no_scheme).otherwise(r.text)
     return (
-        F.when(ref == "", base)
-        .when((r_scheme != "") & (r_scheme != b_scheme), ref)
-        .when(ref_no_scheme.startswith("//") & (url_part(ref_no_scheme, "authority") != ""),
-              F.concat(b_scheme, F.lit(":"), ref_no_scheme))
-        .when(r_path == "",
-              F.concat(prefix, b_path,
-                       F.when(r_has_query, q(r_query, F.lit(True)))
-                       .otherwise(q(b_query, base.contains("?")))))
-        .otherwise(F.concat(prefix, _resolve_path(b_path, r_path), q(r_query, r_has_query)))
+        F.when(r.text == "", b.text)
+        .when((r["scheme"] != "") & (r["scheme"] != b["scheme"]), r.text)
+        .when(ref_no_scheme.startswith("//") & (r["authority"] != ""),
+              F.concat(b["scheme"], F.lit(":"), ref_no_scheme))
+        .when(r["path"] == "",
+              F.concat(prefix, b["path"],
+                       F.when(r_has_query, q(r["query"], F.lit(True)))
+                       .otherwise(q(b["query"], b.text.contains("?")))))
+        .otherwise(F.concat(prefix, _resolve_path(b["path"], r["path"]), q(r["query"], r_has_query)))
     )
 
 
-def resolve_link(current: Column, link: Column) -> Column:
+def resolve_link(current: Column | Url, link: Column | Url) -> Column:
     """T4 ``convert_if_relative_url``: null when the link is empty or the
     current url is not absolute; an absolute link as is; a first path
     segment that looks like a host, or a link starting with 'www', gets
     'http://'; anything else is joined to the current url."""
-    first_seg = F.element_at(F.split(url_part(link, "path"), "/", -1), 1)
+    cur, new = _url(current), _url(link)
+    first_seg = F.get(F.split(new["path"], "/", 2), 0)
     looks_like_host = F.substring(first_seg, -4, 4).isin(*HOST_SUFFIXES)
     return (
-        F.when((link == "") | ~is_absolute(current), F.lit(None).cast("string"))
-        .when(is_absolute(link), link)
-        .when(looks_like_host | link.startswith("www"), F.concat(F.lit("http://"), link))
-        .otherwise(url_join(current, link))
+        F.when((new.text == "") | ~is_absolute(cur), F.lit(None).cast("string"))
+        .when(is_absolute(new), new.text)
+        .when(looks_like_host | new.text.startswith("www"), F.concat(F.lit("http://"), new.text))
+        .otherwise(url_join(cur, new))
     )
 
 
@@ -150,22 +174,22 @@ def path_extension(path: Column) -> Column:
     return F.regexp_extract(body, "(\\.[^.]*)$", 1)
 
 
-def ok_to_follow(url: Column, domain: str, blocked_prefixes=ARCHIVE_PREFIXES) -> Column:
+def ok_to_follow(url: Column | Url, domain: str, blocked_prefixes=ARCHIVE_PREFIXES) -> Column:
     """F13 ``is_url_ok_to_follow``: no 'mailto:', no '@', not under a blocked
     prefix, scheme http/https, non-empty authority, no fragment, no query,
     authority equal to the domain or a subdomain of it, extension '' or
     '.html'. A null url is not followed."""
-    scheme, auth = url_part(url, "scheme"), url_part(url, "authority")
+    u = _url(url)
     blocked = F.lit(False)
     for p in blocked_prefixes:
-        blocked = blocked | url.startswith(p)
+        blocked = blocked | u.text.startswith(p)
     cond = (
-        ~url.contains("mailto:") & ~url.contains("@") & ~blocked
-        & scheme.isin("http", "https")
-        & (auth != "")
-        & (url_part(url, "fragment") == "")
-        & (url_part(url, "query") == "")
-        & ((auth == domain) | auth.endswith("." + domain))
-        & path_extension(url_part(url, "path")).isin(*FOLLOW_EXTENSIONS)
+        ~u.text.contains("mailto:") & ~u.text.contains("@") & ~blocked
+        & u["scheme"].isin("http", "https")
+        & (u["authority"] != "")
+        & (u["fragment"] == "")
+        & (u["query"] == "")
+        & ((u["authority"] == domain) | u["authority"].endswith("." + domain))
+        & path_extension(u["path"]).isin(*FOLLOW_EXTENSIONS)
     )
     return F.coalesce(cond, F.lit(False))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import (STOP_WORDS, html_element, html_text, index_words,
+from lodestar.functions.text import (STOP_WORDS, html_element, html_elements, html_text, index_words, tag_tokens,
                                      title_key, title_rest)
 
 
@@ -21,34 +21,34 @@ from lodestar.functions.text import (STOP_WORDS, html_element, html_text, index_
 
 def page_blocks(pages: DataFrame, block_tag: str = "article", title_tag: str = "h1",
                 key_width: int = 10) -> DataFrame:
-    """One block per page: the ``block_tag`` element; its ``title_tag`` text is
-    the title, the rest of the block is the description. The key is the first
-    ``key_width`` characters of the trimmed title (T6), the title words are
-    what follows the key.
-
-    Output: page_id, code, title_text, desc_text."""
-    block = html_element(F.col("html"), block_tag)
-    title_html = html_element(block, title_tag)
-    desc_html = F.regexp_replace(block, f"(?is)<{title_tag}(?:\\s[^>]*)?>.*?</{title_tag}>", " ")
-    return (pages.select("page_id", block.alias("block"), html_text(title_html).alias("title"),
-                         html_text(desc_html).alias("desc_text"))
-            .where(F.length("block") > 0)
-            .select("page_id", title_key(F.col("title"), key_width).alias("code"),
+    """Every ``block_tag`` element of every page, one row each; its
+    ``title_tag`` text is the title, the rest of the block is the description.
+    The key is the first ``key_width`` characters of the trimmed title (T6),
+    the title words are what follows the key.
+
+    Output: page_id, block_no (from 0), code, title_text, desc_text."""
+    blocks = pages.select("page_id", F.posexplode(html_elements(F.col("html"), block_tag)).alias("block_no", "block"))
+    title_html = html_element(F.col("block"), title_tag)
+    desc_html = F.regexp_replace("block", rf"(?is)<{title_tag}(?:\s[^>]*)?>.*?</{title_tag}\s*>", " ")
+    return (blocks.where(F.length("block") > 0)
+            .select("page_id", "block_no", html_text(title_html).alias("title"), html_text(desc_html).alias("desc_text"))
+            .select("page_id", "block_no", title_key(F.col("title"), key_width).alias("code"),
                     title_rest(F.col("title"), key_width).alias("title_text"), "desc_text"))
 
 
 # --- G6 / G7: postings ------------------------------------------------------------
 
-def text_postings(df: DataFrame, key_cols, text_cols, stop_words=STOP_WORDS) -> DataFrame:
+def text_postings(df: DataFrame, key_cols, text_cols, stop_words=STOP_WORDS, unique: bool = False) -> DataFrame:
     """G6 + G7: distinct (key..., word) over the words of every text column.
 
     Words of all text columns are concatenated per row before one explode;
     ``distinct`` is the union over blocks and pages (a word found twice for
-    one key is one posting)."""
+    one key is one posting). With ``unique`` the caller states that a key has
+    one row: its words are distinct already and nothing is shuffled."""
     words = F.array_distinct(F.concat(*[index_words(F.coalesce(F.col(c), F.lit("")), stop_words, distinct=True)
                                         for c in text_cols]))
-    return (df.select(*key_cols, F.explode(words).alias("word"))
-            .distinct())
+    out = df.select(*key_cols, F.explode(words).alias("word"))
+    return out if unique else out.distinct()
 
 
 def matching_postings(df: DataFrame, key: str, text_col: str, terms) -> DataFrame:
@@ -66,15 +66,12 @@ def matching_postings(df: DataFrame, key: str, text_col: str, terms) -> DataFram
     return (df.where(any_sub).select(key, F.explode(words).alias("word")).distinct())
 
 
-def grouped_index(postings: DataFrame, key: str, max_keys_per_row: int = 100_000) -> DataFrame:
-    """The dict form word -> sorted keys, with bounded rows: a word with more
-    than ``max_keys_per_row`` keys is split over several rows (``part``), by a
-    hash of the key, so no group holding a very common word is collected
-    into one task. Rows of one word together hold exactly its key set."""
-    freq = postings.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_keys_per_row)))
-    return (postings.join(freq, "word")
-            .withColumn("part", F.pmod(F.xxhash64(F.col(key)), parts))
+def grouped_index(postings: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """The dict form word -> sorted keys: every word has up to ``parts`` rows
+    (``part``, by hash of the key, whatever the size), so a very common word
+    is not collected into one task. Rows of one word together hold exactly its
+    key set."""
+    return (postings.withColumn("part", F.pmod(F.xxhash64(F.col(key)), F.lit(parts)))
             .groupBy("word", "part").agg(F.array_sort(F.collect_set(key)).alias("keys")))
 
 
@@ -127,7 +124,7 @@ def last_marker(df: DataFrame, part: str, order: str, is_marker: Column,
     rows are windowed inside (part, order div chunk) only; the marker carried
     in from earlier chunks comes from a table with one row per chunk, whose
     window is ``chunk`` times smaller. Requires an integral ``order``."""
-    c = F.floor(F.col(order) / chunk)
+    c = F.expr(f"`{order}` div {chunk}")
     rows = df.withColumn("_chunk", c).withColumn("_mark", F.when(is_marker, F.col(order)))
     w_in = (Window.partitionBy(part, "_chunk").orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -157,16 +154,42 @@ def inherited_postings(rows: DataFrame, part: str, order: str, group_col: str,
 
 # --- T5 / W5 / T8 on catalogue pages: course blocks and sequences ------------------------
 
-# A page is read as a sequence of tokens: whole course-block divs, any other
-# tag, or a run of non-space text. Whitespace between tokens is ignored, so a
-# subsequence block belongs to the main block before it when only whitespace
-# and other subsequence blocks lie in between.
-BLOCK_RE = r'<div\s+class="courseblock\s+(main|subsequence)"[^>]*>(.*?)</div>'
-TOKEN_RE = "(?is)" + BLOCK_RE + r"|<[^>]*>|[^<\s]+"
+# A page is read as a sequence of tokens: div tags and what lies between them.
+# A course-block div (its class is exactly one of the two texts, wherever the
+# attribute stands) runs to its own close tag, other divs in it included.
+# Whitespace between blocks is ignored, so a subsequence block belongs to the
+# main block before it when only whitespace and other subsequence blocks lie in
+# between.
+BLOCK_CLASS_RE = r"""(?is)^<div(?=\s)[^>]*?\sclass\s*=\s*["']courseblock\s+(main|subsequence)["']"""
 
 
 def _p_text(block: Column, css: str) -> Column:
-    return html_text(F.regexp_extract(block, f'(?is)<p\\s+class="{css}"[^>]*>(.*?)</p>', 1))
+    return html_text(F.regexp_extract(block, rf"""(?is)<p(?=\s)[^>]*?\sclass\s*=\s*["']{css}["'][^>]*>(.*?)</p\s*>""", 1))
+
+
+def _block_items(html: Column) -> Column:
+    """array<struct<k, t>> of a page: course blocks (k = main or subsequence,
+    t = inner html) and, with k = '', anything else that is not whitespace."""
+    tokens = tag_tokens(html, "div")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("kind"), F.lit("").alias("cur"),
+                     F.array().cast("array<struct<k:string,t:string>>").alias("out"))
+
+    def step(s, t):
+        opens, closes = t.rlike(r"(?is)^<div(?=[\s/>])"), t.rlike(r"(?is)^</div(?=[\s/>])")
+        kind = F.lower(F.regexp_extract(t, BLOCK_CLASS_RE, 1))
+        inside = s["depth"] > 0
+        begins = ~inside & (kind != "")
+        ends = closes & (s["depth"] == 1)
+        depth = (F.when(begins, F.lit(1)).when(inside & opens, s["depth"] + 1).when(inside & closes, s["depth"] - 1)
+                 .otherwise(s["depth"]))
+        cur = F.when(begins | ends | ~inside, F.lit("")).otherwise(F.concat(s["cur"], t))
+        item = F.when(ends, F.struct(s["kind"].alias("k"), s["cur"].alias("t"))).when(
+            ~inside & ~begins & t.rlike(r"\S"), F.struct(F.lit("").alias("k"), F.lit("").alias("t")))
+        out = F.when(item.isNotNull(), F.concat(s["out"], F.array(item))).otherwise(s["out"])
+        return F.struct(depth.alias("depth"), F.when(begins, kind).otherwise(s["kind"]).alias("kind"), cur.alias("cur"), out.alias("out"))
+
+    return F.aggregate(tokens, start, step, lambda s: F.when(
+        s["depth"] > 0, F.concat(s["out"], F.array(F.struct(s["kind"].alias("k"), s["cur"].alias("t"))))).otherwise(s["out"]))
 
 
 def course_blocks(pages: DataFrame, key_width: int = 10) -> DataFrame:
@@ -179,9 +202,8 @@ def course_blocks(pages: DataFrame, key_width: int = 10) -> DataFrame:
 
     Grouping is done inside each page's row (a page is one row), so no
     window or shuffle is needed and a page's size bounds the work."""
-    tokens = F.regexp_extract_all(F.col("html"), F.lit(TOKEN_RE), 0)
-    kind_of = lambda t: F.regexp_extract(t, "(?is)^" + BLOCK_RE, 1)   # 'main' / 'subsequence' / ''
-    kinds = F.transform(tokens, kind_of)
+    items = pages.select("page_id", _block_items(F.col("html")).alias("items"))
+    kinds = F.transform("items", lambda x: x["k"])
     # fold: state = (current header position or 0, array of header positions)
     empty = F.array().cast("array<int>")
 
@@ -193,12 +215,11 @@ def course_blocks(pages: DataFrame, key_width: int = 10) -> DataFrame:
         return F.struct(head.alias("cur"), F.concat(acc["heads"], F.array(head)).alias("heads"))
 
     heads = F.aggregate(kinds, F.struct(F.lit(0).alias("cur"), empty.alias("heads")), step)["heads"]
-    rows = pages.select("page_id", F.posexplode(F.arrays_zip(tokens.alias("t"), kinds.alias("k"),
-                                                              heads.alias("h"))).alias("pos0", "z"))
-    rows = rows.where(F.col("z.k") != "").select(
-        "page_id", (F.col("pos0") + 1).alias("pos"), F.col("z.k").alias("kind"),
-        F.when((F.col("z.k") == "subsequence") & (F.col("z.h") > 0), F.col("z.h")).alias("header_pos"),
-        F.col("z.t").alias("block"))
+    rows = items.select("page_id", F.posexplode(F.arrays_zip("items", heads.alias("h"))).alias("pos0", "z"))
+    rows = rows.where(F.col("z.items.k") != "").select(
+        "page_id", (F.col("pos0") + 1).alias("pos"), F.col("z.items.k").alias("kind"),
+        F.when((F.col("z.items.k") == "subsequence") & (F.col("z.h") > 0), F.col("z.h")).alias("header_pos"),
+        F.col("z.items.t").alias("block"))
     title = _p_text(F.col("block"), "courseblocktitle")
     return rows.select("page_id", "pos", "kind", "header_pos",
                        title_key(title, key_width).alias("code"),
@@ -210,7 +231,7 @@ def course_postings(blocks: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     """T7 + T8 + G6 on course blocks: every block keeps its own title and
     description words; a subsequence block also gets its header's words.
     Output distinct (page_id, code, word)."""
-    own = text_postings(blocks, ["page_id", "pos", "code"], ["title_text", "desc_text"], stop_words)
+    own = text_postings(blocks, ["page_id", "pos", "code"], ["title_text", "desc_text"], stop_words, unique=True)
     headers = own.select("page_id", F.col("pos").alias("header_pos"), "word")
     members = blocks.where(F.col("header_pos").isNotNull()).select("page_id", "pos", "code", "header_pos")
     inherited = members.join(headers, ["page_id", "header_pos"]).select("page_id", "pos", "code", "word")

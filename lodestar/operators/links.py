@@ -17,28 +17,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.url import ok_to_follow, remove_fragment, resolve_link
+from lodestar.functions.text import decode_entities
+from lodestar.functions.url import Url, ok_to_follow, part_names, remove_fragment, resolve_link, with_parts
 from lodestar.session import cut_lineage, first_by, materialize
 
-HREF_RE = r"(?i)<a\s[^>]*?href\s*=\s*\"([^\"]*)\""
+# An anchor's open tag up to the value of its href: whole attribute names, any
+# of the three quoting forms, any attribute order. Comments and the bodies of
+# scripts and styles are no markup.
+NOT_MARKUP_RE = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+HREF_RE = (r"(?is)<a(?:\s+(?!href[\s=/>])[^\s=>\"'/]+(?:\s*=\s*" + _VALUE + r")?|\s*/)*+\s+href\s*=\s*(" + _VALUE + ")")
 
 
 def extract_links(pages: DataFrame) -> DataFrame:
-    """Every anchor href of every page with its position (0-based)."""
-    return pages.select("page_id", "url",
-                        F.posexplode(F.regexp_extract_all(F.col("html"), F.lit(HREF_RE), 1)).alias("pos", "href"))
+    """Every anchor href of every page with its position (0-based),
+    character references decoded."""
+    markup = F.regexp_replace("html", NOT_MARKUP_RE, " ")
+    found = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(markup, F.lit(HREF_RE), 1)).alias("pos", "raw"))
+    quoted = F.substring("raw", 1, 1).isin('"', "'")
+    bare = F.when(quoted, F.substr("raw", F.lit(2), F.length("raw") - 2)).otherwise(F.col("raw"))
+    return found.select("page_id", "url", "pos", decode_entities(bare).alias("href"))
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
     """T2 + T3 + T4: fragment removed, then resolved against the page's own
-    url; links that cannot be resolved (null) are dropped."""
-    return (links.withColumn("link", resolve_link(F.col("url"), remove_fragment(F.col("href"))))
-            .where(F.col("link").isNotNull()))
+    url; links that cannot be resolved (null) are dropped. Each text is parsed
+    once, in a column of its own."""
+    step = with_parts(with_parts(links, "url", "_base_"), "href", "_ref_")
+    step = step.withColumn("_bare", remove_fragment(Url(F.col("href"), "_ref_")))
+    # a link is null exactly for an empty reference or a page url without a
+    # host; the test stands here because a filter on the finished link would be
+    # pushed down with the whole resolution in it
+    step = step.where((F.col("_bare") != "") & (F.col("_base_authority") != ""))
+    step = with_parts(step, "_bare", "_bare_")
+    out = step.withColumn("link", resolve_link(Url(F.col("url"), "_base_"), Url(F.col("_bare"), "_bare_")))
+    return out.drop("_bare", *part_names("_base_", "_ref_", "_bare_"))
 
 
 def follow_flags(links: DataFrame, domain: str, column: str = "link") -> DataFrame:
     """F13 as a flag column ``ok``."""
-    return links.withColumn("ok", ok_to_follow(F.col(column), domain))
+    step = with_parts(links, column, "_link_")
+    return step.withColumn("ok", ok_to_follow(Url(F.col(column), "_link_"), domain)).drop(*part_names("_link_"))
 
 
 def page_edges(pages: DataFrame) -> DataFrame:

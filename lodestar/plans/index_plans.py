@@ -19,7 +19,7 @@ MAPPED_HOST_RE = r"^https?://[^/?#]*\.example\.com([/?#]|$)"
 
 def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (doc_id, word) over every document."""
-    return X.text_postings(load(spark, sf_dir, "documents"), ["doc_id"], ["text"])
+    return X.text_postings(load(spark, sf_dir, "documents"), ["doc_id"], ["text"], unique=True)
 
 
 def word_doc_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def sequence_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = load(spark, sf_dir, "conversations")
     groups = X.last_marker(conv.select("conv_id", "turn", "role"), "conv_id", "turn",
                            F.col("role") == "user", out="header_turn")
-    postings = X.text_postings(conv, ["conv_id", "turn"], ["text"])
+    postings = X.text_postings(conv, ["conv_id", "turn"], ["text"], unique=True)
     return X.inherited_postings(groups, "conv_id", "turn", "header_turn", postings)
 
 
@@ -146,7 +146,7 @@ def _trim(x: str) -> str:
 
 
 _BLOCKS = f"""
-b0 AS (SELECT page_id, url, regexp_extract(html, '(?is)<article(?:\\s[^>]*)?>(.*?)</article>', 1) AS block
+b0 AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<article(?:\\s[^>]*)?>(.*?)</article>', 1)) AS block
        FROM pages WHERE html IS NOT NULL AND length(html) > 0),
 b1 AS (SELECT page_id, url,
          {_html_text("regexp_extract(block, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)")} AS title,

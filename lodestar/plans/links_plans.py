@@ -107,10 +107,12 @@ def _ok_sql(u: str) -> str:
             f"AND {ext} IN ('', '.html'), false)")
 
 
-_HREF = "(?i)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\""
+_OPEN_A = "(?is)<a\\s[^>]*>"
+_HREF = "(?is)\\shref\\s*=\\s*\"([^\"]*)\""
 
 _EXTRACT = f"""
-ex AS (SELECT page_id, url, regexp_extract_all(html, '{_HREF}', 1) AS l FROM pages),
+ex AS (SELECT page_id, url, [replace(regexp_extract(a, '{_HREF}', 1), '&amp;', '&') FOR a IN regexp_extract_all(
+  regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>', ' ', 'g'), '{_OPEN_A}') IF regexp_matches(a, '{_HREF}')] AS l FROM pages),
 links AS (SELECT page_id, url, unnest(l) AS href, CAST(unnest(range(len(l))) AS INTEGER) AS pos FROM ex)
 """
 
