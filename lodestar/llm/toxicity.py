@@ -22,10 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import partial
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +56,11 @@ class Linear:
             z = z + p * F.lit(w)
         return 1 / (1 + F.exp(-z))
 
+    def of(self, found: list[str], earlier: np.ndarray) -> float:
+        """The same for one training row."""
+        z = self.intercept + sum(self.by_word.get(w, 0.0) for w in found) + float(np.dot(earlier, self.by_category))
+        return float(1 / (1 + np.exp(-z)))
+
 
 @dataclass
 class Constant:
@@ -69,6 +72,9 @@ class Constant:
     def probability(self, found: Column, earlier: list[Column]) -> Column:
         return F.lit(self.share)
 
+    def of(self, found: list[str], earlier: np.ndarray) -> float:
+        return self.share
+
 
 @dataclass
 class Chain:
@@ -99,62 +105,99 @@ def _evidence(in_class: Column, total: Column, positives: Column, rows: Column)
     return 2 * (part(in_class, total, share) + part(total - in_class, total, 1 - share))
 
 
-def _fit(rows: DataFrame, counts: DataFrame, label: str, but: int | None, folds: int, earlier: list[str],
-         max_words: int, min_evidence: float, penalty: float, max_iter: int):
-    """A logistic model of ``label`` without fold ``but`` on the words that
-    tell most about it, at most ``max_words``, and on ``earlier``."""
-    used = [f for f in range(folds) if f != but]
-    part = rows.where(F.col("_fold").isin(used))
-    seen = part.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("k")).first()
-    if not seen["n"] or seen["k"] in (0, seen["n"]):
-        return Constant(seen["k"] / seen["n"] if seen["n"] else 0.0)
-    k, n = (sum(F.col(f"{c}{f}") for f in used) for c in "kn")
-    words_of = (counts.select("w", k.alias("k"), n.alias("n")).where(F.col("n") > 1)
-                .withColumn("g", _evidence(F.col("k"), F.col("n"), F.lit(seen["k"]), F.lit(seen["n"])))
-                .where(F.col("g") >= min_evidence).orderBy(F.desc("g"), "w").limit(max_words))
-    vocabulary = [r["w"] for r in words_of.collect()]
-    if vocabulary:
-        part = CountVectorizerModel.from_vocabulary(vocabulary, "_words", "_vector").setBinary(True).transform(part)
-    inputs = ["_vector"] * bool(vocabulary) + earlier
-    if not inputs:
-        return Constant(seen["k"] / seen["n"])
-    data = VectorAssembler(inputCols=inputs, outputCol="features").transform(part)
-    data = data.select(F.col(label).cast("double").alias("label"), "features")
-    model = LogisticRegression(regParam=penalty, standardization=False, maxIter=max_iter).fit(data)
-    weight = model.coefficients.toArray()
-    return Linear({w: float(x) for w, x in zip(vocabulary, weight, strict=False) if x},
-                  [float(w) for w in weight[len(vocabulary):]], float(model.intercept))
+def _newton(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 25) -> np.ndarray:
+    """Weights and, last, the intercept of a logistic model with a quadratic
+    penalty on the weights. ``x`` has a row per training document."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.full(x.shape[1], penalty * len(x))
+    ridge[-1] = 0.0
+    w = np.zeros(x.shape[1])
+    share = y.mean()
+    w[-1] = np.log(share / (1 - share))
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * (ridge * w * w).sum()
+
+    now = loss(w)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(ridge + 1e-9), x.T @ (p - y) + ridge * w)
+        scale = 1.0
+        while (after := loss(w - scale * step)) > now and scale > 1e-4:
+            scale /= 2
+        if now - after < 1e-9 * abs(now):
+            break
+        w, now = w - scale * step, after
+    return w
+
+
+def _fit(found: list[list[str]], y: np.ndarray, earlier: np.ndarray, vocabulary: list[str], penalty: float) -> Linear | Constant:
+    if not len(y) or y.min() == y.max() or not vocabulary and not earlier.shape[1]:
+        return Constant(float(y.mean()) if len(y) else 0.0)
+    column = {w: i for i, w in enumerate(vocabulary)}
+    x = np.zeros((len(y), len(vocabulary) + earlier.shape[1]))
+    for i, own in enumerate(found):
+        x[i, [column[w] for w in own if w in column]] = 1.0
+    x[:, len(vocabulary):] = earlier
+    w = _newton(x, y, penalty)
+    return Linear(dict(zip(vocabulary, w.tolist(), strict=False)), w[len(vocabulary):-1].tolist(), float(w[-1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_id: str = "doc_id", text: str = "text",
-          max_labelled: int = 20_000, max_words: int = 1024, min_evidence: float = 10.0, folds: int = 3,
-          penalty: float = 3e-5, max_iter: int = 50) -> Chain:
+          max_labelled: int = 20_000, max_words: int = 256, min_evidence: float = 10.0, folds: int = 3,
+          penalty: float = 3e-5) -> Chain:
+    """The word counts are made by Spark over the training documents' whole
+    texts; the driver then reads at most ``max_labelled`` rows, each with its
+    share of the chosen words (at most ``max_words`` per model)."""
     chosen = (labels.groupBy(F.col(doc_id).alias("_id")).agg(*[F.max(c).cast("int").alias(f"y_{c}") for c in categories])
               .where(F.col("_id").isNotNull()).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     rows = rows.join(F.broadcast(chosen), "_id")  # at most max_labelled rows of a few numbers
     rows = rows.withColumn("_words", words(F.col("_text"))).drop("_text")
     rows = stage(rows.withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(folds))), "toxicity-rows")
-    models, earlier = [], []
+
+    def sums(of):
+        return [F.sum(F.when((F.col("_fold") == f) & F.col(f"y_{c}").isNotNull(), F.col(f"y_{c}") if kind == "k" else F.lit(1))
+                      .otherwise(0)).alias(f"{kind}_{c}_{f}") for c in categories for f in range(folds) for kind in of]
+
+    counts = stage(rows.select("_fold", *[f"y_{c}" for c in categories], F.explode("_words").alias("w")).groupBy("w").agg(*sums("kn")),
+                   "toxicity-counts")
+    totals = rows.agg(*sums("kn")).first()
+    vocabulary: dict[tuple, list[str]] = {}
+    for c in categories:
+        for but in (None, *range(folds)):
+            used = [f for f in range(folds) if f != but]
+            all_k, all_n = (sum(totals[f"{kind}_{c}_{f}"] or 0 for f in used) for kind in "kn")
+            if all_k in (0, all_n):
+                vocabulary[c, but] = []
+                continue
+            k, n = (sum(F.col(f"{kind}_{c}_{f}") for f in used) for kind in "kn")
+            best = (counts.select("w", k.alias("k"), n.alias("n")).where("n > 1")
+                    .withColumn("g", _evidence(F.col("k"), F.col("n"), F.lit(all_k), F.lit(all_n)))
+                    .where(F.col("g") >= min_evidence).orderBy(F.desc("g"), "w").limit(max_words))
+            vocabulary[c, but] = [r["w"] for r in best.collect()]
+
+    weighed = sorted({w for v in vocabulary.values() for w in v})
+    found = F.array_sort(F.array_intersect("_words", F.lit(weighed))) if weighed else F.array().cast("array<string>")
+    table = rows.select("_id", "_fold", *[f"y_{c}" for c in categories], found.alias("found")).orderBy("_id", "found").collect()
+    fold = np.array([r["_fold"] for r in table], np.int64)
+    earlier, models = np.zeros((len(table), 0)), []
     for i, c in enumerate(categories):
-        y = f"y_{c}"
-        known = rows.where(F.col(y).isNotNull())
-        by_fold = [x for f in range(folds) for x in (
-            F.sum(F.when(F.col("_fold") == f, F.col(y)).otherwise(0)).alias(f"k{f}"),
-            F.sum(F.when(F.col("_fold") == f, 1).otherwise(0)).alias(f"n{f}"))]
-        counts = stage(known.select("_fold", y, F.explode("_words").alias("w"))
-                       .groupBy("w").agg(*by_fold), "toxicity-counts")
-        fit = partial(_fit, known, counts, y, folds=folds, earlier=list(earlier), max_words=max_words,
-                      min_evidence=min_evidence, penalty=penalty, max_iter=max_iter)
-        models.append(fit(but=None))
-        if i + 1 < len(categories):  # what later models read: probabilities for documents outside the training part
-            out_of_fold = F.lit(None).cast("double")
+        y = np.array([np.nan if r[f"y_{c}"] is None else r[f"y_{c}"] for r in table], float)
+
+        def fit(but, c=c, y=y):
+            at = np.flatnonzero(~np.isnan(y) & (fold != (-1 if but is None else but)))
+            return _fit([table[k]["found"] for k in at], y[at], earlier[at], vocabulary[c, but], penalty)
+
+        models.append(fit(None))
+        if i + 1 < len(categories):  # what later models read: probabilities by models that have not seen the document
+            out = np.zeros(len(table))
             for f in range(folds):
-                model = fit(but=f)
-                found = F.array_intersect(F.col("_words"), F.lit(sorted(model.by_word))) if model.by_word else F.col("_words")
-                out_of_fold = F.when(F.col("_fold") == f, model.probability(found, [F.col(e) for e in earlier])).otherwise(out_of_fold)
-            rows = stage(rows.withColumn(f"o_{c}", out_of_fold), "toxicity-folds")
-            earlier.append(f"o_{c}")
+                model = fit(f)
+                at = np.flatnonzero(fold == f)
+                out[at] = [model.of(table[k]["found"], earlier[k]) for k in at]
+            earlier = np.hstack([earlier, out[:, None]])
     return Chain(list(categories), models)
 
 
