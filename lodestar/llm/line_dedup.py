@@ -15,7 +15,9 @@ of thousands of near lines costs a row per variant, never a row per pair.
 
 Only lines that can have a partner get that far: lines within one edit agree
 in all but one of any few segments, so lines alone with all their "all but one
-segment" keys are left out, first with 2 segments and then with ``SEGMENTS``.
+segment" keys are left out, first with 2 segments and then with ``SEGMENTS``;
+what is left of a line's neighbourhood are the places in segments that it shares
+all others around.
 The first answer goes back to the texts as a fixed-size bit filter of line
 hashes (``FILTER_BITS``); what it lets through by chance is removed by an exact
 join.
@@ -85,15 +87,15 @@ class Lines:
     def slice_hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (self.sums[b] - self.sums[a]) * self.inverse[a]
 
-    def gapped_keys(self, segments: int) -> tuple[np.ndarray, np.ndarray]:
-        """(line, key): lines within one edit share the key of all but one
-        segment. Lengths are rounded down a little, so that most lines have
+    def gapped_keys(self, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(line, key, a, b): lines within one edit share the key of all but
+        one segment, which is a:b of the line. Lengths are rounded down a little, so that most lines have
         one rounded length in common with those one character shorter."""
         def rounded(n):
             step = 1 << np.maximum(0, np.floor(np.log2(np.maximum(n, 1))).astype(np.int64) - 3)
             return n // step * step
 
-        lines, keys = [], []
+        lines, keys, froms, tos = [], [], [], []
         own, less = rounded(self.size), rounded(np.maximum(self.size - 1, 0))
         for base, of in ((own, np.arange(len(own))), (less[less != own], np.flatnonzero(less != own))):
             for s in range(segments):
@@ -101,18 +103,21 @@ class Lines:
                 a, b = self.start[of], self.end[of]
                 key = T.mix(self.slice_hash(a, a + head)) + T.mix(self.slice_hash(b - tail, b) + U(1)) * U(3)
                 lines.append(of)
+                froms.append(head)
+                tos.append(b - a - tail)
                 keys.append(T.mix(key + T.mix(base.astype(np.uint64) * U(segments) + U(s))))
-        return np.concatenate(lines), np.concatenate(keys)
+        return tuple(np.concatenate(x) for x in (lines, keys, froms, tos))
 
-    def neighbourhood(self, i: int) -> list[tuple[np.ndarray, int]]:
+    def neighbourhood(self, i: int, places: np.ndarray | None = None) -> list[tuple[np.ndarray, int]]:
         """(keys, role) of line ``i``: replaced at a place; one character
-        longer than another line (role 1); that other line itself (role 0)."""
+        longer than another line (role 1); that other line itself (role 0).
+        ``places``: the characters that may be left out (all by default)."""
         a, b = int(self.start[i]), int(self.end[i])
-        at = np.arange(a, b)
+        at = np.arange(a, b) if places is None else a + places
         n = np.array([b - a], np.uint64)
         head = self.slice_hash(np.full(len(at), a), at)
         tail = self.slice_hash(at + 1, np.full(len(at), b))
-        place = T.powers(len(at) + 1)[0][:len(at)]
+        place = T.powers(b - a + 1)[0][at - a]
         # the hash that the line has without its character k
         without = head + tail * place
         whole = self.slice_hash(np.array([a]), np.array([b]))
@@ -143,7 +148,7 @@ def line_table(rows: DataFrame) -> DataFrame:
         for b in batches:
             for part, texts in _batches(b, 2):
                 x = Lines(texts)
-                line, key = x.gapped_keys(2)
+                line, key, _, _ = x.gapped_keys(2)
                 line, key = line[x.size[line] >= MIN_NEAR], key[x.size[line] >= MIN_NEAR]
                 by = np.argsort(line, kind="stable")
                 ends = np.searchsorted(line[by], np.arange(len(x.row) + 1))
@@ -156,9 +161,9 @@ def line_table(rows: DataFrame) -> DataFrame:
 
 
 def sharing(keys: DataFrame) -> DataFrame:
-    """The distinct h of ``keys`` (h, key) that share a key with another h."""
+    """The rows of ``keys`` (h, key, ...) whose key another h has too."""
     shared = keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("key")
-    return keys.join(shared, "key", "left_semi").select("h").distinct()
+    return keys.join(shared, "key", "left_semi")
 
 
 def bit_filter(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -209,25 +214,39 @@ def _keys_of(lines: DataFrame, schema: str, make) -> DataFrame:
 def near_lines(first: DataFrame, keys: DataFrame, rows: DataFrame) -> DataFrame:
     """h of the distinct lines that have an earlier line within one edit.
     ``first``: (h, at) with the earliest place of each line."""
-    texts = stage(line_texts(rows, stage(sharing(keys), "line-candidates")), "line-texts")
+    wanted = stage(sharing(keys).select("h").distinct(), "line-candidates")
+    texts = stage(line_texts(rows, wanted), "line-texts")
 
     def gapped(part, x):
-        line, key = x.gapped_keys(SEGMENTS)
-        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(x.row[line])), _signed(key)], ["h", "key"])
+        line, key, a, b = x.gapped_keys(SEGMENTS)
+        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(x.row[line])), _signed(key),
+                                          pa.array(a, pa.int32()), pa.array(b, pa.int32())], ["h", "key", "a", "b"])
 
-    closer = sharing(_keys_of(texts, "h bigint, key bigint", gapped))
-    close = stage(texts.join(closer, "h", "left_semi").join(first, "h"), "line-close")
+    # where a line can differ from another: at most two segments' worth of
+    # places per rounded length, a bounded list per line
+    gaps = (sharing(_keys_of(texts, "h bigint, key bigint, a int, b int", gapped))
+            .groupBy("h").agg(F.collect_set(F.struct("a", "b")).alias("gaps")))
+    close = stage(texts.join(gaps, "h").join(first, "h"), "line-close")
 
     def variants(part, x):
+        spans = part.column(2)
         for i in range(len(x.row)):
-            h = part.column(0)[int(x.row[i])]
-            for key, role in x.neighbourhood(i):
-                for k in range(0, len(key), 1 << 16):
-                    n = len(key[k:k + (1 << 16)])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([h.as_py()] * n, pa.int64()), _signed(key[k:k + n]), pa.array([role] * n, pa.int32())], ["h", "key", "role"])
-
-    emitted = stage(_keys_of(close.select("h", "text"), "h bigint, key bigint, role int", variants)
+            h, line = part.column(0)[int(x.row[i])], int(x.row[i])
+            places = np.unique(np.concatenate([np.arange(g["a"], g["b"]) for g in spans[line].as_py()]))
+            for key, role in x.neighbourhood(i, places):
+                yield h.as_py(), key, role
+
+    def variant_batches(part, x):
+        h, keys, roles = [], [], []
+        for name, key, role in variants(part, x):
+            h.append(np.full(len(key), name, np.int64))
+            keys.append(key)
+            roles.append(np.full(len(key), role, np.int32))
+        if h:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h)), _signed(np.concatenate(keys)), pa.array(np.concatenate(roles))],
+                                             ["h", "key", "role"])
+
+    emitted = stage(_keys_of(close.select("h", "text", "gaps"), "h bigint, key bigint, role int", variant_batches)
                     .join(first, "h"), "line-variants")
     place = F.struct("at", "h")
     earliest = emitted.groupBy("key").agg(
