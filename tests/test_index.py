@@ -93,8 +93,26 @@ def test_course_blocks_and_sequences(spark):
 def test_grouped_index_bounded_rows(spark):
     postings = spark.createDataFrame([(k, "common") for k in range(50)] + [(1, "rare"), (2, "rare")],
                                      "doc int, word string")
-    rows = X.grouped_index(postings, "doc", max_keys_per_row=10).collect()
+    rows = X.grouped_index(postings, "doc", parts=4).collect()
     common = [r for r in rows if r.word == "common"]
     assert all(len(r["keys"]) <= 25 for r in common) and len(common) >= 2
     assert sorted(k for r in common for k in r["keys"]) == list(range(50))
-    assert [r["keys"] for r in rows if r.word == "rare"] == [[1, 2]]
+    assert sorted(k for r in rows if r.word == "rare" for k in r["keys"]) == [1, 2]
+
+
+def test_every_block_with_nested_tags(spark):
+    html = ('<article><h1>CMSC 12100. Intro one</h1><p>first <article>nested</article> tail</article>mid'
+            '<article id="q"><h1 class="t">MATH 15100. Calc &amp; more</h1>second</article>')
+    got = X.page_blocks(spark.createDataFrame([(1, html), (2, "no block")], "page_id long, html string")).orderBy("block_no").collect()
+    assert [(r.page_id, r.code, r.title_text.strip()) for r in got] == [(1, "CMSC 12100", ". Intro one"), (1, "MATH 15100", ". Calc & more")]
+    assert got[0].desc_text.split() == ["first", "nested", "tail"] and got[1].desc_text.split() == ["second"]
+
+
+def test_course_block_attributes_in_any_order_and_inner_divs(spark):
+    html = ('<div id="w"><div id="i" class="courseblock main"><p x=1 class="courseblocktitle"><b>CMSC 12100-12200. Seq</b></p>'
+            '<div>inner</div><p class="courseblockdesc">Desc one.</p></div> <div class=\'courseblock subsequence\'>'
+            '<p class="courseblocktitle">CMSC 12100. Part</p><div><p class="courseblockdesc">Sub desc</p></div></div>text'
+            '<div class="courseblock subsequence"><p class="courseblocktitle">ORPH 1</p></div></div>')
+    got = X.course_blocks(spark.createDataFrame([(2, html)], "page_id long, html string")).orderBy("pos").collect()
+    assert [(r.kind, r.header_pos is not None, r.code, r.desc_text) for r in got] == [
+        ("main", False, "CMSC 12100", "Desc one."), ("subsequence", True, "CMSC 12100", "Sub desc"), ("subsequence", False, "ORPH 1", "")]

@@ -1,15 +1,12 @@
-"""The registered iterative queries (no SQL oracle) against plain-Python
-brute force on the smallest scale factor."""
+"""The registered tree scoring against a plain-Python tree on the smallest
+scale factor."""
 
 import math
-import os.path
-import urllib.parse
-from collections import Counter, deque
+from collections import Counter
 
 import duckdb
 
 import __spark_entry__ as E
-from lodestar.plans import links_plans as LPL
 
 
 def _rows(sql):
@@ -72,37 +69,3 @@ def test_tree_predict_query_matches_brute_force(spark, sf_small):
     expected = {d["doc_id"]: _predict(tree, d) for d in docs}
     got = {r.doc_id: r.prediction for r in E.queries()["tree_predict"](spark, sf_small).collect()}
     assert got == expected
-
-
-# ---- crawl -------------------------------------------------------------------
-
-def _ok(url):
-    if "mailto:" in url or "@" in url:
-        return False
-    p = urllib.parse.urlparse(url)
-    if p.scheme not in ("http", "https") or not p.netloc or p.fragment or p.query:
-        return False
-    if not (p.netloc == LPL.DOMAIN or p.netloc.endswith("." + LPL.DOMAIN)):
-        return False
-    return os.path.splitext(p.path)[1] in ("", ".html")
-
-
-def test_crawl_budget_query_matches_fifo(spark, sf_small):
-    pages = _rows(f"SELECT page_id, url FROM read_parquet('{sf_small}/pages.parquet') "
-                  "WHERE html IS NOT NULL AND length(html) > 0 ORDER BY page_id")
-    url_of = dict(pages)
-    n = len(pages)
-    seed = next(u for _, u in pages if _ok(u))
-    by_url = {u: i for i, u in pages}
-    out, seen, q = [], {seed}, deque([seed])
-    while q and len(out) < LPL.BUDGET:
-        u = q.popleft()
-        out.append(u)
-        i = by_url[u]
-        for a, b in LPL.EDGE_RULES:
-            v = url_of[(a * i + b) % n]
-            if v not in seen and _ok(v):
-                seen.add(v)
-                q.append(v)
-    got = E.queries()["crawl_budget"](spark, sf_small).collect()
-    assert sorted(r.url for r in got) == sorted(out)

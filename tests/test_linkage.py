@@ -82,3 +82,25 @@ def test_self_pair_weights(spark):
                                                           ("name",), self_pairs_key="index").collect()}
     # block b1: ordered pairs of different records: (1,2),(2,1) equal names; 4 pairs x/y
     assert counts == {"high": 2, "low": 4}
+
+
+def test_null_fields_keep_their_pairs(spark):
+    """Three records, one without a name: all nine ordered pairs of the block
+    get a label; a null pairs up at level low, also with a null."""
+    recs = spark.createDataFrame([(1, "x", "b"), (2, None, "b"), (3, "x", "b"), (4, "x", None)], "index int, name string, blk string")
+    clf = LK.tuple_domain(spark, ("name",)).withColumn("label", F.col("s_name"))
+    counts = {r.label: r.n_pairs for r in LK.label_counts(recs, recs, F.col("blk"), F.col("blk"), clf, ("name",)).collect()}
+    assert counts == {"high": 4, "low": 5}
+    pairs = LK.label_pairs(recs, recs, F.col("blk"), F.col("blk"), clf, ("name",)).collect()
+    assert {(r.zindex, r.findex): r.label for r in pairs} == {
+        (a, b): "high" if {a, b} <= {1, 3} else "low" for a in (1, 2, 3) for b in (1, 2, 3)} and len(pairs) == 9
+
+
+def test_training_counts_by_hand(spark):
+    spark.catalog.clearCache()
+    left = spark.createDataFrame([(1, "anna"), (2, "bob"), (3, None)], "index int, name string")
+    known = spark.createDataFrame([(1, 1), (2, 2), (2, 2)], "zindex int, findex int")
+    unmatched = spark.createDataFrame([(1, 2), (3, 1)], "zindex int, findex int")
+    got = LK.training_distribution(left, left, known, unmatched, ("name",)).collect()
+    assert {(r.s_name, r.m_cnt, r.u_cnt, r.n_m, r.n_u) for r in got} == {("high", 3, 0, 3, 2), ("low", 0, 2, 3, 2)}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()

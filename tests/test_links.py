@@ -48,3 +48,22 @@ def test_link_extraction_and_resolution(spark):
     assert [(r.pos, r.link) for r in links] == [(0, "http://s.example.com/a"), (1, "http://s.example.com/dir/b.html")]
     flags = LN.follow_flags(LN.resolve_links(LN.extract_links(pages)), DOMAIN).select(F.min("ok")).first()[0]
     assert flags is True
+
+
+def test_anchors_in_all_forms(spark):
+    html = """<!-- <a href="no1"> --><script>var a='<a href="no2">'</script><a data-href="x1" href="y1">A</a>
+        <A class='q' HREF='b.html?x=1&amp;y=2'>B</A><a href=/c id=z>C</a><a name="n">N</a><abbr href="no"></abbr>
+        <a title="see href='no3'" href="d">D</a><a
+        href = "e" >E</a><a href="">F</a>"""
+    pages = spark.createDataFrame([(1, "http://s.example.com/dir/p.html", html)], "page_id long, url string, html string")
+    got = [(r.pos, r.href) for r in LN.extract_links(pages).orderBy("pos").collect()]
+    assert got == [(0, "y1"), (1, "b.html?x=1&y=2"), (2, "/c"), (3, "d"), (4, "e"), (5, "")]
+    assert LN.page_edges(pages).count() == 5
+
+
+def test_budget_rows_by_ranges(spark):
+    from lodestar.session import first_by
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    for n in (0, 1, 17, 999, 1000, 2000):
+        assert sorted(r.k for r in first_by(df, "k", n).collect()) == list(range(min(n, 1000)))

@@ -76,9 +76,23 @@ def test_request_rules_table(spark):
 def test_display_names_count_and_query_split(spark, tables):
     out = S.find_courses(tables, {"dept": "MATH"})
     labelled = S.with_display_names(out)
-    assert labelled.columns == ["Department", "Course Number", "Course Title"]
+    assert labelled.columns == ["Department", "Course", "Title"]
     assert S.result_count(out) == 1
     assert S.split_query("  quantum\tplato  ") == ["quantum", "plato"]
     df = spark.createDataFrame([("  quantum\u00a0plato  ",)], "q string")
     from pyspark.sql import functions as F
     assert df.select(S.split_query_col(F.col("q")).alias("t")).first().t == ["quantum", "plato"]
+
+
+def test_a_time_range_needs_both_bounds(spark):
+    schema = "time_start int, time_end int, enroll_lo int, enroll_hi int, building_code string, walking_time int"
+    rows = [(900, 1000, None, None, None, None), (900, None, None, None, None, None), (None, 1000, None, None, None, None),
+            (None, None, None, None, None, None)]
+    got = [r.problems for r in S.request_rule_violations(spark.createDataFrame(rows, schema)).collect()]
+    assert got == [[], ["a time range needs both bounds"], ["a time range needs both bounds"], []]
+
+
+def test_anchor_takes_one_whole_row(spark, tables):
+    gps = spark.createDataFrame([("RY", 5.0, 1.0), ("RY", 2.0, 9.0), ("RY", None, 0.0)], "building_code string, lon double, lat double")
+    lon, lat = S.anchor_point(gps, "RY")
+    assert tuple(spark.range(1).select(lon, lat).first()) == (2.0, 9.0)
