@@ -27,6 +27,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,10 @@ from .staging import new_path, stage
 STEP = 256
 BLOCK_IDS = 1 << 17
 MAX_BITS = 18
-CACHE_ENTRIES = 400_000
+RUN_ENTRIES = 150_000
+PART_ENTRIES = 450_000
+ENCODE_IDS = 1 << 20
+PUNCTUATION = b".,;:!?#$%&*"
 
 
 # ---- code ------------------------------------------------------------------
@@ -131,11 +135,14 @@ class Code:
 
 # ---- tokenising ------------------------------------------------------------
 
-class _Chunks(dict):
+class _Runs(dict):
     """Ids of each run of text without white space, by the library, as bytes.
 
     The vocabulary's normaliser and pre-tokeniser never join characters over
-    ASCII white space, so a text's ids are those of its runs."""
+    ASCII white space, nor a letter or digit with ASCII punctuation behind it;
+    ASCII letters are lower-cased. So a text's ids are those of its runs, and a
+    run's those of its body and its closing punctuation. What is remembered is
+    bounded: runs are forgotten all at once, parts in two generations."""
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
@@ -143,18 +150,37 @@ class _Chunks(dict):
         super().__init__()
         self.kind, self.tokenizer = kind, Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.recent: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def __missing__(self, run: bytes) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= RUN_ENTRIES:
             self.clear()
-        ids = self.tokenizer.encode(run.decode(), add_special_tokens=False).ids
-        self[run] = out = np.array(ids, self.kind).tobytes()
+        body = run.rstrip(PUNCTUATION)
+        if body and len(body) < len(run) and category(normalize("NFC", body.decode()).lower()[-1])[0] in "LN":
+            out = self._part(body) + self._part(run[len(body):])
+        else:
+            out = self._part(run)
+        self[run] = out
+        return out
+
+    def _part(self, part: bytes) -> bytes:
+        if part.isascii():
+            part = part.lower()
+        out = self.recent.get(part)
+        if out is None:
+            out = self.before.get(part)
+            if out is None:
+                out = np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+            if len(self.recent) >= PART_ENTRIES:
+                self.before, self.recent = self.recent, {}
+            self.recent[part] = out
         return out
 
 
 @lru_cache(maxsize=2)
-def _chunks(path: str, kind: str) -> _Chunks:
-    return _Chunks(path, kind)
+def _runs(path: str, kind: str) -> _Runs:
+    return _Runs(path, kind)
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, kind: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -164,7 +190,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, kind: str, doc_id: str = "
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            of = _chunks(path, kind).__getitem__
+            of = _runs(path, kind).__getitem__
             ids = [b"".join(map(of, (t.as_py() or b"").split())) + end for t in b.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
@@ -193,17 +219,27 @@ def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
 
 def _encoded(tokens: DataFrame, code, kind: str) -> DataFrame:
     """Per document: n, its code bits and its checkpoints."""
+    width = np.dtype(kind).itemsize
+
+    def one(b):
+        raw = b.column(1).to_pylist()
+        sizes = np.array([len(x) // width for x in raw], np.int64)
+        payload, offset, within = code.value.encode(np.frombuffer(b"".join(raw), kind).astype(np.int64), sizes)
+        data, edge = payload.tobytes(), np.concatenate([[0], np.cumsum(sizes)])
+        marks = [within[i + STEP:j:STEP].astype("<u4").tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([
+            b.column(0), b.column(2), pa.array(sizes, pa.int64()),
+            pa.array([data[i:j] for i, j in zip(offset[:-1], offset[1:], strict=True)], pa.binary()),
+            pa.array(marks, pa.binary())], ["doc_id", "tie", "n", "bits", "checkpoints"])
+
     def run(batches):
         for b in batches:
-            raw = b.column(1).to_pylist()
-            sizes = np.array([len(x) // np.dtype(kind).itemsize for x in raw], np.int64)
-            payload, offset, within = code.value.encode(np.frombuffer(b"".join(raw), kind).astype(np.int64), sizes)
-            data, edge = payload.tobytes(), np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(2), pa.array(sizes, pa.int64()),
-                pa.array([data[i:j] for i, j in zip(offset[:-1], offset[1:], strict=True)], pa.binary()),
-                pa.array([within[i + STEP:j:STEP].astype("<u4").tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)], pa.binary()),
-            ], ["doc_id", "tie", "n", "bits", "checkpoints"])
+            ends = np.cumsum([len(x.as_buffer() or b"") for x in b.column(1)])
+            i = 0
+            while i < len(b):  # a bounded number of ids at a time
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + ENCODE_IDS * width, "right")))
+                yield one(b.slice(i, j - i))
+                i = j
 
     return tokens.mapInArrow(run, "doc_id bigint, tie bigint, n bigint, bits binary, checkpoints binary")
 
@@ -267,7 +303,10 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, voca
         part, block, first, held = 0, 0, 0, ([], [], [], [])
         for b in batches:
             for p, d, n, bits, marks in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                part = p
+                if p != part:
+                    if held[0]:
+                        yield one(part, block, first, held)
+                    part, block, first, held = p, 0, 0, ([], [], [], [])
                 for to, x in zip(held, (d, n, bits, marks), strict=True):
                     to.append(x)
                 if sum_of(held) >= BLOCK_IDS:
@@ -284,8 +323,13 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, voca
                                            "first": pa.array([first], pa.int64()), "n_ids": pa.array([sum(held[1])], pa.int64()),
                                            "data": pa.array([pack(*held)], pa.binary())})
 
-    ordered = _encoded(tokens, code, kind).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    (ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n", "bits", "checkpoints")
+    # ranges of doc_id by quantiles (one row), so that nothing is encoded twice to find them
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = tokens.agg(F.percentile_approx("doc_id", [i / n_parts for i in range(1, n_parts)] or [0.5], 100 * n_parts)).first()[0] or []
+    part = F.coalesce(F.size(F.filter(F.lit(sorted(set(cuts))).cast("array<bigint>"), lambda c: c < F.col("doc_id"))), F.lit(0))
+    ordered = (_encoded(tokens, code, kind).withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(part))
+               .repartition(n_parts, "part").sortWithinPartitions("part", "doc_id", "tie"))
+    (ordered.select("part", "doc_id", "n", "bits", "checkpoints")
      .mapInArrow(blocks, "part int, block int, first bigint, n_ids bigint, data binary")
      .write.option("compression", "none").parquet(f"{path}/blocks"))
 
@@ -308,7 +352,7 @@ def _read(spark, path: str, column: str, made) -> DataFrame:
         lengths[r["id"]] = r["bits"]
     code = spark.sparkContext.broadcast(Code(lengths))
     blocks = spark.read.schema("part int, block int, first bigint, n_ids bigint, data binary").parquet(f"{path}/blocks")
-    # one row per written file: bounded by the number of write tasks
+    # one row per range of doc_ids: bounded by the number of partitions
     parts = (blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
              .withColumn("part_start", F.sum("n").over(W.orderBy("part")) - F.col("n")).drop("n"))
 
