@@ -1,5 +1,6 @@
 """Record-linkage queries (job D) over ``part`` linked with itself on
-(p_name, p_brand, p_type), blocked on (p_brand, p_type).
+(p_name, p_brand, p_type), blocked on (p_brand, p_type,
+p_size).
 
 Training pairs are derived by equi joins on computed keys, so they grow
 linearly with the table:
@@ -22,14 +23,14 @@ MU, LAMBDA = 0.01, 0.05
 
 
 def _block():
-    """Brand and type: a few records each, so pairs grow with the table."""
-    return F.concat(F.col("brand"), F.lit("|"), F.col("type"))
+    """Brand, type and size: few records each."""
+    return F.concat(F.col("brand"), F.lit("|"), F.col("type"), F.lit("|"), F.col("size").cast("string"))
 
 
 def _records(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("index"), F.col("p_name").alias("name"),
-        F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), F.col("p_size").alias("size"))
 
 
 def _training(spark, sf_dir):
@@ -86,7 +87,7 @@ def link_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 aggregated: record pairs per label among all pairs of
-    different parts of the same brand and type (profile pairs weighted by counts)."""
+    different parts of the same brand, type and size (profile pairs weighted by counts)."""
     recs = _records(spark, sf_dir)
     return LK.label_counts(recs, recs, _block(), _block(), _classifier(spark, sf_dir),
                            FIELDS, self_pairs_key="index")
@@ -94,7 +95,7 @@ def link_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 + S8 rows: (zindex, findex, label) for every pair of
-    different parts of the same brand and type."""
+    different parts of the same brand, type and size."""
     recs = _records(spark, sf_dir)
     out = LK.label_pairs(recs, recs, _block(), _block(), _classifier(spark, sf_dir), FIELDS)
     return out.where(F.col("zindex") != F.col("findex"))
@@ -160,7 +161,7 @@ _PAIRS = f"""
   SELECT a.p_partkey AS zindex, b.p_partkey AS findex,
          {_lvl('a.p_name', 'b.p_name')} AS s_name, {_lvl('a.p_brand', 'b.p_brand')} AS s_brand,
          {_lvl('a.p_type', 'b.p_type')} AS s_type
-  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey),
+  FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey),
 labelled AS (SELECT c.zindex, c.findex, l.label FROM cand c JOIN clf l
   ON c.s_name = l.s_name AND c.s_brand = l.s_brand AND c.s_type = l.s_type)
 """

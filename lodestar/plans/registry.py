@@ -13,6 +13,7 @@ PLAN_MODULES = (
     "lodestar.plans.linkage_plans",
     "lodestar.plans.links_plans",
     "lodestar.plans.warmup_plans",
+    "lodestar.plans.io_plans",
 )
 
 

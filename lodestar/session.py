@@ -56,6 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, dropped when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -65,8 +72,7 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     tasks it was running, and nothing stays cached. The tables are dropped
     when the Python driver ends; a lazy result may read them until then."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

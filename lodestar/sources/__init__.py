@@ -1 +1 @@
-from lodestar.sources.tables import TABLE_SCHEMAS, load, register_views  # noqa: F401
+from lodestar.sources.tables import TABLE_SCHEMAS, load  # noqa: F401

@@ -7,7 +7,6 @@ data and can change types between files."""
 
 from __future__ import annotations
 
-import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +54,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
-    for name in names or TABLE_SCHEMAS:
-        load(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 # --- S1: page source -------------------------------------------------------
 
 def fetchable_pages(pages: DataFrame) -> DataFrame:
@@ -106,7 +100,7 @@ RECORD_RENAMES = {"restaurant name": "name", "street address": "address"}
 
 def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
     """Record list with header; columns renamed to (index, name, city, address)."""
-    df = spark.read.schema(RECORD_SCHEMA).option("header", "true").csv(path)
+    df = spark.read.schema(RECORD_SCHEMA).option("header", "true").option("escape", '"').csv(path)
     return df.withColumnsRenamed(RECORD_RENAMES)
 
 
@@ -145,8 +139,3 @@ def with_row_id(df: DataFrame) -> DataFrame:
 def read_single_column(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     """First column of a header-less CSV (the reference always reads column 0)."""
     return spark.read.option("header", "false").csv(path).select(F.col("_c0").alias(name))
-
-
-def load_json_file(path: str) -> dict:
-    with open(path) as fh:
-        return json.load(fh)
