@@ -164,6 +164,9 @@ def predict(model: TreeModel, df: DataFrame, key: str = "row_id") -> DataFrame:
     the node. The labels are joined back on the feature values (null-safe).
     Output: key, prediction."""
     feats = [c for c in model.features if c in df.columns]
+    if not feats or not model.levels:      # nothing to descend by: the root's label, one value
+        root = model.nodes.where(F.col("node_id") == ROOT).select(F.first("label")).scalar()
+        return df.select(key, root.alias("prediction"))
     cur = df.select(*feats).distinct()
     cur = cur.select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(feats)],
                      feature_map(cur, feats).alias("feats"), F.lit(ROOT).alias("node_id"))

@@ -15,9 +15,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lodestar.session import build_session  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
+from lodestar.plans.registry import all_queries  # noqa: E402
 
-ITERATIVE = {"crawl_bfs", "crawl_budget", "crawl_index", "tree_nodes", "tree_predict"}
+ITERATIVE = {"crawl_bfs", "crawl_budget", "crawl_index", "tree_nodes", "tree_describe", "tree_predict"}
 FLAGS = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
@@ -27,7 +27,7 @@ def main() -> None:
     everything = "--all" in sys.argv
     spark = build_session("local[8]", 8)
     bad = 0
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(all_queries().items()):
         if name in ITERATIVE and not everything:
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
