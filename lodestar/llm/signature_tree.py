@@ -16,12 +16,14 @@ link when den * |A and B| >= num * |A or B|.
    traversed together and left when the highest possible overlap of their
    bitmaps cannot reach the link's bound for their sizes, or when all their
    sets are in one component already. Sets that remain are compared exactly.
-   A group gives at most one edge per set, however many of its pairs link.
+   Sets in one component are not compared again, however many of them link.
 4. Every set first meets the largest of its groups, in cells of at most
    ``CELL`` sets that share ``PIVOTS`` sets of the group, so a group of any
-   size is spread over tasks. Components are merged; then all groups that
-   still hold more than one component are compared fully, cell against cell,
-   but for cell pairs that are in one component.
+   size is spread over tasks. Components are merged, and sets whose groups hold
+   more than one of them meet another of those groups, ``ROUNDS`` times in all.
+   Then all groups that are still open are traversed fully, cell against cell
+   and by bitmaps alone, but for cell pairs that are in one component; the
+   pairs of different components that remain are compared exactly.
 
 No pair of linked documents is lost; equal sets are one set throughout (a set
 is named by a 64-bit hash of its content).
@@ -49,9 +51,9 @@ from .staging import stage
 U = np.uint64
 CELL = 512
 PIVOTS = 8
+ROUNDS = 3
 LEAF = 8
 FANOUT = 4
-BITMAP_WORDS = 64
 FILTER_BITS = 27
 LARGEST_SET = 1 << 40
 
@@ -70,9 +72,10 @@ class Classes:
         self.first = np.array(first)
         self.last = np.append(self.first[1:] - 1, LARGEST_SET)
         #: most elements that two linked sets of the class can differ in, and
-        #: agreeing buckets that they have at least
+        #: agreeing buckets that they have at least: more than a set has empty
+        #: buckets, but for rare ones, so that empty buckets are seldom keys
         self.differ = 2 * self.last * (den - num) // (den + num)
-        self.agree = 2 + (self.differ * 2 + 24) // 25
+        self.agree = 3 + (self.differ + 4) // 5
         self.buckets = self.differ + self.agree
 
     def of(self, n: int) -> list[int]:
@@ -128,19 +131,6 @@ def _signed(x) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 
 
-def set_table(rows: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, name) of all rows (doc_id, text); name is null for the
-    empty set."""
-    def run(batches):
-        for b in batches:
-            sets = list(_sets(b.column(1), width))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([set_name(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n", "name"])
-
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, name bigint")
-
-
 def key_table(rows: DataFrame, width: int, classes: Classes) -> DataFrame:
     """(name, key) of all sets; a batch sends equal sets once."""
     def run(batches):
@@ -185,50 +175,73 @@ def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def candidate_sets(rows: DataFrame, width: int, classes: Classes, shared: DataFrame, bits: int) -> DataFrame:
-    """(name, elements, keys) of the sets with a key that passes the filter of
-    ``shared`` keys, and those keys."""
+def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame, bits: int) -> DataFrame:
+    """(doc_id, n, name, elements, keys) of all rows (doc_id, text): name is
+    null for the empty set; elements and keys are there for sets with a key
+    that passes the filter of ``shared`` keys (once per batch and set)."""
     words = rows.sparkSession.sparkContext.broadcast(bit_filter(shared, bits))
 
     def run(batches):
         for b in batches:
-            names, elements, keys, seen = [], [], [], set()
+            size, names, elements, keys, seen = [], [], [], [], set()
             for s in _sets(b.column(1), width):
-                if not len(s) or (name := set_name(s)) in seen:
-                    continue
-                seen.add(name)
-                k = set_keys(s, classes)
-                ok = np.ones(len(k), bool)
-                for p in _places(k, bits):
-                    ok &= (words.value[(p >> U(6)).astype(np.int64)] >> (p & U(63)) & U(1)).astype(bool)
-                if ok.any():
-                    names.append(name)
-                    elements.append(s.tobytes())
-                    keys.append(k[ok].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(elements, pa.binary()),
-                                              pa.array(keys, pa.list_(pa.int64()))], ["name", "elements", "keys"])
-
-    return rows.mapInArrow(run, "name bigint, elements binary, keys array<bigint>")
+                size.append(len(s))
+                names.append(set_name(s) if len(s) else None)
+                own = raw = None
+                if len(s) and names[-1] not in seen:
+                    seen.add(names[-1])
+                    k = set_keys(s, classes)
+                    ok = np.ones(len(k), bool)
+                    for p in _places(k, bits):
+                        ok &= (words.value[(p >> U(6)).astype(np.int64)] >> (p & U(63)) & U(1)).astype(bool)
+                    if ok.any():
+                        own, raw = k[ok].view(np.int64), s.tobytes()
+                elements.append(raw)
+                keys.append(own)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size, pa.int64()), pa.array(names, pa.int64()), pa.array(elements, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "name", "elements", "keys"])
+
+    return rows.mapInArrow(run, "doc_id bigint, n bigint, name bigint, elements binary, keys array<bigint>")
+
+
+def bitmap_of(s: np.ndarray) -> np.ndarray:
+    """Token bitmap of a set: about eight bits per element, a power of two of
+    64-bit words, so that bitmaps of other sizes fold onto each other."""
+    bits = max(64, 1 << (8 * len(s) - 1).bit_length())
+    at = np.unique(s & U(bits - 1))
+    out = np.zeros(bits >> 6, np.uint64)
+    word = (at >> U(6)).astype(np.int64)
+    head = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[head]] = np.bitwise_or.reduceat(U(1) << (at & U(63)), head)
+    return out
+
+
+def bitmap_table(found: DataFrame) -> DataFrame:
+    """(name, size, bitmap) of the sets of ``found`` (name, elements)."""
+    def run(batches):
+        for b in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array([bitmap_of(s).tobytes() for s in sets], pa.binary())], ["name", "size", "bitmap"])
+
+    return found.select("name", "elements").mapInArrow(run, "name bigint, size bigint, bitmap binary")
 
 
 # ---- trees -----------------------------------------------------------------
 
 class SignatureTree:
-    """Levels of nodes over some sets; level 0 holds the leaves."""
-
-    def __init__(self, sets: list[np.ndarray], label: np.ndarray):
-        self.sets, self.label = sets, label
-        self.size = np.array([len(s) for s in sets], np.int64)
-        bits = BITMAP_WORDS * 64
-        self.bitmap = np.zeros((len(sets), BITMAP_WORDS), np.uint64)
-        for i, s in enumerate(sets):
-            at = (s % U(bits)).astype(np.int64)
-            np.bitwise_or.at(self.bitmap[i], at >> 6, U(1) << (at & 63).astype(np.uint64))
+    """Levels of nodes over some sets, given by size, bitmap and a value that
+    puts like sets side by side; level 0 holds the leaves. All bitmaps are
+    folded to ``words`` words."""
+
+    def __init__(self, size: np.ndarray, bitmaps: list[np.ndarray], words: int, near: np.ndarray):
+        self.size = np.asarray(size, np.int64)
+        self.bitmap = np.array([np.bitwise_or.reduce(x.reshape(-1, words), axis=0) for x in bitmaps])
         #: elements that share a bit with another one of the same set
         self.hidden = self.size - np.bitwise_count(self.bitmap).sum(axis=1, dtype=np.int64)
-        first = np.array([s[0] if len(s) else 0 for s in sets], np.uint64)
-        self.order = np.lexsort((first, self.size))
-        self.levels, groups = [], [self.order[i:i + LEAF] for i in range(0, len(sets), LEAF)]
+        self.order = np.lexsort((near, self.size))
+        self.levels, groups = [], [self.order[i:i + LEAF] for i in range(0, len(self.size), LEAF)]
         level = [self._node(self.bitmap[g], self.size[g], self.size[g], self.hidden[g], g) for g in groups]
         while True:
             self.levels.append(level)
@@ -256,11 +269,13 @@ def _reachable(x, y, num: int, den: int) -> bool:
     return int(np.bitwise_count(x[0] & y[0]).sum()) + min(x[3], y[3]) >= need
 
 
-def link_edges(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_left: np.ndarray, at_right: np.ndarray,
-               num: int, den: int) -> None:
-    """Dual traversal. ``root`` is the union-find array over all sets of the
-    cell; ``at_left`` and ``at_right`` are the places of the trees' sets in it.
-    Links join components in place."""
+def traverse(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_left: np.ndarray, at_right: np.ndarray,
+             num: int, den: int, linked) -> list[tuple[int, int]]:
+    """Dual traversal of two trees (or one with itself). ``root`` is the
+    union-find array over all sets of the cell; ``at_left`` and ``at_right``
+    are the places of the trees' sets in it. ``linked(i, j, need)`` decides a
+    pair that cannot be ruled out: True joins its components in place, None
+    leaves it open; the open pairs are returned."""
     def find(i):
         while root[i] != i:
             root[i] = root[root[i]]
@@ -272,7 +287,7 @@ def link_edges(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_l
         return all(find(i) == x for i in at_left[left.members(level_a, a)]) and all(
             find(i) == x for i in at_right[right.members(level_b, b)])
 
-    same = left is right
+    same, still = left is right, []
     stack = [(len(left.levels) - 1, 0, len(right.levels) - 1, 0)]
     while stack:
         la, a, lb, b = stack.pop()
@@ -291,7 +306,10 @@ def link_edges(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_l
                         continue
                     if int(np.bitwise_count(left.bitmap[i] & right.bitmap[j]).sum()) + min(left.hidden[i], right.hidden[j]) < need:
                         continue
-                    if len(np.intersect1d(left.sets[i], right.sets[j], assume_unique=True)) >= need:
+                    answer = linked(at_left[i], at_right[j], need)
+                    if answer is None:
+                        still.append((at_left[i], at_right[j]))
+                    elif answer:
                         root[max(u, v)] = min(u, v)
         elif la >= lb and la > 0:
             if same and la == lb:  # an unordered pair of nodes of one tree: both sides at once
@@ -301,38 +319,74 @@ def link_edges(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_l
                 stack.extend((la - 1, i, lb, b) for i in x[4])
         else:
             stack.extend((la, a, lb - 1, j) for j in y[4])
+    return still
+
+
+def overlap_reaches(a: np.ndarray, b: np.ndarray, need: int) -> bool:
+    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+
+
+def _first_of(label: np.ndarray) -> np.ndarray:
+    """Union-find array in which equal labels are one component."""
+    _, group = np.unique(label, return_inverse=True)
+    first = np.full(int(group.max(initial=-1)) + 1, len(group))
+    np.minimum.at(first, group, np.arange(len(group)))
+    return first[group]
 
 
 def _cell_edges(num: int, den: int):
-    """For applyInArrow: the sets of a cell (side 0, and side 1 where two cells
-    of a group meet) to (a, b) edges between names, one per set at most."""
+    """For applyInArrow: the sets of a cell (name, label, elements) to (a, b)
+    edges between sets of different labels, one per set at most."""
     def run(t: pa.Table) -> pa.Table:
-        names, side = t["name"].to_numpy(), t["side"].to_numpy()
-        label = t["label"].to_numpy() if "label" in t.column_names else names
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in t["elements"]]
-        _, root = np.unique(label, return_inverse=True)
-        first = np.full(root.max() + 1, len(root))
-        np.minimum.at(first, root, np.arange(len(root)))
-        root = first[root]
+        names = t["name"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["elements"]]
+        bitmaps = [bitmap_of(s) for s in sets]
+        root, at = _first_of(t["label"].to_numpy()), np.arange(len(sets))
         before = root.copy()
+        tree = SignatureTree(np.array([len(s) for s in sets]), bitmaps, min(map(len, bitmaps)), np.array([s[0] for s in sets]))
+        traverse(tree, tree, root, at, at, num, den, lambda i, j, need: overlap_reaches(sets[i], sets[j], need))
+        for i in range(len(root)):
+            while root[i] != root[root[i]]:
+                root[i] = root[root[i]]
+        child = np.flatnonzero((root != at) & (before == at))
+        return pa.table({"a": pa.array(names[root[child]], pa.int64()), "b": pa.array(names[child], pa.int64())})
+
+    return run
+
+
+def _cell_pairs(num: int, den: int):
+    """For applyInArrow: the sets of one cell (side 0) or of two of a group
+    (sides 0 and 1), with bitmaps and components only, to the pairs (a, b) of
+    different components that may link."""
+    def run(t: pa.Table) -> pa.Table:
+        names, side, size = t["name"].to_numpy(), t["side"].to_numpy(), t["size"].to_numpy()
+        bitmaps = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["bitmap"]]
+        words, root = min(map(len, bitmaps)), _first_of(t["label"].to_numpy())
         halves = [np.flatnonzero(side == s) for s in np.unique(side)]
-        trees = [SignatureTree([sets[i] for i in h], label[h]) for h in halves]
-        if len(trees) == 1:
-            link_edges(trees[0], trees[0], root, halves[0], halves[0], num, den)
-        else:
-            link_edges(trees[0], trees[1], root, halves[0], halves[1], num, den)
-        out = []
-        for i in np.flatnonzero(before == np.arange(len(root))):
-            j = i
-            while root[j] != j:
-                j = root[j]
-            if i != j:
-                out.append((int(label[j]), int(label[i])))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+        near = np.array([x[0] for x in bitmaps])
+        trees = [SignatureTree(size[h], [bitmaps[i] for i in h], words, near[h]) for h in halves]
+        pairs = traverse(trees[0], trees[-1], root, halves[0], halves[-1], num, den, lambda i, j, need: None)
+        a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(np.minimum(names[a], names[b]), pa.int64()), "b": pa.array(np.maximum(names[a], names[b]), pa.int64())})
 
     return run
 
 
+def exact_links(pairs: DataFrame, elements: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose sets link."""
+    def run(batches):
+        for t in batches:
+            keep = []
+            for x, y in zip(t.column(2), t.column(3), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                keep.append(overlap_reaches(p, q, -(-num * (len(p) + len(q)) // (num + den))))
+            yield pa.RecordBatch.from_arrays([t.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"])
+
+    both = (pairs.join(elements.withColumnsRenamed({"name": "a", "elements": "x"}), "a")
+            .join(elements.withColumnsRenamed({"name": "b", "elements": "y"}), "b"))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
 # ---- join ------------------------------------------------------------------
 
 def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, doc_id: str = "doc_id",
@@ -341,55 +395,57 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, width: in
     reach) of every row of ``docs``."""
     classes = Classes(num, den)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(set_table(rows, width), "shingle-sets")
-    edges = set_links(rows, classes, width, filter_bits)
-    roots = components(edges, name="set-components") if edges is not None else None
-    if roots is None:
-        named = sets.withColumn("root", F.col("name"))
-    else:
-        roots = stage(roots, "set-roots")
-        named = sets.join(roots, sets["name"] == roots["node"], "left").withColumn("root", F.coalesce("root", "name")).drop("node")
-    smallest = named.where("name IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    smallest = stage(smallest, "component-ids")
+    shared = (key_table(rows, width, classes).groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"))
+              .where("low < high").select("key"))
+    shared = stage(shared, "shared-keys")
+    sets = stage(set_table(rows, width, classes, shared, filter_bits), "shingle-sets")
+    found = sets.where("elements IS NOT NULL").groupBy("name").agg(F.first("elements").alias("elements"), F.first("keys").alias("keys"))
+    edges = set_links(stage(found, "candidate-sets"), shared, num, den)
+    roots = stage(components(edges, name="set-components"), "set-roots")
+    named = sets.select("doc_id", "n", "name")
+    named = named.join(roots, named["name"] == roots["node"], "left").withColumn("root", F.coalesce("root", "name")).drop("node")
+    smallest = stage(named.where("name IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return (named.join(smallest.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def set_links(rows: DataFrame, classes: Classes, width: int, filter_bits: int = FILTER_BITS) -> DataFrame | None:
-    """(a, b) edges between set names that connect all linked sets."""
-    num, den = classes.num, classes.den
-    shared = (key_table(rows, width, classes).groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"))
-              .where("low < high").select("key"))
-    shared = stage(shared, "shared-keys")
-    if shared.isEmpty():
-        return None
-    found = candidate_sets(rows, width, classes, shared, filter_bits)
-    found = stage(found.groupBy("name").agg(F.first("elements").alias("elements"), F.first("keys").alias("keys")), "candidate-sets")
+def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) edges between set names that connect all linked sets of
+    ``found`` (name, elements, keys)."""
     elements = found.select("name", "elements")
     member = found.select("name", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
     member = stage(member, "set-groups")
 
-    # each set in the largest of its groups
     sizes = stage(member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("name")).alias("mark"),
                                             F.min("name").alias("low")), "group-sizes")
-    best = (member.join(sizes.select("key", "n"), "key").groupBy("name")
-            .agg(F.max(F.struct("n", "key")).alias("g")).select("name", "g.key", "g.n"))
     cells = F.ceil(F.col("n") / CELL).cast("int")
-    spread = best.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int")).select("key", "cell", "name")
-    low = member.join(sizes.where(F.col("n") > CELL).select("key", "n"), "key")
-    pivots = (low.groupBy("key", F.pmod(F.xxhash64("name", F.lit(1)), F.lit(PIVOTS)).alias("p"))
-              .agg(F.min("name").alias("name"), F.first("n").alias("n"))
-              .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "name"))
-    first = stage(spread.unionByName(pivots).distinct(), "tree-cells")
-    cell_rows = first.join(elements, "name").withColumn("side", F.lit(0))
-    one = stage(cell_rows.groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint"), "tree-edges")
-    label = components(one, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"})
-    label = stage(found.select("name").join(label, "name", "left").withColumn("label", F.coalesce("label", "name")), "tree-labels")
-
-    # groups of one membership are compared once; those of one component never
-    open_groups = (member.join(label, "name").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-                   .select("key").join(sizes, "key").groupBy("n", "mark", "low").agg(F.min("key").alias("key")))
-    open_groups = stage(open_groups.select("key", "n"), "open-groups")
+    open_groups, edges, label = sizes.select("key", "n"), None, None
+    for turn in range(ROUNDS):
+        # each set in one of its open groups: first the largest, then one by
+        # hash of the key, on which sets with like groups agree
+        own = member.join(open_groups, "key")
+        rank = F.struct("n", "key") if turn == 0 else F.struct(F.xxhash64("key", F.lit(turn)), "n", "key")
+        best = own.groupBy("name").agg(F.max(rank).alias("g")).select("name", "g.key", "g.n")
+        spread = best.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int")).select("key", "cell", "name")
+        pivots = (own.where(F.col("n") > CELL).groupBy("key", F.pmod(F.xxhash64("name", F.lit(1 + turn)), F.lit(PIVOTS)).alias("p"))
+                  .agg(F.min("name").alias("name"), F.first("n").alias("n"))
+                  .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "name"))
+        rows = stage(spread.unionByName(pivots).distinct(), "tree-cells")
+        if label is not None:  # a cell of one component has nothing to add
+            mixed = (rows.join(label, "name").groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+                     .where("a < b").select("key", "cell"))
+            rows = rows.join(mixed, ["key", "cell"], "left_semi").join(label, "name")
+        else:
+            rows = rows.withColumn("label", F.col("name"))
+        new = stage(rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint"), "tree-edges")
+        edges = new if edges is None else stage(edges.unionByName(new).distinct(), "tree-edges")
+        label = components(edges, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"})
+        label = stage(found.select("name").join(label, "name", "left").withColumn("label", F.coalesce("label", "name")), "tree-labels")
+        # groups of one membership are compared once; those of one component never
+        open_groups = (member.join(label, "name").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
+                       .select("key").join(sizes, "key").groupBy("n", "mark", "low").agg(F.min("key").alias("key")))
+        open_groups = stage(open_groups.select("key", "n"), "open-groups")
+
     rest = member.join(open_groups, "key").join(label, "name").withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
     rest = stage(rest, "open-members")
     span = rest.groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
@@ -400,9 +456,11 @@ def set_links(rows: DataFrame, classes: Classes, width: int, filter_bits: int =
     pairs = stage(pairs, "cell-pairs")
     sides = pairs.select("key", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side")).unionByName(
         pairs.where("i < j").select("key", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side")))
-    full = sides.join(rest.select("key", "cell", "name", "label"), ["key", "cell"]).drop("cell").join(elements, "name")
-    two = full.groupBy("key", "i", "j").applyInArrow(_cell_edges(num, den), "a bigint, b bigint")
-    return stage(one.unionByName(two).distinct(), "set-edges")
+    bitmaps = stage(bitmap_table(found), "set-bitmaps")
+    full = sides.join(rest.select("key", "cell", "name", "label"), ["key", "cell"]).drop("cell").join(bitmaps, "name")
+    may = full.groupBy("key", "i", "j").applyInArrow(_cell_pairs(num, den), "a bigint, b bigint").distinct()
+    two = exact_links(stage(may, "open-pairs"), elements, num, den)
+    return stage(edges.unionByName(two).distinct(), "set-edges")
 
 
 def op3_signature_join(spark, sf_dir: str) -> DataFrame:

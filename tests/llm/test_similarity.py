@@ -48,11 +48,23 @@ def test_tree_traversal_finds_the_components_of_all_pairs():
             want[want == want[j]] = want[i]
     for halves in ([np.arange(n)], [np.arange(0, n, 2), np.arange(1, n, 2)]):
         root = np.arange(n)
-        trees = [signature_tree.SignatureTree([sets[i] for i in h], h) for h in halves]
+        bitmaps = [signature_tree.bitmap_of(s) for s in sets]
+        size = np.array([len(s) for s in sets])
+        words = min(map(len, bitmaps))
+        trees = [signature_tree.SignatureTree(size[h], [bitmaps[i] for i in h], words, h) for h in halves]
+
+        def linked(i, j, need):
+            return signature_tree.overlap_reaches(sets[i], sets[j], need)
+
         for t, h in zip(trees, halves):
-            signature_tree.link_edges(t, t, root, h, h, 85, 100)
+            signature_tree.traverse(t, t, root, h, h, 85, 100, linked)
         if len(trees) == 2:
-            signature_tree.link_edges(trees[0], trees[1], root, halves[0], halves[1], 85, 100)
+            signature_tree.traverse(trees[0], trees[1], root, halves[0], halves[1], 85, 100, linked)
+        open_pairs = signature_tree.traverse(trees[0], trees[-1], np.arange(n), halves[0], halves[-1], 85, 100, lambda *x: None)
+        for i, j in combinations(range(n), 2):
+            inter = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * inter >= 85 * (len(sets[i]) + len(sets[j]) - inter) and (len(trees) == 1 or i % 2 != j % 2):
+                assert (i, j) in open_pairs or (j, i) in open_pairs
         for i in range(n):
             while root[i] != root[root[i]]:
                 root[i] = root[root[i]]
@@ -141,9 +153,12 @@ def test_lines_within_one_edit_share_gapped_keys_and_neighbours():
         x = line_dedup.Lines([a, b], whole=True)
         assert len(x.row) == 2
         for segments in (2, 32):
-            line, key = x.gapped_keys(segments)
-            assert set(key[line == 0]) & set(key[line == 1])
-        one, two = ({(int(k), role) for keys, role in x.neighbourhood(i) for k in keys} for i in (0, 1))
+            line, key, start, stop = x.gapped_keys(segments)
+            both = set(key[line == 0]) & set(key[line == 1])
+            assert both
+        places = [np.unique(np.concatenate([np.arange(start[k], stop[k]) for k in np.flatnonzero((line == i) & np.isin(key, list(both)))]))
+                  for i in (0, 1)]
+        one, two = ({(int(k), role) for keys, role in x.neighbourhood(i, places[i]) for k in keys} for i in (0, 1))
         meets = {(k, r) for k, r in one if r == 2} & {(k, r) for k, r in two if r == 2}
         meets |= {k for k, r in one if r == 1} & {k for k, r in two if r == 0} | {k for k, r in one if r == 0} & {k for k, r in two if r == 1}
         assert meets
