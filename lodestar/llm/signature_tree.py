@@ -470,8 +470,8 @@ def op3_signature_join(spark, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of documents that links connect (five-word shingles,
-    similarity 0.8) the one of the smallest doc_id stays; of rows with that
-    doc_id one stays."""
+    similarity 0.8) the one of the smallest doc_id stays. Rows that repeat its
+    doc_id stay with it, as do rows without a doc_id or without words."""
     found = jaccard_components(docs).where("n_shingles > 0").select("doc_id", "component_id").distinct()
     gone = found.where("doc_id <> component_id").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
