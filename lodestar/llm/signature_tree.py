@@ -8,8 +8,8 @@ link when den * |A and B| >= num * |A or B|.
    whole buckets. The content of a bucket is a key; sets that share no key are
    not linked. A key with a single shingle is left out where the count of
    agreeing buckets shows that a fuller one agrees (see ``set_keys``).
-2. Only sets with a key that another set has go on; they are found with a
-   fixed-size bit filter of such keys and then exactly.
+2. Only sets go on that share as many keys with other sets as a link takes;
+   they are found with a fixed-size bit filter of shared keys and then exactly.
 3. Signature trees. The sets of a key (a group) are put in a tree: leaves hold
    few sets of like size, a node holds the OR of their token bitmaps, the range
    of their sizes and the components its sets belong to. Two nodes are
@@ -85,31 +85,38 @@ class Classes:
         return [k, k + 1] if n * self.den // self.num > self.last[k] else [k]
 
 
-def set_keys(s: np.ndarray, classes: Classes) -> np.ndarray:
-    """Keys of a set (sorted distinct hashes).
+def keys_by_class(s: np.ndarray, classes: Classes) -> list[tuple[np.ndarray, int]]:
+    """Keys of a set (sorted distinct hashes) for each of its classes, and how
+    many of them it shares with any set it links to.
 
     Linked sets agree in at least ``agree`` buckets of their class. A set with
-    fewer than that many light buckets (of at most one element) has a fuller
-    one among them, which every set sends; else it sends its light ones too,
-    and the empty ones only if even those could be all that agree."""
+    fewer than that many light buckets (of at most one element) agrees in
+    ``agree`` less those fuller ones, which every set sends; else it sends its
+    light ones too, and the empty ones only if even those could be all that
+    agree (then one shared key is all that is sure)."""
     out = []
     spread, value = T.mix(s ^ U(0x8CB92BA72F3D8DD7)), T.mix(s + U(0xA24BAED4963EE407))
     for k in classes.of(len(s)):
-        m, agree = int(classes.buckets[k]), int(classes.agree[k])
+        m, agree, least = int(classes.buckets[k]), int(classes.agree[k]), 1
         bucket = (spread % U(m)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
         head = np.flatnonzero(np.diff(bucket[by], prepend=-1))
         where, fill = bucket[by][head], np.diff(np.append(head, len(s)))
         content = np.add.reduceat(value[by], head) + fill.astype(np.uint64) * U(0x9FB21C651E98DF25)
         empty = m - len(where)
-        if empty + int((fill == 1).sum()) < agree:
-            where, content = where[fill > 1], content[fill > 1]
+        light = empty + int((fill == 1).sum())
+        if light < agree:
+            where, content, least = where[fill > 1], content[fill > 1], agree - light
         elif empty >= agree:
             none = np.setdiff1d(np.arange(m), where)
             where, content = np.append(where, none), np.append(content, np.zeros(len(none), np.uint64))
-        out.append(T.mix(T.mix(content) + (where + 1).astype(np.uint64) * U(0xE7037ED1A0B428DB) 
-                         + U(k * 0x589965CC75374CC3 % 2**64)))
-    return np.concatenate(out)
+        out.append((T.mix(T.mix(content) + (where + 1).astype(np.uint64) * U(0xE7037ED1A0B428DB)
+                          + U(k * 0x589965CC75374CC3 % 2**64)), least))
+    return out
+
+
+def set_keys(s: np.ndarray, classes: Classes) -> np.ndarray:
+    return np.concatenate([k for k, _ in keys_by_class(s, classes)])
 
 
 def set_name(s: np.ndarray) -> int:
@@ -177,10 +184,17 @@ def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
 
 def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame, bits: int) -> DataFrame:
     """(doc_id, n, name, elements, keys) of all rows (doc_id, text): name is
-    null for the empty set; elements and keys are there for sets with a key
-    that passes the filter of ``shared`` keys (once per batch and set)."""
+    null for the empty set; elements and keys are there for sets with as many
+    keys in the filter of ``shared`` keys as a link takes (once per batch and
+    set)."""
     words = rows.sparkSession.sparkContext.broadcast(bit_filter(shared, bits))
 
+    def found(k):
+        ok = np.ones(len(k), bool)
+        for p in _places(k, bits):
+            ok &= (words.value[(p >> U(6)).astype(np.int64)] >> (p & U(63)) & U(1)).astype(bool)
+        return ok
+
     def run(batches):
         for b in batches:
             size, names, elements, keys, seen = [], [], [], [], set()
@@ -190,12 +204,9 @@ def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame,
                 own = raw = None
                 if len(s) and names[-1] not in seen:
                     seen.add(names[-1])
-                    k = set_keys(s, classes)
-                    ok = np.ones(len(k), bool)
-                    for p in _places(k, bits):
-                        ok &= (words.value[(p >> U(6)).astype(np.int64)] >> (p & U(63)) & U(1)).astype(bool)
-                    if ok.any():
-                        own, raw = k[ok].view(np.int64), s.tobytes()
+                    kept = [k for k, least in ((k[found(k)], least) for k, least in keys_by_class(s, classes)) if len(k) >= least]
+                    if kept:
+                        own, raw = np.concatenate(kept).view(np.int64), s.tobytes()
                 elements.append(raw)
                 keys.append(own)
             yield pa.RecordBatch.from_arrays(

@@ -28,6 +28,10 @@ def test_linked_sets_share_a_key(num, den):
         inter = len(np.intersect1d(a, b))
         if den * inter >= num * (len(a) + len(b) - inter):
             assert set(signature_tree.set_keys(a, classes)) & set(signature_tree.set_keys(b, classes)), (len(a), len(b))
+            if len(a) != len(b) or inter < len(a):
+                for x, y in ((a, b), (b, a)):
+                    other = signature_tree.set_keys(y, classes)
+                    assert any(np.isin(k, other).sum() >= least for k, least in signature_tree.keys_by_class(x, classes))
 
 
 def test_tree_traversal_finds_the_components_of_all_pairs():
