@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,11 +58,6 @@ class Linear:
             z = z + p * F.lit(w)
         return 1 / (1 + F.exp(-z))
 
-    def of(self, found: list[str], earlier: np.ndarray) -> float:
-        """The same for one training row."""
-        z = self.intercept + sum(self.by_word.get(w, 0.0) for w in found) + float(np.dot(earlier, self.by_category))
-        return float(1 / (1 + np.exp(-z)))
-
 
 @dataclass
 class Constant:
@@ -72,9 +69,6 @@ class Constant:
     def probability(self, found: Column, earlier: list[Column]) -> Column:
         return F.lit(self.share)
 
-    def of(self, found: list[str], earlier: np.ndarray) -> float:
-        return self.share
-
 
 @dataclass
 class Chain:
@@ -105,25 +99,35 @@ def _evidence(in_class: Column, total: Column, positives: Column, rows: Column)
     return 2 * (part(in_class, total, share) + part(total - in_class, total, 1 - share))
 
 
-def _newton(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 25) -> np.ndarray:
+def _newton(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 25, block: int = 2048) -> np.ndarray:
     """Weights and, last, the intercept of a logistic model with a quadratic
-    penalty on the weights. ``x`` has a row per training document."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    penalty on the weights. ``x`` has a row per training document and a last
+    column of ones; sums are made block by block."""
     ridge = np.full(x.shape[1], penalty * len(x))
     ridge[-1] = 0.0
     w = np.zeros(x.shape[1])
     share = y.mean()
     w[-1] = np.log(share / (1 - share))
 
+    def parts():
+        for i in range(0, len(x), block):
+            yield x[i:i + block].astype(np.float64), y[i:i + block]
+
     def loss(w):
-        z = x @ w
-        return np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * (ridge * w * w).sum()
+        total = 0.5 * (ridge * w * w).sum()
+        for xs, ys in parts():
+            z = xs @ w
+            total += np.logaddexp(0, z).sum() - (ys * z).sum()
+        return total
 
     now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(x @ w)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(ridge + 1e-9), x.T @ (p - y) + ridge * w)
-        scale = 1.0
+        slope, bend = ridge * w, np.diag(ridge + 1e-9)
+        for xs, ys in parts():
+            p = 1 / (1 + np.exp(-(xs @ w)))
+            slope = slope + xs.T @ (p - ys)
+            bend = bend + (xs.T * (p * (1 - p))) @ xs
+        step, scale = np.linalg.solve(bend, slope), 1.0
         while (after := loss(w - scale * step)) > now and scale > 1e-4:
             scale /= 2
         if now - after < 1e-9 * abs(now):
@@ -132,16 +136,48 @@ def _newton(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 25) -> np
     return w
 
 
-def _fit(found: list[list[str]], y: np.ndarray, earlier: np.ndarray, vocabulary: list[str], penalty: float) -> Linear | Constant:
-    if not len(y) or y.min() == y.max() or not vocabulary and not earlier.shape[1]:
-        return Constant(float(y.mean()) if len(y) else 0.0)
-    column = {w: i for i, w in enumerate(vocabulary)}
-    x = np.zeros((len(y), len(vocabulary) + earlier.shape[1]))
-    for i, own in enumerate(found):
-        x[i, [column[w] for w in own if w in column]] = 1.0
-    x[:, len(vocabulary):] = earlier
-    w = _newton(x, y, penalty)
-    return Linear(dict(zip(vocabulary, w.tolist(), strict=False)), w[len(vocabulary):-1].tolist(), float(w[-1]))
+class Sample:
+    """The training rows: words as numbers into ``weighed`` (row by row),
+    labels by category (nan: none), folds, and earlier probabilities."""
+
+    def __init__(self, table, weighed: list[str], categories: Sequence[str]):
+        found = table["found"].combine_chunks()
+        found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+        self.rows, self.weighed = len(table), weighed
+        self.row = np.repeat(np.arange(self.rows), np.diff(found.offsets.to_numpy()))
+        self.word = pc.index_in(found.flatten().cast(pa.string()), value_set=pa.array(weighed, pa.string())).to_numpy(zero_copy_only=False)
+        self.word = self.word.astype(np.int64)
+        self.fold = table["_fold"].to_numpy().astype(np.int64)
+        self.label = {c: pc.fill_null(table[f"y_{c}"].cast(pa.float64()), np.nan).to_numpy() for c in categories}
+        self.earlier = np.zeros((self.rows, 0))
+
+    def matrix(self, vocabulary: list[str], at: np.ndarray) -> np.ndarray:
+        """Words (0 or 1), earlier probabilities and ones of the rows ``at``."""
+        column = np.full(len(self.weighed) + 1, -1)
+        column[[self.weighed.index(w) for w in vocabulary]] = np.arange(len(vocabulary))
+        place = np.full(self.rows, -1)
+        place[at] = np.arange(len(at))
+        x = np.zeros((len(at), len(vocabulary) + self.earlier.shape[1] + 1), np.float32)
+        i, j = place[self.row], column[self.word]
+        x[i[(i >= 0) & (j >= 0)], j[(i >= 0) & (j >= 0)]] = 1
+        x[:, len(vocabulary):-1] = self.earlier[at]
+        x[:, -1] = 1
+        return x
+
+    def fit(self, category: str, at: np.ndarray, vocabulary: list[str], penalty: float) -> tuple[Linear | Constant, np.ndarray]:
+        """A model of the rows ``at``, and its probabilities for all rows."""
+        y = self.label[category][at]
+        if not len(y) or y.min() == y.max() or not vocabulary and not self.earlier.shape[1]:
+            model = Constant(float(y.mean()) if len(y) else 0.0)
+            return model, np.full(self.rows, model.share)
+        w = _newton(self.matrix(vocabulary, at), y, penalty)
+        n = len(vocabulary)
+        z = np.full(self.rows, w[-1]) + self.earlier @ w[n:-1]
+        weight = np.zeros(len(self.weighed) + 1)
+        weight[[self.weighed.index(v) for v in vocabulary]] = w[:n]
+        z += np.bincount(self.row, weight[self.word], self.rows)
+        model = Linear(dict(zip(vocabulary, w[:n].tolist(), strict=True)), w[n:-1].tolist(), float(w[-1]))
+        return model, 1 / (1 + np.exp(-z))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_id: str = "doc_id", text: str = "text",
@@ -180,24 +216,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_id:
 
     weighed = sorted({w for v in vocabulary.values() for w in v})
     found = F.array_sort(F.array_intersect("_words", F.lit(weighed))) if weighed else F.array().cast("array<string>")
-    table = rows.select("_id", "_fold", *[f"y_{c}" for c in categories], found.alias("found")).orderBy("_id", "found").collect()
-    fold = np.array([r["_fold"] for r in table], np.int64)
-    earlier, models = np.zeros((len(table), 0)), []
+    table = rows.select("_id", "_fold", *[f"y_{c}" for c in categories], found.alias("found")).orderBy("_id", "found").toArrow()
+    sample, models = Sample(table, weighed, categories), []
     for i, c in enumerate(categories):
-        y = np.array([np.nan if r[f"y_{c}"] is None else r[f"y_{c}"] for r in table], float)
-
-        def fit(but, c=c, y=y):
-            at = np.flatnonzero(~np.isnan(y) & (fold != (-1 if but is None else but)))
-            return _fit([table[k]["found"] for k in at], y[at], earlier[at], vocabulary[c, but], penalty)
-
-        models.append(fit(None))
+        known = ~np.isnan(sample.label[c])
+        models.append(sample.fit(c, np.flatnonzero(known), vocabulary[c, None], penalty)[0])
         if i + 1 < len(categories):  # what later models read: probabilities by models that have not seen the document
-            out = np.zeros(len(table))
+            out = np.zeros(sample.rows)
             for f in range(folds):
-                model = fit(f)
-                at = np.flatnonzero(fold == f)
-                out[at] = [model.of(table[k]["found"], earlier[k]) for k in at]
-            earlier = np.hstack([earlier, out[:, None]])
+                _, p = sample.fit(c, np.flatnonzero(known & (sample.fold != f)), vocabulary[c, f], penalty)
+                out[sample.fold == f] = p[sample.fold == f]
+            sample.earlier = np.hstack([sample.earlier, out[:, None]])
     return Chain(list(categories), models)
 
 

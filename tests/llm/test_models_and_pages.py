@@ -67,7 +67,7 @@ def test_newton_meets_the_gradient_condition():
     rng = np.random.default_rng(0)
     x = (rng.random((400, 5)) < 0.3).astype(float)
     y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [2, -1, 0, 1, 3] - 1)))).astype(float)
-    w = toxicity._newton(x, y, 1e-3)
+    w = toxicity._newton(np.hstack([x, np.ones((400, 1))]), y, 1e-3, block=64)
     p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
     assert np.abs(x.T @ (p - y) + 1e-3 * 400 * w[:-1]).max() < 1e-3 and abs((p - y).sum()) < 1e-3
 
