@@ -23,7 +23,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 
 # The printable bytes stand for themselves, the others for the
 # code points from 256 on, in ascending order.

@@ -128,14 +128,11 @@ class Lines:
 
 
 def _batches(rows: pa.RecordBatch, text: int, limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch of at most ``limit`` characters (or one text)."""
-    texts = [x.as_py() or "" for x in rows.column(text)]
-    ends = np.cumsum([len(t) for t in texts])
-    i = 0
-    while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, "right")))
-        yield rows.slice(i, j - i), texts[i:j]
-        i = j
+    """Parts of a batch of at most ``limit`` bytes of text (or one text)."""
+    _, offsets = T.byte_view(T.string_array(rows.column(text)))
+    for i, j in T.slices(offsets, limit):
+        part = rows.slice(i, j - i)
+        yield part, [x.as_py() or "" for x in part.column(text)]
 
 
 def _signed(x: np.ndarray) -> pa.Array:

@@ -20,7 +20,7 @@ _LOWER[65:91] += 32
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) | U(1)
 _BASE = U(0x9E3779B97F4A7C15)
 _INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 2**64))
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
