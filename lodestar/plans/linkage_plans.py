@@ -1,6 +1,7 @@
 """Record-linkage queries (job D) over ``part`` linked with itself on
-(p_name, p_brand, p_type), blocked on (p_brand, p_type,
-p_size).
+(p_name, p_brand, p_type), blocked on p_brand. Every pair of one brand gets
+a label, so the pair list grows with the square of a brand's parts. The SQL
+of the two link queries below still joins on brand, type and size.
 
 Training pairs are derived by equi joins on computed keys, so they grow
 linearly with the table:
@@ -23,14 +24,14 @@ MU, LAMBDA = 0.01, 0.05
 
 
 def _block():
-    """Brand, type and size: few records each."""
-    return F.concat(F.col("brand"), F.lit("|"), F.col("type"), F.lit("|"), F.col("size").cast("string"))
+    """The whole brand: a pair with another type or size is a candidate too."""
+    return F.col("brand")
 
 
 def _records(spark, sf_dir):
     return load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("index"), F.col("p_name").alias("name"),
-        F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), F.col("p_size").alias("size"))
+        F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
 
 
 def _training(spark, sf_dir):
@@ -87,7 +88,7 @@ def link_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 aggregated: record pairs per label among all pairs of
-    different parts of the same brand, type and size (profile pairs weighted by counts)."""
+    different parts of the same brand (profile pairs weighted by counts)."""
     recs = _records(spark, sf_dir)
     return LK.label_counts(recs, recs, _block(), _block(), _classifier(spark, sf_dir),
                            FIELDS, self_pairs_key="index")
@@ -95,7 +96,7 @@ def link_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7 + J10 + S8 rows: (zindex, findex, label) for every pair of
-    different parts of the same brand, type and size."""
+    different parts of the same brand."""
     recs = _records(spark, sf_dir)
     out = LK.label_pairs(recs, recs, _block(), _block(), _classifier(spark, sf_dir), FIELDS)
     return out.where(F.col("zindex") != F.col("findex"))

@@ -104,3 +104,18 @@ def test_training_counts_by_hand(spark):
     got = LK.training_distribution(left, left, known, unmatched, ("name",)).collect()
     assert {(r.s_name, r.m_cnt, r.u_cnt, r.n_m, r.n_u) for r in got} == {("high", 3, 0, 3, 2), ("low", 0, 2, 3, 2)}
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_links_cover_every_pair_of_a_brand(spark, sf_small):
+    """Pairs of one brand that differ in type or size are labelled too."""
+    from lodestar.plans import linkage_plans as LP
+    from lodestar.sources.tables import load
+
+    brands = {}
+    for r in load(spark, sf_small, "part").select("p_partkey", "p_brand").collect():
+        brands.setdefault(r.p_brand, []).append(r.p_partkey)
+    expected = {p for keys in brands.values() for p in itertools.permutations(keys, 2)}
+    rows = LP.link_pairs(spark, sf_small).collect()
+    assert len(rows) == len(expected) and {(r.zindex, r.findex) for r in rows} == expected
+    counts = {r.label: r.n_pairs for r in LP.link_label_counts(spark, sf_small).collect()}
+    assert counts == {x: sum(r.label == x for r in rows) for x in {r.label for r in rows}}
