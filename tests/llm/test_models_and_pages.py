@@ -114,6 +114,19 @@ def test_ppm_bounded_trie_stays_a_model(spark):
         assert (10 ** small.log10(np.array([key | s for s in range(257)], np.uint64))).sum() == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("max_nodes", [40, 300, 2000])
+def test_ppm_scores_do_not_depend_on_the_held_counts(spark, max_nodes):
+    rows = [(r[0], r[1][:600] if r[1] else r[1], *r[2:]) for r in cases.documents()]
+    out, order = F.col("doc_id") % 3 == 1, 3
+    low = lambda t: (t or "").encode().lower()
+    train = [low(r[1]) for r in rows if not (r[0] is not None and r[0] % 3 == 1)]
+    texts = {r[0]: low(r[1]) for r in rows}
+    got = ppm.language_model_scores(cases.table(spark, rows), out, order=order, max_nodes=max_nodes).collect()
+    assert len(got) == len(rows)
+    for g in got:
+        assert g["score"] == pytest.approx(ppm.brute_force(train, texts[g["doc_id"]], order)), g["doc_id"]
+
+
 def test_ppm_without_training_rows(spark):
     got = ppm.language_model_scores(cases.table(spark, [(1, "ab", "", "", 1), (2, None, "", "", 1)]), F.lit(True), order=2).collect()
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got) == [(1, 0, 0), (2, 0, 0)]
