@@ -6,9 +6,12 @@ adverts, forms and reader comments weigh nothing and leave a gap. Over the
 lines slides a window of ``WINDOW`` lines that sums their weights: text surges
 where the sum rises above the threshold after a gap and dives where it falls to
 nothing, and the lines between are kept. Where a page marks its article (or
-main part) only that part's lines carry weight and any text there is a surge;
-elsewhere lines that are mostly links weigh nothing and the surge must reach a
-share of the page's highest sum.
+main part), the highest window sum of that part, times ``MARKED_BONUS``, is held
+against the highest one of the other lines. If it is at least as high, only that
+part's lines carry weight and any text there is a surge; otherwise the mark
+belongs to a teaser or card and the page is read as one without marks: lines that
+are mostly links weigh nothing and the surge must reach a share of the page's
+highest sum.
 
 Defined results: null and empty html give an empty text; tags that are never
 closed end where html ends them (a paragraph at the next block) or else with
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 
 WINDOW = 3
 SURGE_SHARE = 0.2
+MARKED_BONUS = 4
 
 # Element names of the html standard by role.
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -169,15 +173,19 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _sums(weight: list[int]) -> list[int]:
+    return [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
+
+
 def main_text(html: str) -> str:
     lines = lines_of(html)
-    marked = any(m for t, _, m in lines if t)
-    if marked:
-        weight = [len(t) if m else 0 for t, _, m in lines]
-    else:
-        weight = [0 if 2 * k > len(t) else len(t) for t, k, _ in lines]
+    inside = [len(t) if m else 0 for t, _, m in lines]
+    plain = [0 if 2 * k > len(t) else len(t) for t, k, _ in lines]
+    highest = max(_sums(inside), default=0)
+    marked = highest > 0 and MARKED_BONUS * highest >= max(_sums([0 if m else w for w, (_, _, m) in zip(plain, lines)]))
+    weight = inside if marked else plain
     n = len(lines)
-    sums = [sum(weight[i:i + WINDOW]) for i in range(n)]
+    sums = _sums(weight)
     threshold = 1 if marked else max(1, SURGE_SHARE * max(sums, default=0))
     kept, i = [], 0
     while i < n:

@@ -157,6 +157,14 @@ def test_main_text_without_an_article_finds_the_surge():
     assert main_text.main_text(page) == "\n\n".join("word " * 40 + f"{i}." for i in range(4))
 
 
+def test_main_text_is_not_only_the_marked_card():
+    body = [f"{'word ' * 40}{i}." for i in range(4)]
+    card = "<article><h3>Read next</h3><p>A short teaser.</p></article>"
+    page = "<div>" + "".join(f"<p>{b}</p>" for b in body) + f"</div><nav>menu</nav>{card}"
+    assert main_text.main_text(page).split("\n\n")[:4] == body
+    assert main_text.main_text(f"<div>By the editors</div><article>{'<p>short</p>' * 3}</article>") == "\n\n".join(["short"] * 3)
+
+
 def test_extract_on_awkward_pages(spark):
     rows = [(1, "u", None), (2, None, "<p>" * 5000 + "deep"), (3, "u", "<" * 3000), (3, "u", "<" * 3000), (None, "u", "<p>" + "z" * 200_000), (4, "u", "<!-- open <p>x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({"text": F.lit(1), "extra": F.lit("e")})
