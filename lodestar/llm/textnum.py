@@ -80,12 +80,21 @@ def lower(raw: np.ndarray) -> np.ndarray:
     return _LOWER[raw]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, row) of all words; words never span two rows."""
+def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
+    """A table of 256 flags, set for the bytes of the given closed ranges."""
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a:b + 1] = True
+    return out
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, row) of all words, the runs of bytes that ``outside``
+    doesn't flag; words never span two rows."""
     if not len(raw):
         e = np.zeros(0, np.int64)
         return e, e, e
-    solid = ~_WHITE[raw]
+    solid = ~outside[raw]
     full = offsets[:-1][np.diff(offsets) > 0]
     last = offsets[1:][np.diff(offsets) > 0] - 1
     before = np.empty(len(raw), bool)
@@ -101,6 +110,17 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def word_strings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The words as a large_string array."""
+    edge = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=edge[1:])
+    inside = np.zeros(len(raw) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    data = raw[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edge), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def prefix_hashes(symbols: np.ndarray) -> np.ndarray:
     """Running sums of symbol * base^i: any slice's hash in O(1)."""
     pw, _ = powers(len(symbols) + 1)
