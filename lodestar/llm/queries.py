@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, collocations, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, signature_tree, topk_products, toxicity
+from . import byte_bpe, collocations, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, ranked_search, signature_tree, topk_products, toxicity
 
 QUERIES = {
     "op1_classifier_chain": toxicity.op1_classifier_chain,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_top_products": topk_products.op8_top_products,
     "op9_host_rules": host_rules.op9_host_rules,
     "op10_line_blocks": main_text.op10_line_blocks,
+    "op11_block_max_search": ranked_search.op11_block_max_search,
     "op13_collocations": collocations.op13_collocations,
 }
 
@@ -23,5 +24,6 @@ ORACLE = {
     "op7_systematic_mix": mixing.OP7_SQL,
     "op8_top_products": topk_products.OP8_SQL,
     "op9_host_rules": host_rules.OP9_SQL,
+    "op11_block_max_search": ranked_search.OP11_SQL,
     "op13_collocations": collocations.OP13_SQL,
 }
