@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, collocations, host_rules, huffman_ids, line_dedup, main_text, mixing, ppm, ranked_search, signature_tree, topk_products, toxicity
+from . import byte_bpe, collocations, host_rules, huffman_ids, license_scan, line_dedup, main_text, mixing, ppm, ranked_search, signature_tree, topk_products, toxicity
 
 QUERIES = {
     "op1_classifier_chain": toxicity.op1_classifier_chain,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_host_rules": host_rules.op9_host_rules,
     "op10_line_blocks": main_text.op10_line_blocks,
     "op11_block_max_search": ranked_search.op11_block_max_search,
+    "op12_license_scan": license_scan.op12_license_scan,
     "op13_collocations": collocations.op13_collocations,
 }
 
