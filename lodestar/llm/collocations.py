@@ -43,10 +43,10 @@ from .line_dedup import bit_filter, passes
 from .staging import stage
 
 U = np.uint64
-BLOCK = 4 << 20
-HELD = 16 << 20
+BLOCK = 2 << 20
+HELD = 8 << 20
 #: n-grams that a task gathers before it sends its filters off
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: words of a language per range of quotients
 RANGE = 1 << 21
 ID_BUCKETS = 256

@@ -16,9 +16,10 @@ that may have a few words inserted, left out or replaced.
    one of the highest share stays, then the one with more words in common,
    then the earlier template.
 
-Only documents with spans are read again; they are found by a bit filter of fixed
-size and then exactly. The templates' hashes are broadcast if there are at most
-``BROADCAST`` of them, else joined by a shuffle.
+The texts are read twice: for their hashes, and for the base, when the words of
+documents with spans are handed on for verification; those are found by a
+bit filter of fixed size and then exactly. The templates' hashes are broadcast
+if there are at most ``BROADCAST`` of them, else joined by a shuffle.
 
 Defined results: null and empty text have no words and no labels; rows that
 repeat a doc_id and its text get the same result each; a null doc_id is a
@@ -31,6 +32,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -120,14 +122,17 @@ def template_grams(spark, templates, k: int) -> DataFrame:
     return F.broadcast(out) if len(rows) <= BROADCAST else out
 
 
-def base_table(rows: DataFrame, phrases=PHRASES) -> DataFrame:
+def base_table(rows: DataFrame, phrases, candidates: np.ndarray) -> DataFrame:
     """doc_id, tie, n_words, n_base, first_word, last_word and base (labels) of
-    ``rows`` (doc_id, tie, text)."""
+    ``rows`` (doc_id, tie, h, text), and the text of those whose ``h`` passes
+    the bit filter of ``candidates``."""
+    filtered = rows.sparkSession.sparkContext.broadcast(candidates)     # of fixed size
     wanted = [(_hashes(pa.array([p], pa.large_string()))[0], label) for p, label in phrases]
 
     def run(batches):
         for b in batches:
-            texts = T.string_array(b.column(2))
+            texts = T.string_array(b.column(3))
+            outside = ~passes(filtered.value, b.column(2).to_numpy().view(np.uint64))
             for i, j in T.slices(T.byte_view(texts)[1]):
                 hashes, row = _hashes(texts.slice(i, j - i))
                 n = np.bincount(row, minlength=j - i)
@@ -155,11 +160,12 @@ def base_table(rows: DataFrame, phrases=PHRASES) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(n, pa.int64()), pa.array(total, pa.int64()),
                      pa.array(first, pa.int64(), mask=none), pa.array(last, pa.int64(), mask=none),
-                     pa.array(labels, pa.list_(pa.string()))],
-                    ["doc_id", "tie", "n_words", "n_base", "first_word", "last_word", "base"])
+                     pa.array(labels, pa.list_(pa.string())),
+                     texts.take(pa.array(np.arange(i, j), mask=outside[i:j])).cast(pa.string())],
+                    ["doc_id", "tie", "n_words", "n_base", "first_word", "last_word", "base", "text"])
 
     return rows.mapInArrow(run, "doc_id bigint, tie bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                                "base array<string>")
+                                "base array<string>, text string")
 
 
 def gram_table(rows: DataFrame, k: int) -> DataFrame:
@@ -238,58 +244,44 @@ def verified(words: list[bytes], spans: list[tuple[int, int, int]], templates: l
     return [(t, start, end, share) for start, end, t, share in taken]
 
 
-def license_spans(rows: DataFrame, templates=TEMPLATES, k: int = 3, drift: int = 4, votes: float = 0.4,
-                  min_share: float = 0.85) -> DataFrame:
-    """(doc_id, tie, spans) of ``rows`` (doc_id, tie, text) with verified spans:
-    label, start and end word, share."""
-    spark = rows.sparkSession
-    found = stage(voted_spans(rows, templates, k, drift, votes).groupBy("doc_id", "tie")
-                  .agg(F.collect_list(F.struct("template", "low", "high")).alias("spans")), "license-spans")
-    filtered = spark.sparkContext.broadcast(bit_filter(found.select(F.xxhash64("doc_id", "tie").alias("h"))))
-    lists, labels = [word_list(text) for _, text in templates], [label for label, _ in templates]
+_SPANS = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())]))
 
-    def candidates(batches):
-        for b in batches:
-            h = b.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield b.select([0, 1, 2]).filter(pa.array(passes(filtered.value, h)))
 
-    def checked(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                got = verified(word_list(b.column(2)[i].as_py()),
-                               [(s["template"], s["low"], s["high"]) for s in b.column(3)[i].as_py()], lists, min_share)
-                if got:
-                    spans = [{"label": labels[t], "start": a, "end": z, "share": s} for t, a, z, s in got]
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 1), b.column(1).slice(i, 1), pa.array([spans], _SPANS)],
-                                                     ["doc_id", "tie", "spans"])
-
-    texts = (rows.withColumn("h", F.xxhash64("doc_id", "tie")).mapInArrow(candidates, "doc_id bigint, tie bigint, text string")
-             .dropDuplicates(["doc_id", "tie"]))
+def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES, phrases=PHRASES,
+                  k: int = 3, drift: int = 4, votes: float = 0.4, min_share: float = 0.85) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word,
+    base (labels of phrases), spans (label, start and end word, share of
+    verified templates)."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("text"))
+    found = stage(voted_spans(rows, templates, k, drift, votes).groupBy("doc_id", "tie")
+                  .agg(F.collect_list(F.struct("template", "low", "high")).alias("voted")), "license-spans")
+    name = F.xxhash64("doc_id", "tie")
+    base = base_table(rows.select("doc_id", "tie", name.alias("h"), "text"), phrases, bit_filter(found.select(name.alias("h"))))
     spans = found.withColumnsRenamed({"doc_id": "_doc", "tie": "_tie"})
-    return (texts.join(spans, texts["doc_id"].eqNullSafe(spans["_doc"]) & (texts["tie"] == spans["_tie"]))
-            .select("doc_id", "tie", "text", "spans")
-            .mapInArrow(checked, "doc_id bigint, tie bigint, spans array<struct<label string, start bigint, end bigint, share double>>"))
+    joined = (base.join(spans, base["doc_id"].eqNullSafe(spans["_doc"]) & (base["tie"] == spans["_tie"]), "left")
+              .select(*_BASE, "text", "voted"))
+    lists, labels = [word_list(t) for _, t in templates], [label for label, _ in templates]
 
+    def checked(batches):
+        for b in batches:
+            out = [[] for _ in range(b.num_rows)]
+            for i in np.flatnonzero(pc.is_valid(b.column(len(_BASE) + 1)).to_numpy(zero_copy_only=False)).tolist():
+                voted = [(s["template"], s["low"], s["high"]) for s in b.column(len(_BASE) + 1)[i].as_py()]
+                out[i] = [{"label": labels[t], "start": a, "end": z, "share": s} for t, a, z, s in
+                          verified(word_list(b.column(len(_BASE))[i].as_py()), voted, lists, min_share)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in range(len(_BASE))), pa.array(out, _SPANS)], [*_BASE, "spans"])
 
-_SPANS = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())]))
+    return joined.mapInArrow(checked, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
+                                      "base array<string>, spans array<struct<label string, start bigint, end bigint, share double>>")
 
 
-def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES, phrases=PHRASES, **how) -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word,
-    base (labels of phrases), spans (label, start, end, share of verified
-    templates; null without any)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("tie"), F.col(text).alias("text"))
-    spans = license_spans(rows, templates, **how).withColumnsRenamed({"doc_id": "_doc", "tie": "_tie"})
-    base = base_table(rows, phrases)
-    return (base.join(spans, base["doc_id"].eqNullSafe(spans["_doc"]) & (base["tie"] == spans["_tie"]), "left")
-            .drop("_doc", "_tie", "tie"))
+_BASE = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base"]
 
 
 def op12_license_scan(spark, sf_dir: str) -> DataFrame:
     got = scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    spans = F.coalesce("spans", F.array())
-    every = F.concat("base", F.transform(spans, lambda s: s["label"]))
+    every = F.concat("base", F.transform("spans", lambda s: s["label"]))
     joined = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
-    best = F.coalesce(F.array_max(F.transform(spans, lambda s: s["share"])), F.lit(0.0))
+    best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0))
     return got.select("doc_id", "n_words", "n_base", "first_word", "last_word", joined(F.col("base")).alias("base_labels"),
                       joined(every).alias("labels"), F.when(F.col("n_base") > 0, 1.0).otherwise(best).alias("score"))

@@ -45,7 +45,7 @@ from . import textnum as T
 from .staging import stage
 
 BLOCK = 128
-SHARD = 32 << 20
+SHARD = 4 << 20
 #: terms (with repeats) of the items that are searched together
 GROUP_TERMS = 1 << 18
 _OUTSIDE = T.byte_class((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
@@ -221,16 +221,19 @@ def build_index(rows: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
 
     def written(shard, ids, texts):
         by = np.argsort(ids, kind="stable")
-        texts = texts.take(pa.array(by))
-        raw, starts, ends, row = _terms(texts)
-        n = np.bincount(row, minlength=len(by))
-        m = lengths(n)
+        raw, starts, ends, row = _terms(texts.take(pa.array(by)))
+        m = lengths(np.bincount(row, minlength=len(by)))
         coded = T.word_strings(raw, starts, ends).dictionary_encode()
-        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        key, tf = np.unique(term * len(by) + row, return_counts=True)
-        term, doc = np.divmod(key, len(by))
+        del raw, starts, ends
+        key = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(by) + row
+        key.sort()
+        head = np.flatnonzero(np.diff(key, prepend=-1))
+        term, doc = np.divmod(key[head], len(by))
+        tf = np.diff(head, append=len(key))
+        del key, head, row
         lists = len(coded.dictionary)
         edge = np.searchsorted(term, np.arange(lists + 1))
+        del term
         factor = tf_factor(tf, m[doc])
         made = Postings(edge, doc, tf, factor)
         top = np.maximum.reduceat(factor, edge[:-1]) if lists else factor

@@ -169,7 +169,7 @@ def test_licenses_equal_brute_force(spark):
     rows = [(i and i + 100, t) for i, t in licensed()] + [(r[0], r[1]) for r in cases.documents()]
     docs = spark.createDataFrame([(i, t, 3, "z") for i, t in rows], "doc_id bigint, text string, n_words int, spans string")
     got = [(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], sorted(r["base"]),
-            [(s["start"], s["end"], s["label"], s["share"]) for s in r["spans"] or []]) for r in L.scan_licenses(docs).collect()]
+            [(s["start"], s["end"], s["label"], s["share"]) for s in r["spans"]]) for r in L.scan_licenses(docs).collect()]
     expected = [(i, *base_of(t), spans_of(t)) for i, t in rows]
     assert sorted(got, key=repr) == sorted(expected, key=repr)
     by = {i: [s[2] for s in x] for i, *_, x in got}
@@ -177,10 +177,10 @@ def test_licenses_equal_brute_force(spark):
 
 
 def test_license_parts_do_not_matter(spark, monkeypatch):
-    rows = spark.createDataFrame([(1, 1, "a b " * 40 + L.TEMPLATES[9][1] + " c" * 50)], "doc_id bigint, tie bigint, text string")
-    whole = L.license_spans(rows).collect()
+    docs = spark.createDataFrame([(1, "a b " * 40 + L.TEMPLATES[9][1] + " c" * 50)], "doc_id bigint, text string")
+    whole = L.scan_licenses(docs).collect()
     monkeypatch.setattr(L, "PART", 7)
-    assert [r["label"] for r in whole[0]["spans"]] == ["bsd"] and L.license_spans(rows).collect() == whole
+    assert [r["label"] for r in whole[0]["spans"]] == ["bsd"] and L.scan_licenses(docs).collect() == whole
 
 
 def test_license_query_on_empty_table(spark):
