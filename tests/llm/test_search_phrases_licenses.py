@@ -237,6 +237,15 @@ def test_collocations_equal_counting_all(spark, monkeypatch, flush):
     assert got == phrases(rows, least=30) and len(got) > 40
 
 
+def test_colliding_word_hashes_are_seen(spark, monkeypatch):
+    """Hashes of a few bits at first, then another seed with whole ones."""
+    docs = spark.createDataFrame([("a b c d", "en")] * 9 + [("e f g h", "en")] * 2, "text string, lang string")
+    whole = C.word_ids
+    monkeypatch.setattr(C, "word_ids", lambda w, lang, seed: whole(w, lang, seed) if seed else whole(w, lang, 0) & np.uint64(3 << 30))
+    got = [tuple(r) for r in C.collocations(docs, min_count=5).collect()]
+    assert got == phrases([("a b c d", "en")] * 9 + [("e f g h", "en")] * 2, least=5)
+
+
 def test_collocations_on_empty_table(spark):
     assert C.collocations(cases.table(spark, [])).collect() == []
 
