@@ -86,6 +86,34 @@ def with_jaro_winkler(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     return st.withColumn(out, value).drop(*[c for c in st.columns if c.startswith(tmp)])
 
 
+def signature(value: Column) -> Column:
+    """What bounds the score of a value from above without its text: its
+    length, and per character class (code point mod 32) whether it holds one
+    (bits 0 to 31) and two (bits 32 to 63) characters of it."""
+    def seen(mask, char):
+        place = F.ascii(char) % 32
+        again = F.call_function("shiftright", mask, place).bitwiseAND(F.lit(1)).cast("int")
+        return mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place + 32 * again))
+
+    mask = F.aggregate(F.split(value, ""), F.lit(0).cast("bigint"), seen)
+    return F.struct(F.length(value).alias("n"), mask.alias("mask"), F.substring(value, 1, PREFIX_CAP).alias("head"))
+
+
+def highest_score(a: Column, b: Column) -> Column:
+    """An upper bound of the Jaro-Winkler score of two values, from their
+    signatures: matched characters are at most the common ones, of which a class
+    holds at most the two that both masks show and those beyond the masks."""
+    both = F.bit_count(a["mask"].bitwiseAND(b["mask"]))
+    beyond = F.least(a["n"] - F.bit_count(a["mask"]), b["n"] - F.bit_count(b["mask"]))
+    m = F.greatest(F.lit(0), F.least(a["n"], b["n"], both + beyond)).cast("double")
+    jaro = (m / F.greatest(a["n"], F.lit(1)) + m / F.greatest(b["n"], F.lit(1)) + 1.0) / 3.0
+    same = F.lit(0)
+    for k in range(1, PREFIX_CAP + 1):
+        equal = (a["n"] >= k) & (b["n"] >= k) & (F.substring(a["head"], 1, k) == F.substring(b["head"], 1, k))
+        same = F.when(equal, k).otherwise(same)
+    return F.when(jaro > BOOST_THRESHOLD, jaro + PREFIX_WEIGHT * same * (1.0 - jaro)).otherwise(jaro)
+
+
 def similarity_level(score: Column) -> Column:
     """< 0.8 low, < 1.0 medium, else high. A missing score (a null on
     either side) is low: an absent value speaks for no match."""

@@ -5,16 +5,19 @@ over the full tuple domain (X3), blocked candidate pairs (J7) and their
 labels (J10).
 
 Scale notes
-* Records are first collapsed to distinct *profiles* ``(block, fields...)``
-  with a count; candidate pairs are formed between profiles of a block and
-  carry the weight ``n_left * n_right``. Counting labels never materialises
-  record pairs; record pairs are produced only for the explicit pair output.
-* Jaro-Winkler is evaluated once per distinct value pair of each field, then
-  joined back (null-safe), so its cost follows the value domain, not the pair
-  count. Join strategies are left to the optimizer's run-time sizes.
-* Everything but the 3^k-row classifier is one lazy plan.
-* The classifier has at most 3^k rows (k fields): its broadcast is bounded
-  by construction. Its windows are un-partitioned over those few rows only.
+* Records are first collapsed to distinct *profiles* ``(block, fields...)``.
+  The linkage result that does not grow with the square of the records is
+  factorised: classes of profile pairs with a label, and the records of each
+  profile (``label_classes``, ``members``). Record pairs are made only for the
+  explicit pair output.
+* Jaro-Winkler is evaluated only for distinct value pairs of a field whose
+  signatures (length and character counts) let them reach the first cut;
+  all others are low without being scored. Counting labels (``tuple_counts``)
+  forms no pair that is low in every field.
+* Join strategies are left to the optimizer's run-time sizes.
+* Everything is one lazy plan. The classifier has at most 3^k rows (k fields):
+  its broadcast is bounded by construction. Its windows are un-partitioned
+  over those few rows only.
 * Blocks are an equi join, so AQE's skew-join split applies to a hot block; a
   null block key has no candidates.
 * Null field values stay: they pair up with anything at level low.
@@ -23,11 +26,12 @@ Scale notes
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.similarity import LEVELS, similarity_level, with_jaro_winkler
-from lodestar.session import cut_lineage
+from lodestar.functions.similarity import LEVEL_CUTS, LEVELS, highest_score, signature, similarity_level, with_jaro_winkler
 
 DEFAULT_FIELDS = ("name", "city", "address")
 LABEL_MATCH, LABEL_POSSIBLE, LABEL_UNMATCH = "match", "possible match", "unmatch"
@@ -40,20 +44,14 @@ def level_cols(fields) -> list[str]:
 
 # --- T9 / T10 ------------------------------------------------------------------
 
-def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_prefix: str = "r_",
-                      value_pairs: dict | None = None) -> DataFrame:
+def score_value_pairs(pairs: DataFrame, fields, left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
     """Add ``s_<field>`` levels to a pair table that has ``l_<field>`` and
     ``r_<field>`` columns; Jaro-Winkler runs on the distinct value pairs of
-    each field only. ``value_pairs`` may supply, per field, a (smaller)
-    table holding those value pairs, so ``pairs`` is not recomputed to find
-    them.
-
-    Value pairs are joined back null-safe, so no pair is lost."""
+    each field only. Value pairs are joined back null-safe, so no pair is lost."""
     out = pairs
     for f in fields:
         l, r = f"{left_prefix}{f}", f"{right_prefix}{f}"
-        src = (value_pairs or {}).get(f, pairs)
-        values = src.select(F.col(l).cast("string").alias("_l"), F.col(r).cast("string").alias("_r")).distinct()
+        values = pairs.select(F.col(l).cast("string").alias("_l"), F.col(r).cast("string").alias("_r")).distinct()
         levels = with_jaro_winkler(values, "_l", "_r", "_jw").select("_l", "_r", similarity_level(F.col("_jw")).alias(f"s_{f}"))
         out = out.join(levels, F.col(l).cast("string").eqNullSafe(F.col("_l"))
                        & F.col(r).cast("string").eqNullSafe(F.col("_r"))).drop("_l", "_r")
@@ -153,32 +151,105 @@ def train_classifier(left: DataFrame, right: DataFrame, known: DataFrame, unmatc
     return classifier(training_distribution(left, right, known, unmatched, fields, key), fields, mu, lambda_)
 
 
+# --- T9 / T10 with a bound ------------------------------------------------------------------------
+
+#: how far the bound may fall short of the first cut by rounding
+SLACK = 1e-9
+
+
+def near_values(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(l, r, level) of the distinct value pairs of a common block whose level
+    isn't low; ``left`` and ``right``: (block, value). Only pairs whose
+    signatures let them reach the first cut are scored; all others are low."""
+    sign = signature(F.col("value")).alias("sign")
+    l = left.select("block", "value", sign).distinct().withColumnsRenamed({"value": "l", "sign": "ls"})
+    r = right.select("block", "value", sign).distinct().withColumnsRenamed({"block": "_block", "value": "r", "sign": "rs"})
+    reach = highest_score(F.col("ls"), F.col("rs")) >= LEVEL_CUTS[0] - SLACK
+    pairs = l.join(r, (F.col("block") == F.col("_block")) & reach).select("l", "r").distinct()
+    scored = with_jaro_winkler(pairs, "l", "r", "_jw").select("l", "r", similarity_level(F.col("_jw")).alias("level"))
+    # the aggregate (one row each) keeps the filter from being pushed into the score, and every use reads the same exchange
+    return scored.groupBy("l", "r").agg(F.max("level").alias("level")).where(F.col("level") != LEVELS[0]).repartition("l", "r")
+
+
+def signature_share(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column, fields=DEFAULT_FIELDS) -> DataFrame:
+    """field, n_pairs, n_scored: the distinct value pairs of common blocks, and
+    those that ``near_values`` scores."""
+    out = []
+    for f in fields:
+        l = _values(left, block_left, f).withColumn("ls", signature(F.col("value"))).distinct()
+        r = _values(right, block_right, f).withColumn("rs", signature(F.col("value"))).distinct().withColumnRenamed("value", "r")
+        pairs = l.join(r, "block").groupBy("value", "r").agg(
+            F.max(highest_score(F.col("ls"), F.col("rs")) >= LEVEL_CUTS[0] - SLACK).alias("reach"))
+        out.append(pairs.agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if("reach").alias("n_scored"))
+                   .select(F.lit(f).alias("field"), "n_pairs", "n_scored"))
+    return _union(out)
+
+
+def _values(df: DataFrame, block: Column, field: str) -> DataFrame:
+    return (df.select(block.alias("block"), F.col(field).cast("string").alias("value"))
+            .where(F.col("block").isNotNull() & (F.length("value") > 0)))
+
+
+def _near(left, right, block_left, block_right, fields) -> dict[str, DataFrame]:
+    return {f: near_values(_values(left, block_left, f), _values(right, block_right, f)) for f in fields}
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for one in parts[1:]:
+        out = out.unionByName(one)
+    return out
+
+
 # --- J7 / J10: candidates -------------------------------------------------------------------------
 
 def _profiles(df: DataFrame, prefix: str, block: Column, fields) -> DataFrame:
-    return (df.select(block.alias("block"), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
+    return (df.select(block.alias("block"), *[F.col(f).cast("string").alias(f"{prefix}{f}") for f in fields]).where("block IS NOT NULL")
             .groupBy("block", *[f"{prefix}{f}" for f in fields])
             .agg(F.count(F.lit(1)).alias(f"{prefix}n")))
 
 
-def _block_profile_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
-                         fields):
-    lp = _profiles(left, "l_", block_left, fields)
-    rp = _profiles(right, "r_", block_right, fields)
-    pairs = lp.join(rp, "block").withColumn("weight", F.col("l_n") * F.col("r_n"))
-    # distinct value pairs per field, from per-block distinct values (small)
-    value_pairs = {f: (lp.select("block", f"l_{f}").distinct()
-                       .join(rp.select("block", f"r_{f}").distinct(), "block"))
-                   for f in fields}
-    return pairs, value_pairs
-
-
-def profile_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
-                  fields=DEFAULT_FIELDS) -> DataFrame:
-    """J7 on profiles: pairs of distinct (block, fields) profiles within a
-    block, weighted by ``l_n * r_n`` record pairs, with similarity levels."""
-    pairs, value_pairs = _block_profile_pairs(left, right, block_left, block_right, fields)
-    return score_value_pairs(pairs, fields, value_pairs=value_pairs)
+def tuple_counts(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column, fields=DEFAULT_FIELDS,
+                 self_pairs: bool = False) -> DataFrame:
+    """J7 counted: s_<field>.. and n, the record pairs of all blocks per tuple.
+
+    Pairs are counted by their near fields only: for each set of fields, the
+    pairs that are near in all of them come from joins of the near value pairs
+    with the counts of just these fields, the most selective (first) field
+    first; pairs that are low elsewhere are what is left of them once those near in
+    more fields are taken off. Pairs low in every field are never
+    formed, nor is a pair of whole profiles.
+
+    ``self_pairs``: left and right are the same table; the pairs of a
+    record with itself are taken off."""
+    near = _near(left, right, block_left, block_right, fields)
+    counted = []
+    for chosen in product((False, True), repeat=len(fields)):
+        some = [f for f, own in zip(fields, chosen, strict=True) if own]
+        l, r = _profiles(left, "l_", block_left, some), _profiles(right, "r_", block_right, some)
+        pairs = l
+        for i, f in enumerate(some):
+            own = near[f].select(F.col("l").alias(f"l_{f}"), F.col("r").alias(f"r_{f}"), F.col("level").alias(f"s_{f}"))
+            if i == 0:
+                pairs = pairs.join(own, f"l_{f}").join(r, ["block", f"r_{f}"])
+            else:
+                pairs = pairs.join(own, [f"l_{f}", f"r_{f}"])
+        if not some:
+            pairs = pairs.join(r, "block")
+        counted.append(pairs.select(*[F.col(f"s_{f}") if f in some else F.lit(None).cast("string").alias(f"s_{f}") for f in fields],
+                                    (F.col("l_n") * F.col("r_n")).alias("n")))
+    out = _union(counted).groupBy(*level_cols(fields)).agg(F.sum("n").alias("n"))
+    for s in level_cols(fields):
+        # a near field counts for its level, and against the pairs that are low there
+        both = F.array(F.struct(F.col(s).alias("level"), F.lit(1).alias("sign")), F.struct(F.lit(LEVELS[0]).alias("level"), F.lit(-1).alias("sign")))
+        low = F.array(F.struct(F.lit(LEVELS[0]).alias("level"), F.lit(1).alias("sign")))
+        out = (out.withColumn("_e", F.explode(F.when(F.col(s).isNull(), low).otherwise(both)))
+               .withColumns({s: F.col("_e.level"), "n": F.col("n") * F.col("_e.sign")}).drop("_e"))
+    if self_pairs:
+        same = [F.when(F.length(F.col(f).cast("string")) > 0, LEVELS[2]).otherwise(LEVELS[0]).alias(f"s_{f}") for f in fields]
+        out = out.unionByName(left.where(block_left.isNotNull()).select(*same).groupBy(*level_cols(fields))
+                              .agg((-F.count(F.lit(1))).alias("n")))
+    return out.groupBy(*level_cols(fields)).agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
@@ -186,43 +257,53 @@ def label_counts(left: DataFrame, right: DataFrame, block_left: Column, block_ri
     """J7 + J10 aggregated: number of record pairs per label.
 
     ``self_pairs_key``: when left and right are the same table, the pairs
-    of a record with itself are not counted (a profile paired with itself in
-    its block loses its ``n`` identical self-pairs)."""
-    pairs, value_pairs = _block_profile_pairs(left, right, block_left, block_right, fields)
-    if self_pairs_key is not None:
-        same = F.lit(True)
-        for f in fields:
-            same = same & F.col(f"l_{f}").eqNullSafe(F.col(f"r_{f}"))
-        pairs = pairs.withColumn("weight", F.col("weight") - F.when(same, F.col("l_n")).otherwise(F.lit(0)))
+    of a record with itself are not counted."""
     s = level_cols(fields)
-    clf = cut_lineage(classifier_df.select(*s, "label"))   # at most 3^k rows
-    labelled = score_value_pairs(pairs, fields, value_pairs=value_pairs).join(F.broadcast(clf), s)
-    return labelled.groupBy("label").agg(F.sum("weight").alias("n_pairs"))
+    counts = tuple_counts(left, right, block_left, block_right, fields, self_pairs_key is not None)
+    return counts.join(F.broadcast(classifier_df.select(*s, "label")), s).groupBy("label").agg(F.sum("n").alias("n_pairs"))
+
+
+def profile_name(fields) -> Column:
+    """The name of a profile: a 128-bit digest of its fields; a null field is
+    told from an empty one."""
+    return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(f).cast("string"), F.lit("\x00")) for f in fields]))
+
+
+def members(df: DataFrame, block: Column, fields=DEFAULT_FIELDS, key: str = "index") -> DataFrame:
+    """(key, block, profile): the profile that each record with a block belongs
+    to. With ``label_classes`` this is the whole linkage result."""
+    return df.select(F.col(key), block.alias("block"), profile_name(fields).alias("profile")).where("block IS NOT NULL")
+
+
+def label_classes(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
+                  classifier_df: DataFrame, fields=DEFAULT_FIELDS, self_pairs: bool = False) -> DataFrame:
+    """J7 + J10 factorised: (block, left_profile, right_profile, label,
+    n_pairs) for the profile pairs of a block that stand for any record pair.
+    The rows follow the distinct field values of a block, not its records: all
+    record pairs of a class have its label, and ``members`` names them.
+
+    ``self_pairs``: left and right are the same table; pairs of a record with
+    itself are not counted, and a class of nothing else is left out."""
+    near = _near(left, right, block_left, block_right, fields)
+    lp, rp = _profiles(left, "l_", block_left, fields), _profiles(right, "r_", block_right, fields)
+    name = {x: profile_name([f"{x}{f}" for f in fields]).alias(f"{x}profile") for x in ("l_", "r_")}
+    pairs = lp.select("*", name["l_"]).join(rp.select("*", name["r_"]), "block")
+    for f in fields:
+        own = near[f].select(F.col("l").alias(f"l_{f}"), F.col("r").alias(f"r_{f}"), F.col("level").alias(f"s_{f}"))
+        pairs = pairs.join(own, [f"l_{f}", f"r_{f}"], "left").withColumn(f"s_{f}", F.coalesce(f"s_{f}", F.lit(LEVELS[0])))
+    s = level_cols(fields)
+    own = F.when(F.col("l_profile") == F.col("r_profile"), F.col("l_n")).otherwise(0) if self_pairs else F.lit(0)
+    return (pairs.join(F.broadcast(classifier_df.select(*s, "label")), s)        # at most 3^k rows
+            .select("block", F.col("l_profile").alias("left_profile"), F.col("r_profile").alias("right_profile"), "label",
+                    (F.col("l_n") * F.col("r_n") - own).alias("n_pairs")).where("n_pairs > 0"))
 
 
 def label_pairs(left: DataFrame, right: DataFrame, block_left: Column, block_right: Column,
                 classifier_df: DataFrame, fields=DEFAULT_FIELDS, key: str = "index",
                 left_key: str = "zindex", right_key: str = "findex") -> DataFrame:
     """J7 + J10 + S8 rows: (left key, right key, label) for every record pair
-    of every block. Labels are computed on profile pairs and joined back to
-    the records of both sides."""
-    pairs = profile_pairs(left, right, block_left, block_right, fields)
-    s = level_cols(fields)
-    clf = cut_lineage(classifier_df.select(*s, "label"))   # at most 3^k rows
-    labelled = pairs.join(F.broadcast(clf), s).select(
-        "block", *[f"l_{f}" for f in fields], *[f"r_{f}" for f in fields], "label")
-    lrec = left.select(block_left.alias("block"), F.col(key).alias(left_key),
-                       *[F.col(f).alias(f"l_{f}") for f in fields])
-    rrec = right.select(block_right.alias("block"), F.col(key).alias(right_key),
-                        *[F.col(f).alias(f"r_{f}") for f in fields])
-    return (_on_fields(_on_fields(labelled, lrec, "l_", fields), rrec, "r_", fields)
-            .select(left_key, right_key, "label"))
-
-
-def _on_fields(pairs: DataFrame, records: DataFrame, prefix: str, fields) -> DataFrame:
-    """``pairs`` with the records of one side: equal block, null-safe fields."""
-    own = records.withColumnsRenamed({c: f"_{c}" for c in ["block", *[f"{prefix}{f}" for f in fields]]})
-    same = pairs["block"] == own["_block"]
-    for f in fields:
-        same = same & pairs[f"{prefix}{f}"].eqNullSafe(own[f"_{prefix}{f}"])
-    return pairs.join(own, same).drop("_block", *[f"_{prefix}{f}" for f in fields])
+    of every block, the classes joined with the members of both sides."""
+    classes = label_classes(left, right, block_left, block_right, classifier_df, fields)
+    l = members(left, block_left, fields, key).select(F.col(key).alias(left_key), "block", F.col("profile").alias("left_profile"))
+    r = members(right, block_right, fields, key).select(F.col(key).alias(right_key), "block", F.col("profile").alias("right_profile"))
+    return classes.join(l, ["block", "left_profile"]).join(r, ["block", "right_profile"]).select(left_key, right_key, "label")

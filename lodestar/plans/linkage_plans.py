@@ -101,6 +101,28 @@ def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where(F.col("zindex") != F.col("findex"))
 
 
+def link_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 + J10 factorised: one row per pair of profiles of a brand, with its
+    label and the number of pairs of different parts that it stands for."""
+    recs = _records(spark, sf_dir)
+    return LK.label_classes(recs, recs, _block(), _block(), _classifier(spark, sf_dir), FIELDS, self_pairs=True)
+
+
+def link_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of every part: with ``link_classes``, the whole of the
+    linkage in as many rows as there are parts and profile pairs."""
+    return LK.members(_records(spark, sf_dir), _block(), FIELDS).withColumnRenamed("index", "partkey")
+
+
+def near_value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 + T10 with a bound: the value pairs of a brand that are not low."""
+    recs, out = _records(spark, sf_dir), []
+    for f in FIELDS:
+        values = recs.select(_block().alias("block"), F.col(f).alias("value"))
+        out.append(LK.near_values(values, values).select(F.lit(f).alias("field"), "l", "r", "level"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 QUERIES = {
     "pair_levels": pair_levels,
     "tuple_probs": tuple_probs,
@@ -108,6 +130,9 @@ QUERIES = {
     "link_classifier": link_classifier,
     "link_label_counts": link_label_counts,
     "link_pairs": link_pairs,
+    "link_classes": link_classes,
+    "link_members": link_members,
+    "near_value_pairs": near_value_pairs,
 }
 
 # ---------------------------------------------------------------------------
@@ -120,6 +145,10 @@ def _lvl(a, b):
     return _LVL.format(x=f"jaro_winkler_similarity({a}, {b})")
 
 
+def _name(part):
+    return f"md5({part}p_name || chr(31) || {part}p_brand || chr(31) || {part}p_type)"
+
+
 _BASE = f"""
 WITH n AS (SELECT count(*) AS n FROM part),
 known AS (SELECT a.p_partkey AS zindex, b.p_partkey AS findex FROM part a JOIN part b
@@ -184,4 +213,11 @@ FROM unm k JOIN part a ON a.p_partkey = k.zindex JOIN part b ON b.p_partkey = k.
     "link_classifier": _BASE + "SELECT s_name, s_brand, s_type, label FROM clf",
     "link_label_counts": _BASE + _PAIRS + "SELECT label, count(*) AS n_pairs FROM labelled GROUP BY label",
     "link_pairs": _BASE + _PAIRS + "SELECT zindex, findex, label FROM labelled",
+    "link_members": f"SELECT p_partkey AS partkey, p_brand AS block, {_name('')} AS profile FROM part",
+    "near_value_pairs": " UNION ALL ".join(
+        f"SELECT DISTINCT '{f}' AS field, a.p_{f} AS l, b.p_{f} AS r, {_lvl(f'a.p_{f}', f'b.p_{f}')} AS level FROM part a "
+        f"JOIN part b ON a.p_brand = b.p_brand WHERE jaro_winkler_similarity(a.p_{f}, b.p_{f}) >= 0.8" for f in FIELDS),
+    "link_classes": _BASE + _PAIRS + f"""
+SELECT a.p_brand AS block, {_name('a.')} AS left_profile, {_name('b.')} AS right_profile, l.label, count(*) AS n_pairs
+FROM labelled l JOIN part a ON a.p_partkey = l.zindex JOIN part b ON b.p_partkey = l.findex GROUP BY ALL""",
 }

@@ -119,3 +119,54 @@ def test_links_cover_every_pair_of_a_brand(spark, sf_small):
     assert len(rows) == len(expected) and {(r.zindex, r.findex) for r in rows} == expected
     counts = {r.label: r.n_pairs for r in LP.link_label_counts(spark, sf_small).collect()}
     assert counts == {x: sum(r.label == x for r in rows) for x in {r.label for r in rows}}
+
+
+def test_signatures_bound_the_score(spark):
+    """No pair of random values scores above its signatures' bound, and most
+    pairs that are low are left out by it."""
+    import random
+
+    from lodestar.functions.similarity import highest_score, signature, with_jaro_winkler
+    rng = random.Random(4)
+    values = ["", "a", "aaaa", "日本 語", "x" * 40, "ünï"] + ["".join(rng.choice("abcdefgh éß") for _ in range(rng.randint(1, 14))) for _ in range(60)]
+    pairs = spark.createDataFrame([(a, b) for a in values for b in values], "a string, b string")
+    rows = with_jaro_winkler(pairs, "a", "b", "jw").select(
+        "jw", highest_score(signature(F.col("a")), signature(F.col("b"))).alias("most")).collect()
+    assert all(r.jw <= r.most + 1e-12 for r in rows)
+    assert sum(r.most >= 0.8 for r in rows) < len(rows) / 2
+
+
+def test_classes_and_members_stand_for_all_pairs(spark):
+    """Repeated records, null and empty fields, a null block, several near fields: classes and members expand to label_pairs,
+    and tuple counts equal those of all pairs."""
+    import random
+    rng = random.Random(2)
+    names = ["martha", "marhta", "marta", "dixon", "dickson", "", None]
+    rows = [(i, rng.choice(names), rng.choice(["oak street", "oak stret", "elm", None]), rng.choice(["x", "y", None])) for i in range(60)]
+    recs = spark.createDataFrame(rows, "index int, name string, addr string, blk string")
+    clf = LK.tuple_domain(spark, ("name", "addr")).withColumn("label", F.concat_ws("/", "s_name", "s_addr"))
+    block, fields = F.col("blk"), ("name", "addr")
+    pairs = {(r.zindex, r.findex): r.label for r in LK.label_pairs(recs, recs, block, block, clf, fields).collect()}
+    assert set(pairs) == {(a[0], b[0]) for a in rows for b in rows if a[3] is not None and a[3] == b[3]}
+    different = {p: x for p, x in pairs.items() if p[0] != p[1]}
+    of = {r["index"]: (r.block, r.profile) for r in LK.members(recs, block, fields).collect()}
+    classes = {(r.block, r.left_profile, r.right_profile): (r.label, r.n_pairs)
+               for r in LK.label_classes(recs, recs, block, block, clf, fields, self_pairs=True).collect()}
+    expected = {}
+    for (a, b), label in different.items():
+        at = (of[a][0], of[a][1], of[b][1])
+        expected[at] = (label, expected.get(at, (label, 0))[1] + 1)
+    assert classes == expected
+    for self_pairs, every in ((None, pairs), ("index", different)):
+        counts = {r.label: r.n_pairs for r in LK.label_counts(recs, recs, block, block, clf, fields, self_pairs).collect()}
+        assert counts == {x: sum(y == x for y in every.values()) for x in set(every.values())}
+
+
+def test_signature_share(spark, sf_small):
+    from lodestar.plans import linkage_plans as LP
+    recs = LP._records(spark, sf_small)
+    got = {r.field: (r.n_pairs, r.n_scored) for r in LK.signature_share(recs, recs, F.col("brand"), F.col("brand"), LP.FIELDS).collect()}
+    low = {f: n - LP.near_value_pairs(spark, sf_small).where(F.col("field") == f).count() for f, (n, _) in got.items()}
+    assert set(got) == set(LP.FIELDS) and all(0 < s <= n for n, s in got.values()) and low["name"] > 0
+    assert got["name"][1] < got["name"][0]
+    print(got)
