@@ -23,8 +23,10 @@ for all documents and checkpoints of a block side by side."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from unicodedata import category, normalize
@@ -141,43 +143,62 @@ class _Runs(dict):
     The vocabulary's normaliser and pre-tokeniser never join characters over
     ASCII white space, nor a letter or digit with ASCII punctuation behind it;
     ASCII letters are lower-cased. So a text's ids are those of its runs, and a
-    run's those of its body and its closing punctuation. What is remembered is
-    bounded: runs are forgotten all at once, parts in two generations."""
+    run's those of its body and its closing punctuation. A run that holds one of
+    the vocabulary's added tokens, which the library looks for before anything
+    else, is left whole, as written. What is remembered is bounded: runs are
+    forgotten all at once, parts in two generations."""
 
     def __init__(self, path: str, kind: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.kind, self.tokenizer = kind, Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.code, self.tokenizer = {2: "H", 4: "I"}[np.dtype(kind).itemsize], Tokenizer.from_file(path)
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
         self.recent: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
+    def of(self, text: bytes) -> bytes:
+        """The ids of a whole text."""
+        low = text.lower()
+        if self.added(low):
+            return b"".join([self._encoded(x) if self.added(x.lower()) else self[x] for x in text.split()])
+        return b"".join(map(self.__getitem__, (low if text.isascii() else text).split()))
+
     def __missing__(self, run: bytes) -> bytes:
         if len(self) >= RUN_ENTRIES:
             self.clear()
-        body = run.rstrip(PUNCTUATION)
-        if body and len(body) < len(run) and category(normalize("NFC", body.decode()).lower()[-1])[0] in "LN":
-            out = self._part(body) + self._part(run[len(body):])
+        low = run.lower() if run.isascii() else run
+        body = low.rstrip(PUNCTUATION)
+        if body and len(body) < len(low) and _letter_or_digit(body):
+            closing = low[len(body):]
+            out = (self.recent.get(body) or self._part(body)) + (self.recent.get(closing) or self._part(closing))
         else:
-            out = self._part(run)
+            out = self.recent.get(low) or self._part(low)
         self[run] = out
         return out
 
+    def _encoded(self, part: bytes) -> bytes:
+        return array(self.code, self.tokenizer.encode(part.decode(), None, False, False).ids).tobytes()
+
     def _part(self, part: bytes) -> bytes:
-        if part.isascii():
-            part = part.lower()
-        out = self.recent.get(part)
+        """The ids of a part that ``recent`` doesn't hold."""
+        out = self.before.get(part)
         if out is None:
-            out = self.before.get(part)
-            if out is None:
-                out = np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-            if len(self.recent) >= PART_ENTRIES:
-                self.before, self.recent = self.recent, {}
-            self.recent[part] = out
+            out = self._encoded(part)
+        if len(self.recent) >= PART_ENTRIES:
+            self.before, self.recent = self.recent, {}
+        self.recent[part] = out
         return out
 
 
+def _letter_or_digit(body: bytes) -> bool:
+    """Whether the text ends with one, as the normaliser leaves it."""
+    if body[-1] < 128:
+        return body[-1:].isalnum()
+    return category(normalize("NFC", body.decode()).lower()[-1])[0] in "LN"
+
+
 @lru_cache(maxsize=2)
 def _runs(path: str, kind: str) -> _Runs:
     return _Runs(path, kind)
@@ -190,8 +211,8 @@ def tokenize(docs: DataFrame, path: str, end_id: int, kind: str, doc_id: str = "
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            of = _runs(path, kind).__getitem__
-            ids = [b"".join(map(of, (t.as_py() or b"").split())) + end for t in b.column(1).cast(pa.large_binary())]
+            of = _runs(path, kind).of
+            ids = [of(t.as_py() or b"") + end for t in b.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
                 ["doc_id", "ids", "tie"])
