@@ -2,8 +2,8 @@
 
 A line (split at line feeds) with a word in it goes when a line within
 ``max_edits`` (0 or 1) inserted, deleted or replaced characters stands earlier in
-the corpus (lines of fewer than ``MIN_NEAR`` characters must be equal: one edit
-makes another word of them); order is by (doc_id, hash of the text, line number). The earliest
+the corpus (``min_near``: lines of fewer characters must be equal; 0, the default,
+treats all lines alike); order is by (doc_id, hash of the text, line number). The earliest
 line of each kind stays, other lines stay as they are.
 
 Equal lines are found by hash. For near lines, the deletion neighbourhood of a
@@ -37,10 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as T
-from .staging import stage
+from .staging import release, stage
 
 SEGMENTS = 32
-MIN_NEAR = 16
 FILTER_BITS = 25
 U = np.uint64
 _CODE = None
@@ -139,14 +138,14 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 
 
-def line_table(rows: DataFrame) -> DataFrame:
+def line_table(rows: DataFrame, min_near: int = 0) -> DataFrame:
     """(doc_id, tie, number, h, keys) of all lines of ``rows`` (doc_id, tie, text)."""
     def run(batches):
         for b in batches:
             for part, texts in _batches(b, 2):
                 x = Lines(texts)
                 line, key, _, _ = x.gapped_keys(2)
-                line, key = line[x.size[line] >= MIN_NEAR], key[x.size[line] >= MIN_NEAR]
+                line, key = line[x.size[line] >= min_near], key[x.size[line] >= min_near]
                 by = np.argsort(line, kind="stable")
                 ends = np.searchsorted(line[by], np.arange(len(x.row) + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -253,11 +252,14 @@ def near_lines(first: DataFrame, keys: DataFrame, rows: DataFrame) -> DataFrame:
     pairs = (emitted.join(earliest, "key").withColumn("partner", partner)
              .where(F.col("partner.at") < F.col("at")).select("h", F.col("partner.h").alias("other")).distinct())
     a, b = close.select("h", F.col("text").alias("a")), close.select(F.col("h").alias("other"), F.col("text").alias("b"))
-    return (pairs.join(a, "h").join(b, "other").where(F.levenshtein("a", "b", 1).between(0, 1))
-            .select("h").distinct().withColumn("near", F.lit(True)))
+    near = stage(pairs.join(a, "h").join(b, "other").where(F.levenshtein("a", "b", 1).between(0, 1))
+                 .select("h").distinct().withColumn("near", F.lit(True)), "near-lines")
+    release(wanted, texts, close, emitted)
+    return near
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_edits: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_edits: int = 1,
+                min_near: int = 0) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, and n_lines
     (lines with a word before) and n_removed."""
     if max_edits not in (0, 1):
@@ -265,7 +267,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
     docs = docs.drop("n_lines", "n_removed")
     tie = F.xxhash64(F.col(text))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), tie.alias("tie"), F.col(text).alias("text"))
-    lines = stage(line_table(rows), "lines")
+    lines = stage(line_table(rows, min_near), "lines")
     at = F.struct("doc_id", "tie", "number")
     distinct = lines.groupBy("h").agg(F.min(at).alias("at"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n"))
     distinct = stage(distinct, "distinct-lines")
@@ -273,12 +275,15 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
     repeated = distinct.where("n > 1").select("h", "at", F.lit(False).alias("near"))
     if max_edits:
         keys = distinct.select("h", F.explode("keys").alias("key"))
-        near = stage(near_lines(first, keys, rows), "near-lines")
+        near = near_lines(first, keys, rows)
         repeated = (distinct.select("h", "at", "n").join(near, "h", "left").withColumn("near", F.coalesce("near", F.lit(False)))
                     .where("n > 1 OR near").drop("n"))
     repeated = stage(repeated.withColumnRenamed("at", "earliest"), "repeated-lines")
+    release(distinct, *([near] if max_edits else []))
     gone = (lines.drop("keys").join(repeated, "h").where(F.col("near") | (at != F.col("earliest")))
             .groupBy("doc_id", "tie").agg(F.collect_set("number").alias("_gone")))
+    gone = stage(gone, "gone-lines")
+    release(lines, repeated)
     gone = gone.withColumnsRenamed({"doc_id": "_doc", "tie": "_tie"})
     out = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_doc")) & (tie == F.col("_tie")), "left").drop("_doc", "_tie")
     return (out.withColumn("n_lines", _worded(F.col(text)))
@@ -321,10 +326,10 @@ l AS (SELECT doc_id, p, ls[p] AS line FROM (SELECT doc_id, ls, unnest(range(1, l
       WHERE regexp_matches(ls[p], '[^\x20\x09-\x0D]')),
 u AS (SELECT line, min(struct_pack(a := doc_id, b := p)) AS at, length(line) AS n FROM l GROUP BY line),
 x AS (SELECT x.line AS a, y.line AS b, x.at AS at_a, y.at AS at_b FROM u AS x JOIN u AS y
-      ON left(x.line, x.n // 2) = left(y.line, x.n // 2) AND y.n BETWEEN x.n AND x.n + 1 AND x.line <> y.line AND x.n >= 16
+      ON left(x.line, x.n // 2) = left(y.line, x.n // 2) AND y.n BETWEEN x.n AND x.n + 1 AND x.line <> y.line
       UNION ALL
       SELECT x.line AS a, y.line AS b, x.at AS at_a, y.at AS at_b FROM u AS x JOIN u AS y
-      ON right(x.line, x.n - x.n // 2) = right(y.line, x.n - x.n // 2) AND y.n BETWEEN x.n AND x.n + 1 AND x.line <> y.line AND x.n >= 16),
+      ON right(x.line, x.n - x.n // 2) = right(y.line, x.n - x.n // 2) AND y.n BETWEEN x.n AND x.n + 1 AND x.line <> y.line),
 v AS (SELECT * FROM x WHERE len([i FOR i IN range(0, length(a) + 1) IF left(a, i) = left(b, i)
       AND right(a, length(b) - 1 - i) = right(b, length(b) - 1 - i)]) > 0),
 g AS (SELECT b AS line FROM v WHERE at_a < at_b UNION SELECT a AS line FROM v WHERE at_b < at_a),

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from . import textnum as T
 from .components import components
-from .staging import stage
+from .staging import release, stage
 
 U = np.uint64
 CELL = 512
@@ -183,7 +183,7 @@ def bit_filter(keys: DataFrame, bits: int) -> np.ndarray:
 
 
 def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, n, name, elements, keys) of all rows (doc_id, text): name is
+    """(doc_id, tie, n, name, elements, keys) of all rows (doc_id, text, tie): name is
     null for the empty set; elements and keys are there for sets with as many
     keys in the filter of ``shared`` keys as a link takes (once per batch and
     set)."""
@@ -210,10 +210,10 @@ def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame,
                 elements.append(raw)
                 keys.append(own)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(names, pa.int64()), pa.array(elements, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "name", "elements", "keys"])
+                [b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(names, pa.int64()), pa.array(elements, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "tie", "n", "name", "elements", "keys"])
 
-    return rows.mapInArrow(run, "doc_id bigint, n bigint, name bigint, elements binary, keys array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, tie bigint, n bigint, name bigint, elements binary, keys array<bigint>")
 
 
 def bitmap_of(s: np.ndarray) -> np.ndarray:
@@ -400,22 +400,32 @@ def exact_links(pairs: DataFrame, elements: DataFrame, num: int, den: int) -> Da
 
 # ---- join ------------------------------------------------------------------
 
-def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, doc_id: str = "doc_id",
-                       text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id that links
-    reach) of every row of ``docs``."""
+def _connected(docs: DataFrame, num: int, den: int, width: int, doc_id: str, text: str, filter_bits: int) -> DataFrame:
+    """(doc_id, tie, n, root) of every row: ``tie`` is a hash of the text,
+    ``root`` names the component of its set (null for the empty set)."""
     classes = Classes(num, den)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("tie"))
     shared = (key_table(rows, width, classes).groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"))
               .where("low < high").select("key"))
     shared = stage(shared, "shared-keys")
     sets = stage(set_table(rows, width, classes, shared, filter_bits), "shingle-sets")
-    found = sets.where("elements IS NOT NULL").groupBy("name").agg(F.first("elements").alias("elements"), F.first("keys").alias("keys"))
-    edges = set_links(stage(found, "candidate-sets"), shared, num, den)
+    named = stage(sets.select("doc_id", "tie", "n", "name"), "set-names")
+    found = stage(sets.where("elements IS NOT NULL").groupBy("name")
+                  .agg(F.first("elements").alias("elements"), F.first("keys").alias("keys")), "candidate-sets")
+    release(sets)       # the elements are kept once
+    edges = set_links(found, shared, num, den)
+    release(found, shared)
     roots = stage(components(edges, name="set-components"), "set-roots")
-    named = sets.select("doc_id", "n", "name")
-    named = named.join(roots, named["name"] == roots["node"], "left").withColumn("root", F.coalesce("root", "name")).drop("node")
-    smallest = stage(named.where("name IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
+    return (named.join(roots, named["name"] == roots["node"], "left")
+            .select("doc_id", "tie", "n", F.coalesce("root", "name").alias("root")))
+
+
+def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, width: int = 5, doc_id: str = "doc_id",
+                       text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id that links
+    reach) of every row of ``docs``."""
+    named = _connected(docs, num, den, width, doc_id, text, filter_bits)
+    smallest = stage(named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids")
     return (named.join(smallest.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
@@ -426,6 +436,7 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     elements = found.select("name", "elements")
     member = found.select("name", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
     member = stage(member, "set-groups")
+    passed: list[DataFrame] = []        # tables of the turn before
 
     sizes = stage(member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("name")).alias("mark"),
                                             F.min("name").alias("low")), "group-sizes")
@@ -441,7 +452,7 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
         pivots = (own.where(F.col("n") > CELL).groupBy("key", F.pmod(F.xxhash64("name", F.lit(1 + turn)), F.lit(PIVOTS)).alias("p"))
                   .agg(F.min("name").alias("name"), F.first("n").alias("n"))
                   .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "name"))
-        rows = stage(spread.unionByName(pivots).distinct(), "tree-cells")
+        rows = dealt = stage(spread.unionByName(pivots).distinct(), "tree-cells")
         if label is not None:  # a cell of one component has nothing to add
             mixed = (rows.join(label, "name").groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
                      .where("a < b").select("key", "cell"))
@@ -449,13 +460,24 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
         else:
             rows = rows.withColumn("label", F.col("name"))
         new = stage(rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint"), "tree-edges")
-        edges = new if edges is None else stage(edges.unionByName(new).distinct(), "tree-edges")
+        passed.append(dealt)
+        if edges is None:
+            edges = new
+        else:
+            passed += [edges, new]
+            edges = stage(edges.unionByName(new).distinct(), "tree-edges")
+        if label is not None:
+            passed.append(label)
         label = components(edges, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"})
         label = stage(found.select("name").join(label, "name", "left").withColumn("label", F.coalesce("label", "name")), "tree-labels")
         # groups of one membership are compared once; those of one component never
         open_groups = (member.join(label, "name").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
                        .select("key").join(sizes, "key").groupBy("n", "mark", "low").agg(F.min("key").alias("key")))
-        open_groups = stage(open_groups.select("key", "n"), "open-groups")
+        if turn:
+            passed.append(listed)
+        listed = open_groups = stage(open_groups.select("key", "n"), "open-groups")
+        release(*passed)
+        passed = []
 
     rest = member.join(open_groups, "key").join(label, "name").withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
     rest = stage(rest, "open-members")
@@ -470,8 +492,11 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     bitmaps = stage(bitmap_table(found), "set-bitmaps")
     full = sides.join(rest.select("key", "cell", "name", "label"), ["key", "cell"]).drop("cell").join(bitmaps, "name")
     may = full.groupBy("key", "i", "j").applyInArrow(_cell_pairs(num, den), "a bigint, b bigint").distinct()
-    two = exact_links(stage(may, "open-pairs"), elements, num, den)
-    return stage(edges.unionByName(two).distinct(), "set-edges")
+    may = stage(may, "open-pairs")
+    release(rest, pairs, bitmaps, member, sizes, label, listed)
+    out = stage(edges.unionByName(exact_links(may, elements, num, den)).distinct(), "set-edges")
+    release(may, edges)
+    return out
 
 
 def op3_signature_join(spark, sf_dir: str) -> DataFrame:
@@ -481,8 +506,21 @@ def op3_signature_join(spark, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of documents that links connect (five-word shingles,
-    similarity 0.8) the one of the smallest doc_id stays. Rows that repeat its
-    doc_id stay with it, as do rows without a doc_id or without words."""
-    found = jaccard_components(docs).where("n_shingles > 0").select("doc_id", "component_id").distinct()
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    similarity 0.8) one row stays, that of the smallest doc_id (a null one
+    last), then of the smallest hash of the text, and of rows that agree in
+    both one. Decided row by row, so another text of the same doc_id has its
+    own fate; rows without words stay."""
+    rows = (_connected(docs, 80, 100, 5, "doc_id", "text", FILTER_BITS).where("root IS NOT NULL")
+            .groupBy("doc_id", "tie").agg(F.first("root").alias("root"), F.count(F.lit(1)).alias("n")))
+    rows = stage(rows, "near-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    first = rows.groupBy("root").agg(F.min(place).alias("first"))
+    marks = (rows.join(first, "root").withColumn("gone", place != F.col("first")).where("gone OR n > 1")
+             .select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "gone"))
+    marks = stage(marks, "near-marks")
+    tie = F.xxhash64("text")
+    marked = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_doc")) & (tie == F.col("_tie")), "left")
+    stay = marked.where("gone IS NULL").select(*docs.columns)
+    if marks.where("NOT gone").isEmpty():
+        return stay
+    return stay.unionByName(marked.where("NOT gone").dropDuplicates(["_doc", "_tie"]).select(*docs.columns))

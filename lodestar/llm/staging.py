@@ -2,12 +2,14 @@
 
 An operator that reads the same intermediate rows more than once writes them
 there and reads them back: the lineage is cut, and a lost executor costs only
-the tasks it was running. Staged tables are dropped when the Python driver
-ends (the query result that reads them is lazy, so not earlier)."""
+the tasks it was running. A staged table is dropped as soon as its last reader
+is written (``release``), or when the Python driver ends if the query's lazy
+result reads it."""
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -22,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     (tests); a cluster session without it is refused."""
     path = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY, None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        # executors of local-cluster[...] are processes of their own
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {_KEY} to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="lodestar-llm-")
         spark.conf.set(_KEY, path)
@@ -39,15 +42,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the table that reads it back."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Drop staged tables that nothing reads any more."""
+    for table in tables:
+        _written.remove((table.sparkSession, table._staged))
+        _delete(table.sparkSession, table._staged)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @atexit.register
 def _drop_all() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session has ended: its files are left to the cluster's own cleaning
             return
