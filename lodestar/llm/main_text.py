@@ -1,17 +1,18 @@
 """Main text of raw web pages by line-block distribution.
 
 Markup is stripped into lines, one per block of text. A line's weight is the
-length of its text; lines of menus, headers, footers, side bars, notices,
-adverts, forms and reader comments weigh nothing and leave a gap. Over the
-lines slides a window of ``WINDOW`` lines that sums their weights: text surges
-where the sum rises above the threshold after a gap and dives where it falls to
-nothing, and the lines between are kept. Where a page marks its article (or
-main part), the highest window sum of that part, times ``MARKED_BONUS``, is held
-against the highest one of the other lines. If it is at least as high, only that
-part's lines carry weight and any text there is a surge; otherwise the mark
-belongs to a teaser or card and the page is read as one without marks: lines that
-are mostly links weigh nothing and the surge must reach a share of the page's
-highest sum.
+length of its text, or nothing if most of it is links; menus, headers, footers, side bars, notices,
+adverts, forms and reader comments leave a gap of ``WINDOW`` lines without
+weight (but for an element of that kind that holds the page's marked part and
+half of its text). Over the lines slides a window of ``WINDOW`` lines
+that sums their weights: text surges where the sum rises from nothing and
+dives where it falls to nothing again, and the lines between are kept. Where a page marks its
+article (or main part), the highest window sum of that part, times
+``MARKED_BONUS``, is held against the highest one of the other lines. If it is
+at least as high, that part's lines are kept but for windows full of links (a menu
+in it); otherwise the mark belongs to a teaser or card and the page is read as
+one without marks: a run must reach an absolute floor or end a sentence, and if
+none does, the highest is kept.
 
 Defined results: null and empty html give an empty text; tags that are never
 closed end where html ends them (a paragraph at the next block) or else with
@@ -22,13 +23,16 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW = 3
-SURGE_SHARE = 0.2
+#: a run on a page without marks has a window of this many characters, or a line that ends a sentence
+FLOOR = 25
 MARKED_BONUS = 4
+SENTENCE_ENDS = (".", "!", "?", "…", ":", "。")
 
 # Element names of the html standard by role.
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -37,6 +41,7 @@ _BLOCK = set("address article aside blockquote body caption center dd details di
 _SPACE = {"br", "td", "th", "wbr"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER_TEXT = set("head nav footer aside form menu dialog button select fieldset object video audio canvas search".split())
+_ALWAYS_AROUND = {"head", "nav", "footer", "button", "select", "menu"}
 _MAIN = {"article", "main"}
 _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ENDED_BY_BLOCK = {"p", "li", "dt", "dd"}
@@ -47,6 +52,9 @@ _NAMES = _COMMENT_WORDS | set(
     "ad ads advert adverts advertisement adsense banner breadcrumb breadcrumbs consent cookie cookies copyright footer gdpr header "
     "masthead menu modal nav navbar navigation newsletter notice notification popup promo promoted related share sharing "
     "sidebar social sponsor sponsored subscribe toolbar widget".split())
+# Words that class names of such parts add to the words above.
+_BOXES = set("area bar bottom box button buttons column container content global icons inner item items left links list main nav "
+             "page panel post posts right section signup site slot top unit wrap wrapper".split())
 _NAMED = set("aside center details div dl figure footer header iframe li nav ol p section span table ul".split())
 
 _TOKEN = re.compile(
@@ -108,8 +116,44 @@ def _around(name: str, attributes: str) -> bool:
     values = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
     if values.get("role") in _ROLES or "hidden" in values or "display:none" in values.get("style", "").replace(" ", ""):
         return True
-    words = set(_NAME_WORD.findall(f"{values.get('class', '')} {values.get('id', '')}"))
-    return bool(words & (_NAMES if name in _NAMED else _COMMENT_WORDS if name == "article" else set()))
+    wanted = _NAMES if name in _NAMED else _COMMENT_WORDS if name == "article" else set()
+    return bool(wanted) and any(_named(token, wanted) for token in f"{values.get('class', '')} {values.get('id', '')}".split())
+
+
+def _named(token: str, wanted: set) -> bool:
+    """Whether a class or id names a part by ``wanted`` words: it is made of
+    them and of words for boxes alone, so neither has-sidebar nor share-price does."""
+    words = set(_NAME_WORD.findall(token))
+    return bool(words & wanted) and words <= wanted | _BOXES
+
+
+def _unseen(attributes: str) -> bool:
+    values = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
+    return "hidden" in values or "display:none" in values.get("style", "").replace(" ", "")
+
+
+def _is_comment(attributes: str) -> bool:
+    return any(_named(x.lower(), _COMMENT_WORDS) for m in _ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id")
+               for x in (m[2] or m[3] or m[4] or "").split())
+
+
+class _Holds:
+    """What an element holds: whether a marked part, and how much of the
+    page's text, each asked from running sums."""
+
+    def __init__(self, tokens: list[tuple]):
+        marked = [k == "o" and n in _MAIN and not _is_comment(rest) for k, n, rest in tokens]
+        self.marked = [0, *accumulate(marked)]
+        self.text = [0, *accumulate(len(rest.strip()) if k == "t" else 0 for k, _, rest in tokens)]
+
+    def the_page(self, i: int, stop: int, rest: str) -> bool:
+        """Whether the part around the article named by token ``i`` is the
+        page itself: it holds the marked part and half of all text, or three
+        quarters of the text of a page without marks."""
+        if _is_comment(rest) or _unseen(rest):
+            return False
+        share = (self.text[stop] - self.text[i]) / max(1, self.text[-1])
+        return share >= 0.5 if self.marked[stop] > self.marked[i] else not self.marked[-1] and share >= 0.75
 
 
 def lines_of(html: str) -> list[tuple[str, int, bool]]:
@@ -117,6 +161,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
     the article gives ``WINDOW`` empty lines."""
     tokens = _tokens(html)
     end = _ends(tokens)
+    holds = _Holds(tokens)
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
     linked, in_link, main_end, skip_end, header_end = 0, False, [], -1, -1
@@ -139,7 +184,8 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         if kind == "t":
             text.append(rest)
             linked += len(rest.strip()) if in_link else 0
-        elif kind == "o" and name not in _VOID and (_around(name, rest) or name == "header" and not main_end):
+        elif (kind == "o" and name not in _VOID and (_around(name, rest) or name == "header" and not main_end)
+              and not (i in end and name not in _ALWAYS_AROUND and holds.the_page(i, end[i], rest))):
             stop = end.get(i)
             if stop is None:  # never closed: up to the article, or else only this tag
                 stop = next((j for j in range(i + 1, n) if tokens[j][0] == "o" and tokens[j][1] in _MAIN), i + 1) - 1
@@ -179,15 +225,19 @@ def _sums(weight: list[int]) -> list[int]:
 
 def main_text(html: str) -> str:
     lines = lines_of(html)
-    inside = [len(t) if m else 0 for t, _, m in lines]
     plain = [0 if 2 * k > len(t) else len(t) for t, k, _ in lines]
+    inside = [w if m else 0 for w, (_, _, m) in zip(plain, lines, strict=True)]
     highest = max(_sums(inside), default=0)
-    marked = highest > 0 and MARKED_BONUS * highest >= max(_sums([0 if m else w for w, (_, _, m) in zip(plain, lines)]))
+    marked = highest > 0 and MARKED_BONUS * highest >= max(_sums([0 if m else w for w, (_, _, m) in zip(plain, lines, strict=True)]))
     weight = inside if marked else plain
     n = len(lines)
     sums = _sums(weight)
-    threshold = 1 if marked else max(1, SURGE_SHARE * max(sums, default=0))
-    kept, i = [], 0
+    if marked:
+        text = [m and bool(t) for t, _, m in lines]
+        # a window full of lines, none with weight of its own: a menu inside the part
+        menu = [k + j for k in range(n - WINDOW + 1) if not sums[k] and all(text[k:k + WINDOW]) for j in range(WINDOW)]
+        return "\n\n".join(lines[k][0] for k in sorted({k for k in range(n) if text[k]} - set(menu)))
+    runs, i = [], 0
     while i < n:
         if not sums[i]:
             i += 1
@@ -195,11 +245,13 @@ def main_text(html: str) -> str:
         dive = i
         while dive < n and sums[dive]:
             dive += 1
-        if max(sums[i:dive]) >= threshold:
-            heavy = [k for k in range(i, dive) if weight[k]]
-            kept += [lines[k][0] for k in range(heavy[0], heavy[-1] + 1) if weight[k] or not marked and lines[k][0]]
+        heavy = [k for k in range(i, dive) if weight[k]]
+        ends = any(lines[k][0].endswith(SENTENCE_ENDS) for k in heavy)
+        runs.append((ends or max(sums[i:dive]) >= FLOOR, max(sums[i:dive]), range(heavy[0], heavy[-1] + 1)))
         i = dive
-    return "\n\n".join(kept)
+    if runs and not any(good for good, _, _ in runs):
+        runs = [(True, *max(runs, key=lambda r: r[1])[1:])]
+    return "\n\n".join(lines[k][0] for good, _, run in runs if good for k in run if lines[k][0])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

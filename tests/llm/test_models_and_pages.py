@@ -146,6 +146,13 @@ PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{{}}</style></head
     (PAGE.format(article="<article><header><h2>T</h2><p>by me</p></header><p title='a>b'>y</p><ul><li>i<li>j</ul></article>"), "T\n\ny\n\ni\n\nj"),
     ("<nav>menu<article><p>never closed menu", "never closed menu"),
     ("<p class=ad>Buy now<p>Real text", "Real text"),
+    ('<div class="content has-sidebar"><article><p>Body text.</p></article><div class="sidebar">s</div></div>', "Body text."),
+    ('<div class="page with-header"><div class="site-header">Top</div><article><p>Body text.</p></article></div>', "Body text."),
+    ('<form action="/"><nav>menu</nav><article><p>Body text.</p></article><input></form>', "Body text."),
+    ('<article><p>Before.</p><div class="share-price">Up 3 %</div><div class="share-buttons">Tweet</div></article>', "Before.\n\nUp 3 %"),
+    ('<article><p>Text.</p><ul><li><a href=a>one</a><li><a href=b>two</a><li><a href=c>three</a></ul><p><a href=d>All linked.</a></p></article>', "Text."),
+    ('<article><p>Text.</p><p><a href=d>A linked line.</a></p><p>More.</p></article>', "Text.\n\nA linked line.\n\nMore."),
+    ('<article><p>Body text, longer than the comments are.</p></article><section id="comments"><article>me too</article></section>', "Body text, longer than the comments are."),
 ])
 def test_main_text(html, text):
     assert main_text.main_text(html) == text
@@ -157,6 +164,47 @@ def test_main_text_without_an_article_finds_the_surge():
     assert main_text.main_text(page) == "\n\n".join("word " * 40 + f"{i}." for i in range(4))
 
 
+def test_main_text_keeps_a_section_behind_an_advert():
+    """A short closing section stays, however long the section before is."""
+    page = f"<div><p>{'long words ' * 300}</p><div class='advert'>Buy</div><h2>The end</h2><p>Short close.</p><div class='ad'>x</div><div>next</div></div>"
+    assert main_text.main_text(page).split("\n\n")[1:] == ["The end", "Short close."]
+
+
+def plain_selection(lines):
+    """main_text's choice among lines, restated without running sums."""
+    w = [0 if 2 * k > len(t) else len(t) for t, k, _ in lines]
+    def best(of):
+        return max((sum(of[i:i + 3]) for i in range(len(of))), default=0)
+    inside, outside = ([x if m == want else 0 for x, (_, _, m) in zip(w, lines)] for want in (True, False))
+    if best(inside) and 4 * best(inside) >= best(outside):
+        drop = {i + j for i in range(len(lines) - 2) for j in range(3) if all(lines[i + d][0] and lines[i + d][2] and not w[i + d] for d in range(3))}
+        return [t for i, (t, _, m) in enumerate(lines) if m and t and i not in drop]
+    runs, last = [], None
+    for i, x in enumerate(w):
+        if x:
+            if last is not None and i - last <= 3:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+            last = i
+    good = [r for r in runs if best([w[i] if i in r else 0 for i in range(len(w))]) >= main_text.FLOOR
+            or any(lines[i][0].endswith(main_text.SENTENCE_ENDS) for i in r)]
+    if runs and not good:
+        good = [max(runs, key=lambda r: best([w[i] if i in r else 0 for i in range(len(w))]))]
+    return [lines[i][0] for r in good for i in range(r[0], r[-1] + 1) if lines[i][0]]
+
+
+def test_main_text_against_a_restatement(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(3000):
+        lines = []
+        for _ in range(rng.randint(0, 14)):
+            t = rng.choice(["", "", "ab", "a short line", "a line of more than twenty-five characters", "ends."])
+            lines.append((t, len(t) if rng.random() < 0.4 else 0, bool(t) and rng.random() < 0.3))
+        monkeypatch.setattr(main_text, "lines_of", lambda html, lines=lines: lines)
+        assert main_text.main_text("") == "\n\n".join(plain_selection(lines)), lines
+
+
 def test_main_text_is_not_only_the_marked_card():
     body = [f"{'word ' * 40}{i}." for i in range(4)]
     card = "<article><h3>Read next</h3><p>A short teaser.</p></article>"
