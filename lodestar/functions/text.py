@@ -142,6 +142,16 @@ def html_text(fragment: Column) -> Column:
     return decode_entities(F.regexp_replace(out, "<[^>]*>", " "))
 
 
+#: Comments and the bodies of scripts and styles are no markup; one that is never closed ends with the text.
+NOT_MARKUP_RE = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)"
+
+
+def markup(html: Column) -> Column:
+    """The html without what only looks like markup, in one scan from the
+    start: a comment hides a script and the other way round."""
+    return F.regexp_replace(html, NOT_MARKUP_RE, " ")
+
+
 def tag_tokens(html: Column, tag: str) -> Column:
     """The html cut at the open and close tags of one element name: tags and
     what lies between them, in order (array)."""

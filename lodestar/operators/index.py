@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import (STOP_WORDS, html_element, html_elements, html_text, index_words, tag_tokens,
-                                     title_key, title_rest)
+from lodestar.functions.text import (STOP_WORDS, html_element, html_elements, html_text, index_words, markup,
+                                     tag_tokens, title_key, title_rest)
 
 
 # --- T5 / T6: blocks of a page ------------------------------------------------
@@ -24,10 +24,11 @@ def page_blocks(pages: DataFrame, block_tag: str = "article", title_tag: str = "
     """Every ``block_tag`` element of every page, one row each; its
     ``title_tag`` text is the title, the rest of the block is the description.
     The key is the first ``key_width`` characters of the trimmed title (T6),
-    the title words are what follows the key.
+    the title words are what follows the key. Comments, scripts and styles
+    open and close no element.
 
     Output: page_id, block_no (from 0), code, title_text, desc_text."""
-    blocks = pages.select("page_id", F.posexplode(html_elements(F.col("html"), block_tag)).alias("block_no", "block"))
+    blocks = pages.select("page_id", F.posexplode(html_elements(markup(F.col("html")), block_tag)).alias("block_no", "block"))
     title_html = html_element(F.col("block"), title_tag)
     desc_html = F.regexp_replace("block", rf"(?is)<{title_tag}(?:\s[^>]*)?>.*?</{title_tag}\s*>", " ")
     return (blocks.where(F.length("block") > 0)
@@ -202,7 +203,7 @@ def course_blocks(pages: DataFrame, key_width: int = 10) -> DataFrame:
 
     Grouping is done inside each page's row (a page is one row), so no
     window or shuffle is needed and a page's size bounds the work."""
-    items = pages.select("page_id", _block_items(F.col("html")).alias("items"))
+    items = pages.select("page_id", _block_items(markup(F.col("html"))).alias("items"))
     kinds = F.transform("items", lambda x: x["k"])
     # fold: state = (current header position or 0, array of header positions)
     empty = F.array().cast("array<int>")

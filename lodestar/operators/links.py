@@ -17,14 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import decode_entities
+from lodestar.functions.text import decode_entities, markup
 from lodestar.functions.url import Url, ok_to_follow, part_names, remove_fragment, resolve_link, with_parts
 from lodestar.session import cut_lineage, first_by, materialize
 
 # An anchor's open tag up to the value of its href: whole attribute names, any
-# of the three quoting forms, any attribute order. Comments and the bodies of
-# scripts and styles are no markup.
-NOT_MARKUP_RE = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)"
+# of the three quoting forms, any attribute order.
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 HREF_RE = (r"(?is)<a(?:\s+(?!href[\s=/>])[^\s=>\"'/]+(?:\s*=\s*" + _VALUE + r")?|\s*/)*+\s+href\s*=\s*(" + _VALUE + ")")
 
@@ -32,8 +30,7 @@ HREF_RE = (r"(?is)<a(?:\s+(?!href[\s=/>])[^\s=>\"'/]+(?:\s*=\s*" + _VALUE + r")?
 def extract_links(pages: DataFrame) -> DataFrame:
     """Every anchor href of every page with its position (0-based),
     character references decoded."""
-    markup = F.regexp_replace("html", NOT_MARKUP_RE, " ")
-    found = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(markup, F.lit(HREF_RE), 1)).alias("pos", "raw"))
+    found = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all(markup(F.col("html")), F.lit(HREF_RE), 1)).alias("pos", "raw"))
     quoted = F.substring("raw", 1, 1).isin('"', "'")
     bare = F.when(quoted, F.substr("raw", F.lit(2), F.length("raw") - 2)).otherwise(F.col("raw"))
     return found.select("page_id", "url", "pos", decode_entities(bare).alias("href"))

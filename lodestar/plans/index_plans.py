@@ -130,6 +130,10 @@ def _words(key_sql: str, text_sql: str, source: str) -> str:
   FROM {source}) WHERE length(w) > 0 AND w NOT IN ({_STOP})"""
 
 
+_MARKUP = ("regexp_replace(html, '(?is)<!--.*?(?:-->|$)|<script\\b[^>]*>.*?(?:</script\\s*>|$)"
+           "|<style\\b[^>]*>.*?(?:</style\\s*>|$)', ' ', 'g')")
+
+
 def _html_text(x: str) -> str:
     out = f"regexp_replace({x}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
     out = f"regexp_replace({out}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
@@ -146,7 +150,7 @@ def _trim(x: str) -> str:
 
 
 _BLOCKS = f"""
-b0 AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<article(?:\\s[^>]*)?>(.*?)</article>', 1)) AS block
+b0 AS (SELECT page_id, url, unnest(regexp_extract_all({_MARKUP}, '(?is)<article(?:\\s[^>]*)?>(.*?)</article>', 1)) AS block
        FROM pages WHERE html IS NOT NULL AND length(html) > 0),
 b1 AS (SELECT page_id, url,
          {_html_text("regexp_extract(block, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)")} AS title,

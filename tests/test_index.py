@@ -116,3 +116,16 @@ def test_course_block_attributes_in_any_order_and_inner_divs(spark):
     got = X.course_blocks(spark.createDataFrame([(2, html)], "page_id long, html string")).orderBy("pos").collect()
     assert [(r.kind, r.header_pos is not None, r.code, r.desc_text) for r in got] == [
         ("main", False, "CMSC 12100", "Desc one."), ("subsequence", True, "CMSC 12100", "Sub desc"), ("subsequence", False, "ORPH 1", "")]
+
+
+def test_comments_and_scripts_open_no_blocks(spark):
+    """A commented-out article is no block, a script string that holds one opens none, and an unclosed comment hides the rest."""
+    pages = spark.createDataFrame([
+        (1, "<!-- <article><h1>CODE100 old</h1>gone</article> --><article><h1>CODE200 New</h1>kept</article>"),
+        (2, "<script>var a = '<article><h1>CODE300 js</h1>';</script><nav>menu</nav><article><h1>CODE400 Real</h1>text<style>p{}</style></article>"),
+        (3, "<article><h1>CODE500 <!-- x </h1> -->T</h1>a <script>'</article>'</script> b</article>"),
+        (4, "<!-- <script> --><article><h1>CODE600 S</h1>s</article><!-- </script> -->"),
+        (5, "<article><h1>CODE700 U</h1>u</article><!-- <article><h1>CODE800 V</h1>v</article>")], "page_id int, html string")
+    got = {(r.page_id, r.block_no, r.code, r.title_text.strip(), " ".join(r.desc_text.split())) for r in X.page_blocks(pages, key_width=7).collect()}
+    assert got == {(1, 0, "CODE200", "New", "kept"), (2, 0, "CODE400", "Real", "text"), (3, 0, "CODE500", "T", "a b"),
+                   (4, 0, "CODE600", "S", "s"), (5, 0, "CODE700", "U", "u")}
