@@ -23,7 +23,6 @@ for all documents and checkpoints of a block side by side."""
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from array import array
@@ -153,11 +152,13 @@ class _Runs(dict):
 
         super().__init__()
         self.code, self.tokenizer = {2: "H", 4: "I"}[np.dtype(kind).itemsize], Tokenizer.from_file(path)
-        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
+        self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.recent: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
+    def added(self, low: bytes) -> bool:
+        return any(mark in low for mark in self.marks)
+
     def of(self, text: bytes) -> bytes:
         """The ids of a whole text."""
         low = text.lower()
@@ -205,35 +206,41 @@ def _runs(path: str, kind: str) -> _Runs:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, kind: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids (the ids as ``kind`` integers, with ``end_id``) and a value
-    that orders documents of the same doc_id."""
+    """doc_id, ids (the ids as ``kind`` integers, with ``end_id``), a value
+    that orders documents of the same doc_id, and in one row of each batch the
+    (id, count) pairs of the batch's ids."""
     end = np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             of = _runs(path, kind).of
             ids = [of(t.as_py() or b"") + end for t in b.column(1).cast(pa.large_binary())]
+            total = np.bincount(np.frombuffer(b"".join(ids), kind))
+            at = np.flatnonzero(total)
+            pairs = [np.stack([at, total[at]]).astype("<i8").tobytes()] if ids else []
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
-                ["doc_id", "ids", "tie"])
+                [b.column(0), pa.array(ids, pa.binary()), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                 pa.array(pairs + [None] * (len(ids) - len(pairs)), pa.binary())], ["doc_id", "ids", "tie", "counts"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, ids binary, tie bigint")
+        run, "doc_id bigint, ids binary, tie bigint, counts binary")
 
 
-def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
+def id_counts(tokens: DataFrame) -> DataFrame:
     """(id, n) over all documents; a task sends each id at most once."""
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            part = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind))
-            if len(part) > len(total):
-                total, part = part, total
-            total[:len(part)] += part
+            for pairs in b.column(0).to_pylist():
+                at, n = np.frombuffer(pairs, "<i8").reshape(2, -1)
+                if len(total) <= at[-1]:
+                    total = np.concatenate([total, np.zeros(at[-1] + 1 - len(total), np.int64)])
+                total[at] += n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return (tokens.select("counts").where("counts IS NOT NULL").mapInArrow(run, "id bigint, n bigint")
+            .groupBy("id").agg(F.sum("n").alias("n")))
 
 
 # ---- files -----------------------------------------------------------------
@@ -313,7 +320,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, voca
     tokens = spark.read.schema(tokens.schema).parquet(with_zstd)
 
     counts = np.zeros(max(vocabulary, end_id + 1), np.int64)
-    for r in id_counts(tokens, kind).collect():  # at most one row per vocabulary entry
+    for r in id_counts(tokens).collect():  # at most one row per vocabulary entry
         counts[r["id"]] = r["n"]
     lengths = code_lengths(counts, max_bits)
     used = np.flatnonzero(lengths)
