@@ -1,10 +1,14 @@
 """Crawl queries (job A) over ``pages``.
 
 T1-T4 and F13 run on the real anchors of every page. The page hrefs never
-point inside the page set, so the breadth-first crawl runs on a link graph
-Spark derives from the table: page i links to pages (a*i + b) mod N for the
-(a, b) rules below, in that position order, N = number of fetchable pages.
-The follow filter then decides which of those urls may be visited."""
+point inside the page set, so two graphs stand in for it, N = number of
+fetchable pages; in both the follow filter decides which urls may be visited:
+
+- ``crawl_links`` walks the links that stand in the pages: an anchor is
+  extracted, resolved and passed by the follow filter, and each of PROBES hashes
+  of the resolved url mod N names a page that it leads to;
+- the others walk page i -> pages (a*i + b) mod N for the (a, b) rules below,
+  in that position order."""
 
 from __future__ import annotations
 
@@ -13,12 +17,15 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.url import ARCHIVE_PREFIXES, URL_RE, ok_to_follow
 from lodestar.operators import links as LN
+from lodestar.session import cut_lineage
 from lodestar.sources.tables import fetchable_pages, load
 
 DOMAIN = "example.com"
 BUDGET = 20
 # Fixed values of this binding: derived link rules (a, b) -> (a*i + b) mod N.
 EDGE_RULES = ((3, 1), (7, 2)) + tuple((1, d) for d in range(1, 9))
+# Pages that one resolved link leads to in crawl_links.
+PROBES = 4
 
 
 def links_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +74,29 @@ def crawl_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visited.join(p, "url").select("page_id", "url", "depth")
 
 
+def _link_graph(spark, sf_dir):
+    p = fetchable_pages(load(spark, sf_dir, "pages"))
+    ids = p.select("page_id", "url")
+    n = ids.select(F.count(F.lit(1))).scalar()
+    # written once: a filter on the finished link would be pushed down with the
+    # whole resolution in it
+    links = LN.follow_flags(cut_lineage(LN.page_edges(p), "links"), DOMAIN, "dst").where("ok")
+    def page_of(k):
+        return F.conv(F.substring(F.md5(F.concat(F.col("dst"), F.lit(f"#{k}"))), 1, 8), 16, 10).cast("bigint") % n
+    probes = F.explode(F.array(*[F.struct((F.col("pos") * PROBES + k).alias("place"), page_of(k).alias("page_id")) for k in range(PROBES)]))
+    edges = (links.select("src", probes.alias("t")).select("src", "t.place", "t.page_id")
+             .join(ids, "page_id").select("src", F.col("place").alias("pos"), F.col("url").alias("dst")))
+    seed = ids.where(ok_to_follow(F.col("url"), DOMAIN)).select(F.min_by("url", "page_id")).scalar()
+    return ids, edges, seed
+
+
+def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1 over T1 to T4 and F13: every page reachable from the seed through the
+    links that stand in the pages."""
+    p, edges, seed = _link_graph(spark, sf_dir)
+    return LN.crawl(p, edges, seed, DOMAIN).join(p, "url").select("page_id", "url", "depth")
+
+
 def crawl_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crawl, index the visited pages' blocks, map codes to ids."""
     from lodestar.plans.index_plans import _code_map
@@ -83,6 +113,7 @@ QUERIES = {
     "links_follow": links_follow,
     "crawl_bfs": crawl_bfs,
     "crawl_budget": crawl_budget,
+    "crawl_links": crawl_links,
 }
 
 # ---------------------------------------------------------------------------
@@ -146,6 +177,22 @@ bfs(url, depth) AS (
   WHERE b.depth < (SELECT n FROM n))
 """
 
+_LINK_GRAPH = f"""
+p AS (SELECT page_id, url FROM pages WHERE html IS NOT NULL AND length(html) > 0),
+n AS (SELECT count(*) AS n FROM p),
+good AS (SELECT r.page_id, r.link FROM resolved AS r JOIN p USING (page_id) WHERE r.link IS NOT NULL AND {_ok_sql('r.link')}),
+okp AS (SELECT page_id, url FROM p WHERE {_ok_sql('url')}),
+edges AS ({" UNION ALL ".join(
+    f"SELECT page_id AS src, CAST('0x' || substr(md5(link || '#{k}'), 1, 8) AS BIGINT) % n.n AS dst FROM good CROSS JOIN n" for k in range(PROBES))}),
+seed AS (SELECT min(page_id) AS page_id FROM okp),
+bfs(page_id, depth) AS (
+  SELECT page_id, 0 FROM seed WHERE page_id IS NOT NULL
+  UNION
+  SELECT e.dst, b.depth + 1 FROM bfs b JOIN edges e ON e.src = b.page_id JOIN okp o ON o.page_id = e.dst
+  WHERE b.depth < (SELECT count(*) FROM okp))
+"""
+
+
 def _budget_sql() -> str:
     """The crawl unrolled level by level; a page's place in the queue is the
     list of link positions on its first path."""
@@ -183,4 +230,6 @@ ORACLE = {
 SELECT page_id, pos, link, {_ok_sql("link")} AS ok FROM both_links""",
     "crawl_bfs": "WITH RECURSIVE " + _GRAPH + """
 SELECT p.page_id, b.url, min(b.depth) AS depth FROM bfs b JOIN p ON p.url = b.url GROUP BY ALL""",
+    "crawl_links": "WITH RECURSIVE " + _EXTRACT + "," + _RESOLVE + "," + _LINK_GRAPH + """
+SELECT p.page_id, p.url, min(b.depth) AS depth FROM bfs b JOIN p ON p.page_id = b.page_id GROUP BY ALL""",
 }

@@ -9,7 +9,7 @@ from lodestar.sources.tables import TABLE_SCHEMAS, table_path
 from scripts.oracle_check import digest
 
 FAST = ["search_tier1", "search_tier2", "search_tier3", "terms_all", "page_index", "sequence_groups",
-        "table_diff", "tree_split_stats", "prep_bins", "link_classifier", "links_follow", "link_pairs", "link_label_counts",
+        "table_diff", "tree_split_stats", "prep_bins", "link_classifier", "links_follow", "crawl_links", "link_pairs", "link_label_counts",
         "link_classes", "link_members", "near_value_pairs", "io_pair_labels"]
 
 

@@ -41,6 +41,32 @@ def test_crawl_matches_fifo_queue(spark):
         assert [r.url for r in got] == bfs_brute(edges, pages, urls[0], ok, budget), budget
 
 
+def test_crawl_reads_only_the_buckets_of_its_candidates(spark):
+    """A chain of pages: each level has one candidate, so the anti join reads
+    one bucket however long the history is; any number of buckets gives the
+    same crawl."""
+    n = 5
+    urls = [f"http://a.{DOMAIN}/{i}" for i in range(n)]
+    visited = LN.VisitedUrls(spark, 7)
+    one = lambda u: spark.createDataFrame([(u,)], "url string")
+    for u in urls:
+        bits = one(u).agg(visited.touched()).first()[0]
+        assert bin(bits).count("1") == 1
+        left = visited.without(one(u), bits)
+        assert left.count() == 1
+        visited.add(one(u), bits)
+        assert visited.without(one(u), bits).count() == 0
+        assert {r.bucket for r in visited.read(bits).collect()} == {bits.bit_length() - 1}
+    pages = spark.createDataFrame([(u,) for u in urls] + [(None,)], "url string")
+    edges = spark.createDataFrame([(urls[i], 0, urls[j]) for i in range(n) for j in (i + 1, 0, i) if j < n] + [(None, 0, None)], "src string, pos int, dst string")
+    for buckets in (1, 5):
+        got = LN.crawl(pages, edges, urls[0], DOMAIN, buckets=buckets).collect()
+        assert sorted((r.depth, r.url) for r in got) == list(enumerate(urls))
+    assert LN.crawl(pages, edges, urls[0], DOMAIN, max_depth=2).count() == 3
+    assert LN.crawl(pages, edges, "http://elsewhere.org/", DOMAIN).count() == 0
+    assert LN.crawl(pages.limit(0), edges.limit(0), urls[0], DOMAIN).count() == 0
+
+
 def test_link_extraction_and_resolution(spark):
     html = '<p><a href="/a#frag">A</a><abbr href="/no"></abbr><A class="x" HREF="b.html">B</A><a name="n">N</a></p>'
     pages = spark.createDataFrame([(1, "http://s.example.com/dir/page.html", html)], "page_id long, url string, html string")
