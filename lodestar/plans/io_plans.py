@@ -48,6 +48,22 @@ def io_code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.invert_code_map(SRC.read_code_map_lines(spark, path))
 
 
+CODES_A_FILE = 500
+
+
+def io_code_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single JSON objects with commas, quotes, backslashes and braces in
+    the codes, one to a file, each read by as many tasks as it has splits."""
+    path = new_path(spark, "code-objects")
+    k = F.col("p_partkey")
+    code = F.concat(F.lit('{"'), F.col("p_name"), F.lit(', \\'), k.cast("string"), F.lit('}, "'))
+    entry = F.struct(code.alias("key"), k.cast("int").alias("value"))
+    (load(spark, sf_dir, "part").groupBy((k / CODES_A_FILE).cast("long").alias("file"))
+     .agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))  # at most CODES_A_FILE codes
+     .write.partitionBy("file").text(path))
+    return SRC.read_code_map_split(spark, path)
+
+
 def io_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: a record list with a header, read back under its own names."""
     path = new_path(spark, "records")
@@ -107,6 +123,7 @@ QUERIES = {
     "io_pair_labels": io_pair_labels,
     "io_distinct_list": io_distinct_list,
     "io_code_map": io_code_map,
+    "io_code_object": io_code_object,
     "io_records": io_records,
     "io_string_table": io_string_table,
     "search_display": search_display,
@@ -121,6 +138,7 @@ ORACLE = {
     "io_pair_labels": linkage_plans.ORACLE["link_pairs"],
     "io_distinct_list": "SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL",
     "io_code_map": "SELECT CAST(p_partkey AS INTEGER) AS id, 'P' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS code FROM part",
+    "io_code_object": """SELECT '{"' || p_name || ', \\' || CAST(p_partkey AS VARCHAR) || '}, "' AS code, CAST(p_partkey AS INTEGER) AS id FROM part""",
     "io_records": """SELECT CAST(s_suppkey AS INTEGER) AS index, s_name AS name, 'city, ' || CAST(s_nationkey AS VARCHAR) AS city,
   'no "' || CAST(s_suppkey AS VARCHAR) || '"' AS address FROM supplier""",
     "io_string_table": """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",

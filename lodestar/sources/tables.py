@@ -8,7 +8,7 @@ data and can change types between files."""
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,12 +69,50 @@ def read_code_map(spark: SparkSession, path: str) -> DataFrame:
 
     Read as text and parsed by ``from_json`` into a map, then exploded: the
     map never passes through the driver. One file is one task; for very
-    large maps use JSON lines (``read_code_map_lines``)."""
-    text = spark.read.option("wholetext", "true").text(path)
+    large maps use ``read_code_map_split`` or JSON lines (``read_code_map_lines``)."""
+    text = spark.read.text(path, wholetext=True)
     parsed = text.select(F.from_json("value", T.MapType(S, I)).alias("m"))
     return parsed.select(F.explode("m").alias("code", "id"))
 
 
+def read_code_map_split(spark: SparkSession, path: str) -> DataFrame:
+    """``read_code_map`` by many tasks a file: same rows for JSON objects of any
+    size.
+
+    The file is read as records that end at a comma, which the text source
+    splits anywhere. A comma inside a code is repaired: an odd number of quotes
+    before a record means that it starts inside a string and belongs to the
+    member before it. Quotes and members are counted per split of the file, and
+    a running sum over the splits (one row each) carries both counts on; only
+    then are members put together, by their number in the file."""
+    cut = spark.read.option("lineSep", ",").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    # an escaped quote is no quote; a pair of backslash and character never holds a comma
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    cut = cut.withColumn("quotes", F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))))
+    split = ["file", "start"]
+    inside = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    records = cut.withColumn("odd", F.coalesce(F.sum("quotes").over(inside), F.lit(0)) % 2)
+    # members that begin in a split, if it starts outside (0) or inside (1) a string
+    per_split = records.groupBy(*split).agg(F.sum("quotes").alias("q"), *[
+        F.count_if(F.col("odd") == k).alias(f"begun{k}") for k in (0, 1)])
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    per_split = per_split.withColumn("carry", F.coalesce(F.sum("q").over(before), F.lit(0)) % 2)
+    begun = F.when(F.col("carry") == 0, F.col("begun0")).otherwise(F.col("begun1"))
+    per_split = per_split.withColumn("first", F.coalesce(F.sum(begun).over(before), F.lit(0)))
+    joined = records.join(per_split.select(*split, "carry", "first"), split)
+    upto = Window.partitionBy(*split).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    number = F.col("first") + F.count_if(F.col("odd") == F.col("carry")).over(upto)
+    members = (joined.withColumn("member", number).groupBy("file", "member")
+               .agg(F.array_sort(F.collect_list(F.struct("start", "at", "value"))).alias("parts"))
+               .select(F.array_join("parts.value", ",").alias("text")))
+    # outside strings a brace only opens or closes the object
+    text = F.regexp_replace(F.regexp_replace("text", r"^\s*\{", ""), r"\}\s*$", "")
+    parsed = members.select(F.from_json(F.concat(F.lit("{"), text, F.lit("}")), T.MapType(S, I)).alias("m"))
+    return parsed.select(F.explode("m").alias("code", "id"))
+
+
 def read_code_map_lines(spark: SparkSession, path: str) -> DataFrame:
     """The same map as JSON lines ``{"code": ..., "id": ...}``: splittable,
     so a very large map is parsed by many tasks (a single JSON object file

@@ -4,8 +4,10 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from lodestar.sources import sinks
-from lodestar.sources.tables import (code_map_from_dict, invert_code_map, read_code_map,
+from lodestar.sources.tables import (code_map_from_dict, invert_code_map, read_code_map, read_code_map_split,
                                      read_records_csv, read_single_column, read_string_table,
                                      target_column)
 
@@ -76,3 +78,28 @@ def test_code_map_lines(spark):
     with open(path, "w") as fh:
         fh.write('{"code": "A", "id": 1}\n{"code": "B", "id": 2}\n')
     assert sorted(tuple(r) for r in read_code_map_lines(spark, path).collect()) == [("A", 1), ("B", 2)]
+
+
+@pytest.mark.parametrize("split", [5, 16, 64, 1 << 20])
+def test_code_object_read_by_many_tasks(spark, split):
+    """The same rows as one task reads, wherever the file is cut."""
+    d = _scratch()
+    codes = {"": 0, ",": 1, "a,b,,c": 2, '"': 3, '",': 4, ',"': 5, "\\": 6, '\\",\\\\,"': 7, "{x": 8, "x}": 9, "{": 10, "}": 11, "é,ü": 12,
+             "line\nbreak,": 13, "x" * 70 + "," * 70: 14, "CMSC 12100": 15, ":1,": 16}
+    for name, text in (("a", json.dumps(codes)), ("b", json.dumps({"1" + k: v for k, v in codes.items()}, indent=2, ensure_ascii=False)),
+                       ("c", "{}"), ("d", ""), ("e", ' { "one" : 1 } \n')):
+        with open(os.path.join(d, name + ".json"), "w") as fh:
+            fh.write(text)
+    want = sorted([*codes.items(), *(("1" + k, v) for k, v in codes.items()), ("one", 1)])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        got = read_code_map_split(spark, d)
+        assert sorted(tuple(r) for r in got.collect()) == want
+        if split < 100:
+            assert spark.read.option("lineSep", ",").text(d + "/a.json").rdd.getNumPartitions() > 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in read_code_map(spark, d).collect()) == want
