@@ -33,13 +33,23 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.table_diff(actual, expected)
 
 
+def table_diff_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 where few rows differ: order lines against a copy with some dropped
+    and some written twice."""
+    k = F.col("l_orderkey")
+    e = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    a = e.where(k % 1009 != 5).unionByName(e.where(k % 2003 == 7)).withColumn(
+        "l_returnflag", F.when(k % 997 != 11, F.col("l_returnflag")))
+    return D.table_diff_by_checksums(a, e)
+
+
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed status per order (only the rows that are not 'same')."""
     actual, expected = _pair(spark, sf_dir)
     return D.reconcile(actual, expected, ["o_orderkey"], "o_totalprice").where(F.col("status") != "same")
 
 
-QUERIES = {"table_diff": table_diff, "reconcile": reconcile}
+QUERIES = {"table_diff": table_diff, "reconcile": reconcile, "table_diff_checksums": table_diff_checksums}
 
 _PAIR = """
 WITH e AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
@@ -60,6 +70,12 @@ FROM (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, sum(ta) AS na,
       FROM (SELECT *, 1 AS ta, 0 AS te FROM a UNION ALL SELECT *, 0 AS ta, 1 AS te FROM e)
       GROUP BY ALL)
 WHERE na <> ne""",
+    "table_diff_checksums": """
+WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem),
+a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_orderkey % 997 <> 11 THEN l_returnflag END AS l_returnflag
+      FROM (SELECT * FROM e WHERE l_orderkey % 1009 <> 5 UNION ALL SELECT * FROM e WHERE l_orderkey % 2003 = 7))
+SELECT *, count(*) AS n FROM (SELECT *, 'extra' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e)
+  UNION ALL SELECT *, 'missing' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM a)) GROUP BY ALL""",
     "reconcile": _PAIR + """
 SELECT * FROM (
   SELECT coalesce(a.o_orderkey, e.o_orderkey) AS o_orderkey, a.o_totalprice AS actual_value,

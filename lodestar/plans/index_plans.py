@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import STOP_WORDS, WS_SPLIT_RE2
+from lodestar.operators import bitmaps as B
 from lodestar.operators import index as X
 from lodestar.operators.search import all_terms_ids, any_term_ids
 from lodestar.sources.tables import fetchable_pages, load
@@ -41,6 +42,21 @@ def terms_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id").join(any_term_ids(hits, TERMS_ANY, key="doc_id"), "doc_id", "left_semi")
 
 
+def _term_bitmaps(spark, sf_dir, terms):
+    hits = X.matching_postings(load(spark, sf_dir, "documents"), "doc_id", "text", terms)
+    return B.word_bitmaps(hits, "doc_id")
+
+
+def bitmap_terms_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + J5 by bitmaps: documents with every term."""
+    return B.bitmap_ids(B.all_terms_bitmap(_term_bitmaps(spark, sf_dir, TERMS_ALL), TERMS_ALL), "doc_id")
+
+
+def bitmap_terms_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G2 by bitmaps: documents with at least one term."""
+    return B.bitmap_ids(B.any_term_bitmap(_term_bitmaps(spark, sf_dir, TERMS_ANY), TERMS_ANY), "doc_id")
+
+
 def _page_postings(spark, sf_dir):
     blocks = X.page_blocks(fetchable_pages(load(spark, sf_dir, "pages")))
     return X.text_postings(blocks, ["page_id", "code"], ["title_text", "desc_text"])
@@ -106,6 +122,8 @@ QUERIES = {
     "word_doc_freq": word_doc_freq,
     "terms_all": terms_all,
     "terms_any": terms_any,
+    "bitmap_terms_all": bitmap_terms_all,
+    "bitmap_terms_any": bitmap_terms_any,
     "page_index": page_index,
     "index_ids": index_ids,
     "index_unmapped": index_unmapped,
@@ -202,3 +220,4 @@ UNION
 SELECT g.conv_id, g.turn, p.word FROM groups g JOIN p ON p.conv_id = g.conv_id AND p.turn = g.header_turn
 WHERE g.header_turn IS NOT NULL AND g.turn <> g.header_turn""",
 }
+ORACLE |= {"bitmap_terms_all": ORACLE["terms_all"], "bitmap_terms_any": ORACLE["terms_any"]}

@@ -25,3 +25,22 @@ def test_header_problems(spark):
     assert D.header_problems(df, ["a", "b"]) == []
     assert D.header_problems(df, ["b", "a"]) == ["column 0: 'a' != 'b'", "column 1: 'b' != 'a'"]
     assert D.header_problems(df, ["a"]) == ["2 columns, expected 1"]
+
+
+def test_diff_by_checksums_equals_diff(spark):
+    import random
+
+    from lodestar.operators import diff as D
+
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, "a", "b"]), rng.choice([None, 0.0, -0.0, 1.5]), i % 50) for i in range(400)]
+    other = rows[:200] + rows[210:] + rows[:5] + [(None, "z", None, None)] * 3
+    swapped = [(b, a, x, i) for a, b, x, i in rows]  # nulls in other places
+    make = lambda r: spark.createDataFrame(r, "a string, b string, x double, i int")
+    for left, right in ((rows, rows[::-1]), (rows, other), (other, rows), (swapped, rows), ([], rows), (rows, []), ([], [])):
+        for ranges, multiset in ((1, True), (37, True), (1 << 16, False)):
+            got = D.table_diff_by_checksums(make(left), make(right), multiset, ranges).collect()
+            want = D.table_diff(make(left), make(right), multiset).collect()
+            assert sorted(map(str, got)) == sorted(map(str, want))
+        if left == rows and right == rows[::-1]:
+            assert not got

@@ -10,7 +10,8 @@ from scripts.oracle_check import digest
 
 FAST = ["search_tier1", "search_tier2", "search_tier3", "terms_all", "page_index", "sequence_groups",
         "table_diff", "tree_split_stats", "prep_bins", "link_classifier", "links_follow", "crawl_links", "link_pairs", "link_label_counts",
-        "link_classes", "link_members", "near_value_pairs", "io_pair_labels", "io_code_object"]
+        "link_classes", "link_members", "near_value_pairs", "io_pair_labels", "io_code_object", "bitmap_terms_all", "bitmap_terms_any",
+        "table_diff_checksums"]
 
 
 def test_entry_runs(spark, sf_small):

@@ -129,3 +129,21 @@ def test_comments_and_scripts_open_no_blocks(spark):
     got = {(r.page_id, r.block_no, r.code, r.title_text.strip(), " ".join(r.desc_text.split())) for r in X.page_blocks(pages, key_width=7).collect()}
     assert got == {(1, 0, "CODE200", "New", "kept"), (2, 0, "CODE400", "Real", "text"), (3, 0, "CODE500", "T", "a b"),
                    (4, 0, "CODE600", "S", "s"), (5, 0, "CODE700", "U", "u")}
+
+
+def test_bitmaps_hold_ids_of_any_sign(spark):
+    import random
+
+    from lodestar.operators import bitmaps as B
+
+    rng = random.Random(1)
+    ids = [0, 1, -1, 7, 8, 9, 32767, 32768, 32769, 65536, 65537, -32767, -32768, -32769, 10**12, -10**12] + [rng.randrange(-10**5, 10**5) for _ in range(300)]
+    rows = [(i, w) for i in ids for w in "abc" if rng.random() < 0.6] + [(1, "a"), (1, "b"), (1, "a"), (None, "a"), (5, None)]
+    maps = B.word_bitmaps(spark.createDataFrame(rows, "id bigint, word string"), "id")
+    has = {w: {i for i, x in rows if x == w and i is not None} for w in "abcd"}
+    for terms in (["a"], ["a", "b"], ["a", "b", "c", "a"], ["a", "d"], ["d"]):
+        got = [r.id for r in B.bitmap_ids(B.all_terms_bitmap(maps, terms), "id").collect()]
+        assert sorted(got) == sorted(set.intersection(*(has[t] for t in terms)))
+        got = [r.id for r in B.bitmap_ids(B.any_term_bitmap(maps, terms), "id").collect()]
+        assert sorted(got) == sorted(set.union(*(has[t] for t in terms)))
+    assert B.bitmap_ids(B.all_terms_bitmap(maps.limit(0), ["a"]), "id").count() == 0
