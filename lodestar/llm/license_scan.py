@@ -47,7 +47,7 @@ BROADCAST = 1 << 18
 _OUTSIDE = T.byte_class((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
 # The phrases of the base with their labels.
-PHRASES = (("general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
+PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
 # Wording of common public license notices.
 TEMPLATES = (

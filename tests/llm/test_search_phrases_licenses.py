@@ -176,6 +176,22 @@ def test_licenses_equal_brute_force(spark):
     assert by[101] == by[102] == ["mit"] and by[103] == ["apache-2.0", "mit"] and by[104] == [] and by[112] == ["cc-by-nc-4.0"]
 
 
+def test_license_query_counts_the_phrases_of_its_contract(spark, tmp_path):
+    """The phrases are spelled out here: "general public license" alone is none of them."""
+    wanted = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+    texts = ["the general public license", "GNU General-Public\nLICENSE, general public license; gnu gnu general public license",
+             "gnu lesser general public license", "mit license cc by", "gnu general public", "CC BY apache license", None]
+    spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
+           for r in L.op12_license_scan(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ws = words(text)
+        at = [(j, x) for p, x in wanted.items() for j in range(len(ws)) if ws[j:j + len(p.split())] == p.split()]
+        places = [a for a, _ in at]
+        assert got[i] == (len(ws), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at})))
+    assert got[0][1] == got[2][1] == 0 and got[1][1:4] == (2, 0, 8)
+
+
 def test_license_parts_do_not_matter(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b " * 40 + L.TEMPLATES[9][1] + " c" * 50)], "doc_id bigint, text string")
     whole = L.scan_licenses(docs).collect()
