@@ -106,8 +106,59 @@ def test_training_counts_by_hand(spark):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def expanded(groups):
+    """The record pairs (zindex, findex, label) that rows of link_pairs stand for."""
+    own = {}
+    for r in groups:
+        if r.label == "member":
+            own.setdefault(r.left_profile, []).append(r.zindex)
+    out = []
+    for r in groups:
+        if r.label != "member":
+            assert (r.zindex, r.findex) == (min(own[r.left_profile]), min(own[r.right_profile]))
+            made = [(a, b, r.label) for a in own[r.left_profile] for b in own[r.right_profile] if a != b]
+            assert len(made) == r.n_pairs > 0
+            out += made
+    assert all(r.findex == min(own[r.left_profile]) and r.n_pairs is None for r in groups if r.label == "member")
+    return out
+
+
+PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+def test_link_pairs_expand_to_all_pairs(spark, tmp_path):
+    """Repeated and null keys, keys of two profiles, null and empty fields: the
+    groups stand for exactly the pairs of label_pairs, also when written and read."""
+    import random
+
+    from lodestar.plans import io_plans as IO
+    from lodestar.plans import linkage_plans as LP
+    rng = random.Random(5)
+    rows = [(rng.choice([i, i, i, 7, None]), rng.choice(["blue ring", "blue rings", "old bolt", "", None]), rng.choice(["a", "b", "", None]),
+             rng.choice(["SMALL", "SMALLER", None]), 1, 1.0) for i in range(70)]
+    spark.createDataFrame(rows, PART).write.parquet(f"{tmp_path}/part.parquet")
+    recs = LP._records(spark, str(tmp_path))
+    every = LK.label_pairs(recs, recs, LP._block(), LP._block(), LP._classifier(spark, str(tmp_path)), LP.FIELDS)
+    expected = sorted((r.zindex, r.findex, r.label) for r in every.where("zindex != findex").collect())
+    assert len(expected) == sum(a[0] is not None and b[0] is not None and a[0] != b[0] and a[2] == b[2] is not None for a in rows for b in rows)
+    groups = LP.link_pairs(spark, str(tmp_path)).collect()
+    assert sorted(expanded(groups)) == expected
+    assert sorted(map(repr, IO.io_pair_labels(spark, str(tmp_path)).collect())) == sorted(map(repr, groups))
+
+
+def test_link_pairs_do_not_grow_with_the_square_of_copies(spark, tmp_path):
+    """Three hundred copies of two parts: four pairs of profiles and their
+    members, for all 89,700 pairs."""
+    from lodestar.plans import linkage_plans as LP
+    spark.createDataFrame([(i, ("blue ring", "old bolt")[i % 2], "a", "SMALL", 1, 1.0) for i in range(300)], PART).write.parquet(f"{tmp_path}/part.parquet")
+    groups = LP.link_pairs(spark, str(tmp_path)).collect()
+    assert len(groups) == 4 + 300
+    assert {(a, b) for a, b, _ in expanded(groups)} == set(itertools.permutations(range(300), 2))
+
+
 def test_links_cover_every_pair_of_a_brand(spark, sf_small):
-    """Pairs of one brand that differ in type or size are labelled too."""
+    """Pairs of one brand that differ in type or size are labelled too; copies
+    by their class."""
     from lodestar.plans import linkage_plans as LP
     from lodestar.sources.tables import load
 
@@ -115,10 +166,10 @@ def test_links_cover_every_pair_of_a_brand(spark, sf_small):
     for r in load(spark, sf_small, "part").select("p_partkey", "p_brand").collect():
         brands.setdefault(r.p_brand, []).append(r.p_partkey)
     expected = {p for keys in brands.values() for p in itertools.permutations(keys, 2)}
-    rows = LP.link_pairs(spark, sf_small).collect()
-    assert len(rows) == len(expected) and {(r.zindex, r.findex) for r in rows} == expected
+    rows = expanded(LP.link_pairs(spark, sf_small).collect())
+    assert len(rows) == len(expected) and {(a, b) for a, b, _ in rows} == expected
     counts = {r.label: r.n_pairs for r in LP.link_label_counts(spark, sf_small).collect()}
-    assert counts == {x: sum(r.label == x for r in rows) for x in {r.label for r in rows}}
+    assert counts == {x: sum(label == x for _, _, label in rows) for x in {label for _, _, label in rows}}
 
 
 def test_signatures_bound_the_score(spark):
