@@ -156,6 +156,17 @@ def test_link_pairs_do_not_grow_with_the_square_of_copies(spark, tmp_path):
     assert {(a, b) for a, b, _ in expanded(groups)} == set(itertools.permutations(range(300), 2))
 
 
+def test_records_are_not_broadcast(spark, sf_small):
+    """However small the files of a table look: its rows are joined by key
+    without passing through the driver."""
+    import re
+
+    from lodestar.plans import linkage_plans as LP
+    plan = LP.link_pairs(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    by_key = re.findall(r"(\w+Join) \[[^\]]*(?:index|partkey)#", plan)
+    assert len(by_key) >= 4 and set(by_key) == {"SortMergeJoin"}
+
+
 def test_links_cover_every_pair_of_a_brand(spark, sf_small):
     """Pairs of one brand that differ in type or size are labelled too; copies
     by their class."""
