@@ -45,8 +45,9 @@ from .line_dedup import bit_filter, passes
 from .staging import stage
 
 U = np.uint64
-BLOCK = 2 << 20
-HELD = 8 << 20
+#: bytes of text in a block: its row stays below what a small executor heap keeps apart as large objects
+BLOCK = 1 << 18
+HELD = 4 << 20
 #: n-grams that a task gathers before it sends its filters off
 FLUSH = 1 << 19
 #: words of the corpus per range of quotients
@@ -172,28 +173,38 @@ def frequent_grams(blocks: DataFrame, k: int, bits: int, ranges: int, min_count:
         return packing.permute(packing.pack([ids[at + i] for i in range(k)]))
 
     def counted(batches):
-        held, size = {}, defaultdict(int)
+        held, waiting, size = {}, defaultdict(list), 0
 
         def sent(lang):
             lanes, counts = held.pop(lang)
-            del size[lang]
             parts = Q.segments(packing, lanes, counts, top)
             return pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(parts)), pa.array([r for r, _ in parts], pa.int64()), pa.array([f for _, f in parts], pa.binary())],
                 ["lang", "range", "filter"])
 
+        def settle():
+            """Counts what waits, into what is held."""
+            for lang in list(waiting):
+                lanes, counts = packing.count([np.concatenate(x) for x in zip(*waiting.pop(lang), strict=True)])
+                if old := held.pop(lang, None):
+                    lanes, counts = packing.count([np.concatenate(x) for x in zip(old[0], lanes, strict=True)],
+                                                  np.concatenate([old[1], counts]))
+                held[lang] = lanes, counts
+
         for b in batches:
             for i, lang in enumerate(b.column(0).to_pylist()):
                 tokens = np.frombuffer(b.column(1)[i].as_buffer(), np.int32)
-                lanes, counts = packing.count(grams(tokens, b.column(2)[i].values.to_numpy().view(np.uint64)))
-                if not len(counts):
+                lanes = grams(tokens, b.column(2)[i].values.to_numpy().view(np.uint64))
+                if not len(lanes[0]):
                     continue
-                if old := held.get(lang):
-                    lanes, counts = packing.count([np.concatenate(x) for x in zip(old[0], lanes, strict=True)],
-                                                  np.concatenate([old[1], counts]))
-                held[lang], size[lang] = (lanes, counts), len(counts)
-                while sum(size.values()) >= FLUSH:
-                    yield sent(max(size, key=size.get))
+                waiting[lang].append(lanes)
+                size += len(lanes[0])
+                if size >= FLUSH // 2:      # blocks are small: many are sorted at once
+                    settle()
+                    size = 0
+                while sum(len(c) for _, c in held.values()) >= FLUSH:
+                    yield sent(max(held, key=lambda x: len(held[x][1])))
+        settle()
         for lang in list(held):
             yield sent(lang)
 

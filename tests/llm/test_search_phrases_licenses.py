@@ -253,6 +253,14 @@ def test_collocations_equal_counting_all(spark, monkeypatch, flush):
     assert got == phrases(rows, least=30) and len(got) > 40
 
 
+def test_rows_of_blocks_stay_small(spark):
+    """Of any number of texts; the counts don't depend on the blocks."""
+    docs = spark.createDataFrame([(" ".join(f"w{i % 97}x{j}" for j in range(4000)), "en") for i in range(60)], "text string, lang string")
+    rows = C.token_blocks(docs.select("lang", "text").coalesce(1), 0).collect()
+    assert sum(sum(r["counts"]) for r in rows) == 60 * 4000
+    assert max(len(r["tokens"]) + 16 * len(r["words"]) + sum(map(len, r["words"])) for r in rows) < 1 << 21
+
+
 def test_colliding_word_hashes_are_seen(spark, monkeypatch):
     """Hashes of a few bits at first, then another seed with whole ones."""
     docs = spark.createDataFrame([("a b c d", "en")] * 9 + [("e f g h", "en")] * 2, "text string, lang string")
