@@ -23,6 +23,7 @@ for all documents and checkpoints of a block side by side."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -45,6 +46,7 @@ RUN_ENTRIES = 150_000
 PART_ENTRIES = 450_000
 ENCODE_IDS = 1 << 20
 PUNCTUATION = b".,;:!?#$%&*"
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 # ---- code ------------------------------------------------------------------
@@ -144,7 +146,9 @@ class _Runs(dict):
     ASCII letters are lower-cased. So a text's ids are those of its runs, and a
     run's those of its body and its closing punctuation. A run that holds one of
     the vocabulary's added tokens, which the library looks for before anything
-    else, is left whole, as written. What is remembered is bounded: runs are
+    else, is left whole, as written. Parts of Latin letters go to the library's
+    model as they are, where the vocabulary's normaliser and pre-tokeniser do no more than
+    lower and map them (``_plain``). What is remembered is bounded: runs are
     forgotten all at once, parts in two generations."""
 
     def __init__(self, path: str, kind: str):
@@ -153,6 +157,7 @@ class _Runs(dict):
         super().__init__()
         self.code, self.tokenizer = {2: "H", 4: "I"}[np.dtype(kind).itemsize], Tokenizer.from_file(path)
         self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.plain = self.tokenizer.model, _plain(self.tokenizer)
         self.recent: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
@@ -186,13 +191,35 @@ class _Runs(dict):
         """The ids of a part that ``recent`` doesn't hold."""
         out = self.before.get(part)
         if out is None:
-            out = self._encoded(part)
+            text = part.decode()
+            if self.plain and LETTERS.fullmatch(text):
+                out = array(self.code, [t.id for t in self.model.tokenize(text.translate(self.plain))]).tobytes()
+            else:
+                out = self._encoded(part)
         if len(self.recent) >= PART_ENTRIES:
             self.before, self.recent = self.recent, {}
         self.recent[part] = out
         return out
 
 
+def _plain(tokenizer) -> dict[int, str] | None:
+    """What the model is given for each of the letters of ``LETTERS``, by code
+    point; None if a part of such letters is not just their mapped lower-case
+    forms, in one piece."""
+    letters = [chr(c) for c in range(0x100) if LETTERS.fullmatch(chr(c))]
+    before, cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+    if before is None or cut is None or tokenizer.post_processor is not None or tokenizer.truncation or tokenizer.padding:
+        return None
+
+    def pieces(text: str) -> list[str]:
+        return [piece for piece, _ in cut.pre_tokenize_str(before.normalize_str(text))]
+
+    out = {ord(c): "".join(pieces(c)) for c in letters}
+    # every two letters stand side by side in it
+    text = "".join(a + b for a in letters for b in letters)
+    return out if pieces(text) == [text.translate(out)] else None
+
+
 def _letter_or_digit(body: bytes) -> bool:
     """Whether the text ends with one, as the normaliser leaves it."""
     if body[-1] < 128:

@@ -45,6 +45,16 @@ def test_serialised_model_encodes_as_the_rank_library(reference):
         assert c.decode(c.encode(t)) == t.encode()
 
 
+def test_letter_parts_go_to_the_model_alone(library, monkeypatch):
+    """The same ids, without the library's other steps."""
+    runs, whole = huffman_ids._Runs(WORDS, "<u2"), []
+    monkeypatch.setattr(huffman_ids._Runs, "_encoded", lambda self, x, f=huffman_ids._Runs._encoded: whole.append(x) or f(self, x))
+    text = "Straßen ÜBER the Élan, reinforced naïve àéîõü zzqxvw İstanbul x\u0301y don't 3rd ªº µ ÷ Ÿ ﬁn"
+    assert np.frombuffer(runs.of(text.encode()), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    letters = {w.encode() for w in ("Straßen", "ÜBER", "the", "Élan", "reinforced", "naïve", "àéîõü", "zzqxvw")}
+    assert not {x for w in letters for x in (w, w.lower())} & set(whole) and "İstanbul".encode() in whole
+
+
 def test_codec_memory_stays_bounded(reference, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHE_ENTRIES", 20)
     c = byte_bpe.Codec(RANKS, P.PATTERN)
