@@ -7,9 +7,11 @@ link when den * |A and B| >= num * |A or B|.
    two linked sets can differ in elements, and some more: linked sets agree in
    whole buckets. The content of a bucket is a key; sets that share no key are
    not linked. A key with a single shingle is left out where the count of
-   agreeing buckets shows that a fuller one agrees (see ``set_keys``).
+   agreeing buckets shows that a fuller one agrees (see ``keys_of_sets``).
 2. Only sets go on that share as many keys with other sets as a link takes;
    they are found with a fixed-size bit filter of shared keys and then exactly.
+   Of their shared keys, in order, the last are left out that a link can spare
+   (see ``first_keys``).
 3. Signature trees. The sets of a key (a group) are put in a tree: leaves hold
    few sets of like size, a node holds the OR of their token bitmaps, the range
    of their sizes and the components its sets belong to. Two nodes are
@@ -78,60 +80,108 @@ class Classes:
         self.agree = 3 + (self.differ + 4) // 5
         self.buckets = self.differ + self.agree
 
-    def of(self, n: int) -> list[int]:
-        """Classes in which a set of ``n`` looks for partners: its own, and
-        the next where a partner can be that large."""
-        k = int(np.searchsorted(self.first, n, "right")) - 1
-        return [k, k + 1] if n * self.den // self.num > self.last[k] else [k]
+    def of(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, class): the classes in which sets of sizes ``n`` look for
+        partners: their own, then the next where a partner can be that large."""
+        k = np.searchsorted(self.first, n, "right") - 1
+        more = np.flatnonzero(n * self.den // self.num > self.last[k])
+        return np.concatenate([np.arange(len(n)), more]), np.concatenate([k, k[more] + 1])
 
 
-def keys_by_class(s: np.ndarray, classes: Classes) -> list[tuple[np.ndarray, int]]:
-    """Keys of a set (sorted distinct hashes) for each of its classes, and how
-    many of them it shares with any set it links to.
+def keys_of_sets(elements: np.ndarray, edge: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place, owner, least): the keys of sets that are not empty
+    (elements[edge[i]:edge[i + 1]], sorted and distinct) for each of their
+    classes; a key's ``place`` is its set and class, of which ``owner`` is the
+    set and ``least`` how many of the keys it shares with any set it links to.
 
     Linked sets agree in at least ``agree`` buckets of their class. A set with
     fewer than that many light buckets (of at most one element) agrees in
     ``agree`` less those fuller ones, which every set sends; else it sends its
     light ones too, and the empty ones only if even those could be all that
     agree (then one shared key is all that is sure)."""
-    out = []
-    spread, value = T.mix(s ^ U(0x8CB92BA72F3D8DD7)), T.mix(s + U(0xA24BAED4963EE407))
-    for k in classes.of(len(s)):
-        m, agree, least = int(classes.buckets[k]), int(classes.agree[k]), 1
-        bucket = (spread % U(m)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        head = np.flatnonzero(np.diff(bucket[by], prepend=-1))
-        where, fill = bucket[by][head], np.diff(np.append(head, len(s)))
-        content = np.add.reduceat(value[by], head) + fill.astype(np.uint64) * U(0x9FB21C651E98DF25)
-        empty = m - len(where)
-        light = empty + int((fill == 1).sum())
-        if light < agree:
-            where, content, least = where[fill > 1], content[fill > 1], agree - light
-        elif empty >= agree:
-            none = np.setdiff1d(np.arange(m), where)
-            where, content = np.append(where, none), np.append(content, np.zeros(len(none), np.uint64))
-        out.append((T.mix(T.mix(content) + (where + 1).astype(np.uint64) * U(0xE7037ED1A0B428DB)
-                          + U(k * 0x589965CC75374CC3 % 2**64)), least))
-    return out
+    size = np.diff(edge)
+    owner, k = classes.of(size)
+    m, agree = classes.buckets[k], classes.agree[k]
+    base = np.cumsum(m) - m
+    spread, value = T.mix(elements ^ U(0x8CB92BA72F3D8DD7)), T.mix(elements + U(0xA24BAED4963EE407))
+    n = size[owner]
+    at = np.arange(int(n.sum())) + np.repeat(edge[owner] - (np.cumsum(n) - n), n)
+    slot = np.repeat(base, n) + (spread[at] % np.repeat(m, n).astype(np.uint64)).astype(np.int64)
+    fill = np.bincount(slot, minlength=int(m.sum()))
+    content = np.zeros(len(fill), np.uint64)
+    np.add.at(content, slot, value[at])
+    content += fill.astype(np.uint64) * U(0x9FB21C651E98DF25)
+    if not len(m):
+        return content, k, owner, k
+    empty = np.add.reduceat((fill == 0).astype(np.int64), base)
+    light = empty + np.add.reduceat((fill == 1).astype(np.int64), base)
+    lowest = np.where(light < agree, 2, np.where(empty >= agree, 0, 1))
+    sent = np.flatnonzero(fill >= np.repeat(lowest, m))
+    place = np.repeat(np.arange(len(m)), m)[sent]
+    key = T.mix(T.mix(content[sent]) + (sent - base[place] + 1).astype(np.uint64) * U(0xE7037ED1A0B428DB)
+                + k[place].astype(np.uint64) * U(0x589965CC75374CC3))
+    return key, place, owner, np.where(light < agree, agree - light, 1)
 
 
-def set_keys(s: np.ndarray, classes: Classes) -> np.ndarray:
-    return np.concatenate([k for k, _ in keys_by_class(s, classes)])
+def keys_by_class(s: np.ndarray, classes: Classes) -> list[tuple[np.ndarray, int]]:
+    """The keys of one set for each of its classes, and how many of them it
+    shares with any set it links to."""
+    key, place, _, least = keys_of_sets(s, np.array([0, len(s)]), classes)
+    return [(key[place == i], int(n)) for i, n in enumerate(least)]
 
 
-def set_name(s: np.ndarray) -> int:
-    """Signed 64-bit name of a set's content."""
-    total = T.mix(s + U(0x2127599BF4325C37)).sum(dtype=np.uint64, keepdims=True)
-    return int(T.mix(total + T.mix([len(s)])).view(np.int64)[0])
+def set_keys(s: np.ndarray, classes: Classes) -> np.ndarray:
+    return keys_of_sets(s, np.array([0, len(s)]), classes)[0]
+
+
+def first_keys(key: np.ndarray, place: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys that other sets have too, those that must be looked at, and
+    their places. Two linked sets share ``least`` keys of a class, of each
+    one's count: so the smallest key that they share has at least that many
+    less one behind it in both, and the last ``least`` - 1 keys of a set can be
+    left out. Nothing is left of a class with fewer keys."""
+    by = np.lexsort((key, place))
+    key, place = key[by], place[by]
+    count = np.bincount(place, minlength=len(least))
+    rank = np.arange(len(key)) - (np.cumsum(count) - count)[place]
+    keep = rank <= (count - least)[place]
+    return key[keep], place[keep]
+
+
+def set_names(elements: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Signed 64-bit names of the sets' contents (of empty sets 0)."""
+    size = np.diff(edge)
+    out, some = np.zeros(len(size), np.int64), np.flatnonzero(size)
+    if len(some):
+        total = np.add.reduceat(T.mix(elements + U(0x2127599BF4325C37)), edge[some])
+        out[some] = T.mix(total + T.mix(size[some])).view(np.int64)
+    return out
 
 
-def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(i, j, elements, edge): the sets of the texts i to j."""
     raw, offsets = T.byte_view(T.string_array(column))
     raw = T.lower(raw)
     for i, j in T.slices(offsets):
         part, off = raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         starts, ends, row = T.words(part, off)
-        yield from T.shingle_sets(T.word_hashes(part, starts, ends), row, j - i, width)
+        yield i, j, *T.shingle_arrays(T.word_hashes(part, starts, ends), row, j - i, width)
+
+
+def _fresh(names: np.ndarray, edge: np.ndarray, seen: set) -> np.ndarray:
+    """The places of sets with elements whose names weren't seen before."""
+    return np.array([i for i, (x, n) in enumerate(zip(names.tolist(), np.diff(edge).tolist(), strict=True))
+                     if n and x not in seen and not seen.add(x)], np.int64)
+
+
+def _chosen(elements: np.ndarray, edge: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of the places ``which``, as elements and edges."""
+    size = np.diff(edge)
+    if len(which) == len(size):
+        return elements, edge
+    n = size[which]
+    to = np.concatenate([[0], np.cumsum(n)])
+    return elements[np.arange(int(to[-1])) + np.repeat(edge[which] - to[:-1], n)], to
 
 
 def _signed(x) -> pa.Array:
@@ -142,17 +192,13 @@ def key_table(rows: DataFrame, width: int, classes: Classes) -> DataFrame:
     """(name, key) of all sets; a batch sends equal sets once."""
     def run(batches):
         for b in batches:
-            names, keys, seen = [], [], set()
-            for s in _sets(b.column(1), width):
-                if len(s) and (name := set_name(s)) not in seen:
-                    seen.add(name)
-                    keys.append(set_keys(s, classes))
-                    names.append(np.full(len(keys[-1]), name, np.int64))
-                if sum(map(len, keys[-64:])) > 1 << 16:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), _signed(np.concatenate(keys))], ["name", "key"])
-                    names, keys = [], []
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), _signed(np.concatenate(keys))], ["name", "key"])
+            seen = set()
+            for _, _, elements, edge in _sets(b.column(1), width):
+                names = set_names(elements, edge)
+                fresh = _fresh(names, edge, seen)
+                key, place, owner, _ = keys_of_sets(*_chosen(elements, edge, fresh), classes)
+                if len(key):
+                    yield pa.RecordBatch.from_arrays([pa.array(names[fresh][owner[place]]), _signed(key)], ["name", "key"])
 
     return rows.mapInArrow(run, "name bigint, key bigint")
 
@@ -186,7 +232,7 @@ def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame,
     """(doc_id, tie, n, name, elements, keys) of all rows (doc_id, text, tie): name is
     null for the empty set; elements and keys are there for sets with as many
     keys in the filter of ``shared`` keys as a link takes (once per batch and
-    set)."""
+    set), and of the keys those that must be looked at (``first_keys``)."""
     words = rows.sparkSession.sparkContext.broadcast(bit_filter(shared, bits))
 
     def found(k):
@@ -197,21 +243,24 @@ def set_table(rows: DataFrame, width: int, classes: Classes, shared: DataFrame,
 
     def run(batches):
         for b in batches:
-            size, names, elements, keys, seen = [], [], [], [], set()
-            for s in _sets(b.column(1), width):
-                size.append(len(s))
-                names.append(set_name(s) if len(s) else None)
-                own = raw = None
-                if len(s) and names[-1] not in seen:
-                    seen.add(names[-1])
-                    kept = [k for k, least in ((k[found(k)], least) for k, least in keys_by_class(s, classes)) if len(k) >= least]
-                    if kept:
-                        own, raw = np.concatenate(kept).view(np.int64), s.tobytes()
-                elements.append(raw)
-                keys.append(own)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(names, pa.int64()), pa.array(elements, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "tie", "n", "name", "elements", "keys"])
+            seen = set()
+            for i, j, elements, edge in _sets(b.column(1), width):
+                names = set_names(elements, edge)
+                fresh = _fresh(names, edge, seen)
+                key, place, owner, least = keys_of_sets(*_chosen(elements, edge, fresh), classes)
+                ok = found(key)
+                key, place = first_keys(key[ok], place[ok], least)
+                of = fresh[owner[place]]
+                by = np.argsort(of, kind="stable")
+                key, of = key[by].view(np.int64), of[by]
+                head = np.flatnonzero(np.diff(of, prepend=-1))
+                raw, own = [None] * (j - i), [None] * (j - i)
+                for x, a, z in zip(of[head].tolist(), head.tolist(), [*head[1:].tolist(), len(of)], strict=False):
+                    raw[x], own[x] = elements[edge[x]:edge[x + 1]].tobytes(), key[a:z]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(np.diff(edge), pa.int64()),
+                     pa.array(names, pa.int64(), mask=np.diff(edge) == 0), pa.array(raw, pa.binary()), pa.array(own, pa.list_(pa.int64()))],
+                    ["doc_id", "tie", "n", "name", "elements", "keys"])
 
     return rows.mapInArrow(run, "doc_id bigint, tie bigint, n bigint, name bigint, elements binary, keys array<bigint>")
 
@@ -453,12 +502,14 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
                   .agg(F.min("name").alias("name"), F.first("n").alias("n"))
                   .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "name"))
         rows = dealt = stage(spread.unionByName(pivots).distinct(), "tree-cells")
-        if label is not None:  # a cell of one component has nothing to add
+        # a cell of one set or of one component has nothing to add
+        if label is not None:
             mixed = (rows.join(label, "name").groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
                      .where("a < b").select("key", "cell"))
             rows = rows.join(mixed, ["key", "cell"], "left_semi").join(label, "name")
         else:
-            rows = rows.withColumn("label", F.col("name"))
+            several = rows.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "cell")
+            rows = rows.join(several, ["key", "cell"], "left_semi").withColumn("label", F.col("name"))
         new = stage(rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint"), "tree-edges")
         passed.append(dealt)
         if edges is None:
@@ -494,8 +545,10 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     may = full.groupBy("key", "i", "j").applyInArrow(_cell_pairs(num, den), "a bigint, b bigint").distinct()
     may = stage(may, "open-pairs")
     release(rest, pairs, bitmaps, member, sizes, label, listed)
-    out = stage(edges.unionByName(exact_links(may, elements, num, den)).distinct(), "set-edges")
-    release(may, edges)
+    wanted = may.select(F.col("a").alias("name")).unionByName(may.select(F.col("b").alias("name"))).distinct()
+    few = stage(elements.join(wanted, "name", "left_semi"), "open-sets")
+    out = stage(edges.unionByName(exact_links(may, few, num, den)).distinct(), "set-edges")
+    release(may, few, edges)
     return out
 
 

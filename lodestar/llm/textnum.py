@@ -135,28 +135,41 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * U(0xD6E8FEB86659FD93))
 
 
-def shingle_sets(hashes: np.ndarray, row: np.ndarray, n_rows: int, width: int) -> list[np.ndarray]:
-    """Per row: the sorted distinct hashes of its ``width``-word shingles; a
-    row of fewer words gives one hash of the whole sequence, a row without
-    words an empty set."""
+def shingle_arrays(hashes: np.ndarray, row: np.ndarray, n_rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(elements, edge): row i's sorted distinct hashes of its ``width``-word
+    shingles are elements[edge[i]:edge[i + 1]]; a row of fewer words gives one
+    hash of the whole sequence, a row without words an empty set."""
     count = np.bincount(row, minlength=n_rows)
-    first = np.concatenate([[0], np.cumsum(count)])
+    first = np.cumsum(count) - count
     acc = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
     odd = mix(np.arange(1, width + 1, dtype=np.uint64)) | U(1)
     for j in range(width):
         acc += hashes[j:len(hashes) - width + 1 + j] * odd[j] if len(acc) else acc
     acc = mix(acc)
-    out = []
-    for i in range(n_rows):
+    size = np.where(count >= width, count - width + 1, np.minimum(count, 1))
+    edge = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(int(edge[-1]), np.uint64)
+    whole = np.where(count >= width, size, 0)
+    begin = np.cumsum(whole) - whole
+    step = np.arange(int(whole.sum()))
+    out[step + np.repeat(edge[:-1] - begin, whole)] = acc[step + np.repeat(first - begin, whole)]
+    for i in np.flatnonzero((count > 0) & (count < width)):
         n, a = count[i], first[i]
-        if n >= width:
-            out.append(np.unique(acc[a:a + n - width + 1]))
-        elif n:
-            part = (hashes[a:a + n] * odd[:n]).sum(dtype=np.uint64, keepdims=True)
-            out.append(mix(part + U(int(n) * 0xA0761D6478BD642F % 2**64)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+        part = (hashes[a:a + n] * odd[:n]).sum(dtype=np.uint64, keepdims=True)
+        out[edge[i]] = mix(part + U(int(n) * 0xA0761D6478BD642F % 2**64))[0]
+    at = edge.tolist()
+    for a, z in zip(at, at[1:]):
+        out[a:z].sort()
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    new[edge[:-1][size > 0]] = True
+    return out[new], np.concatenate([[0], np.cumsum(new)])[edge]
+
+
+def shingle_sets(hashes: np.ndarray, row: np.ndarray, n_rows: int, width: int) -> list[np.ndarray]:
+    """The sets of ``shingle_arrays``, one by one."""
+    out, edge = shingle_arrays(hashes, row, n_rows, width)
+    return [out[a:z] for a, z in zip(edge[:-1], edge[1:], strict=True)]
 
 
 class Lookup:

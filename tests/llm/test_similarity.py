@@ -34,6 +34,40 @@ def test_linked_sets_share_a_key(num, den):
                     assert any(np.isin(k, other).sum() >= least for k, least in signature_tree.keys_by_class(x, classes))
 
 
+@pytest.mark.parametrize("num,den", [(85, 100), (80, 100)])
+def test_linked_sets_share_one_of_their_first_keys(num, den):
+    """Both sets with keys of their own and of third sets among them."""
+    classes = signature_tree.Classes(num, den)
+    rng = np.random.default_rng(11)
+    left_out = 0
+    for _ in range(600):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 900)), dtype=np.uint64))
+        b = a[rng.random(len(a)) >= rng.random() * (den - num) / den]
+        inter = len(b)
+        b = np.unique(np.concatenate([b, rng.integers(0, 2**63, int(rng.integers(0, 20)), dtype=np.uint64)]))
+        if not len(b) or den * inter < num * (len(a) + len(b) - inter):
+            continue
+        both, sent = set(signature_tree.set_keys(a, classes)) & set(signature_tree.set_keys(b, classes)), []
+        for s in (a, b):
+            key, place, _, least = signature_tree.keys_of_sets(s, np.array([0, len(s)]), classes)
+            ok = np.isin(key, list(both)) | (rng.random(len(key)) < 0.3)
+            first, _ = signature_tree.first_keys(key[ok], place[ok], least)
+            left_out += int(ok.sum()) - len(first)
+            sent.append(set(first))
+        assert sent[0] & sent[1], (len(a), len(b))
+    assert left_out > 0
+
+
+def test_keys_of_many_sets_are_those_of_each():
+    classes = signature_tree.Classes(85, 100)
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 2**63, int(n), dtype=np.uint64)) for n in rng.integers(1, 700, 50)]
+    edge = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    key, place, owner, _ = signature_tree.keys_of_sets(np.concatenate(sets), edge, classes)
+    for i, s in enumerate(sets):
+        assert key[owner[place] == i].tolist() == signature_tree.set_keys(s, classes).tolist()
+
+
 def test_tree_traversal_finds_the_components_of_all_pairs():
     rng = np.random.default_rng(3)
     sets = []
