@@ -1,17 +1,33 @@
 """Operators 3, 5 and 8 against brute force."""
 
+import glob
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.llm import components, line_dedup, signature_tree, textnum, topk_products
+from lodestar.llm import components, line_dedup, signature_tree, staging, textnum, topk_products
 
 from . import cases
 
 
+def test_release_drops_shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    before = files()
+    table = staging.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    new = files() - before
+    assert new and table.count() == 7
+    staging.release(table)
+    end = time.monotonic() + 30
+    while new & files() and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not new & files()
+
+
 # ---- signature trees -------------------------------------------------------
 
 @pytest.mark.parametrize("num,den", [(85, 100), (80, 100), (1, 2)])
