@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import stage_lean as stage
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:

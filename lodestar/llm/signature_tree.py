@@ -48,7 +48,8 @@ from pyspark.sql import functions as F
 
 from . import textnum as T
 from .components import components
-from .staging import drop_shuffles, release, stage
+from .staging import release
+from .staging import stage_lean as stage
 
 U = np.uint64
 CELL = 512
@@ -457,7 +458,6 @@ def _connected(docs: DataFrame, num: int, den: int, width: int, doc_id: str, tex
     shared = (key_table(rows, width, classes).groupBy("key").agg(F.min("name").alias("low"), F.max("name").alias("high"))
               .where("low < high").select("key"))
     shared = stage(shared, "shared-keys")
-    drop_shuffles(docs.sparkSession)        # of all keys, the largest shuffle
     sets = stage(set_table(rows, width, classes, shared, filter_bits), "shingle-sets")
     named = stage(sets.select("doc_id", "tie", "n", "name"), "set-names")
     found = stage(sets.where("elements IS NOT NULL").groupBy("name")

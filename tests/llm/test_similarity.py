@@ -306,3 +306,15 @@ def test_lookup_finds_what_it_holds():
     assert (t.find(keys) == np.arange(5000)).all()
     assert (t.find(textnum.mix(np.arange(5000, 9000, dtype=np.uint64))) == -1).all()
     assert (textnum.Lookup(keys[:0], keys[:0]).find(keys) == -1).all()
+
+
+def test_lean_tables_leave_no_shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+    before, counts = files(), spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table, setting = staging.stage_lean(counts, "counts"), spark.conf.get(staging._CLEANUP)
+    end = time.monotonic() + 30
+    while files() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not files() - before and setting == "false"
+    assert table.count() == 7 and staging.stage(counts, "counts").count() == 7 and files() - before
