@@ -21,8 +21,9 @@ link when den * |A and B| >= num * |A or B|.
    Sets in one component are not compared again, however many of them link.
 4. Every set first meets the largest of its groups, in cells of at most
    ``CELL`` sets that share ``PIVOTS`` sets of the group, so a group of any
-   size is spread over tasks. Components are merged, and sets whose groups hold
-   more than one of them meet another of those groups, ``ROUNDS`` times in all.
+   size is spread over tasks. Components are merged, and sets of groups of
+   several cells that hold more than one of them meet another of those groups,
+   ``ROUNDS`` times in all (a group of one cell is met whole below).
    Then all groups that are still open are traversed fully, cell against cell
    and by bitmaps alone, but for cell pairs that are in one component; the
    pairs of different components that remain are compared exactly.
@@ -40,6 +41,7 @@ columns are ignored."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -294,92 +296,83 @@ def bitmap_table(found: DataFrame) -> DataFrame:
 class SignatureTree:
     """Levels of nodes over some sets, given by size, bitmap and a value that
     puts like sets side by side; level 0 holds the leaves. All bitmaps are
-    folded to ``words`` words."""
+    folded to ``words`` words. Nodes of a level, and the sets, are arrays of
+    bitmaps, smallest sizes, largest sizes and most hidden elements."""
 
     def __init__(self, size: np.ndarray, bitmaps: list[np.ndarray], words: int, near: np.ndarray):
-        self.size = np.asarray(size, np.int64)
-        self.bitmap = np.array([np.bitwise_or.reduce(x.reshape(-1, words), axis=0) for x in bitmaps])
+        size = np.asarray(size, np.int64)
+        bitmap = np.array([np.bitwise_or.reduce(x.reshape(-1, words), axis=0) for x in bitmaps])
         #: elements that share a bit with another one of the same set
-        self.hidden = self.size - np.bitwise_count(self.bitmap).sum(axis=1, dtype=np.int64)
-        self.order = np.lexsort((near, self.size))
-        self.levels, groups = [], [self.order[i:i + LEAF] for i in range(0, len(self.size), LEAF)]
-        level = [self._node(self.bitmap[g], self.size[g], self.size[g], self.hidden[g], g) for g in groups]
-        while True:
+        hidden = size - np.bitwise_count(bitmap).sum(axis=1, dtype=np.int64)
+        self.sets = bitmap, size, size, hidden
+        self.order = np.lexsort((near, size))
+        self.levels, level, step = [], tuple(x[self.order] for x in self.sets), LEAF
+        while not self.levels or len(level[1]) > 1:
+            at = np.arange(0, len(level[1]), step)
+            level = tuple(f.reduceat(x, at, axis=0) for f, x in zip((np.bitwise_or, np.minimum, np.maximum, np.maximum), level, strict=True))
             self.levels.append(level)
-            if len(level) <= 1:
-                break
-            parts = [range(i, min(i + FANOUT, len(level))) for i in range(0, len(level), FANOUT)]
-            level = [self._node(np.array([level[j][0] for j in p]), np.array([level[j][1] for j in p]),
-                                np.array([level[j][2] for j in p]), np.array([level[j][3] for j in p]), p) for p in parts]
-
-    @staticmethod
-    def _node(bitmaps, smallest, largest, hidden, below):
-        return np.bitwise_or.reduce(bitmaps, axis=0), int(smallest.min()), int(largest.max()), int(hidden.max()), below
+            step = FANOUT
 
     def members(self, level: int, node: int) -> np.ndarray:
         step = LEAF * FANOUT ** level
         return self.order[node * step:(node + 1) * step]
 
+    def below(self, level: int, node: int) -> np.ndarray:
+        return np.arange(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][1])))
+
 
-def _reachable(x, y, num: int, den: int) -> bool:
-    """Whether some set under node x and some under node y can link: they
-    overlap in at most the common bits and the elements hidden behind them."""
-    need = -(-num * (x[1] + y[1]) // (num + den))
-    if min(x[2], y[2]) < need or den * min(x[2], y[2]) < num * max(x[1], y[1]):
-        return False
-    return int(np.bitwise_count(x[0] & y[0]).sum()) + min(x[3], y[3]) >= need
+def _reachable(x: tuple, a: np.ndarray, y: tuple, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For nodes ``a`` of x by nodes ``b`` of y, whether some sets under them
+    can link: they overlap in at most the common bits and the elements hidden
+    behind them."""
+    low, other = x[1][a][:, None], y[1][b]
+    need = -(-num * (low + other) // (num + den))
+    most = np.minimum(x[2][a][:, None], y[2][b])
+    ok = (most >= need) & (den * most >= num * np.maximum(low, other))
+    common = np.bitwise_count(x[0][a][:, None] & y[0][b]).sum(axis=2, dtype=np.int64)
+    return ok & (common + np.minimum(x[3][a][:, None], y[3][b]) >= need)
 
 
 def traverse(left: SignatureTree, right: SignatureTree, root: np.ndarray, at_left: np.ndarray, at_right: np.ndarray,
              num: int, den: int, linked) -> list[tuple[int, int]]:
-    """Dual traversal of two trees (or one with itself). ``root`` is the
-    union-find array over all sets of the cell; ``at_left`` and ``at_right``
-    are the places of the trees' sets in it. ``linked(i, j, need)`` decides a
-    pair that cannot be ruled out: True joins its components in place, None
-    leaves it open; the open pairs are returned."""
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def one_component(level_a, a, level_b, b):
-        x = find(at_left[left.members(level_a, a)[0]])
-        return all(find(i) == x for i in at_left[left.members(level_a, a)]) and all(
-            find(i) == x for i in at_right[right.members(level_b, b)])
-
+    """Dual traversal of two trees (or one with itself). ``root`` names the
+    component of each set of the cell by its first set; ``at_left`` and
+    ``at_right`` are the places of the trees' sets in it. ``linked(i, j, need)``
+    decides a pair that cannot be ruled out: True joins its components in
+    place, None leaves it open; the open pairs are returned."""
     same, still = left is right, []
     stack = [(len(left.levels) - 1, 0, len(right.levels) - 1, 0)]
     while stack:
         la, a, lb, b = stack.pop()
-        x, y = left.levels[la][a], right.levels[lb][b]
-        if not _reachable(x, y, num, den) or one_component(la, a, lb, b):
+        i, j = left.members(la, a), right.members(lb, b)
+        x, y = root[at_left[i]], root[at_right[j]]
+        if (x == x[0]).all() and (y == x[0]).all():
             continue
         if la == lb == 0:
-            for i in x[4]:
-                for j in y[4]:
-                    if same and a == b and j <= i:
-                        continue
-                    p, q = left.size[i], right.size[j]
-                    need = -(-num * (p + q) // (num + den))
-                    u, v = find(at_left[i]), find(at_right[j])
-                    if u == v or den * min(p, q) < num * max(p, q):
-                        continue
-                    if int(np.bitwise_count(left.bitmap[i] & right.bitmap[j]).sum()) + min(left.hidden[i], right.hidden[j]) < need:
-                        continue
-                    answer = linked(at_left[i], at_right[j], need)
-                    if answer is None:
-                        still.append((at_left[i], at_right[j]))
-                    elif answer:
-                        root[max(u, v)] = min(u, v)
-        elif la >= lb and la > 0:
-            if same and la == lb:  # an unordered pair of nodes of one tree: both sides at once
-                below = [(i, j) for i in x[4] for j in y[4] if a != b or i <= j]
-                stack.extend((la - 1, i, lb - 1, j) for i, j in reversed(below))
-            else:
-                stack.extend((la - 1, i, lb, b) for i in x[4])
-        else:
-            stack.extend((la, a, lb - 1, j) for j in y[4])
+            ok = _reachable(left.sets, i, right.sets, j, num, den) & (x[:, None] != y)
+            if same and a == b:
+                ok &= i[:, None] < j
+            for p, q in zip(*(k.tolist() for k in np.nonzero(ok)), strict=True):
+                s, t = at_left[i[p]], at_right[j[q]]
+                u, v = root[s], root[t]
+                if u == v:
+                    continue
+                need = -(-num * int(left.sets[1][i[p]] + right.sets[1][j[q]]) // (num + den))
+                answer = linked(s, t, need)
+                if answer is None:
+                    still.append((s, t))
+                elif answer:
+                    root[root == max(u, v)] = min(u, v)
+            continue
+        # the higher node, or both at once
+        down, over = la >= lb, lb >= la
+        i = left.below(la, a) if down else np.array([a])
+        j = right.below(lb, b) if over else np.array([b])
+        la, lb = la - down, lb - over
+        ok = _reachable(left.levels[la], i, right.levels[lb], j, num, den)
+        if same and a == b:     # an unordered pair of nodes of one tree
+            ok &= i[:, None] <= j
+        stack.extend((la, int(i[p]), lb, int(j[q])) for p, q in np.argwhere(ok)[::-1])
     return still
 
 
@@ -388,7 +381,7 @@ def overlap_reaches(a: np.ndarray, b: np.ndarray, need: int) -> bool:
 
 
 def _first_of(label: np.ndarray) -> np.ndarray:
-    """Union-find array in which equal labels are one component."""
+    """Components of equal labels, each named by its first place."""
     _, group = np.unique(label, return_inverse=True)
     first = np.full(int(group.max(initial=-1)) + 1, len(group))
     np.minimum.at(first, group, np.arange(len(group)))
@@ -406,9 +399,6 @@ def _cell_edges(num: int, den: int):
         before = root.copy()
         tree = SignatureTree(np.array([len(s) for s in sets]), bitmaps, min(map(len, bitmaps)), np.array([s[0] for s in sets]))
         traverse(tree, tree, root, at, at, num, den, lambda i, j, need: overlap_reaches(sets[i], sets[j], need))
-        for i in range(len(root)):
-            while root[i] != root[root[i]]:
-                root[i] = root[root[i]]
         child = np.flatnonzero((root != at) & (before == at))
         return pa.table({"a": pa.array(names[root[child]], pa.int64()), "b": pa.array(names[child], pa.int64())})
 
@@ -484,55 +474,44 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     """(a, b) edges between set names that connect all linked sets of
     ``found`` (name, elements, keys)."""
     elements = found.select("name", "elements")
-    member = found.select("name", F.explode("keys").alias("key")).join(shared, "key", "left_semi")
-    member = stage(member, "set-groups")
-    passed: list[DataFrame] = []        # tables of the turn before
+    member = stage(found.select("name", F.explode("keys").alias("key")).join(shared, "key", "left_semi"), "set-groups")
+    # groups of one membership are one; ``own`` has the members of open groups,
+    # which hold more than one component
+    groups = (member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("name")).alias("mark"), F.min("name").alias("low"))
+              .where("n > 1").groupBy("n", "mark", "low").agg(F.min("key").alias("key")).select("key", "n"))
+    own = stage(member.join(groups, "key").select("key", "n", "name", F.col("name").alias("label")), "open-members")
+    release(member)
 
-    sizes = stage(member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("name")).alias("mark"),
-                                            F.min("name").alias("low")), "group-sizes")
     cells = F.ceil(F.col("n") / CELL).cast("int")
-    open_groups, edges, label = sizes.select("key", "n"), None, None
+    links: list[DataFrame] = []
     for turn in range(ROUNDS):
-        # each set in one of its open groups: first the largest, then one by
-        # hash of the key, on which sets with like groups agree
-        own = member.join(open_groups, "key")
+        # each set in one of its open groups: first the largest, then one of
+        # several cells by hash of the key, on which sets with like groups agree
         rank = F.struct("n", "key") if turn == 0 else F.struct(F.xxhash64("key", F.lit(turn)), "n", "key")
-        best = own.groupBy("name").agg(F.max(rank).alias("g")).select("name", "g.key", "g.n")
-        spread = best.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int")).select("key", "cell", "name")
+        met = own.where(F.col("n") > CELL) if turn else own
+        if turn and met.isEmpty():
+            break
+        best = met.groupBy("name").agg(F.max(rank).alias("g"), F.first("label").alias("label")).select("name", "label", "g.key", "g.n")
+        spread = best.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int")).select("key", "cell", "name", "label")
         pivots = (own.where(F.col("n") > CELL).groupBy("key", F.pmod(F.xxhash64("name", F.lit(1 + turn)), F.lit(PIVOTS)).alias("p"))
-                  .agg(F.min("name").alias("name"), F.first("n").alias("n"))
-                  .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "name"))
-        rows = dealt = stage(spread.unionByName(pivots).distinct(), "tree-cells")
+                  .agg(F.min(F.struct("name", "label")).alias("s"), F.first("n").alias("n"))
+                  .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "s.name", "s.label"))
+        dealt = stage(spread.unionByName(pivots), "tree-cells")
         # a cell of one set or of one component has nothing to add
-        if label is not None:
-            mixed = (rows.join(label, "name").groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-                     .where("a < b").select("key", "cell"))
-            rows = rows.join(mixed, ["key", "cell"], "left_semi").join(label, "name")
-        else:
-            several = rows.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "cell")
-            rows = rows.join(several, ["key", "cell"], "left_semi").withColumn("label", F.col("name"))
-        new = stage(rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint"), "tree-edges")
-        passed.append(dealt)
-        if edges is None:
-            edges = new
-        else:
-            passed += [edges, new]
-            edges = stage(edges.unionByName(new).distinct(), "tree-edges")
-        if label is not None:
-            passed.append(label)
-        label = components(edges, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"})
-        label = stage(found.select("name").join(label, "name", "left").withColumn("label", F.coalesce("label", "name")), "tree-labels")
-        # groups of one membership are compared once; those of one component never
-        open_groups = (member.join(label, "name").groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b")
-                       .select("key").join(sizes, "key").groupBy("n", "mark", "low").agg(F.min("key").alias("key")))
-        if turn:
-            passed.append(listed)
-        listed = open_groups = stage(open_groups.select("key", "n"), "open-groups")
+        mixed = (dealt.groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+                 .where("a < b").select("key", "cell"))
+        rows = dealt.join(mixed, ["key", "cell"], "left_semi")
+        new = rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint")
+        links.append(stage(new, "tree-edges"))
+        edges = reduce(DataFrame.unionByName, links)
+        label = stage(components(edges, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"}), "tree-labels")
+        now = own.drop("label").join(label, "name", "left").withColumn("label", F.coalesce("label", "name"))
+        still = now.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("key")
+        passed = own, dealt, label
+        own = stage(now.join(still, "key", "left_semi").select("key", "n", "name", "label"), "open-members")
         release(*passed)
-        passed = []
 
-    rest = member.join(open_groups, "key").join(label, "name").withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
-    rest = stage(rest, "open-members")
+    rest = own.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
     span = rest.groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
     x, y = span.alias("x"), span.alias("y")
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cell") <= F.col("y.cell")))
@@ -545,11 +524,11 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     full = sides.join(rest.select("key", "cell", "name", "label"), ["key", "cell"]).drop("cell").join(bitmaps, "name")
     may = full.groupBy("key", "i", "j").applyInArrow(_cell_pairs(num, den), "a bigint, b bigint").distinct()
     may = stage(may, "open-pairs")
-    release(rest, pairs, bitmaps, member, sizes, label, listed)
+    release(own, pairs, bitmaps)
     wanted = may.select(F.col("a").alias("name")).unionByName(may.select(F.col("b").alias("name"))).distinct()
     few = stage(elements.join(wanted, "name", "left_semi"), "open-sets")
     out = stage(edges.unionByName(exact_links(may, few, num, den)).distinct(), "set-edges")
-    release(may, few, edges)
+    release(may, few, *links)
     return out
 
 

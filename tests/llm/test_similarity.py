@@ -308,6 +308,23 @@ def test_lookup_finds_what_it_holds():
     assert (textnum.Lookup(keys[:0], keys[:0]).find(keys) == -1).all()
 
 
+def test_components_of_more_edges_than_a_task_joins(spark, monkeypatch):
+    monkeypatch.setattr(components, "LOCAL", 8)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 30)] + [(201, 200), (201, 202), (202, 200)]
+    random.Random(5).shuffle(edges)
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 130)} | {i: 200 for i in range(200, 203)}
+
+
+def test_few_edges_are_joined_in_one_step(spark, monkeypatch):
+    """However long a path: rounds of joins took 9 tables for one like this."""
+    written = []
+    monkeypatch.setattr(components, "stage", lambda df, name: written.append(name) or staging.stage(df, name))
+    df = spark.createDataFrame([(i, i + 1) for i in range(300)], "a bigint, b bigint")
+    assert {r["root"] for r in components.components(df).collect()} == {0}
+    assert len(written) == 2
+
+
 def test_lean_tables_leave_no_shuffle_files(spark):
     folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
