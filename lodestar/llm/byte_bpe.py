@@ -9,7 +9,11 @@ pieces and characters back to bytes. Nothing is trained.
 
 Defined results: null and empty text give no ids; repeated rows are encoded
 alike; an empty table gives an empty table; an input column named like a result
-column is replaced. A very long pre-token is one call of the model."""
+column is replaced. A very long pre-token is one call of the model.
+
+A batch of rows is worked on and handed back in pieces of ``PIECE`` bytes of
+text (or ids), so that neither a task's lists of ids nor the batches that Spark
+reads back grow with the rows of a batch; a longer text stands alone."""
 
 from __future__ import annotations
 
@@ -20,10 +24,15 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from . import textnum as T
+
 CACHE_ENTRIES = 150_000
+PIECE = 1 << 19
 
 # The printable bytes stand for themselves, the others for the
 # code points from 256 on, in ascending order.
@@ -126,15 +135,26 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield x.as_py() or ""
 
 
-def _with(df: DataFrame, add: dict[str, str], work) -> DataFrame:
+def _pieces(b: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """``b`` in row ranges of at most ``PIECE`` bytes of a text column, or of a
+    list column of 32-bit ids."""
+    c = b.column(b.schema.get_field_index(column))
+    size = pc.multiply(pc.list_value_length(c), 4) if pa.types.is_list(c.type) else pc.binary_length(c)
+    edge = np.concatenate([[0], np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    for i, j in T.slices(edge, PIECE):
+        yield b.slice(i, j - i)
+
+
+def _with(df: DataFrame, add: dict[str, str], work, column: str) -> DataFrame:
     """``df`` with the columns of ``add`` (name to type), which ``work`` makes
-    from a record batch, in place of any of the same names."""
+    from pieces of record batches (by size of ``column``), in place of any of
+    the same names."""
     kept = [c for c in df.columns if c not in add]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in kept]
                        + [f"`{k}` {v}" for k, v in add.items()])
 
     def run(batches):
-        for b in batches:
+        for b in chain.from_iterable(_pieces(x, column) for x in batches):
             made = work(b)
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in kept] + made, kept + list(add))
 
@@ -148,7 +168,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
         out = [c.encode(t) for t in _texts(b.column(b.schema.get_field_index(text)))]
         return [pa.array(out, pa.list_(pa.int32())), pa.array([len(x) for x in out], pa.int64())]
 
-    return _with(docs, {ids: "array<int>", "n_tokens": "bigint"}, work)
+    return _with(docs, {ids: "array<int>", "n_tokens": "bigint"}, work, text)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -157,7 +177,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids",
         c = codec(ranks_path, pattern)
         return [pa.array([c.decode(x.as_py() or ()) for x in b.column(b.schema.get_field_index(ids))], pa.binary())]
 
-    return _with(encoded, {decoded: "binary"}, work)
+    return _with(encoded, {decoded: "binary"}, work, ids)
 
 
 def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -174,7 +194,7 @@ def round_trip_digests(docs: DataFrame, ranks_path: str, pattern: str, text: str
             out_sha.append(hashlib.sha256(c.decode(ids)).hexdigest())
         return [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string())]
 
-    return _with(docs, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, work)
+    return _with(docs, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, work, text)
 
 
 def encode_documents(spark, docs: DataFrame, sf_dir: str, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:

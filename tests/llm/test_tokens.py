@@ -78,6 +78,28 @@ def test_byte_bpe_columns(spark, reference):
     assert byte_bpe.encode(cases.table(spark, []), RANKS, P.PATTERN).count() == 0
 
 
+def test_batches_are_worked_on_in_pieces(spark, reference, monkeypatch):
+    """A batch's rows neither wait for each other nor come back at once."""
+    import pyarrow as pa
+
+    texts = [None, "", cases.prose(3, 900)] + odd_texts(200) + [None]
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, work, schema: work)
+    monkeypatch.setattr(byte_bpe, "PIECE", 1000)
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    out = list(byte_bpe.encode(docs, RANKS, P.PATTERN)(iter([batch, batch.slice(0, 0)])))
+    assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b["text"].to_pylist()) <= 1000 for b in out)
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [(r["doc_id"], r["text"], r["ids"]) for r in rows] == [
+        (i, t, reference.encode_ordinary(t or "")) for i, t in enumerate(texts)]
+    encoded = spark.createDataFrame([], "doc_id bigint, ids array<int>")
+    back = list(byte_bpe.decode(encoded, RANKS, P.PATTERN)(
+        iter([pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array([r["ids"] for r in rows], pa.list_(pa.int32()))})])))
+    assert len(back) > 1 and [x for b in back for x in b["decoded"].to_pylist()] == [(t or "").encode() for t in texts]
+    digests = list(byte_bpe.round_trip_digests(docs, RANKS, P.PATTERN)(iter([batch])))
+    assert len(digests) == len(out) and [x for b in digests for x in b["n_tokens"].to_pylist()] == [len(r["ids"]) for r in rows]
+
+
 def test_runs_encode_as_the_whole_text(library):
     runs = huffman_ids._Runs(WORDS, "<u2")
     for t in odd_texts(1500) + [cases.prose(1, 500)]:
