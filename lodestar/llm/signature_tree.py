@@ -24,6 +24,8 @@ link when den * |A and B| >= num * |A or B|.
    size is spread over tasks. Components are merged, and sets of groups of
    several cells that hold more than one of them meet another of those groups,
    ``ROUNDS`` times in all (a group of one cell is met whole below).
+   Memberships get the components of a turn only where the next one reads them:
+   those of groups of several cells each turn, all others once, after the last.
    Then all groups that are still open are traversed fully, cell against cell
    and by bitmaps alone, but for cell pairs that are in one component; the
    pairs of different components that remain are compared exactly.
@@ -470,6 +472,16 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100, width: in
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def open_members(members: DataFrame, label: DataFrame) -> DataFrame:
+    """``members`` (key, n, name, label) with the components of ``label``
+    (name, label), those of groups that still hold more than one."""
+    now = stage(members.drop("label").join(label, "name", "left").withColumn("label", F.coalesce("label", "name")), "labelled-members")
+    still = now.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("key")
+    out = stage(now.join(still, "key", "left_semi").select("key", "n", "name", "label"), "open-members")
+    release(now)
+    return out
+
+
 def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) edges between set names that connect all linked sets of
     ``found`` (name, elements, keys)."""
@@ -479,21 +491,21 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     # which hold more than one component
     groups = (member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("name")).alias("mark"), F.min("name").alias("low"))
               .where("n > 1").groupBy("n", "mark", "low").agg(F.min("key").alias("key")).select("key", "n"))
-    own = stage(member.join(groups, "key").select("key", "n", "name", F.col("name").alias("label")), "open-members")
+    own = stage(member.join(groups, "key").select("key", "n", "name", F.col("name").alias("label")), "group-members")
     release(member)
 
+    large, label, one_cell = own, None, own.where(F.col("n") <= CELL)
     cells = F.ceil(F.col("n") / CELL).cast("int")
     links: list[DataFrame] = []
     for turn in range(ROUNDS):
         # each set in one of its open groups: first the largest, then one of
         # several cells by hash of the key, on which sets with like groups agree
         rank = F.struct("n", "key") if turn == 0 else F.struct(F.xxhash64("key", F.lit(turn)), "n", "key")
-        met = own.where(F.col("n") > CELL) if turn else own
-        if turn and met.isEmpty():
+        if turn and large.isEmpty():
             break
-        best = met.groupBy("name").agg(F.max(rank).alias("g"), F.first("label").alias("label")).select("name", "label", "g.key", "g.n")
+        best = large.groupBy("name").agg(F.max(rank).alias("g"), F.first("label").alias("label")).select("name", "label", "g.key", "g.n")
         spread = best.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int")).select("key", "cell", "name", "label")
-        pivots = (own.where(F.col("n") > CELL).groupBy("key", F.pmod(F.xxhash64("name", F.lit(1 + turn)), F.lit(PIVOTS)).alias("p"))
+        pivots = (large.where(F.col("n") > CELL).groupBy("key", F.pmod(F.xxhash64("name", F.lit(1 + turn)), F.lit(PIVOTS)).alias("p"))
                   .agg(F.min(F.struct("name", "label")).alias("s"), F.first("n").alias("n"))
                   .select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), "s.name", "s.label"))
         dealt = stage(spread.unionByName(pivots), "tree-cells")
@@ -504,14 +516,14 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
         new = rows.join(elements, "name").groupBy("key", "cell").applyInArrow(_cell_edges(num, den), "a bigint, b bigint")
         links.append(stage(new, "tree-edges"))
         edges = reduce(DataFrame.unionByName, links)
+        passed = [dealt] if label is None else [dealt, label, large]
         label = stage(components(edges, name="tree-components").withColumnsRenamed({"node": "name", "root": "label"}), "tree-labels")
-        now = own.drop("label").join(label, "name", "left").withColumn("label", F.coalesce("label", "name"))
-        still = now.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("key")
-        passed = own, dealt, label
-        own = stage(now.join(still, "key", "left_semi").select("key", "n", "name", "label"), "open-members")
+        large = open_members(large.where(F.col("n") > CELL), label)
         release(*passed)
 
-    rest = own.withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
+    few = open_members(one_cell, label)
+    release(own, label)
+    rest = large.unionByName(few).withColumn("cell", F.pmod(F.xxhash64("name"), cells).cast("int"))
     span = rest.groupBy("key", "cell").agg(F.min("label").alias("a"), F.max("label").alias("b"))
     x, y = span.alias("x"), span.alias("y")
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cell") <= F.col("y.cell")))
@@ -524,11 +536,11 @@ def set_links(found: DataFrame, shared: DataFrame, num: int, den: int) -> DataFr
     full = sides.join(rest.select("key", "cell", "name", "label"), ["key", "cell"]).drop("cell").join(bitmaps, "name")
     may = full.groupBy("key", "i", "j").applyInArrow(_cell_pairs(num, den), "a bigint, b bigint").distinct()
     may = stage(may, "open-pairs")
-    release(own, pairs, bitmaps)
+    release(large, few, pairs, bitmaps)
     wanted = may.select(F.col("a").alias("name")).unionByName(may.select(F.col("b").alias("name"))).distinct()
-    few = stage(elements.join(wanted, "name", "left_semi"), "open-sets")
-    out = stage(edges.unionByName(exact_links(may, few, num, den)).distinct(), "set-edges")
-    release(may, few, *links)
+    compared = stage(elements.join(wanted, "name", "left_semi"), "open-sets")
+    out = stage(edges.unionByName(exact_links(may, compared, num, den)).distinct(), "set-edges")
+    release(may, compared, *links)
     return out
 
 

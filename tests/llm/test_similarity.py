@@ -164,6 +164,25 @@ def test_join_on_awkward_rows_and_a_large_group(spark, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute_components(rows, 85, 100, 4)
 
 
+def test_members_of_groups_of_one_cell_get_their_components_once(spark, monkeypatch):
+    """However many turns the groups of several cells take."""
+    monkeypatch.setattr(signature_tree, "CELL", 16)
+    rows = near_copies(90) + near_copies(14, edits=14, words=140, start=2000)
+    docs, counts = cases.table(spark, rows), []
+    frame = type(docs)
+
+    def join(self, other, on=None, how=None, join=frame.join):
+        if how == "left" and isinstance(on, str) and on == "name":
+            counts.append((self.where("n <= 16").count(), self.where("n > 16").count()))
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(frame, "join", join)
+    got = signature_tree.jaccard_components(docs, 85, 100, 4, filter_bits=20).collect()
+    assert sorted(map(tuple, got), key=str) == brute_components(rows, 85, 100, 4)
+    small, large = zip(*counts)
+    assert sum(n > 0 for n in small) == 1 and sum(n > 0 for n in large) >= 2
+
+
 def test_join_on_empty_and_unlinked_tables(spark):
     assert signature_tree.jaccard_components(cases.table(spark, []), filter_bits=20).count() == 0
     rows = [(1, "a b c d e f", "en", "a", 1), (2, "g h i j k l", "en", "a", 1), (3, None, "en", "a", 1)]
