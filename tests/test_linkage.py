@@ -107,7 +107,7 @@ def test_training_counts_by_hand(spark):
 
 
 def expanded(groups):
-    """The record pairs (zindex, findex, label) that rows of link_pairs stand for."""
+    """The record pairs (zindex, findex, label) that rows of label_groups stand for."""
     own = {}
     for r in groups:
         if r.label == "member":
@@ -126,36 +126,69 @@ def expanded(groups):
 PART = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
 
 
-def test_link_pairs_expand_to_all_pairs(spark, tmp_path):
-    """Repeated and null keys, keys of two profiles, null and empty fields: the
-    groups stand for exactly the pairs of label_pairs, also when written and read."""
-    import random
-
-    from lodestar.plans import io_plans as IO
+def groups_of(spark, sf_dir):
     from lodestar.plans import linkage_plans as LP
+    return LK.label_groups(LP._records(spark, sf_dir), LP._block(), LP._classifier(spark, sf_dir), LP.FIELDS).collect()
+
+
+def odd_parts(spark, path):
+    """Repeated and null keys, keys of two profiles, null and empty fields."""
+    import random
     rng = random.Random(5)
     rows = [(rng.choice([i, i, i, 7, None]), rng.choice(["blue ring", "blue rings", "old bolt", "", None]), rng.choice(["a", "b", "", None]),
              rng.choice(["SMALL", "SMALLER", None]), 1, 1.0) for i in range(70)]
-    spark.createDataFrame(rows, PART).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(rows, PART).write.parquet(f"{path}/part.parquet")
+    return rows
+
+
+def test_groups_expand_to_all_pairs(spark, tmp_path):
+    """The groups stand for exactly the pairs of label_pairs."""
+    from lodestar.plans import linkage_plans as LP
+    rows = odd_parts(spark, tmp_path)
     recs = LP._records(spark, str(tmp_path))
     every = LK.label_pairs(recs, recs, LP._block(), LP._block(), LP._classifier(spark, str(tmp_path)), LP.FIELDS)
     expected = sorted((r.zindex, r.findex, r.label) for r in every.where("zindex != findex").collect())
     assert len(expected) == sum(a[0] is not None and b[0] is not None and a[0] != b[0] and a[2] == b[2] is not None for a in rows for b in rows)
-    groups = LP.link_pairs(spark, str(tmp_path)).collect()
-    assert sorted(expanded(groups)) == expected
-    assert sorted(map(repr, IO.io_pair_labels(spark, str(tmp_path)).collect())) == sorted(map(repr, groups))
+    assert sorted(expanded(groups_of(spark, str(tmp_path)))) == expected
 
 
-def test_link_pairs_do_not_grow_with_the_square_of_copies(spark, tmp_path):
-    """Three hundred copies of two parts: four pairs of profiles and their
-    members, for all 89,700 pairs."""
-    from lodestar.plans import linkage_plans as LP
-    spark.createDataFrame([(i, ("blue ring", "old bolt")[i % 2], "a", "SMALL", 1, 1.0) for i in range(300)], PART).write.parquet(f"{tmp_path}/part.parquet")
-    groups = LP.link_pairs(spark, str(tmp_path)).collect()
+def copies(spark, path):
+    """Three hundred copies of two parts."""
+    spark.createDataFrame([(i, ("blue ring", "old bolt")[i % 2], "a", "SMALL", 1, 1.0) for i in range(300)], PART).write.parquet(f"{path}/part.parquet")
+
+
+def test_groups_do_not_grow_with_the_square_of_copies(spark, tmp_path):
+    """Four pairs of profiles and their members, for all 89,700 pairs."""
+    copies(spark, tmp_path)
+    groups = groups_of(spark, str(tmp_path))
     assert len(groups) == 4 + 300
     assert {(a, b) for a, b, _ in expanded(groups)} == set(itertools.permutations(range(300), 2))
 
 
+def test_link_pairs_are_record_pairs(spark, tmp_path):
+    """Copies too: a row with its label for each of the 89,700 pairs."""
+    from lodestar.plans import linkage_plans as LP
+    copies(spark, tmp_path)
+    pairs = LP.link_pairs(spark, str(tmp_path))
+    assert pairs.columns == ["zindex", "findex", "label"]
+    rows = pairs.collect()
+    assert len(rows) == 89_700 and {(r.zindex, r.findex) for r in rows} == set(itertools.permutations(range(300), 2))
+    labels = {(r.s_name, r.s_brand, r.s_type): r.label for r in LP.link_classifier(spark, str(tmp_path)).collect()}
+    assert all(r.label == labels["high" if (r.zindex - r.findex) % 2 == 0 else "low", "high", "high"] for r in rows)
+
+
+def test_link_pairs_of_odd_rows_as_in_sql(spark, tmp_path):
+    import duckdb
+
+    from lodestar.plans import linkage_plans as LP
+    rows = odd_parts(spark, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    expected = sorted(con.execute(LP.ORACLE["link_pairs"]).fetchall())
+    assert len(expected) == sum(a[0] is not None and b[0] is not None and a[0] != b[0] and a[2] == b[2] is not None for a in rows for b in rows)
+    assert sorted(map(tuple, LP.link_pairs(spark, str(tmp_path)).collect())) == expected
+
+
 def test_records_are_not_broadcast(spark, sf_small):
     """However small the files of a table look: its rows are joined by key
     without passing through the driver."""
@@ -165,11 +198,12 @@ def test_records_are_not_broadcast(spark, sf_small):
     plan = LP.link_pairs(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     by_key = re.findall(r"(\w+Join) \[[^\]]*(?:index|partkey)#", plan)
     assert len(by_key) >= 4 and set(by_key) == {"SortMergeJoin"}
+    by_profile = re.findall(r"(\w+Join) \[block#\d+, (?:left|right)_profile#", plan)
+    assert len(by_profile) == 2 and set(by_profile) == {"SortMergeJoin"}
 
 
 def test_links_cover_every_pair_of_a_brand(spark, sf_small):
-    """Pairs of one brand that differ in type or size are labelled too; copies
-    by their class."""
+    """Pairs of one brand that differ in type or size are labelled too."""
     from lodestar.plans import linkage_plans as LP
     from lodestar.sources.tables import load
 
@@ -177,10 +211,10 @@ def test_links_cover_every_pair_of_a_brand(spark, sf_small):
     for r in load(spark, sf_small, "part").select("p_partkey", "p_brand").collect():
         brands.setdefault(r.p_brand, []).append(r.p_partkey)
     expected = {p for keys in brands.values() for p in itertools.permutations(keys, 2)}
-    rows = expanded(LP.link_pairs(spark, sf_small).collect())
-    assert len(rows) == len(expected) and {(a, b) for a, b, _ in rows} == expected
+    rows = LP.link_pairs(spark, sf_small).collect()
+    assert len(rows) == len(expected) and {(r.zindex, r.findex) for r in rows} == expected
     counts = {r.label: r.n_pairs for r in LP.link_label_counts(spark, sf_small).collect()}
-    assert counts == {x: sum(label == x for _, _, label in rows) for x in {label for _, _, label in rows}}
+    assert counts == {x: sum(r.label == x for r in rows) for x in {r.label for r in rows}}
 
 
 def test_signatures_bound_the_score(spark):
