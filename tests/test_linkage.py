@@ -189,6 +189,19 @@ def test_link_pairs_of_odd_rows_as_in_sql(spark, tmp_path):
     assert sorted(map(tuple, LP.link_pairs(spark, str(tmp_path)).collect())) == expected
 
 
+def test_io_pair_labels_are_record_pairs(spark, tmp_path):
+    """The written lines are read back as the rows of link_pairs, as the SQL has them."""
+    import duckdb
+
+    from lodestar.plans import io_plans as IO
+    odd_parts(spark, tmp_path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    pairs = IO.io_pair_labels(spark, str(tmp_path))
+    assert pairs.columns == ["zindex", "findex", "label"]
+    assert sorted(map(tuple, pairs.collect())) == sorted(con.execute(IO.ORACLE["io_pair_labels"]).fetchall())
+
+
 def test_records_are_not_broadcast(spark, sf_small):
     """However small the files of a table look: its rows are joined by key
     without passing through the driver."""
